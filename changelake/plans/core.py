@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from changelake.functions.scalar import doc_id, write_action
 from changelake.operators import gate
+from changelake.operators.decode import dead_letters, decode, reprocess_dlq
 from changelake.plans import fixtures as fx
 from changelake.plans.registry import query
-from changelake.plans.sql_fixtures import LATEST_CTE, TYPED_DOC_SELECT, with_log
+from changelake.plans.sql_fixtures import CLASSIFIED_CTE, LATEST_CTE, TYPED_DOC_SELECT, with_log
+from changelake.session import scratch_dir
+from changelake.sources.changelog import replay_from
+from changelake.sources.state_store import StateStore, checkpoint_rows, vacuum_state
+from changelake.streaming.apply import apply_batch
+
+def event_key_cols():
+    return [F.col("table").alias("table_name"), "pk", "lsn", "op",
+            F.col("partition").alias("part"), F.col("offset").alias("off")]
 
 
 @query("current_state", with_log(LATEST_CTE + f"""
@@ -16,3 +26,291 @@ SELECT {TYPED_DOC_SELECT} FROM latest WHERE op <> 'd'
 def current_state(spark, sf_dir):
     """Flagship: decode the whole log, gate it, return the live documents."""
     return fx.typed_docs(gate.current_state(fx.good(spark, sf_dir)))
+
+
+LATEST_SQL = with_log(LATEST_CTE + """
+SELECT 'users:' || CAST(user_id AS VARCHAR) AS _id, lsn AS sourceLsn, op, off FROM latest
+""")
+
+
+@query("latest_row_number", LATEST_SQL)
+def latest_row_number(spark, sf_dir):
+    w = gate.latest_row_number(fx.good(spark, sf_dir))
+    return w.select(doc_id("table", "pk").alias("_id"), F.col("lsn").alias("sourceLsn"), "op",
+                    F.col("offset").alias("off"))
+
+
+@query("compact_batch", LATEST_SQL)
+def compact_batch(spark, sf_dir):
+    w = gate.compact(fx.good(spark, sf_dir))
+    return w.select(doc_id("table", "pk").alias("_id"), F.col("lsn").alias("sourceLsn"), "op",
+                    F.col("offset").alias("off"))
+
+
+@query("gate_replay", with_log(LATEST_CTE + f"SELECT {TYPED_DOC_SELECT} FROM latest WHERE op <> 'd'"))
+def gate_replay(spark, sf_dir):
+    """G1: the whole log delivered a second time at later offsets changes nothing."""
+    good = fx.good(spark, sf_dir)
+    again = good.withColumn("offset", F.col("offset") + F.lit(1 << 41))
+    return fx.typed_docs(gate.current_state(good.unionByName(again)))
+
+
+@query("gated_delete", with_log(LATEST_CTE + """
+SELECT 'users:' || CAST(user_id AS VARCHAR) AS _id, lsn AS sourceLsn FROM latest WHERE op = 'd'
+"""))
+def gated_delete(spark, sf_dir):
+    """Keys whose winning change is a delete (kept as markers in state)."""
+    d = gate.to_documents(gate.compact(fx.good(spark, sf_dir)))
+    return d.filter("_deleted").select("_id", "sourceLsn")
+
+
+CLASSIFY_SQL = with_log(CLASSIFIED_CTE + """
+SELECT CAST(user_id AS VARCHAR) AS pk, off, lsn, status FROM classified
+""")
+
+
+@query("skip_classify", CLASSIFY_SQL)
+def skip_classify(spark, sf_dir):
+    """Every delivered event as applied / duplicate / stale."""
+    c = gate.classify_events(fx.good(spark, sf_dir))
+    return c.select("pk", F.col("offset").alias("off"), "lsn", "status")
+
+
+@query("gate_stale", with_log(CLASSIFIED_CTE + """
+SELECT CAST(user_id AS VARCHAR) AS pk, off, lsn FROM classified WHERE status = 'stale'
+"""))
+def gate_stale(spark, sf_dir):
+    """Stale events (lower LSN than one already seen for the key)."""
+    c = gate.classify_events(fx.good(spark, sf_dir))
+    return c.filter(F.col("status") == "stale").select("pk", F.col("offset").alias("off"), "lsn")
+
+
+@query("skips_by_table", with_log(CLASSIFIED_CTE + """
+SELECT 'users' AS table_name,
+       CAST(count(*) FILTER (WHERE status = 'applied') AS BIGINT) AS applied,
+       CAST(count(*) FILTER (WHERE status = 'duplicate') AS BIGINT) AS duplicate,
+       CAST(count(*) FILTER (WHERE status = 'stale') AS BIGINT) AS stale,
+       CAST(count(*) FILTER (WHERE status <> 'applied') AS BIGINT) AS idempotent_skips
+FROM classified
+"""))
+def skips_by_table(spark, sf_dir):
+    """A5: idempotent skips per table (duplicates + stale)."""
+    c = gate.classify_events(fx.good(spark, sf_dir))
+    return c.groupBy(F.col("table").alias("table_name")).agg(
+        F.count_if(F.col("status") == "applied").alias("applied"),
+        F.count_if(F.col("status") == "duplicate").alias("duplicate"),
+        F.count_if(F.col("status") == "stale").alias("stale"),
+        F.count_if(F.col("status") != "applied").alias("idempotent_skips"))
+
+
+@query("decode_ok", with_log("""
+SELECT 'users' AS table_name, CAST(user_id AS VARCHAR) AS pk, lsn, op, part, off FROM good
+"""))
+def decode_ok(spark, sf_dir):
+    """normalized events of every good record."""
+    return fx.good(spark, sf_dir).select(*event_key_cols())
+
+
+@query("decode_rejects", with_log("""
+SELECT 'cdc.users' AS source_topic, part AS source_partition, off AS source_offset, reason AS error_reason
+FROM log WHERE reason IS NOT NULL AND reason <> 'tombstone'
+"""))
+def decode_rejects(spark, sf_dir):
+    """Dead letters with their reason; good records are unaffected."""
+    return dead_letters(fx.decoded(spark, sf_dir)).select(
+        "source_topic", "source_partition", "source_offset", "error_reason")
+
+
+def _reason_rows(reason):
+    def build(spark, sf_dir):
+        d = fx.decoded(spark, sf_dir).filter(F.col("error_reason") == reason)
+        return d.select(F.col("offset").alias("off"), F.col("partition").alias("part"))
+    return build
+
+
+for _name, _reason, _doc in (("tombstones", "tombstone", "F2: null / empty / 'null' values, skipped"),
+                             ("lsn_invalid", "bad_lsn", "F4: LSN not an integer"),
+                             ("pk_invalid", "bad_pk", "F5: key without a number id"),
+                             ("after_missing", "after_missing", "F6: non-delete without after image"),
+                             ("bad_op", "bad_op", "D15: unknown operation code")):
+    _fn = _reason_rows(_reason)
+    _fn.__doc__ = _doc
+    query(_name, with_log(f"SELECT off, part FROM log WHERE reason = '{_reason}'"))(_fn)
+
+
+@query("reject_reasons", with_log("""
+SELECT reason AS error_reason, count(*) AS n FROM log WHERE reason IS NOT NULL GROUP BY reason
+"""))
+def reject_reasons(spark, sf_dir):
+    d = fx.decoded(spark, sf_dir).filter(F.col("error_reason").isNotNull())
+    return d.groupBy("error_reason").agg(F.count("*").alias("n"))
+
+
+@query("reprocess_dlq", with_log("""
+SELECT CAST(user_id AS VARCHAR) AS pk, off AS lsn, op, off FROM log
+WHERE reason = 'bad_lsn' AND event_id % 83 <> 0
+  AND NOT ((event_id % 71 = 0 OR op <> 'd') AND (op = 'd' OR event_id % 73 = 0))
+  AND event_id % 71 <> 0
+"""))
+def reprocess_dlq_q(spark, sf_dir):
+    """Dead letters fixed (the bad LSN replaced by the record offset) and decoded again."""
+    dlq = dead_letters(fx.decoded(spark, sf_dir))
+
+    def fix(log):
+        return log.withColumn("value", F.regexp_replace(
+            "value", F.lit(r'"lsn":5\.5'), F.concat(F.lit('"lsn":'), F.col("offset").cast("string"))))
+    again = reprocess_dlq(dlq, fix)
+    return again.filter(F.col("error_reason").isNull()).select(
+        "pk", "lsn", "op", F.col("offset").alias("off"))
+
+
+def _partial(good):
+    """Partial images: some updates omit props or value (by position in the log)."""
+    pos = F.col("offset") % F.lit(1 << 40)
+    drop = F.when(pos % 3 == 1, F.array(F.lit("props"))).otherwise(F.array().cast("array<string>"))
+    drop = F.when(pos % 5 == 2, F.array_union(drop, F.array(F.lit("value")))).otherwise(drop)
+    return good.withColumn("after", F.map_filter("after", lambda k, v: ~F.array_contains(drop, k)))
+
+
+@query("merge_set", with_log(CLASSIFIED_CTE + """,
+g2 AS (SELECT *, (off % 1099511627776) % 3 = 1 AS no_props, (off % 1099511627776) % 5 = 2 AS no_value
+       FROM classified WHERE status = 'applied'),
+last AS (SELECT user_id, max(lsn) AS wl, max(CASE WHEN op = 'd' THEN lsn END) AS dl FROM g2 GROUP BY user_id),
+win AS (SELECT g.user_id, g.op, g.lsn FROM g2 g JOIN last l ON g.user_id = l.user_id AND g.lsn = l.wl),
+ups AS (SELECT g.* FROM g2 g JOIN last l ON g.user_id = l.user_id
+        WHERE g.op <> 'd' AND (l.dl IS NULL OR g.lsn > l.dl)),
+f AS (SELECT user_id, arg_max(event_type, lsn) AS event_type,
+             arg_max(value, lsn) FILTER (WHERE NOT no_value) AS value,
+             arg_max(props, lsn) FILTER (WHERE NOT no_props) AS props
+      FROM ups GROUP BY user_id)
+SELECT 'users:' || CAST(w.user_id AS VARCHAR) AS _id, CAST(w.user_id AS VARCHAR) AS pk, w.user_id AS _pkId,
+       f.event_type AS eventType, f.value AS amount, f.props, TRUE AS isActive, w.lsn AS sourceLsn,
+       CAST(1 AS INTEGER) AS schemaVersion
+FROM win w LEFT JOIN f ON w.user_id = f.user_id WHERE w.op <> 'd'
+"""))
+def merge_set_q(spark, sf_dir):
+    """$set merge of partial images — absent fields survive, gated by LSN."""
+    m = gate.merge_set(_partial(fx.good(spark, sf_dir)))
+    return fx.typed_docs(m.filter(~F.col("_deleted")))
+
+
+@query("fold_reference")
+def fold_reference_q(spark, sf_dir):
+    """The original sequential fold (no delete memory); parity check in tests."""
+    f = gate.fold_reference(fx.good(spark, sf_dir))
+    return f.select("_id", "sourceLsn")
+
+
+def _store(spark, purpose):
+    return StateStore(spark, scratch_dir(spark, purpose), buckets=16)
+
+
+@query("apply_two_batches", with_log(LATEST_CTE + f"SELECT {TYPED_DOC_SELECT} FROM latest WHERE op <> 'd'"))
+def apply_two_batches(spark, sf_dir):
+    """The log applied as two batches (split at the middle of its time range)
+    through the bucketed state store equals applying it at once."""
+    log = fx.events_log(spark, sf_dir)
+    mid = log.agg(((F.unix_micros(F.min("timestamp")) + F.unix_micros(F.max("timestamp"))) / 2)
+                  .cast("bigint").alias("m")).first()["m"]
+    store = _store(spark, "two-batches")
+    apply_batch(store, log.filter(F.unix_micros("timestamp") < mid), 0)
+    apply_batch(store, log.filter(F.unix_micros("timestamp") >= mid), 1)
+    return fx.typed_docs(store.current())
+
+
+@query("replay_from", with_log(LATEST_CTE + f"SELECT {TYPED_DOC_SELECT} FROM latest WHERE op <> 'd'"))
+def replay_from_q(spark, sf_dir):
+    """State as of an LSN, then the log replayed from that LSN through the gate."""
+    good = fx.good(spark, sf_dir)
+    mid = good.agg(((F.min("lsn") + F.max("lsn")) / 2).cast("bigint").alias("m")).first()["m"]
+    early = gate.to_documents(gate.compact(good.filter(F.col("lsn") < mid)))
+    late = gate.to_documents(gate.compact(replay_from(good, mid)))
+    final = gate.gate_merge(early, late)
+    return fx.typed_docs(final.filter(~F.col("_deleted")))
+
+
+@query("schema_version_mix", with_log(LATEST_CTE + """
+SELECT CAST(1 AS INTEGER) AS schemaVersion, count(*) AS n FROM latest WHERE op <> 'd'
+"""))
+def schema_version_mix(spark, sf_dir):
+    """Live documents per schemaVersion."""
+    return gate.current_state(fx.good(spark, sf_dir)).groupBy("schemaVersion").agg(F.count("*").alias("n"))
+
+
+@query("table_counts", with_log(LATEST_CTE + """
+SELECT 'users' AS table_name, count(*) AS n FROM latest WHERE op <> 'd'
+"""))
+def table_counts(spark, sf_dir):
+    """Live documents per target table."""
+    return gate.current_state(fx.good(spark, sf_dir)).groupBy(F.col("table").alias("table_name")) \
+        .agg(F.count("*").alias("n"))
+
+
+@query("checkpoint_table", with_log("""
+SELECT 'users' AS table_name, part, max(off) AS max_offset, max(lsn) AS max_lsn, count(*) AS events
+FROM good GROUP BY part
+"""))
+def checkpoint_table(spark, sf_dir):
+    """Highest offset / LSN applied per (table, partition)."""
+    return checkpoint_rows(fx.good(spark, sf_dir)).select(
+        F.col("table").alias("table_name"), F.col("partition").alias("part"),
+        "max_offset", "max_lsn", "events")
+
+
+@query("batch_outcome", with_log(CLASSIFIED_CTE + """,
+res AS (
+  SELECT date_trunc('hour', ts) AS batch_start, CASE WHEN status = 'applied' THEN 0 ELSE 11000 END AS code
+  FROM classified
+  UNION ALL
+  SELECT date_trunc('hour', ts), 2 FROM log WHERE reason IS NOT NULL AND reason <> 'tombstone')
+SELECT batch_start, 'users' AS table_name, count(*) AS n,
+       count(*) FILTER (WHERE code = 11000) AS n_duplicate_key,
+       count(*) FILTER (WHERE code NOT IN (0, 11000)) AS n_failed,
+       CASE WHEN bool_and(code IN (0, 11000)) THEN 'committed' ELSE 'failed' END AS outcome
+FROM res GROUP BY batch_start
+"""))
+def batch_outcome(spark, sf_dir):
+    """Per hourly batch and table, a batch fails unless every error is a duplicate key."""
+    dec = fx.decoded(spark, sf_dir)
+    good = dec.filter(F.col("error_reason").isNull())
+    cl = gate.classify_events(good.select(*[c for c in good.columns if c not in ("key", "value", "error_reason")]))
+    res = cl.select("timestamp", "table", F.when(F.col("status") == "applied", 0).otherwise(11000).alias("code")) \
+        .unionByName(dec.filter(F.col("error_reason").isNotNull() & (F.col("error_reason") != "tombstone"))
+                     .select("timestamp", "table", F.lit(2).alias("code")))
+    return res.groupBy(F.date_trunc("hour", "timestamp").alias("batch_start"),
+                       F.col("table").alias("table_name")).agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("code") == 11000).alias("n_duplicate_key"),
+        F.count_if(~F.col("code").isin(0, 11000)).alias("n_failed"),
+        F.when(F.bool_and(F.col("code").isin(0, 11000)), "committed").otherwise("failed").alias("outcome"))
+
+
+@query("vacuum_state", with_log(LATEST_CTE + """,
+h AS (SELECT CAST((min(lsn) + max(lsn)) / 2 AS BIGINT) AS horizon FROM latest)
+SELECT 'users:' || CAST(user_id AS VARCHAR) AS _id, op = 'd' AS _deleted, lsn AS sourceLsn
+FROM latest, h WHERE op <> 'd' OR lsn >= horizon
+"""))
+def vacuum_state_q(spark, sf_dir):
+    """Delete markers older than the horizon are dropped; live rows stay."""
+    st = gate.to_documents(gate.compact(fx.good(spark, sf_dir)))
+    horizon = st.agg(((F.min("sourceLsn") + F.max("sourceLsn")) / 2).cast("bigint")).first()[0]
+    return vacuum_state(st, horizon).select("_id", "_deleted", "sourceLsn")
+
+
+@query("order_by_key", with_log("""
+SELECT CAST(user_id AS VARCHAR) AS pk, off, lsn FROM good
+"""))
+def order_by_key(spark, sf_dir):
+    """Events hash-partitioned by key and ordered by offset inside each partition."""
+    g = fx.good(spark, sf_dir).repartition("table", "pk").sortWithinPartitions("table", "pk", "offset")
+    return g.select("pk", F.col("offset").alias("off"), "lsn")
+
+
+@query("write_action", with_log("""
+SELECT off, 'users:' || CAST(user_id AS VARCHAR) AS _id,
+       CASE WHEN op = 'd' THEN 'delete' ELSE 'upsert' END AS action FROM good
+"""))
+def write_action_q(spark, sf_dir):
+    """Document id and write action of every good event."""
+    g = fx.good(spark, sf_dir)
+    return g.select(F.col("offset").alias("off"), doc_id("table", "pk").alias("_id"), write_action("op").alias("action"))

@@ -8,17 +8,22 @@ ev AS (
          CASE event_type WHEN 'signup' THEN 'c' WHEN 'view' THEN 'r' WHEN 'click' THEN 'u'
                          WHEN 'purchase' THEN 'u' WHEN 'error' THEN 'd' ELSE 'u' END AS op,
          CASE WHEN event_id % 7 = 3 AND event_id > 700 THEN event_id - 700 ELSE event_id END AS lsn,
-         CAST(user_id % 6 AS INTEGER) AS part
+         CAST(user_id % 6 AS INTEGER) AS part,
+         lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS prev_eid
   FROM events),
 log AS (
   SELECT *, event_id AS off,
          CASE WHEN event_id % 79 = 0 THEN 'tombstone' WHEN event_id % 97 = 0 THEN 'bad_json'
-              WHEN event_id % 89 = 0 THEN 'bad_lsn' WHEN event_id % 83 = 0 THEN 'bad_pk' END AS reason
+              WHEN event_id % 89 = 0 THEN 'bad_lsn' WHEN event_id % 83 = 0 THEN 'bad_pk'
+              WHEN (event_id % 71 = 0 OR op <> 'd') AND (op = 'd' OR event_id % 73 = 0) THEN 'after_missing'
+              WHEN event_id % 71 = 0 THEN 'bad_op' END AS reason
   FROM ev
   UNION ALL
   SELECT *, event_id + 1099511627776 AS off,
          CASE WHEN event_id % 79 = 0 THEN 'tombstone' WHEN event_id % 97 = 0 THEN 'bad_json'
-              WHEN event_id % 89 = 0 THEN 'bad_lsn' WHEN event_id % 83 = 0 THEN 'bad_pk' END AS reason
+              WHEN event_id % 89 = 0 THEN 'bad_lsn' WHEN event_id % 83 = 0 THEN 'bad_pk'
+              WHEN (event_id % 71 = 0 OR op <> 'd') AND (op = 'd' OR event_id % 73 = 0) THEN 'after_missing'
+              WHEN event_id % 71 = 0 THEN 'bad_op' END AS reason
   FROM ev WHERE event_id % 10 = 0),
 good AS (SELECT * FROM log WHERE reason IS NULL)
 """
@@ -41,3 +46,15 @@ TYPED_DOC_SELECT = """
   event_type AS eventType, value AS amount, props, TRUE AS isActive, lsn AS sourceLsn,
   CAST(1 AS INTEGER) AS schemaVersion
 """
+
+# Events classified by the gate: prefix max of earlier deliveries of the key.
+CLASSIFIED_CTE = """
+cl AS (
+  SELECT *, max(lsn) OVER (PARTITION BY user_id ORDER BY part, off
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_max
+  FROM good),
+classified AS (
+  SELECT *, CASE WHEN prev_max IS NULL OR lsn > prev_max THEN 'applied'
+                 WHEN lsn = prev_max THEN 'duplicate' ELSE 'stale' END AS status
+  FROM cl)
+"""

@@ -29,6 +29,8 @@ BAD_JSON_MOD = 97                                 # value is not JSON
 BAD_LSN_MOD = 89                                  # lsn is 5.5
 BAD_PK_MOD = 83                                   # key has no id
 TOMBSTONE_MOD = 79                                # value is null
+AFTER_MISSING_MOD = 73                            # a non-delete arrives without its after image
+BAD_OP_MOD = 71                                   # op is "x"
 LAG_MS_PER_UNIT = 100                             # payload.ts_ms = source.ts_ms + floor(value * 100)
 
 # Mapping rule for the events-derived users log (our fixture, same style as
@@ -79,11 +81,16 @@ def events_changelog(events: DataFrame, replays: bool = True, poison: bool = Tru
     else:
         ev = ev.withColumn("before", F.lit(None).cast(ev.schema["image"].dataType))
     src_ms = F.unix_millis(F.col("ts"))
+    after_ok = F.col("op") != "d"
+    wire_op = F.col("op")
+    if poison:
+        after_ok = after_ok & (eid % AFTER_MISSING_MOD != 0)
+        wire_op = F.when(eid % BAD_OP_MOD == 0, F.lit("x")).otherwise(F.col("op"))
     payload = F.struct(
         F.col("before"),
-        F.when(F.col("op") != "d", F.col("image")).alias("after"),
+        F.when(after_ok, F.col("image")).alias("after"),
         F.struct(F.col("lsn"), F.lit(EVENTS_TABLE).alias("table"), src_ms.alias("ts_ms")).alias("source"),
-        F.col("op"),
+        wire_op.alias("op"),
         (src_ms + F.floor(F.col("value") * LAG_MS_PER_UNIT)).alias("ts_ms"))
     value = F.to_json(F.struct(F.create_map().cast("map<string,string>").alias("schema"), payload.alias("payload")))
     key = F.to_json(F.struct(F.create_map().cast("map<string,string>").alias("schema"),
