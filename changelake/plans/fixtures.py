@@ -34,3 +34,31 @@ def typed_docs(docs: DataFrame, extra=()) -> DataFrame:
 
 
 TYPED_DOC_COLS = "_id, pk, _pkId, eventType, amount, props, isActive, sourceLsn, schemaVersion"
+
+
+SNAPSHOT_TS = "2024-02-01 00:00:00"
+
+
+def orders_log(spark, sf_dir):
+    from changelake.sources.changelog import snapshot_to_changelog
+    return snapshot_to_changelog(table(spark, sf_dir, "orders"), "orders", "o_orderkey", lsn=1, ts=SNAPSHOT_TS)
+
+
+def multi_table_log(spark, sf_dir):
+    """Events log (cdc.users) + orders snapshot (cdc.orders) + lineitem snapshot (cdc.order_items)."""
+    from changelake.sources.changelog import snapshot_to_changelog
+    li = table(spark, sf_dir, "lineitem").withColumn("id", F.col("l_orderkey"))
+    items = snapshot_to_changelog(li, "order_items", "id", lsn=1, ts=SNAPSHOT_TS)
+    return events_log(spark, sf_dir).unionByName(orders_log(spark, sf_dir)).unionByName(items)
+
+
+# Write-error messages of the derived sink error log, by props.k % 3.
+ERROR_MESSAGES = ("context deadline exceeded", "connection reset by peer", "write conflict")
+
+
+def error_log(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").filter(F.col("event_type") == "error")
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    msg = F.when(k % 3 == 0, F.lit(ERROR_MESSAGES[0])).when(k % 3 == 1, F.lit(ERROR_MESSAGES[1])) \
+           .otherwise(F.lit(ERROR_MESSAGES[2]))
+    return ev.select("event_id", F.col("ts").cast("timestamp").alias("ts"), msg.alias("message"))
