@@ -62,3 +62,20 @@ def error_log(spark, sf_dir):
     msg = F.when(k % 3 == 0, F.lit(ERROR_MESSAGES[0])).when(k % 3 == 1, F.lit(ERROR_MESSAGES[1])) \
            .otherwise(F.lit(ERROR_MESSAGES[2]))
     return ev.select("event_id", F.col("ts").cast("timestamp").alias("ts"), msg.alias("message"))
+
+
+def orders_next(spark, sf_dir):
+    from changelake.sources.testlog import orders_next_snapshot
+    return orders_next_snapshot(table(spark, sf_dir, "orders"))
+
+
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def orders_diff_events(spark, sf_dir):
+    """Decoded change events between the two orders snapshots (LSN 2)."""
+    from changelake.operators.decode import decode, good_events
+    from changelake.sources.changelog import diff_to_changelog
+    log = diff_to_changelog(table(spark, sf_dir, "orders"), orders_next(spark, sf_dir), "o_orderkey",
+                            lsn=2, table="orders", ts=SNAPSHOT_TS)
+    return good_events(decode(log))

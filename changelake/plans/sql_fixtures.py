@@ -58,3 +58,29 @@ classified AS (
                  WHEN lsn = prev_max THEN 'duplicate' ELSE 'stale' END AS status
   FROM cl)
 """
+
+# Second snapshot of orders (see testlog.orders_next_snapshot).
+NEXT_ORDERS_CTE = """
+nxt AS (
+  SELECT o_orderkey, o_custkey,
+         CASE WHEN o_orderkey % 13 = 0 THEN CASE o_orderstatus WHEN 'O' THEN 'F' WHEN 'F' THEN 'O' ELSE 'F' END
+              ELSE o_orderstatus END AS o_orderstatus,
+         o_totalprice, o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderkey % 11 <> 0
+  UNION ALL
+  SELECT o_orderkey + (SELECT max(o_orderkey) FROM orders) + 1, o_custkey, o_orderstatus, o_totalprice,
+         o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderkey < 500)
+"""
+
+
+def with_ctes(*ctes: str, body: str) -> str:
+    return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n" + body.strip()
+
+
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def row_text_sql(cols, alias=""):
+    p = (alias + ".") if alias else ""
+    return "concat_ws('|', " + ", ".join(f"coalesce(CAST({p}{c} AS VARCHAR), '\\N')" for c in cols) + ")"

@@ -123,7 +123,6 @@ def orders_next_snapshot(orders: DataFrame) -> DataFrame:
         F.when(k % 13 == 0, F.when(F.col("o_orderstatus") == "O", "F")
                .when(F.col("o_orderstatus") == "F", "O").otherwise("F"))
          .otherwise(F.col("o_orderstatus")))
-    mx = orders.agg(F.max("o_orderkey").alias("mx"))
-    added = (orders.filter(k < 500).crossJoin(F.broadcast(mx))   # one-row side
-             .withColumn("o_orderkey", k + F.col("mx") + 1).drop("mx"))
+    mx = orders.agg(F.max("o_orderkey")).first()[0]   # one number
+    added = orders.filter(k < 500).withColumn("o_orderkey", k + F.lit(mx + 1))
     return kept.unionByName(added)
