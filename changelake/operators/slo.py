@@ -37,7 +37,7 @@ BUDGET_OVER = "slo-violated"
 
 def error_budget(totals: DataFrame, slo: float, total_col: str = "processed", bad_col: str = "errors") -> DataFrame:
     """Allowed bad events, spent, share spent and the resulting tier."""
-    allowed = F.col(total_col) * F.lit(1.0 - slo)
+    allowed = F.col(total_col) * F.lit(round(1.0 - slo, 12))
     spent = F.col(bad_col).cast("double")
     pct = F.try_divide(spent, allowed) * 100
     tier = None
@@ -59,7 +59,7 @@ def burn_rate(per_minute: DataFrame, slo: float, by: str = "table", windows=((60
     for mins, threshold in windows:
         w = Window.partitionBy(by).orderBy("m").rangeBetween(-(mins - 1), 0)
         rate = F.try_divide(F.sum("bad").over(w).cast("double"), F.sum("total").over(w).cast("double")) \
-            / F.lit(1.0 - slo)
+            / F.lit(round(1.0 - slo, 12))
         out = out.withColumn(f"burn_{mins}m", rate).withColumn(f"page_{mins}m", rate >= F.lit(threshold))
     return out
 
