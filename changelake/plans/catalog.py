@@ -1,6 +1,6 @@
 """Imports every query module so the registry is complete."""
 
-from changelake.plans import core, mapping, measures, reconcile, relations  # noqa: F401
+from changelake.plans import alerts, core, mapping, measures, reconcile, relations  # noqa: F401
 from changelake.plans.registry import ORACLES, QUERIES
 
 
