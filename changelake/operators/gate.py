@@ -53,7 +53,9 @@ def to_documents(winners: DataFrame, versions: Column | int = 1) -> DataFrame:
         F.col("lsn").alias("sourceLsn"), v.cast("int").alias("schemaVersion"),
         (F.col("op") == "d").alias("_deleted"),
         F.when(F.col("op") != "d", F.col("after")).alias("doc"),
-        F.col("ts_ms").alias("appliedTsMs"))
+        F.col("ts_ms").alias("appliedTsMs"),
+        F.col("partition").alias("_srcPartition"), F.col("offset").alias("_srcOffset"),
+        F.col("op").alias("lastOp"))
 
 
 def current_state(events: DataFrame, versions: Column | int = 1) -> DataFrame:
@@ -65,13 +67,17 @@ def current_state(events: DataFrame, versions: Column | int = 1) -> DataFrame:
 def gate_merge(state: DataFrame, docs: DataFrame) -> DataFrame:
     """Merge compacted batch documents into stored state.
 
-    A batch document replaces the stored one only when its LSN is higher, or
-    when nothing is stored. Both sides carry the state row schema.
+    A batch document replaces the stored one only when it wins the ordering
+    (higher LSN; on equal LSN the earlier delivery), or when nothing is stored.
+    Both sides carry the state row schema.
     """
     s = state.alias("s")
     b = docs.alias("b")
     j = s.join(b, F.col("s._id") == F.col("b._id"), "full_outer")
-    take_b = F.col("b._id").isNotNull() & (F.col("s._id").isNull() | (F.col("b.sourceLsn") > F.col("s.sourceLsn")))
+
+    def pos(side):
+        return F.struct(F.col(f"{side}.sourceLsn"), -F.col(f"{side}._srcPartition"), -F.col(f"{side}._srcOffset"))
+    take_b = F.col("b._id").isNotNull() & (F.col("s._id").isNull() | (pos("b") > pos("s")))
     cols = [c for c in docs.columns]
     return j.select(*[F.when(take_b, F.col(f"b.{c}")).otherwise(F.col(f"s.{c}")).alias(c) for c in cols])
 
@@ -109,7 +115,7 @@ def merge_set(events: DataFrame, state: DataFrame | None = None,
     """
     cl = classify_events(events, state, block_size).filter(F.col("status") == "applied")
     last = cl.groupBy(*KEY).agg(
-        F.max_by(F.struct("op", "lsn", "ts_ms"), F.col("lsn")).alias("_win"),
+        F.max_by(F.struct("op", "lsn", "ts_ms", "partition", "offset"), F.col("lsn")).alias("_win"),
         F.max(F.when(F.col("op") == "d", F.col("lsn"))).alias("_del"))
     ups = cl.filter(F.col("op") != "d").join(last.select(*KEY, "_del"), KEY) \
             .filter(F.col("_del").isNull() | (F.col("lsn") > F.col("_del")))
@@ -130,7 +136,9 @@ def merge_set(events: DataFrame, state: DataFrame | None = None,
         F.col("_win.lsn").alias("sourceLsn"), F.lit(1).alias("schemaVersion"),
         (F.col("_win.op") == "d").alias("_deleted"),
         F.when(F.col("_win.op") != "d", doc).alias("doc"),
-        F.col("_win.ts_ms").alias("appliedTsMs"))
+        F.col("_win.ts_ms").alias("appliedTsMs"),
+        F.col("_win.partition").alias("_srcPartition"), F.col("_win.offset").alias("_srcOffset"),
+        F.col("_win.op").alias("lastOp"))
     if state is None:
         return out
     return gate_merge(state, out)

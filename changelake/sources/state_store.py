@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from changelake.operators.gate import gate_merge
 
-STATE_COLS = ["_id", "table", "pk", "sourceLsn", "schemaVersion", "_deleted", "doc", "appliedTsMs"]
+STATE_COLS = ["_id", "table", "pk", "sourceLsn", "schemaVersion", "_deleted", "doc", "appliedTsMs",
+              "_srcPartition", "_srcOffset", "lastOp"]
 
 
 def bucket_of(id_col="_id", buckets: int = 64):
@@ -86,7 +87,8 @@ class StateStore:
     # -- reads ------------------------------------------------------------
     def _empty(self) -> DataFrame:
         schema = ("_id string, table string, pk string, sourceLsn bigint, schemaVersion int, "
-                  "_deleted boolean, doc map<string,string>, appliedTsMs bigint, bucket int")
+                  "_deleted boolean, doc map<string,string>, appliedTsMs bigint, _srcPartition int, "
+                  "_srcOffset bigint, lastOp string, bucket int")
         return self.spark.createDataFrame([], schema)
 
     def read(self, buckets: list[int] | None = None, version: int | None = None) -> DataFrame:
