@@ -55,8 +55,11 @@ def decode(log: DataFrame, max_value_bytes: int | None = None) -> DataFrame:
     """
     v = F.from_json(F.col("value"), VALUE_SCHEMA, JSON_OPTS)
     k = F.from_json(F.col("key"), KEY_SCHEMA, JSON_OPTS)
+    # The parsed structs come out of a one-row generator: a filter on the decode result
+    # (e.g. ``error_reason IS NULL``) cannot be pushed below it, so Catalyst never
+    # inlines ``from_json`` into each branch of the reason CASE — one parse per record.
     d = log.select("topic", "partition", "offset", "timestamp", "key", "value",
-                   v.alias("_v"), k.alias("_k"))
+                   F.inline(F.array(F.struct(v.alias("_v"), k.alias("_k")))))
     p = F.col("_v.payload")
     lsn_txt = p["source"]["lsn"]
     op = p["op"]

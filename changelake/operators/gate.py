@@ -28,9 +28,16 @@ def win_order() -> Column:
     return F.struct(F.col("lsn"), (-F.col("partition")).alias("np"), (-F.col("offset")).alias("no"))
 
 
-def compact(events: DataFrame, keys=KEY) -> DataFrame:
-    """The winning change per key (full images), one row per key."""
-    rest = [c for c in events.columns if c not in keys]
+DOC_INPUT = ["lsn", "op", "after", "ts_ms", "partition", "offset"]
+
+
+def compact(events: DataFrame, keys=KEY, cols: list[str] | None = None) -> DataFrame:
+    """The winning change per key (full images), one row per key.
+
+    ``cols`` limits what is carried through the aggregate (the winner's other
+    columns); pass only what the consumer needs, the aggregate sorts it.
+    """
+    rest = [c for c in (cols or events.columns) if c not in keys]
     return (events.groupBy(*keys)
             .agg(F.max_by(F.struct(*rest), win_order()).alias("_w"))
             .select(*keys, "_w.*"))
@@ -60,7 +67,7 @@ def to_documents(winners: DataFrame, versions: Column | int = 1) -> DataFrame:
 
 def current_state(events: DataFrame, versions: Column | int = 1) -> DataFrame:
     """Live documents from a whole change log: compact, drop deletes."""
-    docs = to_documents(compact(events), versions)
+    docs = to_documents(compact(events, cols=DOC_INPUT), versions)
     return docs.filter(~F.col("_deleted"))
 
 

@@ -42,7 +42,7 @@ def latest_row_number(spark, sf_dir):
 
 @query("compact_batch", LATEST_SQL)
 def compact_batch(spark, sf_dir):
-    w = gate.compact(fx.good(spark, sf_dir))
+    w = gate.compact(fx.good(spark, sf_dir), cols=gate.DOC_INPUT)
     return w.select(doc_id("table", "pk").alias("_id"), F.col("lsn").alias("sourceLsn"), "op",
                     F.col("offset").alias("off"))
 
@@ -60,7 +60,7 @@ SELECT 'users:' || CAST(user_id AS VARCHAR) AS _id, lsn AS sourceLsn FROM latest
 """))
 def gated_delete(spark, sf_dir):
     """Keys whose winning change is a delete (kept as markers in state)."""
-    d = gate.to_documents(gate.compact(fx.good(spark, sf_dir)))
+    d = gate.to_documents(gate.compact(fx.good(spark, sf_dir), cols=gate.DOC_INPUT))
     return d.filter("_deleted").select("_id", "sourceLsn")
 
 
@@ -223,8 +223,8 @@ def replay_from_q(spark, sf_dir):
     """State as of an LSN, then the log replayed from that LSN through the gate."""
     good = fx.good(spark, sf_dir)
     mid = good.agg(((F.min("lsn") + F.max("lsn")) / 2).cast("bigint").alias("m")).first()["m"]
-    early = gate.to_documents(gate.compact(good.filter(F.col("lsn") < mid)))
-    late = gate.to_documents(gate.compact(replay_from(good, mid)))
+    early = gate.to_documents(gate.compact(good.filter(F.col("lsn") < mid), cols=gate.DOC_INPUT))
+    late = gate.to_documents(gate.compact(replay_from(good, mid), cols=gate.DOC_INPUT))
     final = gate.gate_merge(early, late)
     return fx.typed_docs(final.filter(~F.col("_deleted")))
 
@@ -292,7 +292,7 @@ FROM latest, h WHERE op <> 'd' OR lsn >= horizon
 """))
 def vacuum_state_q(spark, sf_dir):
     """Delete markers older than the horizon are dropped; live rows stay."""
-    st = gate.to_documents(gate.compact(fx.good(spark, sf_dir)))
+    st = gate.to_documents(gate.compact(fx.good(spark, sf_dir), cols=gate.DOC_INPUT))
     horizon = st.agg(((F.min("sourceLsn") + F.max("sourceLsn")) / 2).cast("bigint")).first()[0]
     return vacuum_state(st, horizon).select("_id", "_deleted", "sourceLsn")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from changelake.functions.scalar import row_text
 from changelake.operators import reconcile as R
 from changelake.operators.decode import decode, good_events
-from changelake.operators.gate import compact
+from changelake.operators.gate import DOC_INPUT, compact
 from changelake.plans import fixtures as fx
 from changelake.plans.registry import query
 from changelake.plans.sql_fixtures import NEXT_ORDERS_CTE, ORDER_COLS, row_text_sql, with_ctes, with_log
@@ -83,7 +83,7 @@ def drift_q(spark, sf_dir):
 def _round_trip(spark, sf_dir):
     """orders -> snapshot change log -> decode -> gate -> typed rows again."""
     ev = good_events(decode(fx.orders_log(spark, sf_dir)))
-    w = compact(ev)
+    w = compact(ev, cols=DOC_INPUT)
     a = F.col("after")
     return w.select(a["o_orderkey"].cast("bigint").alias("o_orderkey"), a["o_custkey"].cast("bigint").alias("o_custkey"),
                     a["o_orderstatus"].alias("o_orderstatus"), a["o_totalprice"].cast("double").alias("o_totalprice"),

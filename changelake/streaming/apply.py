@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from changelake.operators.decode import dead_letters, decode, good_events
-from changelake.operators.gate import compact, to_documents
+from changelake.operators.gate import DOC_INPUT, compact, to_documents
 from changelake.operators.mapping import rule_versions
 from changelake.schemas import CHANGELOG_SCHEMA
 from changelake.sources.state_store import StateStore, checkpoint_rows
@@ -25,7 +25,7 @@ def apply_batch(store: StateStore, log: DataFrame, batch_id: int, rules=None,
     try:
         good = good_events(decoded)
         versions = rule_versions(rules) if rules else 1
-        store.apply(to_documents(compact(good), versions), batch_id)
+        store.apply(to_documents(compact(good, cols=DOC_INPUT), versions), batch_id)
         if fail_after_state:  # crash-test hook: die between the state write and the side outputs
             raise RuntimeError("injected failure after state write")
         store.write_side("dlq", dead_letters(decoded), batch_id)
