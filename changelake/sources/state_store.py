@@ -23,14 +23,14 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.operators.gate import gate_merge
 
 STATE_COLS = ["_id", "table", "pk", "sourceLsn", "schemaVersion", "_deleted", "doc", "appliedTsMs",
               "_srcPartition", "_srcOffset", "lastOp"]
 
 
 def bucket_of(id_col="_id", buckets: int = 64):
-    return F.pmod(F.xxhash64(F.col(id_col)), F.lit(buckets)).cast("int")
+    c = F.col(id_col) if isinstance(id_col, str) else id_col
+    return F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
 
 
 class StateStore:
@@ -107,26 +107,31 @@ class StateStore:
         return self.read(version=version).filter(~F.col("_deleted")).drop("bucket")
 
     # -- writes -----------------------------------------------------------
-    def apply(self, docs: DataFrame, batch_id: int) -> int:
-        """Merge compacted state rows of one batch; returns the number of touched buckets."""
+    def apply(self, docs: DataFrame, batch_id: int, touched: list[int] | None = None) -> int:
+        """Merge compacted state rows of one batch; returns the number of touched buckets.
+
+        ``touched`` (bucket ids of the batch) can be passed in when the caller already
+        knows them cheaply; otherwise the documents are persisted and scanned for them.
+        """
         docs = docs.select(*STATE_COLS).withColumn("bucket", bucket_of("_id", self.buckets))
-        docs = docs.persist()
-        try:
+        cached = touched is None
+        if cached:
+            docs = docs.persist()
             touched = [r[0] for r in docs.select("bucket").distinct().collect()]  # <= N small ints
+        try:
             if not touched:
                 return 0
             prior = self.manifest(batch_id - 1)
             old = self.read([b for b in touched if b in prior], version=batch_id - 1)
-            merged = gate_merge(old.drop("bucket"), docs.drop("bucket")) \
-                .withColumn("bucket", bucket_of("_id", self.buckets))
-            (merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket")
-             .parquet(f"{self.base}/v={batch_id}"))
+            merged = merge_by_bucket(old, docs, len(touched))
+            merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.base}/v={batch_id}")
             m = dict(prior)
             m.update({b: batch_id for b in touched})
             self._write_manifest(batch_id, m)
             return len(touched)
         finally:
-            docs.unpersist()
+            if cached:
+                docs.unpersist()
 
     def write_side(self, kind: str, df: DataFrame, batch_id: int) -> None:
         """Per-batch side output (dead letters, checkpoints), overwritten on re-run."""
@@ -147,6 +152,21 @@ class StateStore:
                                         if b in self.manifest()})
 
 
+def merge_by_bucket(old: DataFrame, docs: DataFrame, partitions: int) -> DataFrame:
+    """Gate merge of stored rows and batch rows as one aggregation per document.
+
+    Both sides are hash-partitioned by bucket once; the per-``_id`` winner (higher
+    LSN, on a tie the earlier delivery) is picked inside those partitions, so the
+    output is already laid out one bucket per task for the write. Equivalent to
+    ``gate_merge``'s full outer join, with one shuffle instead of two.
+    """
+    rest = [c for c in STATE_COLS if c != "_id"]
+    order = F.struct(F.col("sourceLsn"), (-F.col("_srcPartition")).alias("np"), (-F.col("_srcOffset")).alias("no"))
+    return (old.unionByName(docs).repartition(partitions, "bucket")
+            .groupBy("bucket", "_id").agg(F.max_by(F.struct(*rest), order).alias("_w"))
+            .select("_id", "_w.*", "bucket"))
+
+
 def vacuum_state(state: DataFrame, horizon_lsn) -> DataFrame:
     """G14 as a transform: drop delete markers older than the horizon."""
     return state.filter(~F.col("_deleted") | (F.col("sourceLsn") >= F.lit(horizon_lsn)))

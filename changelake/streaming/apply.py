@@ -11,27 +11,35 @@ the state store makes that re-run idempotent.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from changelake.operators.decode import dead_letters, decode, good_events
 from changelake.operators.gate import DOC_INPUT, compact, to_documents
 from changelake.operators.mapping import rule_versions
 from changelake.schemas import CHANGELOG_SCHEMA
-from changelake.sources.state_store import StateStore, checkpoint_rows
+from changelake.functions.scalar import doc_id
+from changelake.sources.state_store import StateStore, bucket_of, checkpoint_rows
 
 
 def apply_batch(store: StateStore, log: DataFrame, batch_id: int, rules=None,
                 max_value_bytes: int | None = None, fail_after_state: bool = False) -> None:
-    decoded = decode(log, max_value_bytes).persist()
+    decoded = decode(log, max_value_bytes)
+    bad = F.col("error_reason").isNotNull()
+    # cache a slim decode: raw key/value are kept only on rejected rows (for the DLQ)
+    slim = decoded.select(*[c for c in decoded.columns if c not in ("key", "value")],
+                          F.when(bad, F.col("key")).alias("key"), F.when(bad, F.col("value")).alias("value"),
+                          bucket_of(doc_id("table", "pk"), store.buckets).alias("_bucket")).persist()
     try:
-        good = good_events(decoded)
+        good = good_events(slim)
+        touched = [r[0] for r in slim.filter(~bad).select("_bucket").distinct().collect()]   # <= N small ints
         versions = rule_versions(rules) if rules else 1
-        store.apply(to_documents(compact(good, cols=DOC_INPUT), versions), batch_id)
+        store.apply(to_documents(compact(good, cols=DOC_INPUT), versions), batch_id, touched)
         if fail_after_state:  # crash-test hook: die between the state write and the side outputs
             raise RuntimeError("injected failure after state write")
-        store.write_side("dlq", dead_letters(decoded), batch_id)
+        store.write_side("dlq", dead_letters(slim), batch_id)
         store.write_side("checkpoints", checkpoint_rows(good), batch_id)
     finally:
-        decoded.unpersist()
+        slim.unpersist()
 
 
 def stream_apply(spark: SparkSession, source_dir: str, store: StateStore, checkpoint: str,
