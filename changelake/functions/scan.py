@@ -40,7 +40,7 @@ def prefix_max_before(df: DataFrame, keys: list[str], pos: str, value: str, out:
     w_blk = Window.partitionBy(*keys).orderBy(*group, "_blk").rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.withColumn("_carry", F.max("_bmax").over(w_blk)).drop("_bmax")
     j = b.join(summary, part, "left")
-    return j.withColumn(out, F.greatest("_in", "_carry")).drop("_in", "_carry", "_blk")
+    return j.select(*df.columns, F.greatest("_in", "_carry").alias(out))
 
 
 def lag_by_key(df: DataFrame, keys: list[str], pos: str, cols: list[str], prefix: str = "prev_",
@@ -62,10 +62,8 @@ def lag_by_key(df: DataFrame, keys: list[str], pos: str, cols: list[str], prefix
     w_blk = Window.partitionBy(*keys).orderBy("_blk")
     carry = last.withColumn("_carry", F.lag("_last").over(w_blk)).drop("_last")
     j = b.join(carry, part, "left")
-    for c in cols:
-        j = j.withColumn(prefix + c, F.when(F.col("_first"), F.col("_carry")[c]).otherwise(F.col("_in_" + c))) \
-             .drop("_in_" + c)
-    return j.drop("_first", "_carry", "_blk")
+    outs = [F.when(F.col("_first"), F.col("_carry")[c]).otherwise(F.col("_in_" + c)).alias(prefix + c) for c in cols]
+    return j.select(*df.columns, *outs)
 
 
 def lead_by_key(df: DataFrame, keys: list[str], pos: str, cols: list[str], prefix: str = "next_",

@@ -17,7 +17,7 @@ from changelake.plans import fixtures as fx
 from changelake.plans.registry import query
 from changelake.plans.sql_fixtures import with_log
 
-APPLY_MS = "(epoch_ms(ts) + floor(value * 100))"
+APPLY_MS = "((epoch_us(ts) // 1000) + floor(value * 100))"
 SERIES_SQL = f"""
 rec AS (SELECT CAST(floor(epoch(ts) / 60) AS BIGINT) AS m, count(*) AS n_rec,
                count(*) FILTER (WHERE reason IS NOT NULL) AS n_bad,

@@ -81,7 +81,7 @@ def lag_quantile(spark, sf_dir):
     return hq.join(ex, "table").withColumnRenamed("table", "table_name")
 
 
-APPLY_TS_SQL = "make_timestamp(CAST((epoch_ms(ts) + floor(value * 100)) * 1000 AS BIGINT))"
+APPLY_TS_SQL = "make_timestamp(CAST(((epoch_us(ts) // 1000) + floor(value * 100)) * 1000 AS BIGINT))"
 
 
 def _stage_rows(spark, sf_dir):

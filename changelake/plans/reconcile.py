@@ -137,9 +137,9 @@ def row_diff_q(spark, sf_dir):
 POLL_SECONDS = 120
 
 DRAIN_SQL = with_log(f"""
-b AS (SELECT min(epoch_ms(ts)) AS t0 FROM good),
-e AS (SELECT CAST(ceil((epoch_ms(ts) - t0) / {POLL_SECONDS * 1000}.0) AS BIGINT) AS ps,
-             CAST(ceil((epoch_ms(ts) + floor(value * 100) - t0) / {POLL_SECONDS * 1000}.0) AS BIGINT) AS pt
+b AS (SELECT min((epoch_us(ts) // 1000)) AS t0 FROM good),
+e AS (SELECT CAST(ceil(((epoch_us(ts) // 1000) - t0) / {POLL_SECONDS * 1000}.0) AS BIGINT) AS ps,
+             CAST(ceil(((epoch_us(ts) // 1000) + floor(value * 100) - t0) / {POLL_SECONDS * 1000}.0) AS BIGINT) AS pt
       FROM good, b),
 sp AS (SELECT range AS k FROM range(0, (SELECT max(pt) FROM e) + 1)),
 ns AS (SELECT ps AS k, count(*) AS n FROM e GROUP BY ps),
