@@ -151,31 +151,7 @@ def merge_set(events: DataFrame, state: DataFrame | None = None,
     return gate_merge(state, out)
 
 
-def fold_reference(events: DataFrame) -> DataFrame:
-    """The original sequential apply per key in delivery order, without delete memory.
-
-    upsert: applied when nothing is stored or stored LSN < event LSN, fields $set;
-    delete: removes the stored row when its LSN < event LSN.
-    Parity tool only: it gathers each key's events into one array (not for hot keys).
-    """
-    ev = events.select(*KEY, "partition", "offset", "lsn", "op",
-                       F.to_json(F.col("after")).alias("aj"))
-    per_key = ev.groupBy(*KEY).agg(
-        F.array_sort(F.collect_list(F.struct("partition", "offset", "lsn", "op", "aj"))).alias("evs"))
-    init = F.struct(F.lit(None).cast("bigint").alias("lsn"), F.lit(None).cast("string").alias("doc"))
-
-    def step(acc, e):
-        stored = acc["lsn"]
-        upsert_ok = (e["op"] != "d") & (stored.isNull() | (stored < e["lsn"]))
-        delete_ok = (e["op"] == "d") & stored.isNotNull() & (stored < e["lsn"])
-        merged = F.to_json(F.map_concat(
-            F.coalesce(F.from_json(acc["doc"], "map<string,string>"), F.create_map().cast("map<string,string>")),
-            F.from_json(e["aj"], "map<string,string>")))
-        return (F.when(upsert_ok, F.struct(e["lsn"].alias("lsn"), merged.alias("doc")))
-                 .when(delete_ok, init)
-                 .otherwise(acc))
-
-    folded = per_key.select(*KEY, F.aggregate("evs", init, step).alias("s"))
-    return folded.filter(F.col("s.lsn").isNotNull()).select(
-        doc_id("table", "pk").alias("_id"), "table", "pk", F.col("s.lsn").alias("sourceLsn"),
-        F.from_json(F.col("s.doc"), "map<string,string>").alias("doc"))
+def fold_reference(events: DataFrame, block_size: int | None = None) -> DataFrame:
+    """The original sequential apply without delete memory (see ``operators.fold``)."""
+    from changelake.operators.fold import fold_reference as blocked_fold
+    return blocked_fold(events, block_size) if block_size else blocked_fold(events)

@@ -9,7 +9,7 @@ from changelake.operators import gate
 from changelake.operators.decode import dead_letters, decode, reprocess_dlq
 from changelake.plans import fixtures as fx
 from changelake.plans.registry import query
-from changelake.plans.sql_fixtures import CLASSIFIED_CTE, LATEST_CTE, TYPED_DOC_SELECT, with_log
+from changelake.plans.sql_fixtures import CLASSIFIED_CTE, LATEST_CTE, LOG_CTE, TYPED_DOC_SELECT, with_log
 from changelake.session import scratch_dir
 from changelake.sources.changelog import replay_from
 from changelake.sources.state_store import StateStore, checkpoint_rows, vacuum_state
@@ -194,9 +194,24 @@ def merge_set_q(spark, sf_dir):
     return fx.typed_docs(m.filter(~F.col("_deleted")))
 
 
-@query("fold_reference")
+FOLD_SQL = "WITH RECURSIVE " + LOG_CTE.strip() + """,
+ord AS (SELECT user_id, lsn, op, row_number() OVER (PARTITION BY user_id ORDER BY part, off) AS rn FROM good),
+f(user_id, rn, s) AS (
+  SELECT DISTINCT user_id, CAST(0 AS BIGINT), CAST(NULL AS BIGINT) FROM ord
+  UNION ALL
+  SELECT f.user_id, o.rn,
+         CASE WHEN o.op <> 'd' THEN CASE WHEN f.s IS NULL OR f.s < o.lsn THEN o.lsn ELSE f.s END
+              ELSE CASE WHEN f.s IS NOT NULL AND f.s < o.lsn THEN NULL ELSE f.s END END
+  FROM f JOIN ord o ON o.user_id = f.user_id AND o.rn = f.rn + 1)
+SELECT 'users:' || CAST(f.user_id AS VARCHAR) AS _id, f.s AS sourceLsn
+FROM f JOIN (SELECT user_id, max(rn) AS mx FROM ord GROUP BY user_id) m ON m.user_id = f.user_id AND f.rn = m.mx
+WHERE f.s IS NOT NULL
+"""
+
+
+@query("fold_reference", FOLD_SQL)
 def fold_reference_q(spark, sf_dir):
-    """The original sequential fold (no delete memory); parity check in tests."""
+    """The original sequential apply (no delete memory), blockwise; oracle = recursive SQL."""
     f = gate.fold_reference(fx.good(spark, sf_dir))
     return f.select("_id", "sourceLsn")
 

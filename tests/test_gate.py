@@ -153,8 +153,9 @@ def model_fold(events):
 @given(event_lists)
 def test_fold_reference_matches_python_fold(spark, raw):
     events = [(pk, lsn, op, 0, i) for i, (pk, lsn, op) in enumerate(raw)]
-    got = {int(r["pk"]): r["sourceLsn"] for r in gate.fold_reference(_df(spark, events)).collect()}
-    assert got == model_fold(events)
+    for bs in (None, 1, 3):   # one block per key, and histories cut into many blocks
+        got = {int(r["pk"]): r["sourceLsn"] for r in gate.fold_reference(_df(spark, events), bs).collect()}
+        assert got == model_fold(events)
 
 
 def test_blocked_scans_equal_plain_windows(spark):
@@ -184,3 +185,14 @@ def test_hot_key_classification_blocked(spark):
     b = gate.classify_events(df, block_size=None).select("offset", "status")
     assert sorted(a.collect()) == sorted(b.collect())
     assert json.dumps(sorted(a.collect())[:1])
+
+
+def test_fold_reference_long_histories(spark):
+    import random
+    rnd = random.Random(11)
+    events = [(rnd.randint(0, 2), rnd.randint(1, 400), rnd.choice("cudr" if i % 9 else "d"), 0, i)
+              for i in range(1800)]
+    want = model_fold(events)
+    for bs in (7, 50, 100000):
+        got = {int(r["pk"]): r["sourceLsn"] for r in gate.fold_reference(_df(spark, events), bs).collect()}
+        assert got == want
