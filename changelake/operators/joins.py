@@ -24,6 +24,28 @@ def embed(parent: DataFrame, child: DataFrame, child_fk: str, parent_key: str, t
     return j.withColumn(target, proj).drop("_fk", "_items")
 
 
+def embed_paged(parent: DataFrame, child: DataFrame, child_fk: str, parent_key: str, target: str,
+                fields: list[str], page_size: int, sort_by: list[str] | None = None) -> DataFrame:
+    """J1 for parents with very many children: the children of a parent are spread over
+    ``ceil(n / page_size)`` pages by a hash of the child row, so no group (and no output
+    row) holds more than about ``page_size`` items however hot the parent. Every child
+    is kept; a parent without children gets page 0 with an empty array. Output adds ``page``.
+    """
+    sort_by = sort_by or fields
+    counts = child.groupBy(F.col(child_fk).alias("_fk")).agg(F.count("*").alias("_n"))
+    text = F.concat_ws(":", *[F.col(c).cast("string") for c in fields])
+    pages = F.ceil(F.col("_n") / F.lit(float(page_size))).cast("bigint")
+    c = child.join(counts, child[child_fk] == counts["_fk"]) \
+             .withColumn("page", F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint"), pages))
+    items = F.struct(*[F.col(x) for x in sort_by], *[F.col(x) for x in fields if x not in sort_by])
+    agg = c.groupBy("_fk", "page").agg(F.sort_array(F.collect_list(items)).alias("_items"))
+    j = parent.join(agg, parent[parent_key] == agg["_fk"], "left")
+    proj = F.transform(F.coalesce(F.col("_items"), F.array().cast(agg.schema["_items"].dataType)),
+                       lambda x: F.struct(*[x[f].alias(f) for f in fields]))
+    return j.withColumn("page", F.coalesce(F.col("page"), F.lit(0).cast("bigint"))) \
+            .withColumn(target, proj).drop("_fk", "_items")
+
+
 def touched_parents(changed_parent_keys: DataFrame, changed_children: DataFrame, child_fk: str) -> DataFrame:
     """Keys of parents whose own row or any child changed (one column ``_key``)."""
     return (changed_parent_keys.toDF("_key")

@@ -72,6 +72,26 @@ def embed_orders(spark, sf_dir):
     return _embedded_text(e)
 
 
+PAGED_SQL = f"""
+WITH c AS (SELECT l_orderkey, {ITEM_TEXT} AS t, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT) AS qty,
+                  count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem),
+p AS (SELECT *, CAST(('0x' || substr(md5(t), 1, 8)) AS BIGINT) % CAST(ceil(n / 2.0) AS BIGINT) AS page FROM c),
+g AS (SELECT l_orderkey, page, count(*) AS n_items,
+             string_agg(t, ',' ORDER BY l_linenumber, l_partkey, l_suppkey, qty) AS items FROM p GROUP BY 1, 2)
+SELECT o.o_orderkey, coalesce(g.page, 0) AS page, coalesce(g.n_items, 0) AS n_items, coalesce(g.items, '') AS items
+FROM orders o LEFT JOIN g ON g.l_orderkey = o.o_orderkey
+"""
+
+
+@query("embed_orders_paged", PAGED_SQL)
+def embed_orders_paged(spark, sf_dir):
+    """J1, paged: line items spread over pages of about two per order (hash of the item)."""
+    e = joins.embed_paged(fx.table(spark, sf_dir, "orders"), _items(spark, sf_dir), "l_orderkey", "o_orderkey",
+                          "items", ITEM_FIELDS, page_size=2)
+    txt = F.array_join(F.transform("items", lambda x: F.concat_ws(":", *[x[c].cast("string") for c in ITEM_FIELDS])), ",")
+    return e.select("o_orderkey", "page", F.size("items").cast("bigint").alias("n_items"), txt.alias("items"))
+
+
 @query("embed_incremental", with_ctes(NEXT_ORDERS_CTE, """
 touched AS (
   SELECT CAST(pk AS BIGINT) AS k FROM (
