@@ -1,6 +1,7 @@
 """Imports every query module so the registry is complete."""
 
-from changelake.plans import alerts, core, mapping, measures, ordering, reconcile, relations, streams  # noqa: F401
+from changelake.plans import (alerts, core, mapping, measures, operations, ordering, reconcile,  # noqa: F401
+                              relations, streams)
 from changelake.plans.registry import ORACLES, QUERIES
 
 
