@@ -129,7 +129,7 @@ t AS (
   SELECT event_id, cur - rst AS b,
          hex(cur >> 32) || '/' || hex(cur & 4294967295) AS current_lsn,
          hex(rst >> 32) || '/' || hex(rst & 4294967295) AS restart_lsn FROM p)
-SELECT event_id, current_lsn, restart_lsn, CAST(b AS HUGEINT) AS retained_bytes,
+SELECT event_id, current_lsn, restart_lsn, CAST(b AS BIGINT) AS retained_bytes,
        CASE WHEN b < 10240 THEN CAST(b AS VARCHAR) || ' bytes'
             WHEN b < 10485760 THEN CAST(CAST(round(b / 1024.0) AS BIGINT) AS VARCHAR) || ' kB'
             WHEN b < 10737418240 THEN CAST(CAST(round(b / 1048576.0) AS BIGINT) AS VARCHAR) || ' MB'
@@ -154,7 +154,7 @@ def wal_distance(spark, sf_dir):
     """WAL distance between two ``X/Y`` positions and its readable size."""
     w = wal_positions(spark, sf_dir)
     d = S.lsn_diff("current_lsn", "restart_lsn")
-    return w.select("event_id", "current_lsn", "restart_lsn", d.alias("retained_bytes"),
+    return w.select("event_id", "current_lsn", "restart_lsn", d.cast("bigint").alias("retained_bytes"),
                     S.size_pretty(d).alias("retained"))
 
 

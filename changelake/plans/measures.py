@@ -191,7 +191,7 @@ def _multi_topic_offsets(spark, sf_dir):
 
 
 @query("dlq_depth", with_log("""
-SELECT 'dlq.users' AS topic, sum(mx - mn + 1) AS depth FROM (
+SELECT 'dlq.users' AS topic, CAST(sum(mx - mn + 1) AS BIGINT) AS depth FROM (
   SELECT part, min(off) AS mn, max(off) AS mx FROM log WHERE reason IS NOT NULL AND reason <> 'tombstone' GROUP BY part)
 """))
 def dlq_depth(spark, sf_dir):
@@ -229,7 +229,7 @@ pl AS (SELECT c.group_id, c.topic, c.part, e.cur - c.committed AS lag FROM commi
 
 
 @query("consumer_lag", with_log(LAG_SQL_CTE + """
-SELECT group_id, topic, sum(lag) AS lag FROM pl GROUP BY 1, 2
+SELECT group_id, topic, CAST(sum(lag) AS BIGINT) AS lag FROM pl GROUP BY 1, 2
 """))
 def consumer_lag(spark, sf_dir):
     """Consumer lag per group and topic = sum over partitions of (end - committed)."""
@@ -266,7 +266,7 @@ def checkpoint_staleness(spark, sf_dir):
 
 @query("retained_wal", """
 WITH p AS (SELECT user_id % 4 AS s, event_id * 16777216 + user_id AS pos FROM events)
-SELECT 'slot_' || CAST(s AS VARCHAR) AS slot_name, CAST((SELECT max(pos) FROM p) - min(pos) AS HUGEINT) AS retained_bytes
+SELECT 'slot_' || CAST(s AS VARCHAR) AS slot_name, CAST((SELECT max(pos) FROM p) - min(pos) AS BIGINT) AS retained_bytes
 FROM p GROUP BY s
 """)
 def retained_wal(spark, sf_dir):
@@ -277,7 +277,7 @@ def retained_wal(spark, sf_dir):
     cur = w.agg(F.max("pos")).first()[0]
     slots = w.groupBy(F.concat(F.lit("slot_"), (F.col("user_id") % 4).cast("string")).alias("slot_name")) \
              .agg(F.min("pos").alias("restart"))
-    return slots.select("slot_name", (F.lit(cur) - F.col("restart")).cast("decimal(20,0)").alias("retained_bytes"))
+    return slots.select("slot_name", (F.lit(cur) - F.col("restart")).cast("bigint").alias("retained_bytes"))
 
 
 REQUEST_OP = "CASE event_type WHEN 'signup' THEN 'insert' WHEN 'error' THEN 'delete' WHEN 'view' THEN 'read' ELSE 'update' END"

@@ -20,7 +20,7 @@ HEARTBEAT_TOPIC = "__heartbeat.cdc"
 
 @query("snapshot_then_stream", with_ctes(NEXT_ORDERS_CTE, body="""
 SELECT n.o_orderkey, n.o_orderstatus,
-       CASE WHEN o.o_orderkey IS NULL OR o.o_orderstatus IS DISTINCT FROM n.o_orderstatus THEN 2 ELSE 1 END AS sourceLsn
+       CAST(CASE WHEN o.o_orderkey IS NULL OR o.o_orderstatus IS DISTINCT FROM n.o_orderstatus THEN 2 ELSE 1 END AS BIGINT) AS sourceLsn
 FROM nxt n LEFT JOIN orders o ON o.o_orderkey = n.o_orderkey
 """))
 def snapshot_then_stream(spark, sf_dir):

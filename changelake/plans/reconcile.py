@@ -60,13 +60,13 @@ def table_md5(spark, sf_dir):
 
 @query("table_digest", f"""
 SELECT {BUCKET_SQL.format(k='o_orderkey', n=BUCKETS)} AS bucket, count(*) AS n,
-       sum({TERM_SQL.format(t=row_text_sql(ORDER_COLS))}) AS digest
+       CAST(sum({TERM_SQL.format(t=row_text_sql(ORDER_COLS))}) AS VARCHAR) AS digest
 FROM orders GROUP BY 1
 """)
 def table_digest(spark, sf_dir):
     """Scalable order-free digest per hash bucket (partial aggregation, no single reducer)."""
     d = R.table_digest(fx.table(spark, sf_dir, "orders"), "o_orderkey", ORDER_COLS, BUCKETS)
-    return d.select(F.col("bucket").cast("bigint").alias("bucket"), "n", "digest")
+    return d.select(F.col("bucket").cast("bigint").alias("bucket"), "n", F.col("digest").cast("string").alias("digest"))
 
 
 @query("drift", with_ctes(NEXT_ORDERS_CTE, body=f"""
@@ -108,7 +108,7 @@ def integrity_q(spark, sf_dir):
 
 
 @query("sample_reconcile", with_ctes(NEXT_ORDERS_CTE, body=f"""
-SELECT side, count(*) AS n, sum({TERM_SQL.format(t=row_text_sql(ORDER_COLS))}) AS digest FROM (
+SELECT side, count(*) AS n, CAST(sum({TERM_SQL.format(t=row_text_sql(ORDER_COLS))}) AS VARCHAR) AS digest FROM (
   SELECT 'src' AS side, * FROM orders UNION ALL SELECT 'tgt', * FROM nxt)
 WHERE {BUCKET_SQL.format(k='o_orderkey', n=100)} < 10 GROUP BY side
 """))
@@ -120,7 +120,7 @@ def sample_reconcile(spark, sf_dir):
         d = R.digest_terms(s, "o_orderkey", ORDER_COLS, 1).groupBy().agg(
             F.count("*").alias("n"), F.sum("_h").cast("decimal(38,0)").alias("digest")).withColumn("side", F.lit(side))
         out = d if out is None else out.unionByName(d)
-    return out.select("side", "n", "digest")
+    return out.select("side", "n", F.col("digest").cast("string").alias("digest"))
 
 
 @query("row_diff", with_ctes(NEXT_ORDERS_CTE, body="""
