@@ -16,13 +16,20 @@ of raw events, however hot the key.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changelake.functions.scalar import doc_id
 from changelake.functions.scan import DEFAULT_BLOCK
 
+# The two task functions below travel with the job (pickled by value), so Python
+# workers need pandas only, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SUMMARY_SCHEMA = ("table string, pk string, partition int, _blk long, piece int, lo long, hi long, "
                   "identity boolean, out_lsn long, out_doc string")
 FINAL_SCHEMA = "table string, pk string, sourceLsn long, doc_json string"
