@@ -97,13 +97,16 @@ def classify_events(events: DataFrame, state: DataFrame | None = None,
     its key and the stored LSN. Earlier deliveries are found by a blocked
     prefix scan, so a hot key is spread over many tasks.
     """
-    ev = prefix_max_before(events, KEY, "offset", "lsn", "_prev", group=["partition"], block_size=block_size)
+    ev = events.withColumn("_pseudo", F.lit(False))
     if state is not None:
-        st = state.select(F.col("table").alias("_t"), F.col("pk").alias("_p"), F.col("sourceLsn").alias("_stored"))
-        ev = ev.join(st, (F.col("table") == F.col("_t")) & (F.col("pk") == F.col("_p")), "left") \
-               .drop("_t", "_p")
-    else:
-        ev = ev.withColumn("_stored", F.lit(None).cast("bigint"))
+        # the stored LSN enters as a pseudo-event ordered before every delivery of its key,
+        # so the prefix scan carries it — no join of (possibly hot) keys against state rows
+        stored = state.select("table", "pk", F.col("sourceLsn").alias("lsn"),
+                              F.lit(-1).cast("int").alias("partition"), F.lit(-1).cast("bigint").alias("offset"),
+                              F.lit(True).alias("_pseudo"))
+        ev = ev.unionByName(stored, allowMissingColumns=True)
+    ev = prefix_max_before(ev, KEY, "offset", "lsn", "_prev", group=["partition"], block_size=block_size)
+    ev = ev.filter(~F.col("_pseudo")).drop("_pseudo").withColumn("_stored", F.lit(None).cast("bigint"))
     bar = F.greatest("_prev", "_stored")
     status = (F.when(bar.isNull() | (F.col("lsn") > bar), F.lit("applied"))
                .when(F.col("lsn") == bar, F.lit("duplicate"))
@@ -124,10 +127,13 @@ def merge_set(events: DataFrame, state: DataFrame | None = None,
     last = cl.groupBy(*KEY).agg(
         F.max_by(F.struct("op", "lsn", "ts_ms", "partition", "offset"), F.col("lsn")).alias("_win"),
         F.max(F.when(F.col("op") == "d", F.col("lsn"))).alias("_del"))
-    ups = cl.filter(F.col("op") != "d").join(last.select(*KEY, "_del"), KEY) \
-            .filter(F.col("_del").isNull() | (F.col("lsn") > F.col("_del")))
-    fields = (ups.select(*KEY, "lsn", F.explode("after").alias("f", "v"))
-              .groupBy(*KEY, "f").agg(F.max_by("v", "lsn").alias("v"))
+    # per (key, field) the newest applied value — reduced map-side before any join, so the
+    # join below sees at most one row per field of a key, however hot the key
+    per_field = (cl.filter(F.col("op") != "d").select(*KEY, "lsn", F.explode("after").alias("f", "v"))
+                 .groupBy(*KEY, "f").agg(F.max_by("v", "lsn").alias("v"), F.max("lsn").alias("_flsn")))
+    # a field survives only if its newest value came after the key's last applied delete
+    fields = (per_field.join(last.select(*KEY, "_del"), KEY)
+              .filter(F.col("_del").isNull() | (F.col("_flsn") > F.col("_del")))
               .groupBy(*KEY).agg(F.map_from_entries(F.collect_list(F.struct("f", "v"))).alias("_set")))
     merged = last.join(fields, KEY, "left")
     if state is not None:
