@@ -10,9 +10,10 @@ whole table. The same rules are written in SQL for the DuckDB oracles.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changelake.functions.scan import lag_by_key
 from changelake.rules import FieldRule, Rule
 
 # ---------------------------------------------------------------------------
@@ -75,9 +76,9 @@ def events_changelog(events: DataFrame, replays: bool = True, poison: bool = Tru
     image = F.struct(F.col("user_id").alias("id"), "event_type", "value", "props")
     ev = ev.withColumn("image", image)
     if before_images:
-        w = Window.partitionBy("user_id").orderBy("event_id")
-        prev = F.lag("image").over(w)
-        ev = ev.withColumn("before", F.when(F.col("op").isin("u", "d"), prev))
+        # previous image of the same key, by a blocked scan (a hot key is not sorted in one task)
+        ev = lag_by_key(ev, ["user_id"], "event_id", ["image"], "prev_")
+        ev = ev.withColumn("before", F.when(F.col("op").isin("u", "d"), F.col("prev_image"))).drop("prev_image")
     else:
         ev = ev.withColumn("before", F.lit(None).cast(ev.schema["image"].dataType))
     src_ms = F.unix_millis(F.col("ts"))
