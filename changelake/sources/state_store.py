@@ -122,8 +122,11 @@ class StateStore:
             if not touched:
                 return 0
             prior = self.manifest(batch_id - 1)
-            old = self.read([b for b in touched if b in prior], version=batch_id - 1)
-            merged = merge_by_bucket(old, docs, len(touched))
+            stored = [b for b in touched if b in prior]
+            if stored:
+                merged = merge_by_bucket(self.read(stored, version=batch_id - 1), docs, len(touched))
+            else:   # first write of these buckets: batch rows are already one per document
+                merged = docs.repartition(len(touched), "bucket")
             merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.base}/v={batch_id}")
             m = dict(prior)
             m.update({b: batch_id for b in touched})
