@@ -77,3 +77,33 @@ def stream_dedup_q(spark, sf_dir):
          .format("parquet").option("path", out).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out)
+
+
+@query("stream_progress", with_log("""
+SELECT count(*) AS records, count(*) FILTER (WHERE reason IS NULL) AS good,
+       count(*) FILTER (WHERE reason IS NOT NULL AND reason <> 'tombstone') AS rejected,
+       count(*) FILTER (WHERE reason = 'tombstone') AS tombstones
+FROM log
+"""))
+def stream_progress_q(spark, sf_dir):
+    """Counters observed on the decoded stream, gathered per micro-batch by a listener."""
+    import uuid
+    from changelake.streaming.progress import collect_progress, observed_decode
+    src = log_files(spark, sf_dir)
+    name = f"decode_progress_{uuid.uuid4().hex[:8]}"
+    collector = collect_progress(spark, name)
+    try:
+        d = observed_decode(stream_source(spark, src), name)
+        q = (d.writeStream.option("checkpointLocation", scratch_dir(spark, "progress-ck"))
+             .foreachBatch(lambda df, bid: df.write.mode("overwrite").parquet(scratch_dir(spark, f"decoded-{bid}")))
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        last = q.lastProgress
+        if last is not None:
+            collector.wait_for(last["batchId"])
+    finally:
+        spark.streams.removeListener(collector)
+    rows = [(r["batch_id"], r["records"], r["good"], r["rejected"], r["tombstones"]) for r in collector.rows]
+    per_batch = spark.createDataFrame(rows, "batch_id long, records long, good long, rejected long, tombstones long")
+    return per_batch.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c)
+                           for c in ("records", "good", "rejected", "tombstones")])
