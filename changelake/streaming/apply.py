@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from changelake.operators.decode import dead_letters, decode, good_events
 from changelake.operators.gate import DOC_INPUT, compact, to_documents
-from changelake.operators.mapping import rule_versions
+from changelake.operators.mapping import apply_rule, emit_filter, rule_versions
 from changelake.schemas import CHANGELOG_SCHEMA
 from changelake.functions.scalar import doc_id
 from changelake.sources.state_store import StateStore, bucket_of, checkpoint_rows
@@ -31,8 +31,15 @@ def apply_batch(store: StateStore, log: DataFrame, batch_id: int, rules=None,
                           bucket_of(doc_id("table", "pk"), store.buckets).alias("_bucket")).persist()
     try:
         good = good_events(slim)
-        touched = [r[0] for r in slim.filter(~bad).select("_bucket").distinct().collect()]   # <= N small ints
-        versions = rule_versions(rules) if rules else 1
+        kept = slim.filter(~bad)
+        versions = 1
+        if rules:
+            # mapping stage in the same job: lookup-only tables stay out of the written state,
+            # images are renamed by their table's rule, documents carry the rule's version
+            good = apply_rule(emit_filter(good, rules), rules, images=("after",))
+            kept = emit_filter(kept, rules)
+            versions = rule_versions(rules)
+        touched = [r[0] for r in kept.select("_bucket").distinct().collect()]   # <= N small ints
         store.apply(to_documents(compact(good, cols=DOC_INPUT), versions), batch_id, touched)
         if fail_after_state:  # crash-test hook: die between the state write and the side outputs
             raise RuntimeError("injected failure after state write")

@@ -69,3 +69,16 @@ def test_vacuum_drops_old_markers(spark):
     store.vacuum(horizon_lsn=1000, batch_id=1)
     assert store.read().filter("_deleted").count() == 0
     assert set(_live(store)) == {"users:1", "users:3"}
+
+
+def test_apply_with_rules_renames_and_skips_lookup_only(spark):
+    from changelake.rules import DEFAULT_RULES
+    store = StateStore(spark, tempfile.mkdtemp(dir="/tmp"), buckets=4)
+    log = log_df(spark, [
+        ("cdc.users", 0, 1, key(1), envelope("c", 1, after={"id": 1, "full_name": "Ann"}, table="users")),
+        ("cdc.order_items", 0, 2, key(5), envelope("c", 1, after={"id": 5, "sku": "s"}, table="order_items")),
+        ("cdc.orders", 0, 3, key(7), envelope("c", 1, after={"id": 7, "user_id": 1}, table="orders"))])
+    apply_batch(store, log, 0, rules=DEFAULT_RULES)
+    live = {r["_id"]: (dict(r["doc"]), r["schemaVersion"]) for r in store.current().collect()}
+    assert live == {"users:1": ({"_pkId": "1", "fullName": "Ann"}, 1),
+                    "orders:7": ({"_pkId": "7", "userId": "1"}, 1)}
