@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from changelake.operators.decode import decode, good_events
 from changelake.plans import fixtures as fx
 from changelake.plans.registry import query
-from changelake.plans.sql_fixtures import NEXT_ORDERS_CTE, with_ctes, with_log
+from changelake.plans.sql_fixtures import LATEST_CTE, NEXT_ORDERS_CTE, with_ctes, with_log
 from changelake.session import scratch_dir
 from changelake.sources.changelog import diff_to_changelog
 from changelake.sources.state_store import StateStore
@@ -94,3 +94,24 @@ def pattern_match(spark, sf_dir):
     g = good_events(decode(fx.events_log(spark, sf_dir))).filter(F.col("topic").rlike(r"^cdc\."))
     return g.groupBy("topic").agg(F.count_if(F.col("pk").startswith("1")).alias("ids_starting_1"),
                                   F.count_if(F.col("pk").rlike("^[0-9]*7$")).alias("ids_ending_7"))
+
+
+@query("apply_mapped", with_log(LATEST_CTE + """
+SELECT 'users' AS table_name, count(*) AS n, min('_pkId,event_type,props,value') AS field_names,
+       CAST(1 AS INTEGER) AS schema_version FROM latest WHERE op <> 'd'
+UNION ALL
+SELECT 'orders', (SELECT count(*) FROM orders),
+       'o_custkey,o_orderdate,o_orderkey,o_orderpriority,o_orderstatus,o_totalprice', CAST(1 AS INTEGER)
+"""))
+def apply_mapped(spark, sf_dir):
+    """Decode -> map by the shipped rules -> gate -> state, over a three-table log in one
+    batch job: users renamed by its rule, orders passed through (no ruled field in the
+    snapshot images), order_items kept out (lookup-only)."""
+    from changelake.rules import DEFAULT_RULES
+    store = StateStore(spark, scratch_dir(spark, "mapped-state"), buckets=16)
+    apply_batch(store, fx.multi_table_log(spark, sf_dir), 0, rules=DEFAULT_RULES)
+    cur = store.current()
+    return cur.groupBy(F.col("table").alias("table_name")).agg(
+        F.count("*").alias("n"),
+        F.min(F.array_join(F.array_sort(F.map_keys("doc")), ",")).alias("field_names"),
+        F.min("schemaVersion").alias("schema_version"))
