@@ -157,6 +157,58 @@ def merge_set(events: DataFrame, state: DataFrame | None = None,
     return gate_merge(state, out)
 
 
+def merge_lww(events: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """G4 option: per-field last-writer-wins merge of partial images (order-free).
+
+    Every field keeps the value of its newest write — higher LSN, on equal LSN the
+    earlier delivery (partition, offset) — if that write is newer than the key's
+    latest delete; the document is live when the key's newest change is not a
+    delete. The result depends only on the set of changes, not on their order or on
+    how they are cut into batches. Rows carry ``fieldVersion`` (per field: lsn,
+    partition, offset of the kept write) and ``deleteLsn`` so the output can be
+    passed back as ``state``. Every step is a per-key or per-(key, field) aggregate
+    with map-side partial aggregation.
+    """
+    pos = F.struct(F.col("lsn"), (-F.col("partition")).alias("np"), (-F.col("offset")).alias("no"))
+    ev = events.select(*KEY, "lsn", "op", "after", "ts_ms", "partition", "offset")
+    heads = ev.drop("after")
+    fields = ev.filter(F.col("op") != "d").select(*KEY, "lsn", "partition", "offset",
+                                                  F.explode("after").alias("f", "v"))
+    dels = ev.filter(F.col("op") == "d").select(*KEY, F.col("lsn").alias("_d"))
+    if state is not None:
+        heads = heads.unionByName(state.select(
+            "table", "pk", F.col("sourceLsn").alias("lsn"), F.col("lastOp").alias("op"),
+            F.col("appliedTsMs").alias("ts_ms"), F.col("_srcPartition").alias("partition"),
+            F.col("_srcOffset").alias("offset")))
+        stored = state.select("table", "pk", F.explode("doc").alias("f", "v"), "fieldVersion")
+        fields = fields.unionByName(stored.select(
+            "table", "pk", F.col("fieldVersion")[F.col("f")]["lsn"].alias("lsn"),
+            F.col("fieldVersion")[F.col("f")]["partition"].alias("partition"),
+            F.col("fieldVersion")[F.col("f")]["offset"].alias("offset"), "f", "v"))
+        dels = dels.unionByName(state.select(*KEY, F.col("deleteLsn").alias("_d")))
+    win = heads.groupBy(*KEY).agg(F.max_by(F.struct("op", "lsn", "ts_ms", "partition", "offset"), pos).alias("_w"))
+    horizon = dels.groupBy(*KEY).agg(F.max("_d").alias("_del"))
+    best = fields.groupBy(*KEY, "f").agg(F.max_by(F.struct("v", "lsn", "partition", "offset"), pos).alias("_b"))
+    kept = (best.join(horizon, KEY, "left")
+            .filter(F.col("_del").isNull() | (F.col("_b.lsn") > F.col("_del")))
+            .groupBy(*KEY).agg(
+                F.map_from_entries(F.collect_list(F.struct("f", F.col("_b.v")))).alias("_doc"),
+                F.map_from_entries(F.collect_list(F.struct(
+                    "f", F.struct(F.col("_b.lsn").alias("lsn"), F.col("_b.partition").alias("partition"),
+                                  F.col("_b.offset").alias("offset"))))).alias("_fv")))
+    out = win.join(horizon, KEY, "left").join(kept, KEY, "left")
+    live = F.col("_w.op") != "d"
+    fv_type = "map<string,struct<lsn:bigint,partition:int,offset:bigint>>"
+    return out.select(
+        doc_id("table", "pk").alias("_id"), "table", "pk", F.col("_w.lsn").alias("sourceLsn"),
+        F.lit(1).alias("schemaVersion"), (~live).alias("_deleted"),
+        F.when(live, F.coalesce("_doc", F.create_map().cast("map<string,string>"))).alias("doc"),
+        F.col("_w.ts_ms").alias("appliedTsMs"), F.col("_w.partition").alias("_srcPartition"),
+        F.col("_w.offset").alias("_srcOffset"), F.col("_w.op").alias("lastOp"),
+        F.coalesce("_fv", F.create_map().cast(fv_type)).alias("fieldVersion"),
+        F.col("_del").alias("deleteLsn"))
+
+
 def fold_reference(events: DataFrame, block_size: int | None = None) -> DataFrame:
     """The original sequential apply without delete memory (see ``operators.fold``)."""
     from changelake.operators.fold import fold_reference as blocked_fold

@@ -329,3 +329,34 @@ def write_action_q(spark, sf_dir):
     """Document id and write action of every good event."""
     g = fx.good(spark, sf_dir)
     return g.select(F.col("offset").alias("off"), doc_id("table", "pk").alias("_id"), write_action("op").alias("action"))
+
+
+def _best_write(name, cond):
+    return f"""{name} AS (SELECT * FROM (
+  SELECT user_id, value, props, event_type, lsn,
+         row_number() OVER (PARTITION BY user_id ORDER BY lsn DESC, part, off) AS rn
+  FROM g2 WHERE op <> 'd' AND {cond}) WHERE rn = 1)"""
+
+
+@query("merge_lww", with_log(f"""
+g2 AS (SELECT *, (off % 1099511627776) % 3 = 1 AS no_props, (off % 1099511627776) % 5 = 2 AS no_value FROM good),
+win AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY lsn DESC, part, off) AS rn FROM g2)
+        WHERE rn = 1),
+dl AS (SELECT user_id, max(lsn) AS d FROM g2 WHERE op = 'd' GROUP BY user_id),
+{_best_write("fu", "TRUE")},
+{_best_write("fv", "NOT no_value")},
+{_best_write("fp", "NOT no_props")}
+SELECT 'users:' || CAST(w.user_id AS VARCHAR) AS _id, CAST(w.user_id AS VARCHAR) AS pk,
+       CASE WHEN dl.d IS NULL OR fu.lsn > dl.d THEN w.user_id END AS _pkId,
+       CASE WHEN dl.d IS NULL OR fu.lsn > dl.d THEN fu.event_type END AS eventType,
+       CASE WHEN dl.d IS NULL OR fv.lsn > dl.d THEN fv.value END AS amount,
+       CASE WHEN dl.d IS NULL OR fp.lsn > dl.d THEN fp.props END AS props,
+       TRUE AS isActive, w.lsn AS sourceLsn, CAST(1 AS INTEGER) AS schemaVersion
+FROM win w LEFT JOIN dl ON dl.user_id = w.user_id LEFT JOIN fu ON fu.user_id = w.user_id
+     LEFT JOIN fv ON fv.user_id = w.user_id LEFT JOIN fp ON fp.user_id = w.user_id
+WHERE w.op <> 'd'
+"""))
+def merge_lww_q(spark, sf_dir):
+    """G4 option: per-field last-writer-wins of partial images — independent of delivery order."""
+    m = gate.merge_lww(_partial(fx.good(spark, sf_dir)))
+    return fx.typed_docs(m.filter(~F.col("_deleted")))

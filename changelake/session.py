@@ -48,10 +48,7 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     as is. Only when it is unset (local runs, tests) do we pick a local
     temporary folder and register it, so ``DataFrame.checkpoint`` works too.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = base.get() if base.isDefined() else None
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="changelake-")
         spark.conf.set("spark.checkpoint.dir", base)
