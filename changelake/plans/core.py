@@ -8,7 +8,7 @@ from changelake.functions.scalar import doc_id, write_action
 from changelake.operators import gate
 from changelake.operators.decode import dead_letters, decode, reprocess_dlq
 from changelake.plans import fixtures as fx
-from changelake.plans.registry import query
+from changelake.plans.registry import ORACLES, query
 from changelake.plans.sql_fixtures import CLASSIFIED_CTE, LATEST_CTE, LOG_CTE, TYPED_DOC_SELECT, with_log
 from changelake.session import scratch_dir
 from changelake.sources.changelog import replay_from
@@ -360,3 +360,17 @@ def merge_lww_q(spark, sf_dir):
     """G4 option: per-field last-writer-wins of partial images — independent of delivery order."""
     m = gate.merge_lww(_partial(fx.good(spark, sf_dir)))
     return fx.typed_docs(m.filter(~F.col("_deleted")))
+
+
+@query("apply_set_two_batches", ORACLES["merge_set"])
+def apply_set_two_batches(spark, sf_dir):
+    """S7 + G4: partial images applied as two batches through the state store with
+    ``$set`` semantics; equals the one-shot merge."""
+    log = fx.events_log(spark, sf_dir)
+    mid = log.agg(((F.unix_micros(F.min("timestamp")) + F.unix_micros(F.max("timestamp"))) / 2)
+                  .cast("bigint").alias("m")).first()["m"]
+    store = _store(spark, "set-batches")
+    for bid, part in enumerate((log.filter(F.unix_micros("timestamp") < mid),
+                                log.filter(F.unix_micros("timestamp") >= mid))):
+        apply_batch(store, part, bid, mode="set", transform=_partial)
+    return fx.typed_docs(store.current())

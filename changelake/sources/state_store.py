@@ -136,6 +136,25 @@ class StateStore:
             if cached:
                 docs.unpersist()
 
+    def rewrite(self, batch_id: int, touched: list[int], build) -> int:
+        """Replace the touched buckets by ``build(stored rows of those buckets)``.
+
+        For merges that need the stored rows themselves (``$set`` of partial images):
+        ``build`` returns the complete new rows of the touched buckets.
+        """
+        if not touched:
+            return 0
+        prior = self.manifest(batch_id - 1)
+        stored = [b for b in touched if b in prior]
+        old = self.read(stored, version=batch_id - 1).drop("bucket") if stored else self._empty().drop("bucket")
+        new = build(old).select(*STATE_COLS).withColumn("bucket", bucket_of("_id", self.buckets))
+        new.repartition(len(touched), "bucket").write.mode("overwrite").partitionBy("bucket") \
+            .parquet(f"{self.base}/v={batch_id}")
+        m = dict(prior)
+        m.update({b: batch_id for b in touched})
+        self._write_manifest(batch_id, m)
+        return len(touched)
+
     def write_side(self, kind: str, df: DataFrame, batch_id: int) -> None:
         """Per-batch side output (dead letters, checkpoints), overwritten on re-run."""
         df.write.mode("overwrite").parquet(f"{self.base}/_{kind}/batch={batch_id}")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changelake.operators.decode import dead_letters, decode, good_events
-from changelake.operators.gate import DOC_INPUT, compact, to_documents
+from changelake.operators.gate import DOC_INPUT, compact, merge_set, to_documents
 from changelake.operators.mapping import apply_rule, emit_filter, rule_versions
 from changelake.schemas import CHANGELOG_SCHEMA
 from changelake.functions.scalar import doc_id
@@ -22,7 +22,14 @@ from changelake.sources.state_store import StateStore, bucket_of, checkpoint_row
 
 
 def apply_batch(store: StateStore, log: DataFrame, batch_id: int, rules=None,
-                max_value_bytes: int | None = None, fail_after_state: bool = False) -> None:
+                max_value_bytes: int | None = None, fail_after_state: bool = False, mode: str = "full",
+                transform=None) -> None:
+    """One batch: decode, (map), gate, write state, then side outputs.
+
+    ``mode="full"``: every image is a full row (compaction, the fast path);
+    ``mode="set"``: partial images merged field by field into the stored document.
+    ``transform`` is applied to the good events before the gate (e.g. a projection).
+    """
     decoded = decode(log, max_value_bytes)
     bad = F.col("error_reason").isNotNull()
     # cache a slim decode: raw key/value are kept only on rejected rows (for the DLQ)
@@ -31,6 +38,8 @@ def apply_batch(store: StateStore, log: DataFrame, batch_id: int, rules=None,
                           bucket_of(doc_id("table", "pk"), store.buckets).alias("_bucket")).persist()
     try:
         good = good_events(slim)
+        if transform is not None:
+            good = transform(good)
         kept = slim.filter(~bad)
         versions = 1
         if rules:
@@ -40,7 +49,10 @@ def apply_batch(store: StateStore, log: DataFrame, batch_id: int, rules=None,
             kept = emit_filter(kept, rules)
             versions = rule_versions(rules)
         touched = [r[0] for r in kept.select("_bucket").distinct().collect()]   # <= N small ints
-        store.apply(to_documents(compact(good, cols=DOC_INPUT), versions), batch_id, touched)
+        if mode == "set":
+            store.rewrite(batch_id, touched, lambda old: merge_set(good, old))
+        else:
+            store.apply(to_documents(compact(good, cols=DOC_INPUT), versions), batch_id, touched)
         if fail_after_state:  # crash-test hook: die between the state write and the side outputs
             raise RuntimeError("injected failure after state write")
         store.write_side("dlq", dead_letters(slim), batch_id)

@@ -82,3 +82,15 @@ def test_apply_with_rules_renames_and_skips_lookup_only(spark):
     live = {r["_id"]: (dict(r["doc"]), r["schemaVersion"]) for r in store.current().collect()}
     assert live == {"users:1": ({"_pkId": "1", "fullName": "Ann"}, 1),
                     "orders:7": ({"_pkId": "7", "userId": "1"}, 1)}
+
+
+def test_set_mode_merges_partial_images_across_batches(spark):
+    store = StateStore(spark, tempfile.mkdtemp(dir="/tmp"), buckets=4)
+    b1 = [(1, 1, "c", {"id": 1, "a": "x", "b": "y"}), (2, 1, "c", {"id": 2, "a": "p"})]
+    b2 = [(1, 2, "u", {"id": 1, "b": "z"}), (1, 1, "u", {"id": 1, "a": "stale"}), (2, 3, "d", None),
+          (2, 2, "u", {"id": 2, "a": "late"})]
+    apply_batch(store, _log(spark, b1), 0, mode="set")
+    apply_batch(store, _log(spark, b2, 10), 1, mode="set")
+    assert _live(store) == {"users:1": (2, {"id": "1", "a": "x", "b": "z"})}
+    apply_batch(store, _log(spark, b2, 10), 1, mode="set")      # re-run of the same batch id
+    assert _live(store) == {"users:1": (2, {"id": "1", "a": "x", "b": "z"})}
