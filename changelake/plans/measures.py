@@ -22,12 +22,12 @@ UNION ALL
 SELECT 'sink', 'users', op, count(*) FROM good GROUP BY op
 """))
 def events_processed(spark, sf_dir):
-    """A1: events by (stage, table, op): every mapped record, and every applied event."""
-    dec = fx.decoded(spark, sf_dir)
-    mapped = dec.filter(F.col("error_reason").isNull() | (F.col("error_reason") != "tombstone")) \
-                .withColumn("stage", F.lit("transformer"))
-    sink = dec.filter(F.col("error_reason").isNull()).withColumn("stage", F.lit("sink"))
-    both = mapped.select("stage", "table", "op").unionByName(sink.select("stage", "table", "op"))
+    """A1: events by (stage, table, op): every mapped record, and every applied event
+    (one pass: a good record counts for both stages)."""
+    dec = fx.decoded(spark, sf_dir).filter(F.col("error_reason").isNull() | (F.col("error_reason") != "tombstone"))
+    stages = F.when(F.col("error_reason").isNull(), F.array(F.lit("transformer"), F.lit("sink"))) \
+              .otherwise(F.array(F.lit("transformer")))
+    both = dec.select(F.explode(stages).alias("stage"), "table", "op")
     return M.events_processed(both, "stage").withColumnRenamed("table", "table_name")
 
 
@@ -85,12 +85,13 @@ APPLY_TS_SQL = "make_timestamp(CAST(((epoch_us(ts) // 1000) + floor(value * 100)
 
 
 def _stage_rows(spark, sf_dir):
-    dec = fx.decoded(spark, sf_dir)
-    mapped = dec.filter(F.col("error_reason").isNull() | (F.col("error_reason") != "tombstone")) \
-                .select(F.lit("transformer").alias("stage"), F.col("timestamp").alias("t"))
-    sink = dec.filter(F.col("error_reason").isNull()) \
-              .select(F.lit("sink").alias("stage"), F.timestamp_millis("ts_ms").alias("t"))
-    return mapped.unionByName(sink)
+    """(stage, time) per record in one pass: mapped records at record time, applied ones
+    also at apply time."""
+    dec = fx.decoded(spark, sf_dir).filter(F.col("error_reason").isNull() | (F.col("error_reason") != "tombstone"))
+    mapped = F.struct(F.lit("transformer").alias("stage"), F.col("timestamp").alias("t"))
+    sink = F.struct(F.lit("sink").alias("stage"), F.timestamp_millis("ts_ms").alias("t"))
+    rows = F.when(F.col("error_reason").isNull(), F.array(mapped, sink)).otherwise(F.array(mapped))
+    return dec.select(F.inline(rows))
 
 
 def _stage_sql(width):
@@ -183,11 +184,12 @@ def burn_rate(spark, sf_dir):
 
 
 def _multi_topic_offsets(spark, sf_dir):
+    """The log plus its dead-letter topic, in one pass: a rejected record is emitted a
+    second time under ``dlq.users`` (explode), so the derived log is computed once."""
     dec = fx.decoded(spark, sf_dir)
-    log = dec.select("topic", "partition", "offset", "timestamp").unionByName(
-        dec.filter(F.col("error_reason").isNotNull() & (F.col("error_reason") != "tombstone"))
-        .select(F.lit("dlq.users").alias("topic"), "partition", "offset", "timestamp"))
-    return log
+    rej = F.col("error_reason").isNotNull() & (F.col("error_reason") != "tombstone")
+    topics = F.when(rej, F.array(F.col("topic"), F.lit("dlq.users"))).otherwise(F.array(F.col("topic")))
+    return dec.select(F.explode(topics).alias("topic"), "partition", "offset", "timestamp")
 
 
 @query("dlq_depth", with_log("""
@@ -205,15 +207,20 @@ GROUP_BEHIND = {"sink": "1 DAY", "transformer": "2 HOURS"}
 
 
 def _commits(spark, sf_dir):
+    """End offsets and every group's committed offset per (topic, partition), in one
+    aggregation over the log (conditional maxima), instead of one pass per group."""
     log = _multi_topic_offsets(spark, sf_dir)
     mx = log.agg(F.max("timestamp")).first()[0]
-    out = None
+    aggs = [(F.max("offset") + 1).alias("current")]
     for g, behind in GROUP_BEHIND.items():
-        c = log.filter(F.col("timestamp") < F.lit(mx) - F.expr(f"INTERVAL {behind}")) \
-               .groupBy("topic", "partition").agg((F.max("offset") + 1).alias("committed")) \
-               .withColumn("group_id", F.lit(g))
-        out = c if out is None else out.unionByName(c)
-    return log, out
+        cut = F.col("timestamp") < F.lit(mx) - F.expr(f"INTERVAL {behind}")
+        aggs.append((F.max(F.when(cut, F.col("offset"))) + 1).alias(f"c_{g}"))
+    per = log.groupBy("topic", "partition").agg(*aggs)
+    stack = ", ".join(f"'{g}', c_{g}" for g in GROUP_BEHIND)
+    commits = per.selectExpr("topic", "partition", "current",
+                             f"stack({len(GROUP_BEHIND)}, {stack}) AS (group_id, committed)") \
+                 .filter(F.col("committed").isNotNull())
+    return commits
 
 
 LAG_SQL_CTE = """
@@ -233,8 +240,8 @@ SELECT group_id, topic, CAST(sum(lag) AS BIGINT) AS lag FROM pl GROUP BY 1, 2
 """))
 def consumer_lag(spark, sf_dir):
     """Consumer lag per group and topic = sum over partitions of (end - committed)."""
-    log, commits = _commits(spark, sf_dir)
-    return M.consumer_lag(M.offsets_of(log), commits)
+    c = _commits(spark, sf_dir)
+    return c.groupBy("group_id", "topic").agg(F.sum(F.col("current") - F.col("committed")).alias("lag"))
 
 
 @query("laggards", with_log(LAG_SQL_CTE + """
@@ -242,9 +249,8 @@ SELECT group_id, topic, part, lag FROM pl WHERE lag > 1000 ORDER BY lag DESC, gr
 """))
 def laggards(spark, sf_dir):
     """L4: the five (group, topic, partition) with the largest lag above 1,000."""
-    log, commits = _commits(spark, sf_dir)
-    j = commits.join(M.offsets_of(log), ["topic", "partition"])
-    pl = j.select("group_id", "topic", F.col("partition").alias("part"), (F.col("current") - F.col("committed")).alias("lag"))
+    c = _commits(spark, sf_dir)
+    pl = c.select("group_id", "topic", F.col("partition").alias("part"), (F.col("current") - F.col("committed")).alias("lag"))
     return pl.filter(F.col("lag") > 1000).orderBy(F.col("lag").desc(), "group_id", "topic", "part").limit(5)
 
 

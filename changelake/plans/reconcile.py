@@ -198,11 +198,12 @@ FROM t, h GROUP BY topic
 def retain_q(spark, sf_dir):
     """Retention prune by topic policy (7 d change log, 3 d mapped log, DLQ kept)."""
     dec = fx.decoded(spark, sf_dir)
-    t = dec.select(F.lit("cdc.users").alias("topic"), "timestamp").unionByName(
-        dec.filter(F.col("error_reason").isNull()).select(F.lit("transformed.users").alias("topic"), "timestamp")
-    ).unionByName(
-        dec.filter(F.col("error_reason").isNotNull() & (F.col("error_reason") != "tombstone"))
-        .select(F.lit("dlq.users").alias("topic"), "timestamp"))
+    reason = F.col("error_reason")
+    topics = F.array_compact(F.array(
+        F.lit("cdc.users"),
+        F.when(reason.isNull(), F.lit("transformed.users")),
+        F.when(reason.isNotNull() & (reason != "tombstone"), F.lit("dlq.users"))))
+    t = dec.select(F.explode(topics).alias("topic"), "timestamp")      # one pass over the log
     mx = t.agg(F.max("timestamp")).first()[0]
     fam = F.substring_index("topic", ".", 1)
     keep = F.lit(True)
