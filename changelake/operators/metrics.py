@@ -65,6 +65,17 @@ def histogram_quantile(hist: DataFrame, q: float, by: str = "table") -> DataFram
     return first.select(by, val.alias("quantile"))
 
 
+def quantiles(df: DataFrame, value: Column, qs, by: str, accuracy: int | None = None) -> DataFrame:
+    """A4: quantiles per group — exact (``percentile``: per-value counts merged map-side)
+    or, with ``accuracy``, the bounded-memory sketch ``percentile_approx`` for groups with
+    very many distinct values (relative rank error about 1 / accuracy)."""
+    if accuracy:
+        aggs = [F.percentile_approx(value, float(q), accuracy).alias(f"q{int(q * 1000)}") for q in qs]
+    else:
+        aggs = [F.percentile(value, float(q)).alias(f"q{int(q * 1000)}") for q in qs]
+    return df.groupBy(by).agg(*aggs)
+
+
 def throughput(df: DataFrame, ts: Column, stage: Column, width: str = "1 minute", seconds: int = 60) -> DataFrame:
     """Events per second per stage in tumbling windows."""
     return (df.groupBy(F.window(ts, width).start.alias("window_start"), stage.alias("stage"))

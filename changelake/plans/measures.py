@@ -81,6 +81,14 @@ def lag_quantile(spark, sf_dir):
     return hq.join(ex, "table").withColumnRenamed("table", "table_name")
 
 
+@query("lag_quantile_approx")
+def lag_quantile_approx(spark, sf_dir):
+    """A4 at scale: p50 / p99 / p999 lag by a bounded-memory sketch (rows only: a sketch
+    value need not equal the exact interpolated quantile)."""
+    g = fx.good(spark, sf_dir)
+    return M.quantiles(g, M.lag_seconds(g), (0.5, 0.99, 0.999), "table", accuracy=10000)
+
+
 APPLY_TS_SQL = "make_timestamp(CAST(((epoch_us(ts) // 1000) + floor(value * 100)) * 1000 AS BIGINT))"
 
 

@@ -18,7 +18,7 @@ from changelake.schemas import CHANGELOG_SCHEMA
 
 def read_changelog(spark: SparkSession, path_or_servers: str, pattern: str = ".*",
                    stream: bool = False, fmt: str = "parquet", starting_offsets: str | None = None,
-                   ending_offsets: str | None = None) -> DataFrame:
+                   ending_offsets: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """Every topic matching ``pattern`` as one log (stream or bounded).
 
     ``fmt="kafka"`` subscribes by pattern (needs the Kafka package); other
@@ -35,6 +35,8 @@ def read_changelog(spark: SparkSession, path_or_servers: str, pattern: str = ".*
         return df.select("topic", "partition", "offset", "timestamp",
                          F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
     r = (spark.readStream if stream else spark.read).schema(CHANGELOG_SCHEMA).format(fmt)
+    if stream and max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))   # T5: bounded batch size
     df = r.load(path_or_servers)
     return df.filter(F.col("topic").rlike(f"^(?:{pattern})$"))
 

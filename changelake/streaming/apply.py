@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from changelake.operators.decode import dead_letters, decode, good_events
 from changelake.operators.gate import DOC_INPUT, compact, merge_set, to_documents
-from changelake.operators.mapping import apply_rule, emit_filter, rule_versions
-from changelake.schemas import CHANGELOG_SCHEMA
+from changelake.operators.mapping import apply_rule, emit_filter, rule_versions, validate_types
 from changelake.functions.scalar import doc_id
 from changelake.sources.state_store import StateStore, bucket_of, checkpoint_rows
 
@@ -31,6 +30,8 @@ def apply_batch(store: StateStore, log: DataFrame, batch_id: int, rules=None,
     ``transform`` is applied to the good events before the gate (e.g. a projection).
     """
     decoded = decode(log, max_value_bytes)
+    if rules:
+        decoded = validate_types(decoded, rules)
     bad = F.col("error_reason").isNotNull()
     # cache a slim decode: raw key/value are kept only on rejected rows (for the DLQ)
     slim = decoded.select(*[c for c in decoded.columns if c not in ("key", "value")],
@@ -63,14 +64,13 @@ def apply_batch(store: StateStore, log: DataFrame, batch_id: int, rules=None,
 
 def stream_apply(spark: SparkSession, source_dir: str, store: StateStore, checkpoint: str,
                  fmt: str = "parquet", max_files_per_trigger: int | None = None,
-                 available_now: bool = True, rules=None):
-    """Start the apply stream over a directory of change-log files; returns the query."""
-    reader = spark.readStream.schema(CHANGELOG_SCHEMA).format(fmt)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    log = reader.load(source_dir)
+                 available_now: bool = True, rules=None, pattern: str = ".*", mode: str = "full"):
+    """Start the apply stream over every topic matching ``pattern``; returns the query."""
+    from changelake.sources.changelog import read_changelog
+    log = read_changelog(spark, source_dir, pattern=pattern, stream=True, fmt=fmt,
+                         max_files_per_trigger=max_files_per_trigger)
     writer = (log.writeStream.option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda df, bid: apply_batch(store, df, bid, rules)))
+              .foreachBatch(lambda df, bid: apply_batch(store, df, bid, rules, mode=mode)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")
     return writer.start()
 

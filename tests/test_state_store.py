@@ -94,3 +94,14 @@ def test_set_mode_merges_partial_images_across_batches(spark):
     assert _live(store) == {"users:1": (2, {"id": "1", "a": "x", "b": "z"})}
     apply_batch(store, _log(spark, b2, 10), 1, mode="set")      # re-run of the same batch id
     assert _live(store) == {"users:1": (2, {"id": "1", "a": "x", "b": "z"})}
+
+
+def test_cast_failures_go_to_dlq_with_rules(spark):
+    from changelake.rules import DEFAULT_RULES
+    store = StateStore(spark, tempfile.mkdtemp(dir="/tmp"), buckets=4)
+    log = log_df(spark, [
+        ("cdc.orders", 0, 1, key(7), envelope("c", 1, after={"id": 7, "user_id": "not-a-number"}, table="orders")),
+        ("cdc.orders", 0, 2, key(8), envelope("c", 1, after={"id": 8, "user_id": 3}, table="orders"))])
+    apply_batch(store, log, 0, rules=DEFAULT_RULES)
+    assert set(_live(store)) == {"orders:8"}
+    assert [(r["source_offset"], r["error_reason"]) for r in store.read_side("dlq").collect()] == [(1, "bad_cast")]
