@@ -32,3 +32,11 @@ def hash_sample(df: DataFrame, key: str, percent: int) -> DataFrame:
 def topics(df: DataFrame) -> DataFrame:
     """Topic list with record counts, sorted."""
     return df.groupBy("topic").agg(F.count("*").alias("n")).orderBy("topic")
+
+
+def pick_row(df: DataFrame, key: str, percent: int) -> DataFrame:
+    """L2 + L3: one row from a key-hash sample, or the smallest-key row when the sample is
+    empty — one plan: sample rows rank before the fallback, then top-1."""
+    sampled = hash_sample(df, key, percent).withColumn("_prio", F.lit(0))
+    fallback = first_row(df, key).withColumn("_prio", F.lit(1))
+    return sampled.unionByName(fallback).orderBy("_prio", key).limit(1).drop("_prio")

@@ -44,6 +44,19 @@ def sample_rows_q(spark, sf_dir):
     return O.hash_sample(o, "o_orderkey", 5).orderBy("o_orderkey").limit(100)
 
 
+@query("pick_row", """
+SELECT o_orderkey, o_orderstatus FROM (
+  SELECT o_orderkey, o_orderstatus, 0 AS prio FROM orders
+  WHERE CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 5
+  UNION ALL SELECT * FROM (SELECT o_orderkey, o_orderstatus, 1 FROM orders ORDER BY o_orderkey LIMIT 1))
+ORDER BY prio, o_orderkey LIMIT 1
+""")
+def pick_row_q(spark, sf_dir):
+    """L2/L3: the row an update would pick — from a 5 % sample, else the smallest key."""
+    o = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    return O.pick_row(o, "o_orderkey", 5)
+
+
 @query("sample_rows_random")
 def sample_rows_random(spark, sf_dir):
     """L3: Bernoulli 5 % sample (random; row count only)."""
