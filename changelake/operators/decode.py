@@ -114,11 +114,15 @@ def drop_tombstones(log: DataFrame) -> DataFrame:
     return log.filter(~is_tombstone("value"))
 
 
+def dlq_to_log(dlq: DataFrame) -> DataFrame:
+    """Dead letters back in change-record shape (their original position kept)."""
+    return dlq.select(F.col("source_topic").alias("topic"), F.col("source_partition").alias("partition"),
+                      F.col("source_offset").alias("offset"), F.col("ts").alias("timestamp"), "key", "value")
+
+
 def reprocess_dlq(dlq: DataFrame, fix=None, max_value_bytes: int | None = None) -> DataFrame:
     """Dead letters back through the same decode after an optional fix of key/value."""
-    log = dlq.select(F.col("source_topic").alias("topic"), F.col("source_partition").alias("partition"),
-                     F.col("source_offset").alias("offset"), F.col("ts").alias("timestamp"),
-                     "key", "value")
+    log = dlq_to_log(dlq)
     if fix is not None:
         log = fix(log)
     return decode(log, max_value_bytes)

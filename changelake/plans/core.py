@@ -155,15 +155,41 @@ WHERE reason = 'bad_lsn' AND event_id % 83 <> 0
 def reprocess_dlq_q(spark, sf_dir):
     """Dead letters fixed (the bad LSN replaced by the record offset) and decoded again."""
     dlq = dead_letters(fx.decoded(spark, sf_dir))
-
-    def fix(log):
-        return log.withColumn("value", F.regexp_replace(
-            "value", F.lit(r'"lsn":5\.5'), F.concat(F.lit('"lsn":'), F.col("offset").cast("string"))))
-    again = reprocess_dlq(dlq, fix)
+    again = reprocess_dlq(dlq, _fix_lsn)
     return again.filter(F.col("error_reason").isNull()).select(
         "pk", "lsn", "op", F.col("offset").alias("off"))
 
 
+def _fix_lsn(log):
+    """The repair of the LSN dead letters: the bad LSN replaced by the record offset."""
+    return log.withColumn("value", F.regexp_replace(
+        "value", F.lit(r'"lsn":5\.5'), F.concat(F.lit('"lsn":'), F.col("offset").cast("string"))))
+
+
+REPAIRED_SQL = """
+WHERE reason = 'bad_lsn' AND event_id % 83 <> 0
+  AND NOT ((event_id % 71 = 0 OR op <> 'd') AND (op = 'd' OR event_id % 73 = 0))
+  AND event_id % 71 <> 0"""
+
+
+@query("dlq_round_trip", with_log(f"""
+fixed AS (SELECT user_id, off AS lsn, op, part, off, event_type, value, props FROM log {REPAIRED_SQL}),
+allg AS (SELECT user_id, lsn, op, part, off, event_type, value, props FROM good UNION ALL SELECT * FROM fixed),
+latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY lsn DESC, part, off) AS rn
+                          FROM allg) WHERE rn = 1)
+SELECT {TYPED_DOC_SELECT} FROM latest WHERE op <> 'd'
+"""))
+def dlq_round_trip(spark, sf_dir):
+    """S8 -> S9 -> S7: apply the log, read its dead letters back from the store, repair the
+    bad LSNs and apply the repaired records as the next batch."""
+    from changelake.operators.decode import dlq_to_log
+    store = _store(spark, "dlq-round-trip")
+    apply_batch(store, fx.events_log(spark, sf_dir), 0)
+    repaired = _fix_lsn(dlq_to_log(store.read_side("dlq").filter(F.col("error_reason") == "bad_lsn")))
+    apply_batch(store, repaired, 1)
+    return fx.typed_docs(store.current())
+
+
 def _partial(good):
     """Partial images: some updates omit props or value (by position in the log)."""
     pos = F.col("offset") % F.lit(1 << 40)
