@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from changelake.functions.scalar import table_of
 from changelake.schemas import JSON_OPTS, KEY_SCHEMA, OPS, VALUE_SCHEMA
+from changelake.session import prepare
 
 INT_TOKEN = r"^-?[0-9]+$"
 NUMBER_TOKEN = r"^-?[0-9]+([.][0-9]+)?([eE][+-]?[0-9]+)?$"
@@ -53,6 +54,8 @@ def decode(log: DataFrame, max_value_bytes: int | None = None) -> DataFrame:
     wins: tombstone, oversize, bad_json, bad_key, bad_lsn, bad_pk,
     after_missing, bad_op.
     """
+    # duplicate keys inside an image keep the last value (JSON object semantics), times are UTC
+    prepare(log.sparkSession)
     v = F.from_json(F.col("value"), VALUE_SCHEMA, JSON_OPTS)
     k = F.from_json(F.col("key"), KEY_SCHEMA, JSON_OPTS)
     # The parsed structs come out of a one-row generator: a filter on the decode result

@@ -100,3 +100,17 @@ def test_nested_and_null_values_in_images(spark):
     assert r["after"]["profile"] == '{"plan":"pro"}'
     assert r["after"]["tags"] == "[1,2]"
     assert "note" in r["after"] and r["after"]["note"] is None
+
+
+def test_duplicate_json_keys_last_wins(spark):
+    v = '{"payload":{"after":{"id":1,"a":"first","a":"second"},"source":{"lsn":1,"table":"users"},"op":"c"}}'
+    r = _decode(spark, [("cdc.users", 0, 1, key(1), v)])[1]
+    assert r["error_reason"] is None
+    assert r["after"]["a"] == "second"
+
+
+def test_heartbeat_like_record_is_rejected_not_fatal(spark):
+    recs = [("__heartbeat.cdc", 0, 1, None, '{"ts_ms": 1}'),
+            ("cdc.users", 0, 2, key(1), envelope("c", 1, after={"id": 1}))]
+    got = _decode(spark, recs)
+    assert got[1]["error_reason"] is not None and got[2]["error_reason"] is None
