@@ -23,8 +23,11 @@ WS = " \t\n\r"
 def is_tombstone(value) -> Column:
     """value null, empty or the text ``null`` (surrounding white space ignored)."""
     v = F.col(value) if isinstance(value, str) else value
+    # only a value that is empty, exactly "null" or starts with white space can be a
+    # tombstone; trimming (a copy of the whole value) is done for those alone
     t = F.btrim(v, F.lit(WS))
-    return v.isNull() | (t == "") | (t == "null")
+    padded = F.substring(v, 1, 1).isin(*list(WS))
+    return v.isNull() | (v == "") | (v == "null") | (padded & ((t == "") | (t == "null")))
 
 
 def valid_lsn(lsn_text) -> Column:
