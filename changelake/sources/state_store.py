@@ -167,11 +167,11 @@ class StateStore:
 
     def vacuum(self, horizon_lsn: int, batch_id: int) -> None:
         """Rewrite every bucket without delete markers older than ``horizon_lsn``."""
+        current = self.manifest()
         kept = self.read().filter(~F.col("_deleted") | (F.col("sourceLsn") >= horizon_lsn))
-        (kept.repartition("bucket").write.mode("overwrite").partitionBy("bucket")
+        (kept.repartition(max(len(current), 1), "bucket").write.mode("overwrite").partitionBy("bucket")
          .parquet(f"{self.base}/v={batch_id}"))
-        self._write_manifest(batch_id, {b: batch_id for b in range(self.buckets)
-                                        if b in self.manifest()})
+        self._write_manifest(batch_id, {b: batch_id for b in current})
 
 
 def merge_by_bucket(old: DataFrame, docs: DataFrame, partitions: int) -> DataFrame:
