@@ -169,9 +169,17 @@ class StateStore:
         """Rewrite every bucket without delete markers older than ``horizon_lsn``."""
         current = self.manifest()
         kept = self.read().filter(~F.col("_deleted") | (F.col("sourceLsn") >= horizon_lsn))
-        (kept.repartition(max(len(current), 1), "bucket").write.mode("overwrite").partitionBy("bucket")
-         .parquet(f"{self.base}/v={batch_id}"))
-        self._write_manifest(batch_id, {b: batch_id for b in current})
+        out = f"{self.base}/v={batch_id}"
+        kept.repartition(max(len(current), 1), "bucket").write.mode("overwrite").partitionBy("bucket").parquet(out)
+        # a bucket left with no rows has no directory: it leaves the manifest
+        self._write_manifest(batch_id, {b: batch_id for b in self._written_buckets(out)})
+
+    def _written_buckets(self, path: str) -> list[int]:
+        p = self._Path(path)
+        if not self._fs.exists(p):
+            return []
+        return [int(st.getPath().getName().split("=", 1)[1]) for st in self._fs.listStatus(p)
+                if st.isDirectory() and st.getPath().getName().startswith("bucket=")]
 
 
 def merge_by_bucket(old: DataFrame, docs: DataFrame, partitions: int) -> DataFrame:

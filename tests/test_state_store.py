@@ -105,3 +105,12 @@ def test_cast_failures_go_to_dlq_with_rules(spark):
     apply_batch(store, log, 0, rules=DEFAULT_RULES)
     assert set(_live(store)) == {"orders:8"}
     assert [(r["source_offset"], r["error_reason"]) for r in store.read_side("dlq").collect()] == [(1, "bad_cast")]
+
+
+def test_vacuum_can_empty_a_bucket(spark):
+    store = StateStore(spark, tempfile.mkdtemp(dir="/tmp"), buckets=2)
+    apply_batch(store, _log(spark, [(1, 1, "c", {"id": 1}), (1, 2, "d", None)]), 0)
+    store.vacuum(horizon_lsn=100, batch_id=1)
+    assert store.read().count() == 0 and store.current().count() == 0
+    apply_batch(store, _log(spark, [(1, 5, "c", {"id": 1, "v": "again"})], 10), 2)
+    assert _live(store) == {"users:1": (5, {"id": "1", "v": "again"})}
