@@ -38,3 +38,34 @@ def test_failed_batch_redelivered_same_result(spark, monkeypatch):
     assert seen[:2] == [0, 1] and seen.count(1) == 2
     live = {r["_id"]: dict(r["doc"])["v"] for r in store.current().collect()}
     assert live == {"users:1": "b", "users:2": "c"}
+
+
+def test_supervisor_restarts_a_failed_query():
+    from changelake.streaming.apply import run_supervised
+
+    class Q:
+        def __init__(self, fail):
+            self.fail = fail
+
+        def awaitTermination(self):  # noqa: N802 - mirrors the streaming API
+            if self.fail:
+                raise RuntimeError("boom")
+
+    attempts = iter([Q(True), Q(True), Q(False)])
+    assert run_supervised(lambda: next(attempts), retries=3).fail is False
+    attempts = iter([Q(True)] * 3)
+    try:
+        run_supervised(lambda: next(attempts), retries=1)
+        raise AssertionError("should have failed")
+    except RuntimeError:
+        pass
+
+
+def test_bounded_read_by_pattern_and_offsets(spark):
+    from changelake.sources.changelog import read_changelog
+    src = tempfile.mkdtemp(dir="/tmp")
+    log_df(spark, [("cdc.users", 0, i, key(i), envelope("c", i, after={"id": i})) for i in range(10)] +
+           [("cdc.orders", 0, i, key(i), envelope("c", i, after={"id": i}, table="orders")) for i in range(5)]) \
+        .write.mode("overwrite").parquet(src)
+    got = read_changelog(spark, src, pattern=r"cdc\.users", offset_range=(2, 6))
+    assert sorted(r["offset"] for r in got.collect()) == [2, 3, 4, 5]
