@@ -62,16 +62,18 @@ def _summarise(pdf: pd.DataFrame) -> pd.DataFrame:
             out[j] = (L[j], docs[j]) if ops[j] != "d" else (None, None)
     rows = []
     t0 = pdf.iloc[0]
+    head = (t0["table"], t0["pk"], int(t0["partition"]), int(t0["_blk"]))
     prev = None
-    piece = 0
     for j in range(n):
-        if prev is None or L[j] > prev:
-            rows.append((t0["table"], t0["pk"], int(t0["partition"]), int(t0["_blk"]), piece, prev, L[j],
-                         False, out[j][0], out[j][1]))
-            piece += 1
+        if prev is None or L[j] > prev:          # a new prefix maximum starts a piece [prev, L[j])
+            if rows and rows[-1][7:9] == (out[j][0], out[j][1]):
+                lo = rows[-1][4]                  # same outcome as the piece before: widen it
+                rows[-1] = (*head, lo, L[j], False, out[j][0], out[j][1])
+            else:
+                rows.append((*head, prev, L[j], False, out[j][0], out[j][1]))
             prev = L[j]
-    rows.append((t0["table"], t0["pk"], int(t0["partition"]), int(t0["_blk"]), piece, prev, None,
-                 True, None, None))
+    rows.append((*head, prev, None, True, None, None))
+    rows = [(*r[:4], i, *r[4:]) for i, r in enumerate(rows)]
     return pd.DataFrame(rows, columns=["table", "pk", "partition", "_blk", "piece", "lo", "hi", "identity",
                                        "out_lsn", "out_doc"])
 
