@@ -72,3 +72,28 @@ def lead_by_key(df: DataFrame, keys: list[str], pos: str, cols: list[str], prefi
     neg = df.withColumn("_negpos", -F.col(pos))
     out = lag_by_key(neg, keys, "_negpos", cols, prefix, block_size)
     return out.drop("_negpos")
+
+
+def running(df: DataFrame, keys: list[str], pos: str, specs: dict[str, tuple[str, str]],
+            block_size: int) -> DataFrame:
+    """Inclusive running aggregates ordered by ``pos`` within ``keys`` (``specs``: output ->
+    (``"sum"`` | ``"max"``, column)), computed per block of ``block_size`` positions plus a
+    carry from earlier blocks' totals — so even a single long series (``keys=[]``) is
+    spread over one task per block instead of one task in all."""
+    fns = {"sum": F.sum, "max": F.max}
+    b = _blocks(df, pos, block_size)
+    part = [*keys, "_blk"]
+    w_in = Window.partitionBy(*part).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    for out, (fn, col) in specs.items():
+        b = b.withColumn("_in_" + out, fns[fn](col).over(w_in))
+    summary = b.groupBy(*part).agg(*[fns[fn](col).alias("_tot_" + out) for out, (fn, col) in specs.items()])
+    w_blk = (Window.partitionBy(*keys) if keys else Window).orderBy("_blk") \
+        .rowsBetween(Window.unboundedPreceding, -1)   # over block totals only
+    for out, (fn, _) in specs.items():
+        summary = summary.withColumn("_carry_" + out, fns[fn]("_tot_" + out).over(w_blk))
+    j = b.join(summary.select(*part, *["_carry_" + o for o in specs]), part, "left")
+    outs = []
+    for out, (fn, _) in specs.items():
+        inner, carry = F.col("_in_" + out), F.col("_carry_" + out)
+        outs.append((inner + F.coalesce(carry, F.lit(0)) if fn == "sum" else F.greatest(inner, carry)).alias(out))
+    return j.select(*df.columns, *outs)

@@ -85,10 +85,12 @@ def row_diff(a: DataFrame, b: DataFrame) -> DataFrame:
         .unionByName(b.exceptAll(a).withColumn("side", F.lit("only_tgt")))
 
 
-def drained_at(polls: DataFrame, part: list[str], ts: str, match: Column, report: list[str] | None = None) -> DataFrame:
-    """First poll where this poll and the previous one of the same series (``part``)
-    both match; grouped by ``report`` columns (default: the series)."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(*part).orderBy(ts) if part else Window.orderBy(ts)
-    p = polls.withColumn("_m", match).withColumn("_pm", F.lag("_m").over(w))
-    return p.filter(F.col("_m") & F.col("_pm")).groupBy(*(report or part)).agg(F.min(ts).alias("drained_at"))
+def drained_at(polls: DataFrame, part: list[str], pos: str, ts: str, match: Column,
+               report: list[str] | None = None) -> DataFrame:
+    """First poll where this poll and the previous one (``pos - 1`` in the same
+    series ``part``) both match; grouped by ``report`` columns (default: the series).
+    The previous poll is found by a join on the poll index, not by a window."""
+    p = polls.withColumn("_m", match)
+    prev = p.select(*part, (F.col(pos) + 1).alias(pos), F.col("_m").alias("_pm"))
+    j = p.join(prev, [*part, pos], "left")
+    return j.filter(F.col("_m") & F.col("_pm")).groupBy(*(report or part)).agg(F.min(ts).alias("drained_at"))

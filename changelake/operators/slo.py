@@ -64,19 +64,24 @@ def burn_rate(per_minute: DataFrame, slo: float, by: str = "table", windows=((60
     return out
 
 
-def alert_episodes(series: DataFrame, cond: Column, hold_minutes: int, by: list[str] | None = None) -> DataFrame:
+def alert_episodes(series: DataFrame, cond: Column, hold_minutes: int, by: list[str] | None = None,
+                   block_minutes: int = 1440) -> DataFrame:
     """Firing episodes of an alert with a ``for`` hold time.
 
     ``series`` has one row per evaluated minute ``m``; minutes without a row
     are missing samples and end an episode. An episode is a run of consecutive
     minutes where ``cond`` holds; it fires once the condition has held for
-    ``hold_minutes`` (at ``start + hold``). Gaps-and-islands: ``m - row_number``
-    is constant along a run.
+    ``hold_minutes`` (at ``start + hold``). A run starts where the previous
+    minute did not hold (a join on ``m - 1``); every minute of a run finds its
+    start as the running maximum of run starts (a blocked scan, one task per day).
     """
+    from changelake.functions.scan import running
     by = by or []
-    t = series.filter(cond)
-    w = Window.partitionBy(*by).orderBy("m")
-    t = t.withColumn("_island", F.col("m") - F.row_number().over(w))
+    t = series.filter(cond).select(*by, "m")
+    prev = t.select(*by, (F.col("m") + 1).alias("m"), F.lit(True).alias("_prev"))
+    t = t.join(prev, [*by, "m"], "left").withColumn(
+        "_start", F.when(F.col("_prev").isNull(), F.col("m")))
+    t = running(t, by, "m", {"_island": ("max", "_start")}, block_minutes)
     isl = t.groupBy(*by, "_island").agg(F.min("m").alias("start_m"), F.max("m").alias("end_m"))
     isl = isl.withColumn("held_minutes", F.col("end_m") - F.col("start_m") + 1) \
              .filter(F.col("held_minutes") > F.lit(hold_minutes))

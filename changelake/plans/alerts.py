@@ -8,9 +8,9 @@ length is the time range, not the number of events.
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from changelake.functions.scan import running
 from changelake.operators.metrics import lag_seconds
 from changelake.operators.slo import alert_episodes, minute_index
 from changelake.plans import fixtures as fx
@@ -52,14 +52,20 @@ def minute_series(spark, sf_dir):
     a1 = app.agg(F.max("m")).first()[0]
     spine = spark.range(r0, max(r1, a1) + 1).withColumnRenamed("id", "m")   # one row per minute
     s = spine.join(rec, "m", "left").join(app, "m", "left").fillna(0, subset=["n_rec", "n_bad", "n_good", "n_app"])
-    w = Window.orderBy("m").rowsBetween(Window.unboundedPreceding, 0)
-    w5 = Window.orderBy("m").rangeBetween(-4, 0)
+    # running totals per day-block with a carry (no single-task window over the series)
+    s = running(s, [], "m", {"_good": ("sum", "n_good"), "_app": ("sum", "n_app"), "_bad": ("sum", "n_bad"),
+                             "_last": ("max", "last_ms")}, 1440)
+    # trailing 5-minute sums: each minute contributes to itself and the next four
+    # (the expansion Spark's sliding window() performs), then one aggregate per minute
+    w5 = (s.select(F.explode(F.sequence(F.col("m"), F.col("m") + 4)).alias("m"), "n_bad", "n_rec")
+          .groupBy("m").agg(F.sum("n_bad").alias("_bad5"), F.sum("n_rec").alias("_rec5")))
+    s = s.join(w5, "m", "left")
     return s.select(
         "m", "n_rec", "n_bad", "n_good", "n_app", "p99",
-        (F.sum("n_good").over(w) - F.sum("n_app").over(w)).alias("consumer_lag"),
-        F.sum("n_bad").over(w).alias("dlq_depth"),
-        ((F.col("m") + 1) * 60000 - F.max("last_ms").over(w)).alias("staleness_ms"),
-        F.try_divide(F.sum("n_bad").over(w5).cast("double"), F.sum("n_rec").over(w5).cast("double")).alias("error_rate"))
+        (F.col("_good") - F.col("_app")).alias("consumer_lag"),
+        F.col("_bad").alias("dlq_depth"),
+        ((F.col("m") + 1) * 60000 - F.col("_last")).alias("staleness_ms"),
+        F.try_divide(F.col("_bad5").cast("double"), F.col("_rec5").cast("double")).alias("error_rate"))
 
 
 # The six alert rules — condition on the minute series and hold time.

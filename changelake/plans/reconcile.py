@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from changelake.functions.scalar import row_text
+from changelake.functions.scan import running
 from changelake.operators import reconcile as R
 from changelake.operators.decode import decode, good_events
 from changelake.operators.gate import DOC_INPUT, compact
@@ -159,7 +160,6 @@ def drained_at_q(spark, sf_dir):
     """Polls every 2 minutes of source-committed vs target-applied counts; per day, the
     first poll where two consecutive polls matched. Counts are bucketed per poll first, so
     the window runs over the poll series (as long as the time range), not over events."""
-    from pyspark.sql import Window
     g = fx.good(spark, sf_dir).select("source_ts_ms", "ts_ms")
     t0 = g.agg(F.min("source_ts_ms")).first()[0]
     step = POLL_SECONDS * 1000
@@ -170,11 +170,11 @@ def drained_at_q(spark, sf_dir):
     last = e.agg(F.max("pt")).first()[0]
     spine = spark.range(0, last + 1).withColumnRenamed("id", "k")   # one row per poll of the time range
     c = spine.join(ns, "k", "left").join(nt, "k", "left").fillna(0, subset=["ns", "nt"])
-    w = Window.orderBy("k")
-    cum = c.select("k", F.sum("ns").over(w).alias("src_count"), F.sum("nt").over(w).alias("tgt_count"))
+    # running counts per block of a day's polls, carried across blocks
+    cum = running(c, [], "k", {"src_count": ("sum", "ns"), "tgt_count": ("sum", "nt")}, 86400 // POLL_SECONDS)
     t = F.timestamp_millis(F.lit(t0) + F.col("k") * F.lit(step))
     polls = cum.withColumn("poll_ts", t).withColumn("day", F.to_date(t))
-    return R.drained_at(polls, [], "poll_ts", F.col("src_count") == F.col("tgt_count"),
+    return R.drained_at(polls, [], "k", "poll_ts", F.col("src_count") == F.col("tgt_count"),
                         report=["day"]).select("day", "drained_at")
 
 
