@@ -97,3 +97,25 @@ def running(df: DataFrame, keys: list[str], pos: str, specs: dict[str, tuple[str
         inner, carry = F.col("_in_" + out), F.col("_carry_" + out)
         outs.append((inner + F.coalesce(carry, F.lit(0)) if fn == "sum" else F.greatest(inner, carry)).alias(out))
     return j.select(*df.columns, *outs)
+
+
+def trailing(df: DataFrame, keys: list[str], pos: str, specs: dict[str, tuple[str, str]],
+             width: int, block_size: int) -> DataFrame:
+    """Trailing range aggregates over positions ``pos - width + 1 .. pos`` within ``keys``
+    (``specs``: output -> (``"sum"`` | ``"max"``, column)), partitioned by (keys, block).
+
+    Rows in the last ``width - 1`` positions of a block are also copied into the next
+    block as halo rows, so every window is complete inside its block; halo rows only
+    feed windows and are dropped from the output. Extra rows: about width / block_size.
+    """
+    if width - 1 > block_size:
+        raise ValueError("width must not exceed block_size + 1")
+    fns = {"sum": F.sum, "max": F.max}
+    blk = F.floor(F.col(pos) / F.lit(block_size))
+    base = df.withColumn("_blk", blk).withColumn("_halo", F.lit(False))
+    halo = (df.withColumn("_blk", blk + 1).withColumn("_halo", F.lit(True))
+            .filter(F.col(pos) >= F.col("_blk") * F.lit(block_size) - F.lit(width - 1)))
+    u = base.unionByName(halo)
+    w = Window.partitionBy(*keys, "_blk").orderBy(pos).rangeBetween(-(width - 1), 0)
+    outs = [fns[fn](col).over(w).alias(out) for out, (fn, col) in specs.items()]
+    return u.select(*df.columns, "_halo", *outs).filter(~F.col("_halo")).drop("_halo")

@@ -54,13 +54,17 @@ def burn_rate(per_minute: DataFrame, slo: float, by: str = "table", windows=((60
 
     ``per_minute`` has ``(by, m, total, bad)``; a window of W minutes covers
     minutes m-W+1..m. ``page_<W>m`` is set when the rate reaches its threshold.
+    Trailing sums are computed per (table, day) with halo rows (``scan.trailing``).
     """
+    from changelake.functions.scan import trailing
     out = per_minute
+    budget = F.lit(round(1.0 - slo, 12))
     for mins, threshold in windows:
-        w = Window.partitionBy(by).orderBy("m").rangeBetween(-(mins - 1), 0)
-        rate = F.try_divide(F.sum("bad").over(w).cast("double"), F.sum("total").over(w).cast("double")) \
-            / F.lit(round(1.0 - slo, 12))
-        out = out.withColumn(f"burn_{mins}m", rate).withColumn(f"page_{mins}m", rate >= F.lit(threshold))
+        out = trailing(out, [by], "m", {f"_bad{mins}": ("sum", "bad"), f"_tot{mins}": ("sum", "total")},
+                       mins, 1440)
+        rate = F.try_divide(F.col(f"_bad{mins}").cast("double"), F.col(f"_tot{mins}").cast("double")) / budget
+        out = out.withColumn(f"burn_{mins}m", rate).withColumn(f"page_{mins}m", rate >= F.lit(threshold)) \
+                 .drop(f"_bad{mins}", f"_tot{mins}")
     return out
 
 

@@ -215,3 +215,20 @@ def test_running_aggregates_equal_plain_windows(spark):
         assert sorted(got.collect()) == want
     single = running(df.filter("k = 'a'"), [], "m", {"s": ("sum", "x")}, 13).select("m", "s")
     assert sorted(single.collect()) == sorted((r["m"], r["s"]) for r in want if r["k"] == "a")
+
+
+def test_trailing_equals_plain_range_window(spark):
+    import random
+
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from changelake.functions.scan import trailing
+    rnd = random.Random(9)
+    rows = [(k, m, rnd.randint(0, 5)) for k in ("a", "b") for m in sorted(rnd.sample(range(500), 150))]
+    df = spark.createDataFrame(rows, "k string, m long, x long")
+    for width, bs in ((1, 10), (5, 7), (60, 100), (11, 10)):
+        w = Window.partitionBy("k").orderBy("m").rangeBetween(-(width - 1), 0)
+        want = sorted(df.select("k", "m", F.sum("x").over(w).alias("s")).collect())
+        got = sorted(trailing(df, ["k"], "m", {"s": ("sum", "x")}, width, bs).select("k", "m", "s").collect())
+        assert got == want
