@@ -19,7 +19,7 @@ from changelake.schemas import CHANGELOG_SCHEMA
 def read_changelog(spark: SparkSession, path_or_servers: str, pattern: str = ".*",
                    stream: bool = False, fmt: str = "parquet", starting_offsets: str | None = None,
                    ending_offsets: str | None = None, max_files_per_trigger: int | None = None,
-                   offset_range: tuple[int, int] | None = None) -> DataFrame:
+                   offset_range: tuple[int, int] | None = None, tables=None) -> DataFrame:
     """Every topic matching ``pattern`` as one log (stream or bounded).
 
     ``fmt="kafka"`` subscribes by pattern (needs the Kafka package); other
@@ -39,7 +39,12 @@ def read_changelog(spark: SparkSession, path_or_servers: str, pattern: str = ".*
     if stream and max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))   # T5: bounded batch size
     df = r.load(path_or_servers)
-    df = df.filter(F.col("topic").rlike(f"^(?:{pattern})$"))
+    if tables is not None:
+        # a log published per table (``write_changelog``) is pruned by directory
+        col = F.col("table") if "table" in df.columns else table_of("topic")
+        df = df.filter(col.isin(*tables))
+    if pattern not in (".*", ".+"):
+        df = df.filter(F.col("topic").rlike(f"^(?:{pattern})$"))
     if offset_range is not None and not stream:   # S2: a bounded slice [start, end) per partition
         df = df.filter((F.col("offset") >= offset_range[0]) & (F.col("offset") < offset_range[1]))
     return df
