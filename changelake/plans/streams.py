@@ -12,8 +12,8 @@ from changelake.plans.sql_fixtures import LATEST_CTE, TYPED_DOC_SELECT, with_log
 from changelake.session import scratch_dir
 from changelake.sources.state_store import StateStore
 from changelake.streaming.apply import stream_apply
-from changelake.streaming.gate_stream import (collect_updates, dedup_within_watermark, final_of_updates,
-                                              gate_stream, stream_source, windowed_counts)
+from changelake.streaming.gate_stream import (collect_updates, dedup_keyed, dedup_within_watermark,
+                                              final_of_updates, gate_stream, stream_source, windowed_counts)
 
 CHUNKS = 4
 
@@ -107,3 +107,17 @@ def stream_progress_q(spark, sf_dir):
     per_batch = spark.createDataFrame(rows, "batch_id long, records long, good long, rejected long, tombstones long")
     return per_batch.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c)
                            for c in ("records", "good", "rejected", "tombstones")])
+
+
+@query("stream_dedup_keyed", with_log("""
+SELECT DISTINCT CAST(user_id AS VARCHAR) AS pk, lsn, ts AS event_time FROM good
+"""))
+def stream_dedup_keyed_q(spark, sf_dir):
+    """T13 (keyed): replays of a record dropped in the stream, state evicted by watermark."""
+    src = log_files(spark, sf_dir)
+    out = scratch_dir(spark, "dedup-keyed")
+    d = dedup_keyed(stream_source(spark, src)).select("pk", "lsn", F.col("timestamp").alias("event_time"))
+    q = (d.writeStream.outputMode("append").option("checkpointLocation", scratch_dir(spark, "dedup-keyed-ck"))
+         .format("parquet").option("path", out).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
