@@ -98,9 +98,9 @@ def stream_progress_q(spark, sf_dir):
              .foreachBatch(lambda df, bid: df.write.mode("overwrite").parquet(scratch_dir(spark, f"decoded-{bid}")))
              .trigger(availableNow=True).start())
         q.awaitTermination()
-        last = q.lastProgress
-        if last is not None:
-            collector.wait_for(last["batchId"])
+        reported = [p["batchId"] for p in q.recentProgress if name in (p.get("observedMetrics") or {})]
+        if reported:
+            collector.wait_for(max(reported))
     finally:
         spark.streams.removeListener(collector)
     rows = [(r["batch_id"], r["records"], r["good"], r["rejected"], r["tombstones"]) for r in collector.rows]
