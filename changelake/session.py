@@ -55,3 +55,30 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         spark.sparkContext.setCheckpointDir(base)
     path = os.path.join(base, f"{purpose}-{uuid.uuid4().hex[:12]}")
     return path
+
+
+def recommended_conf(input_bytes: int, state_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a cluster run, sized from the data instead of defaults.
+
+    * shuffle partitions: enough that the largest shuffle (about the input) lands near
+      200 MB per task, at least 3 waves of the cluster's cores; AQE coalesces smaller
+      stages down to the advisory size and splits skewed partitions of joins;
+    * file splits of 256 MB for scans;
+    * streaming aggregation state (``gate_stream``) in RocksDB, not on the JVM heap;
+    * ``state_buckets``: number of state-store buckets so one bucket's file is ~512 MB —
+      a batch then rewrites only the buckets it touches, each in one task.
+    """
+    mb = 1 << 20
+    shuffle = max(cores * 3, int(input_bytes / (200 * mb)) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * mb),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(256 * mb),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.session.timeZone": "UTC",
+        "state_buckets": str(max(16, int(state_bytes / (512 * mb)) + 1)),
+    }

@@ -40,3 +40,11 @@ def test_error_budget_tiers(spark):
     df = spark.createDataFrame([(100000, 10), (100000, 45), (100000, 60)], "processed long, errors long")
     tiers = [r["tier"] for r in slo.error_budget(df, 0.9995).orderBy("errors").collect()]
     assert tiers == ["normal", "feature-freeze", "slo-violated"]
+
+
+def test_recommended_conf_scales_with_data():
+    from changelake.session import recommended_conf
+    small = recommended_conf(10 << 20, 1 << 20, 8)
+    big = recommended_conf(100 << 40, 20 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24 and int(small["state_buckets"]) == 16
+    assert int(big["spark.sql.shuffle.partitions"]) > 500_000 and int(big["state_buckets"]) > 40_000
