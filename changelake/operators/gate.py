@@ -123,7 +123,10 @@ def merge_set(events: DataFrame, state: DataFrame | None = None,
     the last applied delete of the key; per field the highest-LSN value wins.
     Returns state rows (``_id, table, pk, sourceLsn, schemaVersion, _deleted, doc``).
     """
-    cl = classify_events(events, state, block_size).filter(F.col("status") == "applied")
+    # only stored rows of keys this batch touches take part in classification and the
+    # base document; the final gate merge still sees every stored row
+    batch_state = None if state is None else state.join(events.select(*KEY).distinct(), KEY, "left_semi")
+    cl = classify_events(events, batch_state, block_size).filter(F.col("status") == "applied")
     last = cl.groupBy(*KEY).agg(
         F.max_by(F.struct("op", "lsn", "ts_ms", "partition", "offset"), F.col("lsn")).alias("_win"),
         F.max(F.when(F.col("op") == "d", F.col("lsn"))).alias("_del"))
@@ -137,7 +140,7 @@ def merge_set(events: DataFrame, state: DataFrame | None = None,
               .groupBy(*KEY).agg(F.map_from_entries(F.collect_list(F.struct("f", "v"))).alias("_set")))
     merged = last.join(fields, KEY, "left")
     if state is not None:
-        st = state.select("table", "pk", F.col("doc").alias("_old"), F.col("_deleted").alias("_old_del"))
+        st = batch_state.select("table", "pk", F.col("doc").alias("_old"), F.col("_deleted").alias("_old_del"))
         merged = merged.join(st, KEY, "left")
         base = F.when(F.col("_del").isNull() & ~F.coalesce(F.col("_old_del"), F.lit(True)), F.col("_old"))
     else:
