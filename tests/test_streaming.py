@@ -69,3 +69,18 @@ def test_bounded_read_by_pattern_and_offsets(spark):
         .write.mode("overwrite").parquet(src)
     got = read_changelog(spark, src, pattern=r"cdc\.users", offset_range=(2, 6))
     assert sorted(r["offset"] for r in got.collect()) == [2, 3, 4, 5]
+
+
+def test_stream_apply_set_mode_merges_partial_images(spark):
+    src = tempfile.mkdtemp(dir="/tmp")
+    batches = [[(1, 1, "c", {"id": 1, "a": "x", "b": "y"})], [(1, 2, "u", {"id": 1, "b": "z"})],
+               [(1, 3, "u", {"id": 1, "c": None})]]
+    for i, batch in enumerate(batches):
+        log_df(spark, [("cdc.users", 0, i, key(pk), envelope(op, lsn, after=after))
+                       for pk, lsn, op, after in batch]).write.mode("append").parquet(src)
+    store = StateStore(spark, tempfile.mkdtemp(dir="/tmp"), buckets=4)
+    q = A.stream_apply(spark, src, store, os.path.join(tempfile.mkdtemp(dir="/tmp"), "ck"),
+                       max_files_per_trigger=1, mode="set")
+    q.awaitTermination()
+    (doc,) = [dict(r["doc"]) for r in store.current().collect()]
+    assert doc == {"id": "1", "a": "x", "b": "z", "c": None}
