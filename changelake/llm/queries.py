@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.llm import simhash
+from changelake.llm import bpe, quality, simhash
+from changelake.llm.common import crc_fold
 from changelake.session import read_table
 
 QUERIES: dict = {}
@@ -22,3 +24,22 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs)
     return found.select("doc_id", simhash.hex64("fp").alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held_out = crc_fold("doc_id", 4) == 2
+    model = quality.fit(quality.labelled_rows(docs, labels, where=~held_out))
+    return docs.select("doc_id", held_out.alias("held_out"), quality.scorer(model, spark)("text").alias("score")) \
+        .withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
+@query
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = bpe.decode(bpe.encode(docs, vocabulary).drop("text"), vocabulary)
+    return rows.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2("bytes", 256).alias("decoded_sha256"))
