@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.llm import bpe, quality, simhash
+from changelake.llm import bpe, mixing, pii, quality, simhash
 from changelake.llm.common import crc_fold
 from changelake.session import read_table
 
@@ -19,6 +19,23 @@ def query(fn):
     return fn
 
 
+@query
+def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op1_mix"] = mixing.oracle("documents", "doc_id, text, lang, source, n_chars")
+
+
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [pii.count_kind("base", k).alias(f"n_{k}") for k in pii.KINDS]
+    return found.select(F.col("id").alias("doc_id"), *counts,
+                        F.sha2(pii.listed("base").cast("binary"), 256).alias("base_sha256"),
+                        pii.listed("spans").alias("spans"))
+
+
 @query
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
