@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,8 +39,10 @@ CHUNK = 32_768
 OVERLAP = 1_024
 #: The longest look-ahead of a pre-token decision: a contraction such as 're.
 MARGIN = 3
-#: Pre-tokens kept by a worker; beyond it the cache starts anew.
-CACHE = 400_000
+#: Pre-tokens in each of the two generations that a worker keeps.
+CACHE = 500_000
+#: Stands for a pair that has no rank.
+NEVER = 1 << 31
 
 
 @dataclass(frozen=True)
@@ -62,21 +65,18 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         return [ranks[piece]]
     if len(piece) > 48:
         return _merge_long(piece, ranks)
+    get = ranks.get
     parts = [piece[i:i + 1] for i in range(len(piece))]
-    pairs = [ranks.get(piece[i:i + 2]) for i in range(len(piece) - 1)]
-    while True:
-        best, at = None, -1
-        for i, r in enumerate(pairs):
-            if r is not None and (best is None or r < best):
-                best, at = r, i
-        if best is None:
-            return [ranks[p] for p in parts]
-        parts[at:at + 2] = [parts[at] + parts[at + 1]]
+    pairs = [get(piece[i:i + 2], NEVER) for i in range(len(piece) - 1)]
+    while pairs and (best := min(pairs)) < NEVER:
+        at = pairs.index(best)
+        parts[at] = joined = parts[at] + parts.pop(at + 1)
         del pairs[at]
         if at:
-            pairs[at - 1] = ranks.get(parts[at - 1] + parts[at])
+            pairs[at - 1] = get(parts[at - 1] + joined, NEVER)
         if at < len(pairs):
-            pairs[at] = ranks.get(parts[at] + parts[at + 1])
+            pairs[at] = get(joined + parts[at + 1], NEVER)
+    return [ranks[p] for p in parts]
 
 
 def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -106,17 +106,22 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Cache(dict):
-    """Pre-token -> its ids as little-endian 32-bit bytes."""
+    """Pre-token -> its ids as 32-bit bytes. When it is full its entries become the old
+    generation, from which those that occur again come back."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
         self.pattern = regex.compile(vocabulary.pattern)
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, token: str) -> bytes:
-        ids = np.array(merge(token.encode(), self.vocabulary.ranks), "<i4").tobytes()
+        ids = self.old.get(token)
+        if ids is None:
+            ids = array("i", merge(token.encode(), self.vocabulary.ranks)).tobytes()
         if len(token) <= 64:
             if len(self) >= CACHE:
+                self.old = dict(self)
                 self.clear()
             self[token] = ids
         return ids
@@ -139,7 +144,7 @@ def _cache(shared) -> _Cache:
 
 def _as_lists(encoded: list[bytes]) -> pa.Array:
     sizes = np.array([len(e) // 4 for e in encoded], np.int64)
-    values = np.frombuffer(b"".join(encoded), "<i4")
+    values = np.frombuffer(b"".join(encoded), np.int32)
     offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
 
