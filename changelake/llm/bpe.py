@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from array import array
 from dataclasses import dataclass
 
@@ -33,14 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from changelake.llm.common import fresh, stable
+from changelake.llm.common import fresh, small_batches, stable
 
 CHUNK = 32_768
 OVERLAP = 1_024
 #: The longest look-ahead of a pre-token decision: a contraction such as 're.
 MARGIN = 3
 #: Pre-tokens in each of the two generations that a worker keeps.
-CACHE = 500_000
+CACHE = 300_000
 #: Stands for a pair that has no rank.
 NEVER = 1 << 31
 
@@ -105,6 +106,14 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+def ascii_pattern(pattern: str) -> re.Pattern | None:
+    """What the pattern means on ASCII text, for the standard library's faster matcher; None
+    if it uses a property other than letters and numbers."""
+    plain = re.sub(r"\[[^\]]*\]", lambda m: m[0].replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9"), pattern)
+    plain = plain.replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]")
+    return None if r"\p" in plain.lower() else re.compile(plain, re.ASCII)
+
+
 class _Cache(dict):
     """Pre-token -> its ids as 32-bit bytes. When it is full its entries become the old
     generation, from which those that occur again come back."""
@@ -113,6 +122,7 @@ class _Cache(dict):
         super().__init__()
         self.vocabulary = vocabulary
         self.pattern = regex.compile(vocabulary.pattern)
+        self.ascii = ascii_pattern(vocabulary.pattern) or self.pattern
         self.old: dict[str, bytes] = {}
 
     def __missing__(self, token: str) -> bytes:
@@ -127,7 +137,8 @@ class _Cache(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.pattern.findall(text)))
+        pattern = self.ascii if text.isascii() else self.pattern
+        return b"".join(map(self.__getitem__, pattern.findall(text)))
 
 
 _CACHES: dict[int, _Cache] = {}
@@ -184,6 +195,7 @@ def _borders(shared, chunk: int, overlap: int):
 def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out_col: str = "ids",
            chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """``docs`` with the column ``out_col`` (array of int) added."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     ids = _encoder(shared)
     length = F.coalesce(F.length(text_col), F.lit(0))

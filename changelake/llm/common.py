@@ -24,6 +24,14 @@ def fresh(df: DataFrame, base: str) -> str:
     return name
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most ``rows`` rows: a row may be a whole document, and a task's
+    memory follows the batch."""
+    now = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if now <= 0 or now > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def text_or_empty(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

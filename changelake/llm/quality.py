@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changelake.llm.common import by_slice, uniform
+from changelake.llm.common import by_slice, small_batches, uniform
 
 BITS = 16
 DIM = 8
@@ -189,6 +189,7 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "quality",
 def scorer(model: Model, spark):
     """Column function: text -> score in [0, 1]. The model (a few hundred kB, a fixed size)
     is broadcast."""
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")

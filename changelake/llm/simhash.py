@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changelake.llm.common import fresh, stable, utf8
+from changelake.llm.common import fresh, small_batches, stable, utf8
 
 SHINGLE_WORDS = 3
 MAX_DISTANCE = 2
@@ -160,6 +160,7 @@ def _same(x: DataFrame, y: DataFrame) -> bool:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
                     distance: int = MAX_DISTANCE, blocks: int = BLOCKS, pairwise: int = PAIRWISE_MEMBERS) -> DataFrame:
     """One row per input row: ``id_col``, ``fp`` (bigint), ``component`` (smallest id reachable)."""
+    small_batches(docs.sparkSession)
     prints = stable(docs.select(F.col(id_col).alias("id"), fingerprint(words)(F.col(text_col)).alias("fp")))
     owners = stable(prints.groupBy("fp").agg(F.min("id").alias("first")))
     roots = components(links(owners.select("fp"), distance, blocks, pairwise))
