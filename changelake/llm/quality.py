@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changelake.llm.common import by_slice, small_batches, uniform
@@ -159,31 +159,38 @@ def train(texts: list[bytes], labels: np.ndarray, share: float, epochs: int = 8,
                  float(bias[1] - bias[0]) + prior - float(np.log(odds[1] / odds[0])))
 
 
-def sample(labelled: DataFrame, text_col: str, label_col: str, rows: int = SAMPLE_ROWS,
-           size: int = SAMPLE_BYTES, seed: int = 11) -> tuple[list[bytes], np.ndarray, float]:
+def sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str, where: Column | None = None,
+           rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES, seed: int = 11) -> tuple[list[bytes], np.ndarray, float]:
     """At most ``rows`` labelled texts, about as many of each class, ``size`` characters of
-    each from a hash-chosen place, and class 1's share among all labelled rows."""
-    usable = labelled.select(F.coalesce(F.col(text_col), F.lit("")).alias("t"), F.col(label_col).cast("int").alias("y"),
-                             "key").where("y in (0, 1)")
-    counts = {r.y: r.n for r in usable.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    each from a hash-chosen place, and class 1's share among all labelled rows. Ids and
+    labels are joined without texts; only the picked rows' texts are read then."""
+    ids = docs if where is None else docs.where(where)
+    ids = ids.select(F.col(id_col).alias("id"))
+    marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)")
+    marked = ids.join(marks, "id")
+    counts = {r.y: r.n for r in marked.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return [], np.empty(0, np.int64), 0.5
-    u, v = uniform("key", seed=seed), uniform("key", seed=seed + 1)
+    share = counts.get(1, 0) / sum(counts.values())
     quota = F.create_map(*(x for y, n in counts.items() for x in (F.lit(y), F.lit(rows / 2 / n))))[F.col("y")]
-    start = (F.floor(v * F.greatest(F.length("t") - size + 1, F.lit(1))) + 1).cast("int")
-    found = usable.withColumn("u", u).where(F.col("u") < quota) \
-        .select("u", "y", F.substring("t", start, F.lit(size)).alias("t"), "key").orderBy("u", "key", "y", "t") \
-        .limit(rows).collect()
-    return ([r.t.encode() for r in found], np.array([r.y for r in found], np.int64),
-            counts.get(1, 0) / sum(counts.values()))
-
-
-def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "quality", key_col: str = "doc_id",
-        rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) -> Model:
-    """A model from labelled rows; ``key_col`` only picks the sample."""
-    texts, labels, share = sample(labelled.select(text_col, label_col, F.col(key_col).cast("string").alias("key")),
-                                  text_col, label_col, rows, size)
-    return train(texts, labels, share)
+    picked = marked.withColumn("u", uniform("id", seed=seed)).where(F.col("u") < quota) \
+        .orderBy("u", "id", "y").limit(rows).collect()
+    if not picked:
+        return [], np.empty(0, np.int64), share
+    chosen = F.broadcast(docs.sparkSession.createDataFrame([(r.id, r.y, r.u) for r in picked], marked.schema.add("u", "double")))
+    text = F.coalesce(docs[text_col], F.lit(""))
+    start = F.floor(uniform("id", seed=seed + 1) * F.greatest(F.length(text) - size + 1, F.lit(1))) + 1
+    found = docs.join(chosen, docs[id_col] == chosen["id"]) \
+        .select("u", "id", "y", F.substring(text, start.cast("int"), F.lit(size)).alias("t")) \
+        .orderBy("u", "id", "y", "t").limit(rows).collect()
+    return [r.t.encode() for r in found], np.array([r.y for r in found], np.int64), share
+
+
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text",
+        where: Column | None = None, rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) -> Model:
+    """A model from the documents that have a label and satisfy ``where``; the id joins the
+    labels and picks the sample, nothing else."""
+    return train(*sample(docs, labels, label_col, id_col, text_col, where, rows, size))
 
 
 def scorer(model: Model, spark):
@@ -199,13 +206,3 @@ def scorer(model: Model, spark):
         return pa.array(1 / (1 + np.exp(-np.clip(logits, -500, 500))), pa.float64())
 
     return quality_score
-
-
-def labelled_rows(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
-                  text_col: str = "text", where=None) -> DataFrame:
-    """Documents that have a label: (id, text, label)."""
-    marks = labels.select(F.col(id_col).alias("label_id"), F.col(label_col).alias("label_y")).where("label_y is not null")
-    rows = docs.select(id_col, text_col)
-    if where is not None:
-        rows = rows.where(where)
-    return rows.join(marks, F.col(id_col) == F.col("label_id")).select(id_col, text_col, F.col("label_y").alias(label_col))

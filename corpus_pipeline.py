@@ -22,7 +22,7 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     labels = read_table(spark, sf_dir, "labels")
-    model = quality.fit(quality.labelled_rows(docs, labels))
+    model = quality.fit(docs, labels)
     score = fresh(docs, "quality_score")
     scored = docs.withColumn(score, quality.scorer(model, spark)(F.col("text")))
     return scored.where(F.col(score) >= quality.THRESHOLD).drop(score)
