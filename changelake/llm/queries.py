@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.llm import bpe, mixing, pii, quality, simhash
+from changelake.llm import bpe, cws, langid, mixing, pii, quality, simhash
 from changelake.llm.common import crc_fold
 from changelake.session import read_table
 
@@ -27,6 +27,15 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op1_mix"] = mixing.oracle("documents", "doc_id, text, lang, source, n_chars")
 
 
+@query
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = crc_fold("doc_id", 3) == 1
+    net = langid.fit(docs.where(~held_out))
+    return langid.predict(docs.select("doc_id", "text", held_out.alias("held_out")), net) \
+        .select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -47,7 +56,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     held_out = crc_fold("doc_id", 4) == 2
-    model = quality.fit(quality.labelled_rows(docs, labels, where=~held_out))
+    model = quality.fit(docs, labels, where=~held_out)
     return docs.select("doc_id", held_out.alias("held_out"), quality.scorer(model, spark)("text").alias("score")) \
         .withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
 
@@ -60,3 +69,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
                        F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+@query
+def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cws.compare_with_next(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumnRenamed("id", "doc_id")
