@@ -88,7 +88,3 @@ def by_slice(column: pa.Array, work: Callable[[np.ndarray, np.ndarray], np.ndarr
     data, offsets = utf8(column)
     out = [work(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]) for a, b in slices(offsets)]
     return np.concatenate(out) if out else work(data, offsets)
-
-
-def count_rows(spark: SparkSession, df: DataFrame) -> int:
-    return df.agg(F.count(F.lit(1))).first()[0]

@@ -6,9 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.llm import bpe, cws, langid, mixing, pii, quality, simhash
+from changelake.llm import bpe, cws, langid, mixing, neighbours, pii, quality, simhash, warc
 from changelake.llm.common import crc_fold
-from changelake.session import read_table
+from changelake.session import read_table, scratch_dir
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +75,30 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = cws.compare_with_next(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "warc")
+    warc.write_archives(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    whole = F.col("payload").isNotNull()
+    return warc.read_archives(spark, path).select(
+        F.col("page").cast("bigint").alias("page_id"),
+        F.when(whole, F.octet_length("payload").cast("bigint")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(whole, F.sha2("payload", 256)).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
+
+
+ORACLES["op4_warc"] = """
+    WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+    f AS (SELECT d, min(page_id) AS lead FROM p WHERE n >= 100 GROUP BY d)
+    SELECT p.page_id, p.n::BIGINT AS payload_bytes, p.d AS payload_digest,
+           CASE WHEN f.lead <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN f.lead <> p.page_id THEN f.lead END AS refers_to
+    FROM p LEFT JOIN f ON p.d = f.d"""
+
+
+@query
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"),
+                              F.col("vec_id") % 100 == 0)
