@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.llm import bpe, cws, langid, mixing, neighbours, pii, quality, simhash, warc
+from changelake.llm import bpe, cws, langid, mixing, neighbours, pii, quality, simhash, substrings, warc
 from changelake.llm.common import crc_fold
 from changelake.session import read_table, scratch_dir
 
@@ -102,3 +102,9 @@ ORACLES["op4_warc"] = """
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"),
                               F.col("vec_id") % 100 == 0)
+
+
+@query
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
