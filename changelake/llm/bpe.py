@@ -25,7 +25,9 @@ import base64
 import heapq
 import re
 from array import array
+from bisect import bisect_left
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -137,8 +139,16 @@ class _Cache(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        pattern = self.ascii if text.isascii() else self.pattern
-        return b"".join(map(self.__getitem__, pattern.findall(text)))
+        return b"".join(map(self.__getitem__, self.tokens(text)))
+
+    def tokens(self, text: str, start: int = 0) -> list[str]:
+        return (self.ascii if text.isascii() else self.pattern).findall(text, start)
+
+    def encode_piece(self, text: str, start: int, stop: int) -> bytes:
+        """Ids between two boundaries; the text beyond ``stop`` stays in sight of the pattern."""
+        tokens = self.tokens(text, start)
+        ends = list(accumulate(map(len, tokens), initial=start))
+        return b"".join(map(self.__getitem__, tokens[:bisect_left(ends, stop)]))
 
 
 _CACHES: dict[int, _Cache] = {}
@@ -168,6 +178,14 @@ def _encoder(shared):
     return bpe_ids
 
 
+def _piece_encoder(shared):
+    @F.arrow_udf("array<int>")
+    def piece_ids(chunks: pa.Array, starts: pa.Array, stops: pa.Array) -> pa.Array:
+        cache = _cache(shared)
+        return _as_lists([cache.encode_piece(*row) for row in zip(chunks.to_pylist(), starts.to_pylist(), stops.to_pylist())])
+    return piece_ids
+
+
 def _chunks(chunk: int, overlap: int):
     @F.arrow_udf("array<string>")
     def cut(texts: pa.Array) -> pa.Array:
@@ -215,7 +233,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out_
         .select("k", "i", "start", "stop", "last", "stitched")
     parts = pieces.select("k", "i", "c").join(marks.where("stitched"), ["k", "i"])
     until = F.when(F.col("last"), F.length("c")).otherwise(F.col("stop") + chunk)
-    encoded = parts.select("k", "i", ids(F.substring(F.col("c"), F.col("start") + 1, until - F.col("start"))).alias("x")) \
+    encoded = parts.select("k", "i", _piece_encoder(shared)("c", "start", until).alias("x")) \
         .groupBy("k").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda p: p["x"])).alias("x"))
     broken = marks.where(~F.col("stitched")).select("k").distinct()
     whole = texts.join(broken, "k", "left_semi").select("k", ids("t").alias("x"))

@@ -123,9 +123,12 @@ def links(prints: DataFrame, distance: int = MAX_DISTANCE, blocks: int = BLOCKS,
         .select("part", F.col("fp").bitwiseXOR(F.col("flip")).alias("mid"), "fp")
     # A midpoint has one member per free bit and itself at most, so the set is bounded.
     met = reach.groupBy("part", "mid").agg(F.collect_set("fp").alias("fps")).where(F.size("fps") > 1)
-    star = met.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).where("a < b")
-    if distance < 2:
-        star = star.where(near)
+    if distance == 2:
+        star = met.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).where("a < b")
+    else:                                # one bit apart: one of the two is the midpoint itself
+        own = met.where(F.array_contains("fps", F.col("mid"))).select("mid", F.explode("fps").alias("other"))
+        star = own.select(F.least("mid", "other").alias("a"), F.greatest("mid", "other").alias("b")).where("a < b") \
+            .where(near)
     return pairs.unionByName(star).distinct()
 
 
