@@ -60,8 +60,12 @@ def iso8601(ts) -> Column:
 
 
 def row_text(*cols: str) -> Column:
-    """Engine-neutral row text: columns cast to string, joined by ``|``, nulls as ``\\N``."""
-    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in cols])
+    """Engine-neutral row text that no two different rows share: each value as text after its
+    length and a colon, nulls as ``-``."""
+    def one(c):
+        text = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+    return F.concat(*map(one, cols))
 
 
 def row_json(*cols: str) -> Column:
@@ -108,6 +112,6 @@ def size_pretty(nbytes) -> Column:
              .otherwise(F.concat(scaled(4), F.lit(" TB"))))
 
 
-def md5_prefix_number(text) -> Column:
-    """First 15 hex digits of md5 as a non-negative number (order-free digest term)."""
-    return F.conv(F.substring(F.md5(_c(text)), 1, 15), 16, 10).cast("decimal(38,0)")
+def md5_number(text, start: int = 1) -> Column:
+    """15 hex digits of md5 from place ``start`` as a non-negative number (order-free digest term)."""
+    return F.conv(F.substring(F.md5(_c(text)), start, 15), 16, 10).cast("decimal(38,0)")

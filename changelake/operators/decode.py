@@ -21,13 +21,10 @@ WS = " \t\n\r"
 
 
 def is_tombstone(value) -> Column:
-    """value null, empty or the text ``null`` (surrounding white space ignored)."""
+    """value null, empty, or the text ``null`` with white space around it. White space
+    alone is not JSON and is rejected as such."""
     v = F.col(value) if isinstance(value, str) else value
-    # only a value that is empty, exactly "null" or starts with white space can be a
-    # tombstone; trimming (a copy of the whole value) is done for those alone
-    t = F.btrim(v, F.lit(WS))
-    padded = F.substring(v, 1, 1).isin(*list(WS))
-    return v.isNull() | (v == "") | (v == "null") | (padded & ((t == "") | (t == "null")))
+    return v.isNull() | (v == "") | (F.btrim(v, F.lit(WS)) == "null")
 
 
 def valid_lsn(lsn_text) -> Column:
@@ -111,15 +108,6 @@ def dead_letters(decoded: DataFrame) -> DataFrame:
                 F.col("offset").alias("source_offset"), F.col("timestamp").alias("ts"))
 
 
-def split_rejects(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good events, dead letters). Persist ``decoded`` first when both are used."""
-    return good_events(decoded), dead_letters(decoded)
-
-
-def drop_tombstones(log: DataFrame) -> DataFrame:
-    return log.filter(~is_tombstone("value"))
-
-
 def dlq_to_log(dlq: DataFrame) -> DataFrame:
     """Dead letters back in change-record shape (their original position kept)."""
     return dlq.select(F.col("source_topic").alias("topic"), F.col("source_partition").alias("partition"),

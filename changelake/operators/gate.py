@@ -28,6 +28,11 @@ def win_order() -> Column:
     return F.struct(F.col("lsn"), (-F.col("partition")).alias("np"), (-F.col("offset")).alias("no"))
 
 
+def _place(side: str) -> Column:
+    """The same order over the fields of a struct column."""
+    return F.struct(F.col(f"{side}.lsn"), (-F.col(f"{side}.partition")).alias("np"), (-F.col(f"{side}.offset")).alias("no"))
+
+
 DOC_INPUT = ["lsn", "op", "after", "ts_ms", "partition", "offset"]
 
 
@@ -115,13 +120,14 @@ def classify_events(events: DataFrame, state: DataFrame | None = None,
 
 
 def merge_set(events: DataFrame, state: DataFrame | None = None,
-              block_size: int | None = DEFAULT_BLOCK) -> DataFrame:
+              block_size: int | None = DEFAULT_BLOCK, versions: Column | int = 1) -> DataFrame:
     """Gated ``$set`` merge of partial images.
 
     Fields absent from a new image survive from the stored document; an
     explicit null overwrites. Only applied events count, and only those after
     the last applied delete of the key; per field the highest-LSN value wins.
-    Returns state rows (``_id, table, pk, sourceLsn, schemaVersion, _deleted, doc``).
+    Returns state rows (``_id, table, pk, sourceLsn, schemaVersion, _deleted, doc``);
+    ``versions`` is the schemaVersion that a written document gets (an expression over ``table``).
     """
     # only stored rows of keys this batch touches take part in classification and the
     # base document; the final gate merge still sees every stored row
@@ -148,8 +154,8 @@ def merge_set(events: DataFrame, state: DataFrame | None = None,
     empty = F.create_map().cast("map<string,string>")
     doc = F.map_concat(F.coalesce(base, empty), F.coalesce(F.col("_set"), empty))
     out = merged.select(
-        doc_id("table", "pk").alias("_id"), "table", "pk",
-        F.col("_win.lsn").alias("sourceLsn"), F.lit(1).alias("schemaVersion"),
+        doc_id("table", "pk").alias("_id"), "table", "pk", F.col("_win.lsn").alias("sourceLsn"),
+        (versions if isinstance(versions, Column) else F.lit(versions)).cast("int").alias("schemaVersion"),
         (F.col("_win.op") == "d").alias("_deleted"),
         F.when(F.col("_win.op") != "d", doc).alias("doc"),
         F.col("_win.ts_ms").alias("appliedTsMs"),
@@ -160,7 +166,7 @@ def merge_set(events: DataFrame, state: DataFrame | None = None,
     return gate_merge(state, out)
 
 
-def merge_lww(events: DataFrame, state: DataFrame | None = None) -> DataFrame:
+def merge_lww(events: DataFrame, state: DataFrame | None = None, versions: Column | int = 1) -> DataFrame:
     """G4 option: per-field last-writer-wins merge of partial images (order-free).
 
     Every field keeps the value of its newest write — higher LSN, on equal LSN the
@@ -168,7 +174,7 @@ def merge_lww(events: DataFrame, state: DataFrame | None = None) -> DataFrame:
     latest delete; the document is live when the key's newest change is not a
     delete. The result depends only on the set of changes, not on their order or on
     how they are cut into batches. Rows carry ``fieldVersion`` (per field: lsn,
-    partition, offset of the kept write) and ``deleteLsn`` so the output can be
+    partition, offset of the kept write) and ``deletedAt`` (the latest delete's place) so the output can be
     passed back as ``state``. Every step is a per-key or per-(key, field) aggregate
     with map-side partial aggregation.
     """
@@ -177,7 +183,7 @@ def merge_lww(events: DataFrame, state: DataFrame | None = None) -> DataFrame:
     heads = ev.drop("after")
     fields = ev.filter(F.col("op") != "d").select(*KEY, "lsn", "partition", "offset",
                                                   F.explode("after").alias("f", "v"))
-    dels = ev.filter(F.col("op") == "d").select(*KEY, F.col("lsn").alias("_d"))
+    dels = ev.filter(F.col("op") == "d").select(*KEY, "lsn", "partition", "offset")
     if state is not None:
         heads = heads.unionByName(state.select(
             "table", "pk", F.col("sourceLsn").alias("lsn"), F.col("lastOp").alias("op"),
@@ -188,12 +194,12 @@ def merge_lww(events: DataFrame, state: DataFrame | None = None) -> DataFrame:
             "table", "pk", F.col("fieldVersion")[F.col("f")]["lsn"].alias("lsn"),
             F.col("fieldVersion")[F.col("f")]["partition"].alias("partition"),
             F.col("fieldVersion")[F.col("f")]["offset"].alias("offset"), "f", "v"))
-        dels = dels.unionByName(state.select(*KEY, F.col("deleteLsn").alias("_d")))
+        dels = dels.unionByName(state.filter(F.col("deletedAt").isNotNull()).select(*KEY, "deletedAt.*"))
     win = heads.groupBy(*KEY).agg(F.max_by(F.struct("op", "lsn", "ts_ms", "partition", "offset"), pos).alias("_w"))
-    horizon = dels.groupBy(*KEY).agg(F.max("_d").alias("_del"))
+    horizon = dels.groupBy(*KEY).agg(F.max_by(F.struct("lsn", "partition", "offset"), pos).alias("_del"))
     best = fields.groupBy(*KEY, "f").agg(F.max_by(F.struct("v", "lsn", "partition", "offset"), pos).alias("_b"))
     kept = (best.join(horizon, KEY, "left")
-            .filter(F.col("_del").isNull() | (F.col("_b.lsn") > F.col("_del")))
+            .filter(F.col("_del").isNull() | (_place("_b") > _place("_del")))
             .groupBy(*KEY).agg(
                 F.map_from_entries(F.collect_list(F.struct("f", F.col("_b.v")))).alias("_doc"),
                 F.map_from_entries(F.collect_list(F.struct(
@@ -204,12 +210,12 @@ def merge_lww(events: DataFrame, state: DataFrame | None = None) -> DataFrame:
     fv_type = "map<string,struct<lsn:bigint,partition:int,offset:bigint>>"
     return out.select(
         doc_id("table", "pk").alias("_id"), "table", "pk", F.col("_w.lsn").alias("sourceLsn"),
-        F.lit(1).alias("schemaVersion"), (~live).alias("_deleted"),
+        (versions if isinstance(versions, Column) else F.lit(versions)).cast("int").alias("schemaVersion"), (~live).alias("_deleted"),
         F.when(live, F.coalesce("_doc", F.create_map().cast("map<string,string>"))).alias("doc"),
         F.col("_w.ts_ms").alias("appliedTsMs"), F.col("_w.partition").alias("_srcPartition"),
         F.col("_w.offset").alias("_srcOffset"), F.col("_w.op").alias("lastOp"),
         F.coalesce("_fv", F.create_map().cast(fv_type)).alias("fieldVersion"),
-        F.col("_del").alias("deleteLsn"))
+        F.col("_del").alias("deletedAt"))
 
 
 def fold_reference(events: DataFrame, block_size: int | None = None) -> DataFrame:

@@ -259,6 +259,20 @@ def apply_two_batches(spark, sf_dir):
     return fx.typed_docs(store.current())
 
 
+@query("apply_restarted", with_log(LATEST_CTE + f"SELECT {TYPED_DOC_SELECT} FROM latest WHERE op <> 'd'"))
+def apply_restarted(spark, sf_dir):
+    """The log applied in batches, again by a second writer whose batch ids begin
+    anew, then vacuumed of markers below every LSN, then its late half once more."""
+    log = fx.events_log(spark, sf_dir).withColumn("late", F.pmod(F.xxhash64("offset"), F.lit(2)) == 1)
+    store = _store(spark, "restarted")
+    for writer in ("first", "second"):
+        for batch, late in enumerate((False, True)):
+            apply_batch(store, log.filter(F.col("late") == late).drop("late"), batch, writer=writer)
+    store.vacuum(horizon_lsn=0)
+    apply_batch(store, log.filter("late").drop("late"), 2, writer="second")
+    return fx.typed_docs(store.current())
+
+
 @query("replay_from", with_log(LATEST_CTE + f"SELECT {TYPED_DOC_SELECT} FROM latest WHERE op <> 'd'"))
 def replay_from_q(spark, sf_dir):
     """State as of an LSN, then the log replayed from that LSN through the gate."""
@@ -298,34 +312,6 @@ def checkpoint_table(spark, sf_dir):
         "max_offset", "max_lsn", "events")
 
 
-@query("batch_outcome", with_log(CLASSIFIED_CTE + """,
-res AS (
-  SELECT date_trunc('hour', ts) AS batch_start, CASE WHEN status = 'applied' THEN 0 ELSE 11000 END AS code
-  FROM classified
-  UNION ALL
-  SELECT date_trunc('hour', ts), 2 FROM log WHERE reason IS NOT NULL AND reason <> 'tombstone')
-SELECT batch_start, 'users' AS table_name, count(*) AS n,
-       count(*) FILTER (WHERE code = 11000) AS n_duplicate_key,
-       count(*) FILTER (WHERE code NOT IN (0, 11000)) AS n_failed,
-       CASE WHEN bool_and(code IN (0, 11000)) THEN 'committed' ELSE 'failed' END AS outcome
-FROM res GROUP BY batch_start
-"""))
-def batch_outcome(spark, sf_dir):
-    """Per hourly batch and table, a batch fails unless every error is a duplicate key."""
-    dec = fx.decoded(spark, sf_dir)
-    good = dec.filter(F.col("error_reason").isNull())
-    cl = gate.classify_events(good.select(*[c for c in good.columns if c not in ("key", "value", "error_reason")]))
-    res = cl.select("timestamp", "table", F.when(F.col("status") == "applied", 0).otherwise(11000).alias("code")) \
-        .unionByName(dec.filter(F.col("error_reason").isNotNull() & (F.col("error_reason") != "tombstone"))
-                     .select("timestamp", "table", F.lit(2).alias("code")))
-    return res.groupBy(F.date_trunc("hour", "timestamp").alias("batch_start"),
-                       F.col("table").alias("table_name")).agg(
-        F.count("*").alias("n"),
-        F.count_if(F.col("code") == 11000).alias("n_duplicate_key"),
-        F.count_if(~F.col("code").isin(0, 11000)).alias("n_failed"),
-        F.when(F.bool_and(F.col("code").isin(0, 11000)), "committed").otherwise("failed").alias("outcome"))
-
-
 @query("vacuum_state", with_log(LATEST_CTE + """,
 h AS (SELECT CAST((min(lsn) + max(lsn)) / 2 AS BIGINT) AS horizon FROM latest)
 SELECT 'users:' || CAST(user_id AS VARCHAR) AS _id, op = 'd' AS _deleted, lsn AS sourceLsn

@@ -83,4 +83,5 @@ ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_ord
 
 def row_text_sql(cols, alias=""):
     p = (alias + ".") if alias else ""
-    return "concat_ws('|', " + ", ".join(f"coalesce(CAST({p}{c} AS VARCHAR), '\\N')" for c in cols) + ")"
+    return "concat(" + ", ".join(
+        f"coalesce(length(CAST({p}{c} AS VARCHAR)) || ':' || CAST({p}{c} AS VARCHAR), '-')" for c in cols) + ")"

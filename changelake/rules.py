@@ -151,25 +151,24 @@ def rule_from_dict(d: dict) -> Rule:
 
 
 def load_rules(directory: str) -> dict[str, Rule]:
-    """Every ``*.json`` (and ``*.yml`` if PyYAML is present) rule in a directory, by table."""
-    try:
-        import yaml  # type: ignore
-    except ImportError:  # pragma: no cover - optional
-        yaml = None
+    """Every rule file (``*.json``, ``*.yml``, ``*.yaml``) in a directory, by table. A rule file
+    that cannot be read and a second rule for a table are errors: a rule is never left out."""
     out: dict[str, Rule] = {}
     for name in sorted(os.listdir(directory)):
-        path = os.path.join(directory, name)
-        if os.path.isdir(path):
+        if not name.endswith((".json", ".yml", ".yaml")):
             continue
-        if name.endswith(".json"):
-            with open(path) as fh:
+        with open(os.path.join(directory, name)) as fh:
+            if name.endswith(".json"):
                 d = json.load(fh)
-        elif name.endswith((".yml", ".yaml")) and yaml is not None:
-            with open(path) as fh:
+            else:
+                try:
+                    import yaml  # type: ignore
+                except ImportError as missing:
+                    raise ValueError(f"{name}: reading YAML rules needs the yaml package") from missing
                 d = yaml.safe_load(fh)
-        else:
-            continue
         r = rule_from_dict(d)
+        if r.table in out:
+            raise ValueError(f"{name}: table {r.table!r} has another rule already")
         out[r.table] = r
     return out
 

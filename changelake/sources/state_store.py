@@ -2,23 +2,26 @@
 
 Layout under ``base``::
 
-    v=<batch>/bucket=<k>/part-*.parquet     documents of bucket k as of <batch>
-    _manifest/<batch>.json                  {bucket: batch that last wrote it}
-    _dlq/batch=<batch>/                     dead letters of the batch
-    _checkpoints/batch=<batch>/             max offset / LSN applied per table, partition
-
-A batch rewrites only the buckets it touches (``pmod(xxhash64(_id), N)``):
-it reads them from the current manifest, merges through the LSN gate, writes
-``v=<batch>`` and then the manifest ``<batch>.json`` last. A batch that dies
-before the manifest leaves nothing visible; re-running the same batch id
-overwrites its own directories, so replays are idempotent, and the gate makes
-a replayed event a no-op anyway. Side outputs are overwritten per batch, never
-blindly appended, so a re-run does not double them.
+    data/<attempt>/bucket=<k>/part-*.parquet    documents of bucket k, written by one attempt
+    commits/<n>.json                            {bucket: attempt}, and the last batch of each writer
+    _dlq/writer=<w>/batch=<b>/                  dead letters of a batch
+    _checkpoints/writer=<w>/batch=<b>/          max offset / LSN applied per table, partition
+
+The store numbers its commits itself; callers' batch ids never name a state. A
+batch reads the buckets it touches (``pmod(xxhash64(_id), N)``) from the newest
+commit, merges them through the LSN gate, writes a new ``data/<attempt>``
+directory and then the next commit. Nothing live is ever overwritten: an attempt
+that dies before its commit leaves only unused files. A commit remembers the last
+batch of its writer (a stream's id), so a batch that is run again after its state
+was committed is recognised; batches without a writer are simply applied again,
+which the gate makes a no-op. A stream that starts anew, dead letters applied
+beside a stream and a vacuum all build on the newest commit.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,46 +46,48 @@ class StateStore:
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.base).getFileSystem(self._conf)
 
-    # -- manifest ---------------------------------------------------------
-    def _manifest_dir(self):
-        return self._Path(self.base + "/_manifest")
-
+    # -- commits ----------------------------------------------------------
     def versions(self) -> list[int]:
-        d = self._manifest_dir()
+        d = self._Path(self.base + "/commits")
         if not self._fs.exists(d):
             return []
-        out = []
-        for st in self._fs.listStatus(d):
-            name = st.getPath().getName()
-            if name.endswith(".json") and not name.startswith("."):
-                out.append(int(name[:-5]))
-        return sorted(out)
-
-    def manifest(self, version: int | None = None) -> dict[int, int]:
-        vs = self.versions()
-        if version is not None:
-            vs = [v for v in vs if v <= version]
+        names = [st.getPath().getName() for st in self._fs.listStatus(d)]
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and not n.startswith("."))
+
+    def _commit_at(self, version: int | None = None) -> dict:
+        """Newest commit, or the newest up to ``version``."""
+        vs = [v for v in self.versions() if version is None or v <= version]
         if not vs:
-            return {}
-        stream = self._fs.open(self._Path(f"{self.base}/_manifest/{vs[-1]}.json"))
+            return {"version": -1, "buckets": {}, "writers": {}}
+        stream = self._fs.open(self._Path(f"{self.base}/commits/{vs[-1]:012d}.json"))
         try:
             reader = self.spark._jvm.java.io.BufferedReader(self.spark._jvm.java.io.InputStreamReader(stream))
             text = reader.readLine()
         finally:
             stream.close()
-        return {int(k): int(v) for k, v in json.loads(text).items()}
-
-    def _write_manifest(self, version: int, m: dict[int, int]) -> None:
-        tmp = self._Path(f"{self.base}/_manifest/.{version}.json.tmp")
-        dst = self._Path(f"{self.base}/_manifest/{version}.json")
-        out = self._fs.create(tmp, True)
+        c = json.loads(text)
+        return {"version": vs[-1], "buckets": {int(k): v for k, v in c["buckets"].items()}, "writers": c["writers"]}
+
+    def _commit(self, prior: dict, buckets: dict[int, str], writer: str | None, batch_id: int | None) -> None:
+        """Publish the next commit by renaming a complete file to a name that is not taken."""
+        writers = dict(prior["writers"])
+        if writer is not None:
+            writers[writer] = max(batch_id, writers.get(writer, batch_id))
+        version = prior["version"] + 1
+        dst = self._Path(f"{self.base}/commits/{version:012d}.json")
+        tmp = self._Path(f"{self.base}/commits/.{version:012d}.{uuid.uuid4().hex}.tmp")
+        out = self._fs.create(tmp, False)
         try:
-            out.write(bytearray(json.dumps({str(k): v for k, v in sorted(m.items())}).encode()))
+            out.write(bytearray(json.dumps({"buckets": {str(k): v for k, v in sorted(buckets.items())},
+                                            "writers": writers}).encode()))
         finally:
             out.close()
-        if self._fs.exists(dst):
-            self._fs.delete(dst, False)
-        self._fs.rename(tmp, dst)
+        if self._fs.exists(dst) or not self._fs.rename(tmp, dst):
+            raise RuntimeError(f"another writer has committed version {version}")
+
+    def committed(self, writer: str | None, batch_id: int | None) -> bool:
+        """Whether the state already holds this writer's batch."""
+        return writer is not None and batch_id <= self._commit_at()["writers"].get(writer, -1)
 
     # -- reads ------------------------------------------------------------
     def _empty(self) -> DataFrame:
@@ -93,26 +98,40 @@ class StateStore:
 
     def read(self, buckets: list[int] | None = None, version: int | None = None) -> DataFrame:
         """All state rows (delete markers included) of the given buckets."""
-        m = self.manifest(version)
-        if buckets is not None:
-            m = {b: v for b, v in m.items() if b in set(buckets)}
-        if not m:
+        return self._rows(self._commit_at(version)["buckets"], buckets)
+
+    def _rows(self, where: dict[int, str], buckets=None) -> DataFrame:
+        paths = [f"{self.base}/data/{d}/bucket={b}" for b, d in sorted(where.items())
+                 if buckets is None or b in set(buckets)]
+        if not paths:
             return self._empty()
-        paths = [f"{self.base}/v={v}/bucket={b}" for b, v in sorted(m.items())]
-        df = self.spark.read.option("basePath", self.base).parquet(*paths)
-        return df.select(*STATE_COLS, F.col("bucket").cast("int"))
+        df = self.spark.read.schema(self._empty().drop("bucket").schema).parquet(*paths)
+        return df.withColumn("bucket", bucket_of("_id", self.buckets))
 
     def current(self, version: int | None = None) -> DataFrame:
         """Live documents only (delete markers dropped)."""
         return self.read(version=version).filter(~F.col("_deleted")).drop("bucket")
 
     # -- writes -----------------------------------------------------------
-    def apply(self, docs: DataFrame, batch_id: int, touched: list[int] | None = None) -> int:
+    def _replace(self, prior: dict, touched, rows: DataFrame, writer=None, batch_id=None) -> None:
+        """Write ``rows`` (with ``bucket``) as the new content of the touched buckets and commit.
+        A bucket that is left without rows leaves the commit."""
+        attempt = uuid.uuid4().hex
+        out = f"{self.base}/data/{attempt}"
+        rows.write.partitionBy("bucket").parquet(out)
+        buckets = {b: d for b, d in prior["buckets"].items() if b not in set(touched)}
+        buckets.update({b: attempt for b in self._written_buckets(out)})
+        self._commit(prior, buckets, writer, batch_id)
+
+    def apply(self, docs: DataFrame, batch_id: int | None = None, touched: list[int] | None = None,
+              writer: str | None = None) -> int:
         """Merge compacted state rows of one batch; returns the number of touched buckets.
 
         ``touched`` (bucket ids of the batch) can be passed in when the caller already
         knows them cheaply; otherwise the documents are persisted and scanned for them.
         """
+        if self.committed(writer, batch_id):
+            return 0
         docs = docs.select(*STATE_COLS).withColumn("bucket", bucket_of("_id", self.buckets))
         cached = touched is None
         if cached:
@@ -121,43 +140,36 @@ class StateStore:
         try:
             if not touched:
                 return 0
-            prior = self.manifest(batch_id - 1)
-            stored = [b for b in touched if b in prior]
+            prior = self._commit_at()
+            stored = [b for b in touched if b in prior["buckets"]]
             if stored:
-                merged = merge_by_bucket(self.read(stored, version=batch_id - 1), docs, len(touched))
+                merged = merge_by_bucket(self._rows(prior["buckets"], stored), docs, len(touched))
             else:   # first write of these buckets: batch rows are already one per document
                 merged = docs.repartition(len(touched), "bucket")
-            merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.base}/v={batch_id}")
-            m = dict(prior)
-            m.update({b: batch_id for b in touched})
-            self._write_manifest(batch_id, m)
+            self._replace(prior, touched, merged, writer, batch_id)
             return len(touched)
         finally:
             if cached:
                 docs.unpersist()
 
-    def rewrite(self, batch_id: int, touched: list[int], build) -> int:
+    def rewrite(self, batch_id: int | None, touched: list[int], build, writer: str | None = None) -> int:
         """Replace the touched buckets by ``build(stored rows of those buckets)``.
 
         For merges that need the stored rows themselves (``$set`` of partial images):
         ``build`` returns the complete new rows of the touched buckets.
         """
-        if not touched:
+        if not touched or self.committed(writer, batch_id):
             return 0
-        prior = self.manifest(batch_id - 1)
-        stored = [b for b in touched if b in prior]
-        old = self.read(stored, version=batch_id - 1).drop("bucket") if stored else self._empty().drop("bucket")
+        prior = self._commit_at()
+        old = self._rows(prior["buckets"], touched).drop("bucket")
         new = build(old).select(*STATE_COLS).withColumn("bucket", bucket_of("_id", self.buckets))
-        new.repartition(len(touched), "bucket").write.mode("overwrite").partitionBy("bucket") \
-            .parquet(f"{self.base}/v={batch_id}")
-        m = dict(prior)
-        m.update({b: batch_id for b in touched})
-        self._write_manifest(batch_id, m)
+        self._replace(prior, touched, new.repartition(len(touched), "bucket"), writer, batch_id)
         return len(touched)
 
-    def write_side(self, kind: str, df: DataFrame, batch_id: int) -> None:
-        """Per-batch side output (dead letters, checkpoints), overwritten on re-run."""
-        df.write.mode("overwrite").parquet(f"{self.base}/_{kind}/batch={batch_id}")
+    def write_side(self, kind: str, df: DataFrame, batch_id: int, writer: str | None = None) -> None:
+        """Per-batch side output (dead letters, checkpoints), overwritten when the same writer
+        runs the batch again."""
+        df.write.mode("overwrite").parquet(f"{self.base}/_{kind}/writer={writer or 'manual'}/batch={batch_id}")
 
     def read_side(self, kind: str) -> DataFrame | None:
         p = self._Path(f"{self.base}/_{kind}")
@@ -165,14 +177,12 @@ class StateStore:
             return None
         return self.spark.read.parquet(f"{self.base}/_{kind}")
 
-    def vacuum(self, horizon_lsn: int, batch_id: int) -> None:
+    def vacuum(self, horizon_lsn: int) -> None:
         """Rewrite every bucket without delete markers older than ``horizon_lsn``."""
-        current = self.manifest()
-        kept = self.read().filter(~F.col("_deleted") | (F.col("sourceLsn") >= horizon_lsn))
-        out = f"{self.base}/v={batch_id}"
-        kept.repartition(max(len(current), 1), "bucket").write.mode("overwrite").partitionBy("bucket").parquet(out)
-        # a bucket left with no rows has no directory: it leaves the manifest
-        self._write_manifest(batch_id, {b: batch_id for b in self._written_buckets(out)})
+        prior = self._commit_at()
+        if prior["buckets"]:
+            kept = vacuum_state(self._rows(prior["buckets"]), horizon_lsn)
+            self._replace(prior, prior["buckets"], kept.repartition(len(prior["buckets"]), "bucket"))
 
     def _written_buckets(self, path: str) -> list[int]:
         p = self._Path(path)

@@ -22,12 +22,14 @@ from changelake.sources.state_store import StateStore, bucket_of, checkpoint_row
 
 def apply_batch(store: StateStore, log: DataFrame, batch_id: int, rules=None,
                 max_value_bytes: int | None = None, fail_after_state: bool = False, mode: str = "full",
-                transform=None) -> None:
+                transform=None, writer: str | None = None) -> None:
     """One batch: decode, (map), gate, write state, then side outputs.
 
     ``mode="full"``: every image is a full row (compaction, the fast path);
     ``mode="set"``: partial images merged field by field into the stored document.
     ``transform`` is applied to the good events before the gate (e.g. a projection).
+    ``writer`` names who numbers the batches (a stream's id), so that one run again after
+    its state was committed is recognised.
     """
     decoded = decode(log, max_value_bytes)
     if rules:
@@ -51,13 +53,13 @@ def apply_batch(store: StateStore, log: DataFrame, batch_id: int, rules=None,
             versions = rule_versions(rules)
         touched = [r[0] for r in kept.select("_bucket").distinct().collect()]   # <= N small ints
         if mode == "set":
-            store.rewrite(batch_id, touched, lambda old: merge_set(good, old))
+            store.rewrite(batch_id, touched, lambda old: merge_set(good, old, versions=versions), writer)
         else:
-            store.apply(to_documents(compact(good, cols=DOC_INPUT), versions), batch_id, touched)
+            store.apply(to_documents(compact(good, cols=DOC_INPUT), versions), batch_id, touched, writer)
         if fail_after_state:  # crash-test hook: die between the state write and the side outputs
             raise RuntimeError("injected failure after state write")
-        store.write_side("dlq", dead_letters(slim), batch_id)
-        store.write_side("checkpoints", checkpoint_rows(good), batch_id)
+        store.write_side("dlq", dead_letters(slim), batch_id, writer)
+        store.write_side("checkpoints", checkpoint_rows(good), batch_id, writer)
     finally:
         slim.unpersist()
 
@@ -70,19 +72,11 @@ def stream_apply(spark: SparkSession, source_dir: str, store: StateStore, checkp
     log = read_changelog(spark, source_dir, pattern=pattern, stream=True, fmt=fmt,
                          max_files_per_trigger=max_files_per_trigger)
     writer = (log.writeStream.option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda df, bid: apply_batch(store, df, bid, rules, mode=mode)))
+              .foreachBatch(lambda df, bid: apply_batch(store, df, bid, rules, mode=mode, writer=stream_id(df))))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")
     return writer.start()
 
 
-def run_supervised(start, retries: int = 3):
-    """T4: restart a failed stream from its checkpoint, a bounded number of times."""
-    last = None
-    for _ in range(retries + 1):
-        q = start()
-        try:
-            q.awaitTermination()
-            return q
-        except Exception as e:  # noqa: BLE001 - retried, then re-raised
-            last = e
-    raise last
+def stream_id(df: DataFrame) -> str | None:
+    """The id of the streaming query that runs this batch; it lives in the query's checkpoint."""
+    return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")

@@ -29,10 +29,20 @@ def test_digest_is_order_free_and_detects_change(spark):
 
 def test_table_md5_matches_plain_python(spark):
     import hashlib
-    rows = [(2, "b", None), (1, "a", 1.5)]
-    got = R.table_md5(_t(spark, rows), "k", COLS).first()["md5"]
-    text = ",".join(["1|a|1.5", "2|b|\\N"])
-    assert got == hashlib.md5(text.encode()).hexdigest()
+    rows = [(2, "b", None), (1, "a", 1.5), (15_000, "c", 2.0)]
+    got = R.table_md5(_t(spark, rows), "k", COLS).first()
+
+    def md5(text):
+        return hashlib.md5(text.encode()).hexdigest()
+
+    ranges = [["1:11:a3:1.5", "1:21:b-"], ["5:150001:c3:2.0"]]
+    assert got["md5"] == md5(",".join(md5(",".join(md5(t) for t in r)) for r in ranges)) and got["n"] == 3
+
+
+def test_row_text_is_unambiguous(spark):
+    a, b = _t(spark, [(1, "a|b", None), (2, "\\N", 1.0)]), _t(spark, [(1, "a", None), (2, None, 1.0)])
+    assert sorted((r["k"], r["drift"]) for r in R.drift(a, b, "k", COLS).collect()) == [(1, "changed"), (2, "changed")]
+    assert R.integrity(a, b, "k", COLS).first()["verdict"] == "INTEGRITY FAILED"
 
 
 def test_embed_paged_keeps_every_child(spark):

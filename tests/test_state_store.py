@@ -66,7 +66,7 @@ def test_vacuum_drops_old_markers(spark):
     store = StateStore(spark, tempfile.mkdtemp(dir="/tmp"), buckets=4)
     apply_batch(store, _log(spark, B1 + B2), 0)
     assert store.read().filter("_deleted").count() == 1
-    store.vacuum(horizon_lsn=1000, batch_id=1)
+    store.vacuum(horizon_lsn=1000)
     assert store.read().filter("_deleted").count() == 0
     assert set(_live(store)) == {"users:1", "users:3"}
 
@@ -110,7 +110,84 @@ def test_cast_failures_go_to_dlq_with_rules(spark):
 def test_vacuum_can_empty_a_bucket(spark):
     store = StateStore(spark, tempfile.mkdtemp(dir="/tmp"), buckets=2)
     apply_batch(store, _log(spark, [(1, 1, "c", {"id": 1}), (1, 2, "d", None)]), 0)
-    store.vacuum(horizon_lsn=100, batch_id=1)
+    store.vacuum(horizon_lsn=100)
     assert store.read().count() == 0 and store.current().count() == 0
     apply_batch(store, _log(spark, [(1, 5, "c", {"id": 1, "v": "again"})], 10), 2)
     assert _live(store) == {"users:1": (5, {"id": "1", "v": "again"})}
+
+
+def _step(pk, lsn, op="c", **doc):
+    return (pk, lsn, op, {"id": pk, **doc} if op != "d" else None)
+
+
+def test_a_writer_that_starts_anew_loses_nothing(spark):
+    store = StateStore(spark, tempfile.mkdtemp(dir="/tmp"), buckets=4)
+    for batch in range(3):
+        apply_batch(store, _log(spark, [_step(batch + 1, 10)], batch), batch, writer="one")
+    for batch in range(3):     # batch ids begin again
+        apply_batch(store, _log(spark, [_step(batch + 4, 10)], 10 + batch), batch, writer="two")
+    assert set(_live(store)) == {f"users:{i}" for i in range(1, 7)}
+    apply_batch(store, _log(spark, [_step(9, 10)], 20), 1)          # no writer: a hand-numbered batch
+    assert len(_live(store)) == 7
+
+
+def test_vacuum_between_batches_of_a_stream(spark):
+    store = StateStore(spark, tempfile.mkdtemp(dir="/tmp"), buckets=4)
+    apply_batch(store, _log(spark, B1 + B2), 0, writer="s")
+    for _ in range(3):
+        store.vacuum(horizon_lsn=1000)
+    apply_batch(store, _log(spark, [_step(7, 10)], 10), 1, writer="s")
+    assert store.read().filter("_deleted").count() == 0             # the vacuum is not undone
+    assert set(_live(store)) == {"users:1", "users:3", "users:7"}   # and the batch is not hidden
+
+
+def test_a_committed_batch_is_recognised(spark):
+    store = StateStore(spark, tempfile.mkdtemp(dir="/tmp"), buckets=4)
+    with pytest.raises(RuntimeError):
+        apply_batch(store, _log(spark, B1), 0, writer="s", fail_after_state=True)
+    before = store.versions()
+    apply_batch(store, _log(spark, B1), 0, writer="s")
+    assert store.versions() == before and store.read_side("checkpoints").count() == 1
+    # dead letters and checkpoints of another writer's batch 0 stand beside
+    apply_batch(store, _log(spark, B1), 0, writer="t")
+    assert store.read_side("checkpoints").count() == 2
+
+
+def test_an_attempt_without_commit_is_invisible(spark, monkeypatch):
+    store = StateStore(spark, tempfile.mkdtemp(dir="/tmp"), buckets=4)
+    apply_batch(store, _log(spark, B1), 0)
+    want = _live(store)
+    monkeypatch.setattr(store, "_commit", lambda *a: (_ for _ in ()).throw(OSError("killed")))
+    with pytest.raises(OSError):
+        apply_batch(store, _log(spark, B2, 10), 1)
+    monkeypatch.undo()
+    assert _live(store) == want
+    apply_batch(store, _log(spark, B2, 10), 1)
+    assert set(_live(store)) == {"users:1", "users:3"}
+
+
+def test_a_transform_can_empty_a_bucket(spark):
+    store = StateStore(spark, tempfile.mkdtemp(dir="/tmp"), buckets=2)
+    apply_batch(store, _log(spark, B1), 0, transform=lambda ev: ev.filter("pk = '1'"))
+    assert set(_live(store)) == {"users:1"}
+
+
+def test_set_mode_stamps_the_rule_version(spark):
+    from dataclasses import replace
+
+    from changelake.rules import DEFAULT_RULES
+    rules = {t: replace(r, schema_version=3) if t == "users" else r for t, r in DEFAULT_RULES.items()}
+    for mode in ("full", "set"):
+        store = StateStore(spark, tempfile.mkdtemp(dir="/tmp"), buckets=2)
+        apply_batch(store, _log(spark, B1), 0, rules=rules, mode=mode)
+        assert {r["schemaVersion"] for r in store.current().collect()} == {3}
+
+
+def test_lww_on_an_lsn_tie(spark):
+    from changelake.operators.decode import decode, good_events
+    from changelake.operators.gate import merge_lww
+    ev = good_events(decode(_log(spark, [(1, 5, "u", {"id": 1, "a": "x"}), (1, 5, "d", None)])))
+    (row,) = merge_lww(ev).collect()
+    assert not row["_deleted"] and dict(row["doc"]) == {"id": "1", "a": "x"}
+    (again,) = merge_lww(ev, merge_lww(ev)).collect()
+    assert dict(again["doc"]) == {"id": "1", "a": "x"}

@@ -40,27 +40,6 @@ def test_failed_batch_redelivered_same_result(spark, monkeypatch):
     assert live == {"users:1": "b", "users:2": "c"}
 
 
-def test_supervisor_restarts_a_failed_query():
-    from changelake.streaming.apply import run_supervised
-
-    class Q:
-        def __init__(self, fail):
-            self.fail = fail
-
-        def awaitTermination(self):  # noqa: N802 - mirrors the streaming API
-            if self.fail:
-                raise RuntimeError("boom")
-
-    attempts = iter([Q(True), Q(True), Q(False)])
-    assert run_supervised(lambda: next(attempts), retries=3).fail is False
-    attempts = iter([Q(True)] * 3)
-    try:
-        run_supervised(lambda: next(attempts), retries=1)
-        raise AssertionError("should have failed")
-    except RuntimeError:
-        pass
-
-
 def test_bounded_read_by_pattern_and_offsets(spark):
     from changelake.sources.changelog import read_changelog
     src = tempfile.mkdtemp(dir="/tmp")
