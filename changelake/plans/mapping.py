@@ -41,15 +41,15 @@ WITH t AS (
   SELECT 'cdc.users' AS topic, (SELECT count(*) FROM events) + (SELECT count(*) FROM events WHERE event_id % 10 = 0) AS n
   UNION ALL SELECT 'cdc.orders', (SELECT count(*) FROM orders)
   UNION ALL SELECT 'cdc.order_items', (SELECT count(*) FROM lineitem))
-SELECT topic, 'zdt.public.' || substr(topic, 5) AS source_topic, topic AS routed,
+SELECT topic, 'src.public.' || substr(topic, 5) AS source_topic, topic AS routed,
        'transformed.' || substr(topic, 5) AS transformed, n
 FROM t
 """)
 def route_topics(spark, sf_dir):
     """Connector-side regex router and mapping-stage topic routing, per record."""
     log = fx.multi_table_log(spark, sf_dir)
-    src = F.concat(F.lit("zdt.public."), S.table_of("topic"))
-    routed = S.route(src, r"zdt\.public\.(.*)", "cdc.$1")
+    src = F.concat(F.lit("src.public."), S.table_of("topic"))
+    routed = S.route(src, r"src\.public\.(.*)", "cdc.$1")
     return (log.select("topic", src.alias("source_topic"), routed.alias("routed"),
                        S.target_topic(routed).alias("transformed"))
             .groupBy("topic", "source_topic", "routed", "transformed").agg(F.count("*").alias("n")))

@@ -127,14 +127,22 @@ def bottleneck(spark, sf_dir):
     return M.bottleneck(M.throughput(s, F.col("t"), F.col("stage"), "1 hour", 3600))
 
 
+AVAILABLE_FROM, AVAILABLE_TO = "2023-12-30", "2024-03-03 12:00:00"
+
+
 @query("availability", with_log(f"""
-m AS (SELECT DISTINCT date_trunc('minute', {APPLY_TS_SQL}) AS mi FROM good)
-SELECT CAST(mi AS DATE) AS day, count(*) AS up_minutes, count(*) / 1440.0 AS availability FROM m GROUP BY 1
+m AS (SELECT DISTINCT date_trunc('minute', {APPLY_TS_SQL}) AS mi FROM good),
+days AS (SELECT CAST(d AS DATE) AS day, greatest(d, TIMESTAMP '{AVAILABLE_FROM}') AS lo,
+                least(d + INTERVAL 1 DAY, TIMESTAMP '{AVAILABLE_TO}') AS hi
+         FROM range(TIMESTAMP '{AVAILABLE_FROM}', TIMESTAMP '{AVAILABLE_TO}', INTERVAL 1 DAY) AS r(d)),
+up AS (SELECT day, hi, lo, count(mi) AS n FROM days LEFT JOIN m ON mi >= lo AND mi < hi GROUP BY ALL)
+SELECT day, n AS up_minutes, CAST(date_diff('minute', lo, hi) - n AS BIGINT) AS down_minutes,
+       n / date_diff('minute', lo, hi) AS availability FROM up
 """))
 def availability(spark, sf_dir):
-    """Share of the minutes of each day with at least one applied event."""
+    """Share of the minutes of each day of a given range with at least one applied event."""
     g = fx.good(spark, sf_dir)
-    return slo.availability(g, F.timestamp_millis("ts_ms"))
+    return slo.availability(g, F.timestamp_millis("ts_ms"), AVAILABLE_FROM, AVAILABLE_TO)
 
 
 def _processed_errors(spark, sf_dir):

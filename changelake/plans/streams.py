@@ -12,8 +12,8 @@ from changelake.plans.sql_fixtures import LATEST_CTE, TYPED_DOC_SELECT, with_log
 from changelake.session import scratch_dir
 from changelake.sources.state_store import StateStore
 from changelake.streaming.apply import stream_apply
-from changelake.streaming.gate_stream import (collect_updates, dedup_keyed, dedup_within_watermark,
-                                              final_of_updates, gate_stream, stream_source, windowed_counts)
+from changelake.streaming.gate_stream import (collect_updates, dedup_batch, dedup_keyed, gate_stream, stream_source,
+                                              sum_of_batches, windowed_counts)
 
 CHUNKS = 4
 
@@ -41,42 +41,71 @@ def stream_apply_q(spark, sf_dir):
     return fx.typed_docs(store.current())
 
 
+def _run_gate(spark, sf_dir):
+    store = StateStore(spark, scratch_dir(spark, "gate-state"), buckets=16)
+    for q in gate_stream(spark, log_files(spark, sf_dir), store, scratch_dir(spark, "gate-ck"), max_files_per_trigger=8):
+        q.awaitTermination()
+    return store
+
+
 @query("gate_stream", LATEST_SQL)
 def gate_stream_q(spark, sf_dir):
     """Streaming max_by per key (update mode) merged into the state store."""
-    src = log_files(spark, sf_dir)
-    store = StateStore(spark, scratch_dir(spark, "gate-state"), buckets=16)
-    q = gate_stream(spark, src, store, scratch_dir(spark, "gate-ck"))
-    q.awaitTermination()
-    st = store.read()
+    st = _run_gate(spark, sf_dir).read()
     return st.select("_id", "sourceLsn", F.col("lastOp").alias("op"), F.col("_srcOffset").alias("off"))
 
 
+@query("gate_stream_sides", with_log("""
+SELECT 'rejected' AS what, reason AS name, CAST(count(*) AS BIGINT) AS n FROM log
+WHERE reason IS NOT NULL AND reason <> 'tombstone' GROUP BY reason
+UNION ALL SELECT 'applied', CAST(part AS VARCHAR), CAST(count(*) AS BIGINT) FROM good GROUP BY part
+"""))
+def gate_stream_sides(spark, sf_dir):
+    """The streaming gate's dead letters by reason and its checkpointed events by partition."""
+    store = _run_gate(spark, sf_dir)
+    bad = store.read_side("dlq").groupBy(F.lit("rejected").alias("what"), F.col("error_reason").alias("name")) \
+        .agg(F.count("*").alias("n"))
+    good = store.read_side("checkpoints").groupBy(F.lit("applied").alias("what"), F.col("partition").cast("string").alias("name")) \
+        .agg(F.sum("events").alias("n"))
+    return bad.unionByName(good)
+
+
+def _by_batch(spark, sf_dir, purpose, transform):
+    """Each micro-batch's ``transform`` in a directory of its own; returns the path."""
+    out = scratch_dir(spark, purpose)
+    q = (stream_source(spark, log_files(spark, sf_dir), 8).writeStream
+         .option("checkpointLocation", scratch_dir(spark, f"{purpose}-ck"))
+         .foreachBatch(lambda df, bid: collect_updates(transform(df), out, bid)).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return out
+
+
 @query("stream_windows", with_log("""
 SELECT date_trunc('hour', ts) AS window_start, op, count(*) AS n FROM good GROUP BY 1, 2
 """))
 def stream_windows_q(spark, sf_dir):
-    """Hourly counts per op with a watermark, emitted in update mode; last value per window."""
-    src = log_files(spark, sf_dir)
-    out = scratch_dir(spark, "windows")
-    counts = windowed_counts(stream_source(spark, src))
-    q = (counts.writeStream.outputMode("update").option("checkpointLocation", scratch_dir(spark, "windows-ck"))
-         .foreachBatch(lambda df, bid: collect_updates(df, out, bid)).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return final_of_updates(spark, out, ["window_start", "op"]).select("window_start", "op", "n")
+    """Hourly counts per op, added up over the micro-batches."""
+    out = _by_batch(spark, sf_dir, "windows", windowed_counts)
+    return sum_of_batches(spark, out, ["window_start", "op"], "n").select("window_start", "op", "n")
+
+
+@query("stream_sliding_windows", with_log("""
+SELECT time_bucket(INTERVAL 5 MINUTE, ts) - to_minutes(5 * k) AS window_start, op, count(*) AS n
+FROM good, range(0, 3) AS r(k) GROUP BY 1, 2
+"""))
+def stream_sliding_windows_q(spark, sf_dir):
+    """15-minute counts per op every 5 minutes, the sliding form of rates."""
+    out = _by_batch(spark, sf_dir, "sliding", lambda df: windowed_counts(df, "15 minutes", "5 minutes"))
+    return sum_of_batches(spark, out, ["window_start", "op"], "n").select("window_start", "op", "n")
 
 
-@query("stream_dedup")
+@query("stream_dedup", with_log("""
+SELECT DISTINCT CAST(user_id AS VARCHAR) AS pk, lsn FROM good
+"""))
 def stream_dedup_q(spark, sf_dir):
-    """Replays dropped within the watermark before the gate (rows only: which copy
-    survives depends on arrival)."""
-    src = log_files(spark, sf_dir)
-    out = scratch_dir(spark, "dedup")
-    d = dedup_within_watermark(stream_source(spark, src)).select("pk", "lsn", "op", "offset")
-    q = (d.writeStream.outputMode("append").option("checkpointLocation", scratch_dir(spark, "dedup-ck"))
-         .format("parquet").option("path", out).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    """Repeats dropped within each micro-batch before the gate; every (key, LSN) survives."""
+    out = _by_batch(spark, sf_dir, "dedup", dedup_batch)
+    return spark.read.parquet(out).select("pk", "lsn").distinct()
 
 
 @query("stream_progress", with_log("""

@@ -50,6 +50,8 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="changelake-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
@@ -60,23 +62,24 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
 def recommended_conf(input_bytes: int, state_bytes: int, cores: int) -> dict[str, str]:
     """Settings for a cluster run, sized from the data instead of defaults.
 
-    * shuffle partitions: enough that the largest shuffle (about the input) lands near
-      200 MB per task, at least 3 waves of the cluster's cores; AQE coalesces smaller
-      stages down to the advisory size and splits skewed partitions of joins;
-    * file splits of 256 MB for scans;
+    * shuffle partitions: the log is compacted to about the state's size before it is
+      shuffled, so that size in 200 MB tasks, at least 3 waves of the cluster's cores and at
+      most 40,000 (map tasks times partitions is what driver and shuffle service must track);
+      AQE coalesces smaller stages and splits skewed partitions of joins;
+    * file splits of 1 GB for scans, for fewer map tasks;
     * streaming aggregation state (``gate_stream``) in RocksDB, not on the JVM heap;
     * ``state_buckets``: number of state-store buckets so one bucket's file is ~512 MB —
       a batch then rewrites only the buckets it touches, each in one task.
     """
     mb = 1 << 20
-    shuffle = max(cores * 3, int(input_bytes / (200 * mb)) + 1)
+    shuffle = min(max(cores * 3, int(state_bytes / (200 * mb)) + 1), 40_000)
     return {
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * mb),
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.files.maxPartitionBytes": str(256 * mb),
+        "spark.sql.files.maxPartitionBytes": str(1024 * mb),
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.session.timeZone": "UTC",

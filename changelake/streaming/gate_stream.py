@@ -2,9 +2,10 @@
 
 ``gate_stream`` keeps the winning change per key in the streaming state
 (``max_by`` is a streaming aggregate; update mode emits only keys a batch
-touched) and merges those rows into the state store in ``foreachBatch``.
-Watermarks appear only on metric windows and the duplicate pre-filter —
-never on state apply, where late data is settled by the LSN gate.
+touched) and merges those rows into the state store in ``foreachBatch``; a
+second query on the same source writes its dead letters and checkpoint rows.
+Metric windows and the duplicate filter work batch by batch and keep no state,
+so nothing here has a watermark and no late record is dropped.
 """
 
 from __future__ import annotations
@@ -12,10 +13,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.operators.decode import decode, good_events
+from changelake.operators.decode import dead_letters, decode, good_events
 from changelake.operators.gate import KEY, to_documents, win_order
 from changelake.schemas import CHANGELOG_SCHEMA
-from changelake.sources.state_store import StateStore
+from changelake.sources.state_store import StateStore, checkpoint_rows
+from changelake.streaming.apply import stream_id
 
 
 def stream_source(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
@@ -30,32 +32,54 @@ def stream_winners(log: DataFrame) -> DataFrame:
     return ev.groupBy(*KEY).agg(F.max_by(F.struct(*rest), win_order()).alias("_w")).select(*KEY, "_w.*")
 
 
-def gate_stream(spark: SparkSession, path: str, store: StateStore, checkpoint: str):
-    """Streaming gate in update mode, merged into the state store per batch."""
-    winners = stream_winners(stream_source(spark, path))
-    return (winners.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-            .foreachBatch(lambda df, bid: store.apply(to_documents(df), bid))
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def gate_stream(spark: SparkSession, path: str, store: StateStore, checkpoint: str,
+                max_files_per_trigger: int = 1) -> list:
+    """Streaming gate in update mode, merged into the state store per batch, and its side
+    outputs. Returns both queries. The per-key state is kept in RocksDB, off the heap."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    source = stream_source(spark, path, max_files_per_trigger)
+    gate = (stream_winners(source).writeStream.outputMode("update").option("checkpointLocation", f"{checkpoint}/gate")
+            .foreachBatch(lambda df, bid: store.apply(to_documents(df), bid, writer=stream_id(df)))
             .trigger(availableNow=True).start())
 
+    def write_sides(df, bid):
+        slim = decode(df).persist()
+        try:
+            store.write_side("dlq", dead_letters(slim), bid, stream_id(df))
+            store.write_side("checkpoints", checkpoint_rows(good_events(slim)), bid, stream_id(df))
+        finally:
+            slim.unpersist()
 
-def windowed_counts(log: DataFrame, width: str = "1 hour", delay: str = "1 hour") -> DataFrame:
-    """Tumbling-window counts per op with a watermark (late rows beyond it are dropped)."""
-    ev = good_events(decode(log))
-    return (ev.withWatermark("timestamp", delay)
-            .groupBy(F.window("timestamp", width).start.alias("window_start"), "op")
+    sides = (source.writeStream.option("checkpointLocation", f"{checkpoint}/sides").foreachBatch(write_sides)
+             .trigger(availableNow=True).start())
+    return [gate, sides]
+
+
+def windowed_counts(batch: DataFrame, width: str = "1 hour", slide: str | None = None) -> DataFrame:
+    """Counts per op of one batch in tumbling or sliding windows. The batches' counts add
+    up to the windows' counts (``sum_of_batches``), late records included."""
+    return (good_events(decode(batch))
+            .groupBy(F.window("timestamp", width, slide).start.alias("window_start"), "op")
             .agg(F.count("*").alias("n")))
 
 
-def dedup_within_watermark(log: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Drop repeated (table, pk, lsn) within the watermark delay — a cheap
-    pre-filter before the gate, not a replacement for it."""
-    ev = good_events(decode(log))
-    return ev.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(["table", "pk", "lsn"])
+def dedup_batch(batch: DataFrame) -> DataFrame:
+    """One event per (table, pk, lsn) of a batch, the first delivered: a cheap filter before
+    the gate, which settles what repeats across batches."""
+    ev = good_events(decode(batch))
+    keys = ["table", "pk", "lsn"]
+    rest = [c for c in ev.columns if c not in keys]
+    return ev.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct("partition", "offset")).alias("_f")) \
+        .select(*keys, "_f.*")
 
 
 def dedup_keyed(log: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """T13, keyed form: exact replays (same table, key, LSN and event time) dropped; the
-    event time in the key lets the state be evicted once the watermark passes it."""
+    """T13 for append-only outputs: exact replays (same table, key, LSN and event time) dropped
+    across batches with bounded state. Records later than the watermark are dropped, so this
+    never stands before the gate."""
     ev = good_events(decode(log))
     return ev.withWatermark("timestamp", delay).dropDuplicates(["table", "pk", "lsn", "timestamp"])
 
@@ -65,8 +89,6 @@ def collect_updates(df: DataFrame, path: str, batch_id: int) -> None:
     df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
-def final_of_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Last emitted row per key across update-mode batches."""
-    u = spark.read.parquet(path)
-    rest = [c for c in u.columns if c not in keys and c != "batch_id" and c != "batch"]
-    return u.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("batch_id")).alias("_r")).select(*keys, "_r.*")
+def sum_of_batches(spark: SparkSession, path: str, keys: list[str], value: str) -> DataFrame:
+    """Totals of per-batch counts written by ``collect_updates``."""
+    return spark.read.parquet(path).groupBy(*keys).agg(F.sum(value).alias(value))

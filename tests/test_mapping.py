@@ -60,12 +60,12 @@ def test_iso8601_rendering(spark):
 
 
 def test_topic_functions(spark):
-    df = spark.createDataFrame([("cdc.users",), ("other",), ("zdt.public.orders",)], "t string")
+    df = spark.createDataFrame([("cdc.users",), ("other",), ("src.public.orders",)], "t string")
     r = df.select(S.table_of("t").alias("a"), S.target_topic("t").alias("b"),
-                  S.route("t", r"zdt\.public\.(.*)", "cdc.$1").alias("c")).collect()
+                  S.route("t", r"src\.public\.(.*)", "cdc.$1").alias("c")).collect()
     assert [tuple(x) for x in r] == [("users", "transformed.users", "cdc.users"),
                                      ("other", "transformed.other", "other"),
-                                     ("orders", "transformed.zdt.public.orders", "cdc.orders")]
+                                     ("orders", "transformed.src.public.orders", "cdc.orders")]
 
 
 def test_classify_error(spark):
