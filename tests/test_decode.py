@@ -114,3 +114,12 @@ def test_heartbeat_like_record_is_rejected_not_fatal(spark):
             ("cdc.users", 0, 2, key(1), envelope("c", 1, after={"id": 1}))]
     got = _decode(spark, recs)
     assert got[1]["error_reason"] is not None and got[2]["error_reason"] is None
+
+
+def test_tombstone_white_space(spark):
+    from changelake.operators.decode import decode
+    values = ["null", "null\n", "null  ", "\t null", "", None, "  ", "\n", "nullx", '"null"']
+    log = log_df(spark, [("cdc.users", 0, i, key(1), v) for i, v in enumerate(values)])
+    got = {r["offset"]: r["error_reason"] for r in decode(log).collect()}
+    assert [got[i] for i in range(6)] == ["tombstone"] * 6
+    assert [got[i] for i in range(6, 9)] == ["bad_json"] * 3 and got[9] != "tombstone"

@@ -94,3 +94,51 @@ def test_load_rules_round_trip(tmp_path):
 def test_rename_onto_existing_name_rejected():
     with pytest.raises(ValueError):
         Rule(source="public.t", target="t", fields={"a": FieldRule(target="b"), "b": FieldRule()}).validate()
+
+
+def test_mapping_stage_keeps_envelope_types_and_foreign_records(spark):
+    import json
+
+    from conftest import key, log_df
+
+    from changelake.operators.decode import decode
+    from changelake.operators.mapping import map_changelog
+    from changelake.rules import DEFAULT_RULES
+    envelope = {"schema": {"x": [1, {"b": 2}]}, "payload": {
+        "before": {"id": 1, "full_name": None}, "op": "u", "ts_ms": 3, "extra": {"k": [True]},
+        "after": {"id": 1, "full_name": "Ann", "n": 1.5, "big": 9007199254740993, "t": True, "s": "1", "o": {"full_name": 2}},
+        "source": {"lsn": 5, "table": "users", "ts_ms": 1}}}
+    plain = [None, "", "null", "  null ", "{not json", "[1, 2]", '{"payload": 5}', '{ "a":1}', '{"payload": {"op":"c", "after":{"full_name": 1}, "source":{"table":"other"}}}']
+    log = log_df(spark, [("cdc.users", 0, 0, key(1), json.dumps(envelope))] + [("cdc.users", 0, i + 1, "k", v) for i, v in enumerate(plain)]
+                 + [("cdc.users", 0, 50, None, '{"payload":{"op":"d","before":{"full_name":"x"},"after":null}}'), ("elsewhere", 1, 51, "k", "{}")])
+    rows = {r["offset"]: r for r in map_changelog(log, DEFAULT_RULES).collect()}
+    want = json.loads(json.dumps(envelope))
+    for image in ("before", "after"):
+        old = want["payload"][image]
+        want["payload"][image] = {{"id": "_pkId", "full_name": "fullName"}.get(k, k): v for k, v in old.items()}
+    assert json.loads(rows[0]["value"]) == want and rows[0]["key"] == key(1) and rows[0]["topic"] == "transformed.users"
+    assert [rows[i + 1]["value"] for i in range(len(plain))] == plain          # byte for byte
+    assert json.loads(rows[50]["value"]) == {"payload": {"op": "d", "before": {"fullName": "x"}, "after": None}} and rows[50]["key"] is None
+    assert rows[51]["topic"] == "transformed.elsewhere" and rows[51]["value"] == "{}"
+    (again,) = decode(map_changelog(log, DEFAULT_RULES)).filter("offset = 0").collect()
+    assert again["table"] == "users" and again["lsn"] == 5 and again["after"]["big"] == "9007199254740993"
+
+
+def test_rule_files_are_never_skipped(tmp_path):
+    import pytest
+
+    from changelake.rules import load_rules
+    (tmp_path / "a.json").write_text('{"source": "public.users", "target": "users", "fields": {}}')
+    assert list(load_rules(str(tmp_path))) == ["users"]
+    (tmp_path / "b.json").write_text('{"source": "other.users", "target": "people", "fields": {}}')
+    with pytest.raises(ValueError, match="another rule"):
+        load_rules(str(tmp_path))
+    (tmp_path / "b.json").write_text('{"source": "public.orders", "target": "orders", "fields": {}}')
+    (tmp_path / "c.yml").write_text("source: public.items\ntarget: items\nfields: {}\n")
+    try:
+        import yaml  # noqa: F401
+    except ImportError:
+        with pytest.raises(ValueError, match="yaml"):
+            load_rules(str(tmp_path))
+    else:
+        assert len(load_rules(str(tmp_path))) == 3
