@@ -11,13 +11,23 @@ back on (key, block). Results equal the plain window's.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BLOCK = 1 << 16
 
 
-def _blocks(df: DataFrame, pos: str, block_size: int) -> DataFrame:
+def width_for_rows(df: DataFrame, pos: str, rows: int) -> Column:
+    """Width of position blocks that hold about ``rows`` rows each when positions are spread
+    evenly: for positions that are not consecutive numbers, such as byte positions in a log.
+    A scalar subquery over the same rows; their shuffle is reused."""
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(rows)), F.lit(1))
+    return df.agg(F.ceil((F.max(pos) - F.min(pos) + 1) / blocks).alias("w")).scalar()
+
+
+def _blocks(df: DataFrame, pos: str, block_size: int | Column) -> DataFrame:
+    if isinstance(block_size, Column):
+        return df.withColumn("_blk", F.floor(F.col(pos) / block_size))
     return df.withColumn("_blk", F.floor(F.col(pos) / F.lit(block_size)))
 
 
@@ -47,7 +57,7 @@ def lag_by_key(df: DataFrame, keys: list[str], pos: str, cols: list[str], prefix
                block_size: int | None = DEFAULT_BLOCK) -> DataFrame:
     """Previous row's ``cols`` within the key, ordered by ``pos`` (ties broken arbitrarily
     but consistently); adds ``prefix + col`` for each."""
-    if not block_size:
+    if block_size is None:
         w = Window.partitionBy(*keys).orderBy(pos)
         for c in cols:
             df = df.withColumn(prefix + c, F.lag(c).over(w))
@@ -104,17 +114,15 @@ def trailing(df: DataFrame, keys: list[str], pos: str, specs: dict[str, tuple[st
     """Trailing range aggregates over positions ``pos - width + 1 .. pos`` within ``keys``
     (``specs``: output -> (``"sum"`` | ``"max"``, column)), partitioned by (keys, block).
 
-    Rows in the last ``width - 1`` positions of a block are also copied into the next
-    block as halo rows, so every window is complete inside its block; halo rows only
-    feed windows and are dropped from the output. Extra rows: about width / block_size.
+    A row is also copied, as a halo row, into each later block that its window reaches, so
+    every window is complete inside its block; halo rows only feed windows and are dropped
+    from the output. Extra rows: about width / block_size a row.
     """
-    if width - 1 > block_size:
-        raise ValueError("width must not exceed block_size + 1")
     fns = {"sum": F.sum, "max": F.max}
     blk = F.floor(F.col(pos) / F.lit(block_size))
     base = df.withColumn("_blk", blk).withColumn("_halo", F.lit(False))
-    halo = (df.withColumn("_blk", blk + 1).withColumn("_halo", F.lit(True))
-            .filter(F.col(pos) >= F.col("_blk") * F.lit(block_size) - F.lit(width - 1)))
+    last = F.floor((F.col(pos) + F.lit(width - 1)) / F.lit(block_size))
+    halo = df.filter(last > blk).withColumn("_blk", F.explode(F.sequence(blk + 1, last))).withColumn("_halo", F.lit(True))
     u = base.unionByName(halo)
     w = Window.partitionBy(*keys, "_blk").orderBy(pos).rangeBetween(-(width - 1), 0)
     outs = [fns[fn](col).over(w).alias(out) for out, (fn, col) in specs.items()]

@@ -30,9 +30,9 @@ from changelake.functions.scan import DEFAULT_BLOCK
 # workers need pandas only, not this package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SUMMARY_SCHEMA = ("table string, pk string, partition int, _blk long, piece int, lo long, hi long, "
-                  "identity boolean, out_lsn long, out_doc string")
-FINAL_SCHEMA = "table string, pk string, sourceLsn long, doc_json string"
+SUMMARY_SCHEMA = ("table string, pk string, partition int, _blk long, piece int, lo string, hi string, "
+                  "identity boolean, out_lsn string, out_doc string")
+FINAL_SCHEMA = "table string, pk string, sourceLsn string, doc_json string"
 
 
 def _summarise(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -73,7 +73,9 @@ def _summarise(pdf: pd.DataFrame) -> pd.DataFrame:
                 rows.append((*head, prev, L[j], False, out[j][0], out[j][1]))
             prev = L[j]
     rows.append((*head, prev, None, True, None, None))
-    rows = [(*r[:4], i, *r[4:]) for i, r in enumerate(rows)]
+    # LSNs travel as text: pandas would turn nullable longs into floats.
+    text = lambda x: None if x is None else str(x)
+    rows = [(*r[:4], i, text(r[4]), text(r[5]), r[6], text(r[7]), r[8]) for i, r in enumerate(rows)]
     return pd.DataFrame(rows, columns=["table", "pk", "partition", "_blk", "piece", "lo", "hi", "identity",
                                        "out_lsn", "out_doc"])
 
@@ -96,7 +98,7 @@ def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
     first = pdf.iloc[0]
     if state is None:
         return pd.DataFrame([], columns=["table", "pk", "sourceLsn", "doc_json"])
-    return pd.DataFrame([(first["table"], first["pk"], state, doc)],
+    return pd.DataFrame([(first["table"], first["pk"], str(state), doc)],
                         columns=["table", "pk", "sourceLsn", "doc_json"])
 
 
@@ -108,5 +110,5 @@ def fold_reference(events: DataFrame, block_size: int = DEFAULT_BLOCK) -> DataFr
                        F.floor(F.col("offset") / F.lit(block_size)).alias("_blk"))
     summaries = ev.groupBy("table", "pk", "partition", "_blk").applyInPandas(_summarise, SUMMARY_SCHEMA)
     final = summaries.groupBy("table", "pk").applyInPandas(_chain, FINAL_SCHEMA)
-    return final.select(doc_id("table", "pk").alias("_id"), "table", "pk", "sourceLsn",
+    return final.select(doc_id("table", "pk").alias("_id"), "table", "pk", F.col("sourceLsn").cast("bigint").alias("sourceLsn"),
                         F.from_json("doc_json", "map<string,string>").alias("doc"))

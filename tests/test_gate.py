@@ -232,3 +232,25 @@ def test_trailing_equals_plain_range_window(spark):
         want = sorted(df.select("k", "m", F.sum("x").over(w).alias("s")).collect())
         got = sorted(trailing(df, ["k"], "m", {"s": ("sum", "x")}, width, bs).select("k", "m", "s").collect())
         assert got == want
+
+
+def test_history_of_byte_positions_uses_few_blocks(spark):
+    from changelake.operators.history import history
+    ev = spark.range(2000).select(F.lit("t").alias("table"), F.lit("1").alias("pk"), (F.col("id") * 70_000).alias("lsn"),
+                                  F.lit("u").alias("op"), F.create_map(F.lit("a"), F.col("id").cast("string")).alias("after"),
+                                  F.lit(0).alias("partition"), F.col("id").alias("offset"))
+    rows = history(ev, block_rows=100).orderBy("valid_from").collect()
+    assert len(rows) == 2000 and all(r.valid_to == r.valid_from + 70_000 for r in rows[:-1])
+    assert rows[-1].is_current and rows[5].after == {"a": "5"}
+    from changelake.functions.scan import width_for_rows
+    blocks = ev.select(F.floor(F.col("lsn") / width_for_rows(ev, "lsn", 100)).alias("b")).distinct().count()
+    assert 19 <= blocks <= 21
+
+
+def test_fold_keeps_lsns_exact(spark):
+    from changelake.operators.fold import fold_reference
+    big = 9007199254740993
+    ev = spark.createDataFrame([("t", "1", 0, 0, big - 2, "c", {"a": "x"}), ("t", "1", 0, 1, big, "u", {"a": "y"}), ("t", "2", 0, 2, 5, "d", None)],
+                               "table string, pk string, partition int, offset long, lsn long, op string, after map<string,string>")
+    (row,) = fold_reference(ev, block_size=1).collect()
+    assert row["sourceLsn"] == big and row["doc"] == {"a": "y"}
