@@ -38,11 +38,10 @@ def availability(df: DataFrame, ts: Column, start: str | None = None, end: str |
         (F.col("up_minutes") * 60.0 / F.col("seconds")).alias("availability"))
 
 
-def success_rate(processed: DataFrame, errors: DataFrame, by: str = "table") -> DataFrame:
-    """1 - errors / processed per table (null when nothing was processed)."""
-    j = processed.join(errors, by, "left").fillna(0, subset=["errors"])
-    return j.withColumn("success_rate", F.lit(1.0) - F.try_divide(F.col("errors").cast("double"),
-                                                                     F.col("processed").cast("double")))
+def success_share(counts: DataFrame) -> DataFrame:
+    """``success_rate`` = 1 - errors / processed (null when nothing was processed)."""
+    return counts.withColumn("success_rate", F.lit(1.0) - F.try_divide(F.col("errors").cast("double"),
+                                                                       F.col("processed").cast("double")))
 
 
 # Budget tiers by share of the budget consumed.

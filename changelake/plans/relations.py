@@ -153,9 +153,9 @@ def insert_absent_q(spark, sf_dir):
 
 
 @query("upsert_by_key", """
-WITH t AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 2 = 0),
-n AS (SELECT c_custkey + 100000 AS c_custkey, c_name, c_nationkey + 1 AS c_nationkey, c_acctbal + 1 AS c_acctbal,
-             'UPDATED' AS c_mktsegment FROM customer WHERE c_custkey % 3 = 0)
+WITH t AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer),
+n AS (SELECT c_custkey + 1000000000 AS c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name ELSE c_name || '-new' END AS c_name,
+             c_nationkey + 1 AS c_nationkey, c_acctbal + 1 AS c_acctbal, 'UPDATED' AS c_mktsegment FROM customer)
 SELECT CASE WHEN t.c_name IS NOT NULL THEN t.c_custkey ELSE n.c_custkey END AS c_custkey,
        coalesce(t.c_name, n.c_name) AS c_name,
        CASE WHEN t.c_name IS NOT NULL THEN t.c_nationkey ELSE n.c_nationkey END AS c_nationkey,
@@ -164,24 +164,23 @@ SELECT CASE WHEN t.c_name IS NOT NULL THEN t.c_custkey ELSE n.c_custkey END AS c
 FROM t FULL OUTER JOIN n ON t.c_name = n.c_name
 """)
 def upsert_by_key_q(spark, sf_dir):
-    """Natural-key upsert: matched rows take the new set-columns and keep their id."""
-    c = fx.table(spark, sf_dir, "customer")
-    t = c.filter(F.col("c_custkey") % 2 == 0).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
-    n = c.filter(F.col("c_custkey") % 3 == 0).select(
-        (F.col("c_custkey") + 100000).alias("c_custkey"), "c_name", (F.col("c_nationkey") + 1).alias("c_nationkey"),
-        (F.col("c_acctbal") + 1).alias("c_acctbal"), F.lit("UPDATED").alias("c_mktsegment"))
+    """Natural-key upsert of all customers, a third under their old names: matched rows take
+    the new set-columns and keep their id."""
+    t = fx.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    name = F.when(F.col("c_custkey") % 3 == 0, F.col("c_name")).otherwise(F.concat("c_name", F.lit("-new")))
+    n = t.select((F.col("c_custkey") + 1000000000).alias("c_custkey"), name.alias("c_name"),
+                 (F.col("c_nationkey") + 1).alias("c_nationkey"), (F.col("c_acctbal") + 1).alias("c_acctbal"),
+                 F.lit("UPDATED").alias("c_mktsegment"))
     return joins.upsert_by(t, n, "c_name", ["c_acctbal", "c_mktsegment"], order_col="c_custkey")
 
 
 @query("deletion_audit", with_ctes(NEXT_ORDERS_CTE, body="""
-SELECT o_orderkey FROM orders
-WHERE o_orderkey % 2 = 0 AND o_orderkey IN (SELECT o_orderkey FROM orders EXCEPT SELECT o_orderkey FROM nxt)
+SELECT o_orderkey FROM orders EXCEPT SELECT o_orderkey FROM nxt
 """))
 def deletion_audit_q(spark, sf_dir):
-    """Keys deleted upstream that a target (a stale copy holding even keys) still has."""
+    """Keys deleted upstream that a target (a stale copy of the whole table) still has."""
     last = fx.orders_diff_events(spark, sf_dir).select(F.col("pk").cast("bigint").alias("o_orderkey"), "op")
-    target = fx.table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 2 == 0)
-    return joins.deletion_audit(last, target, "o_orderkey").select("o_orderkey")
+    return joins.deletion_audit(last, fx.table(spark, sf_dir, "orders"), "o_orderkey").select("o_orderkey")
 
 
 @query("trace_row", with_ctes(NEXT_ORDERS_CTE, body="""
