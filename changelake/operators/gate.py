@@ -129,41 +129,45 @@ def merge_set(events: DataFrame, state: DataFrame | None = None,
     Returns state rows (``_id, table, pk, sourceLsn, schemaVersion, _deleted, doc``);
     ``versions`` is the schemaVersion that a written document gets (an expression over ``table``).
     """
-    # only stored rows of keys this batch touches take part in classification and the
-    # base document; the final gate merge still sees every stored row
-    batch_state = None if state is None else state.join(events.select(*KEY).distinct(), KEY, "left_semi")
-    cl = classify_events(events, batch_state, block_size).filter(F.col("status") == "applied")
-    last = cl.groupBy(*KEY).agg(
-        F.max_by(F.struct("op", "lsn", "ts_ms", "partition", "offset"), F.col("lsn")).alias("_win"),
-        F.max(F.when(F.col("op") == "d", F.col("lsn"))).alias("_del"))
-    # per (key, field) the newest applied value — reduced map-side before any join, so the
-    # join below sees at most one row per field of a key, however hot the key
-    per_field = (cl.filter(F.col("op") != "d").select(*KEY, "lsn", F.explode("after").alias("f", "v"))
-                 .groupBy(*KEY, "f").agg(F.max_by("v", "lsn").alias("v"), F.max("lsn").alias("_flsn")))
-    # a field survives only if its newest value came after the key's last applied delete
-    fields = (per_field.join(last.select(*KEY, "_del"), KEY)
-              .filter(F.col("_del").isNull() | (F.col("_flsn") > F.col("_del")))
-              .groupBy(*KEY).agg(F.map_from_entries(F.collect_list(F.struct("f", "v"))).alias("_set")))
-    merged = last.join(fields, KEY, "left")
+    version = (versions if isinstance(versions, Column) else F.lit(versions)).cast("int")
+    touched = None
+    if state is not None:
+        # only stored rows of keys this batch touches take part; the others pass through
+        marked = state.join(events.select(*KEY).distinct().withColumn("_hit", F.lit(True)), KEY, "left")
+        touched = marked.filter("_hit").drop("_hit")
+    cl = classify_events(events, touched, block_size).filter(F.col("status") == "applied")
+    rows = cl.select(*KEY, "lsn", "op", "ts_ms", "partition", "offset", version.alias("version"), "after")
     if state is not None:
-        st = batch_state.select("table", "pk", F.col("doc").alias("_old"), F.col("_deleted").alias("_old_del"))
-        merged = merged.join(st, KEY, "left")
-        base = F.when(F.col("_del").isNull() & ~F.coalesce(F.col("_old_del"), F.lit(True)), F.col("_old"))
-    else:
-        base = F.lit(None).cast("map<string,string>")
-    empty = F.create_map().cast("map<string,string>")
-    doc = F.map_concat(F.coalesce(base, empty), F.coalesce(F.col("_set"), empty))
+        # a stored document is one more applied change: its LSN is below all that were applied now
+        rows = rows.unionByName(touched.select(
+            *KEY, F.col("sourceLsn").alias("lsn"), F.when(F.col("_deleted"), F.lit("d")).otherwise(F.col("lastOp")).alias("op"),
+            F.col("appliedTsMs").alias("ts_ms"), F.col("_srcPartition").alias("partition"),
+            F.col("_srcOffset").alias("offset"), F.col("schemaVersion").alias("version"), F.col("doc").alias("after")))
+    # one cell per field of a change and one (no name) for the change itself, reduced map-side,
+    # so a key has at most one cell per field before its document is put together
+    head = F.struct("op", "lsn", "ts_ms", "partition", "offset", "version")
+    cell = "array<struct<f:string,v:string,h:struct<op:string,lsn:bigint,ts_ms:bigint,partition:int,offset:bigint,version:int>>>"
+    entries = F.transform(F.map_entries("after"), lambda e: F.struct(e["key"].alias("f"), e["value"].alias("v"), F.lit(None).alias("h")))
+    cells = F.concat(F.array(F.struct(F.lit(None).alias("f"), F.lit(None).alias("v"), head.alias("h"))).cast(cell),
+                     F.when((F.col("op") != "d") & F.col("after").isNotNull(), entries.cast(cell)).otherwise(F.array().cast(cell)))
+    per_field = rows.select(*KEY, "lsn", F.inline(cells)).groupBy(*KEY, "f").agg(
+        F.max_by(F.struct("v", "lsn", "h"), "lsn").alias("c"), F.max(F.when(F.col("h.op") == "d", F.col("lsn"))).alias("_del"))
+    merged = per_field.groupBy(*KEY).agg(
+        F.collect_list(F.when(F.col("f").isNotNull(), F.struct("f", F.col("c.v").alias("v"), F.col("c.lsn").alias("lsn")))).alias("_fields"),
+        F.max("_del").alias("_del"), F.first("c.h", ignorenulls=True).alias("_win"))
+    # a field survives only if its newest value came after the key's last applied delete
+    kept = F.filter("_fields", lambda x: F.col("_del").isNull() | (x["lsn"] > F.col("_del")))
+    doc = F.map_from_entries(F.transform(kept, lambda x: F.struct(x["f"], x["v"])))
     out = merged.select(
         doc_id("table", "pk").alias("_id"), "table", "pk", F.col("_win.lsn").alias("sourceLsn"),
-        (versions if isinstance(versions, Column) else F.lit(versions)).cast("int").alias("schemaVersion"),
-        (F.col("_win.op") == "d").alias("_deleted"),
+        F.col("_win.version").alias("schemaVersion"), (F.col("_win.op") == "d").alias("_deleted"),
         F.when(F.col("_win.op") != "d", doc).alias("doc"),
         F.col("_win.ts_ms").alias("appliedTsMs"),
         F.col("_win.partition").alias("_srcPartition"), F.col("_win.offset").alias("_srcOffset"),
         F.col("_win.op").alias("lastOp"))
     if state is None:
         return out
-    return gate_merge(state, out)
+    return out.unionByName(marked.filter("_hit is null").select(*out.columns))
 
 
 def merge_lww(events: DataFrame, state: DataFrame | None = None, versions: Column | int = 1) -> DataFrame:
