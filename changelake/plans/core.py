@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from changelake.functions.scalar import doc_id, write_action
 from changelake.operators import gate
-from changelake.operators.decode import dead_letters, decode, reprocess_dlq
+from changelake.operators.decode import dead_letters, reprocess_dlq
 from changelake.plans import fixtures as fx
 from changelake.plans.registry import ORACLES, query
 from changelake.plans.sql_fixtures import CLASSIFIED_CTE, LATEST_CTE, LOG_CTE, TYPED_DOC_SELECT, with_log

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from changelake.functions.scalar import row_text
 from changelake.functions.scan import running
 from changelake.operators import reconcile as R
 from changelake.operators.decode import decode, good_events
