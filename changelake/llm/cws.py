@@ -225,7 +225,8 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     come first; a single document is its own successor."""
     spark = docs.sparkSession
     small_batches(spark)
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or 4 * tasks           # several ranges a task, which evens tasks out
     rank = F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63)))
     ids = docs.select(rank.alias("rank"))
     cuts = ids.agg(F.percentile_approx("rank", [i / buckets for i in range(1, buckets)] or [0.5], 10 * buckets)).first()[0]
@@ -246,7 +247,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     extra = F.struct(F.col("before").alias("bucket"), F.lit(True).alias("halo"))
     rows = rows.select("id", "rank", "text", F.explode(
         F.when(F.col("before").isNull(), F.array(own)).otherwise(F.array(own, extra))).alias("at"))
-    rows = rows.select("at.bucket", "at.halo", "id", "rank", "text").repartition(buckets, "bucket") \
+    rows = rows.select("at.bucket", "at.halo", "id", "rank", "text").repartition(tasks, "bucket") \
         .sortWithinPartitions("bucket", "halo", "rank", "text").select("bucket", "halo", "id", "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
