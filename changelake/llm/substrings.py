@@ -44,7 +44,7 @@ from changelake.llm.common import small_batches, stable, text_or_empty, utf8
 LENGTH = 100
 GRAM = 28
 #: Kinds of runs in a bucket up to which one task sorts it.
-MANY = 256
+MANY = 4096
 #: Bytes of a block whose buckets are sorted together.
 BLOCK_BYTES = 1 << 18
 #: Bytes hashed together; positions in it take SPAN_BITS.
@@ -53,8 +53,12 @@ SPAN_BITS = 18
 PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
 
-ROW = "kind tinyint, bucket bigint, same bigint, id bigint, mark int, start int, n int"
+#: ``place`` is start << 32 | mark. ``same`` of a run is a 48-bit hash << 16 | strings, of a
+#: single string 64 bits of a hash; of repeated strings it is their number.
+ROW = "kind tinyint, bucket bigint, same bigint, id bigint, place bigint"
 RUN, REPEATED = 0, 1
+N_BITS = 16
+MARK = (1 << 32) - 1
 
 
 def _schema(text: str) -> pa.Schema:
@@ -164,11 +168,11 @@ def _gather(data: np.ndarray, pieces: list) -> tuple:
     return np.concatenate([data[a:b] for a, b in zip(s, e)]), np.concatenate([[0], np.cumsum(e - s)]), text, place
 
 
-def _first_of_equal(bucket, same, ident, start) -> tuple[np.ndarray, np.ndarray]:
-    """(order by (bucket, same, id, start), whether each row in that order is later than the
-    first of its kind)."""
-    order = np.lexsort((start, ident, same, bucket))
-    b, s, i, p = bucket[order], same[order], ident[order], start[order]
+def _first_of_equal(bucket, same, ident, place) -> tuple[np.ndarray, np.ndarray]:
+    """(order by (bucket, same, id, place), whether each row in that order starts later than
+    the first of its kind)."""
+    order = np.lexsort((place, ident, same, bucket))
+    b, s, i, p = bucket[order], same[order], ident[order], place[order] >> 32
     new = np.concatenate([[True], (b[1:] != b[:-1]) | (s[1:] != s[:-1])]) if len(b) else np.empty(0, bool)
     head = np.flatnonzero(new)[np.cumsum(new) - 1] if len(b) else np.empty(0, np.int64)
     return order, (i != i[head]) | (p != p[head])
@@ -185,41 +189,52 @@ def text_runs(table: pa.RecordBatch, length: int = LENGTH, gram: int = GRAM) ->
         parts.append((text[piece], place[piece] + start - borders[:-1][piece], n, bucket, same) if len(piece) else
                      (piece, start, n, bucket, same))
     if not parts:
-        return _batch(ROW_SCHEMA, *[[]] * 7)
+        return _batch(ROW_SCHEMA, *[[]] * 5)
     text, start, n, bucket, same = (np.concatenate(x) for x in zip(*parts))
-    return _settle(bucket, same, ids[text], marks[text], start, n)
-
-
-def _settle(bucket, same, ident, mark, start, n) -> pa.RecordBatch:
-    order, later = _first_of_equal(bucket, same, ident, start)
-    cols = [x[order] for x in (bucket, same, ident, mark, start, n)]
-    # A settled row only passes through: deal it by its document.
-    cols[0] = np.where(later, cols[2] * 31 + cols[4], cols[0])
-    return _batch(ROW_SCHEMA, later.astype(np.int8), *cols)
+    return _settle(bucket, same << N_BITS | n, ids[text], start << 32 | marks[text].astype(np.int64), n)
+
+
+def _settle(bucket, same, ident, place, n) -> pa.RecordBatch:
+    """Rows of a batch: of equal ones the first as they are; the others are repeated, and
+    those that follow each other in a text are put together."""
+    order, later = _first_of_equal(bucket, same, ident, place)
+    first, rest = order[~later], order[later]
+    rest = rest[np.lexsort((place[rest] >> 32, place[rest] & MARK, ident[rest]))]
+    i, p, m = ident[rest], place[rest], n[rest]
+    new = np.ones(len(rest), bool)
+    new[1:] = (i[1:] != i[:-1]) | (p[1:] != p[:-1] + (m[:-1] << 32))
+    at = np.flatnonzero(new)
+    counts = np.add.reduceat(m, at) if len(at) else m
+    # A repeated row only passes through: deal it by its place.
+    return _batch(ROW_SCHEMA, np.repeat(np.array([RUN, REPEATED], np.int8), [len(first), len(at)]),
+                  np.concatenate([bucket[first], i[at] * 31 + (p[at] >> 32)]), np.concatenate([same[first], counts]),
+                  np.concatenate([ident[first], i[at]]), np.concatenate([place[first], p[at]]))
 
 
 # 2. Equal runs ------------------------------------------------------------------------------
 
-def _equal_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows sorted by (kind, bucket, same, id, start): later equal runs become repeated;
-    first ones stay if their bucket has another row."""
+def _equal_runs(batches: Iterator[pa.RecordBatch], single: bool) -> Iterator[pa.RecordBatch]:
+    """Over rows sorted by (kind, bucket, same, id, place): later equal runs (or single strings)
+    become repeated; first ones stay if their bucket has another row."""
     head = None              # (bucket, same, id, start) of the current kind's first row
     held, held_met = None, False   # the last first row, and whether its bucket has another before it
     for batch in batches:
-        kind, bucket, same, ident, mark, start, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        settled = kind == REPEATED
-        out = [[x[settled] for x in (kind, bucket, same, ident, mark, start, n)]]
-        rows = [x[~settled] for x in (kind, bucket, same, ident, mark, start, n)]
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        settled = columns[0] == REPEATED
+        out = [[x[settled] for x in columns]]
+        rows = [x[~settled] for x in columns]
         if len(rows[0]):
-            _, b, s, i, _, p, _ = rows
+            kind, b, s, i, place = rows
+            p = place >> 32
             new = np.concatenate([[head is None or (b[0], s[0]) != head[:2]], (b[1:] != b[:-1]) | (s[1:] != s[:-1])])
-            at = np.flatnonzero(new)[np.cumsum(new) - 1] if new[0] else np.concatenate([[-1], np.flatnonzero(new)])[np.cumsum(new)]
-            first_i, first_p = np.where(at < 0, 0, i[at]), np.where(at < 0, 0, p[at])
+            at = np.concatenate([[-1], np.flatnonzero(new)])[np.cumsum(new)]
+            first_i, first_p = i[at], p[at]
             if not new[0]:
                 first_i, first_p = np.where(at < 0, head[2], first_i), np.where(at < 0, head[3], first_p)
             later = (i != first_i) | (p != first_p)
             head = (b[-1], s[-1], first_i[-1], first_p[-1])
-            out.append([np.full(int(later.sum()), REPEATED, np.int8)] + [x[later] for x in rows[1:]])
+            n = np.ones(int(later.sum()), np.int64) if single else s[later] & ((1 << N_BITS) - 1)
+            out.append([np.full(len(n), REPEATED, np.int8), b[later], n, i[later], place[later]])
             firsts = [x[~later] for x in rows]
             if held is not None:
                 firsts = [np.concatenate([h, f]) for h, f in zip(held, firsts)]
@@ -235,10 +250,10 @@ def _equal_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(ROW_SCHEMA, *held)
 
 
-def _settle_all(rows: DataFrame) -> DataFrame:
+def _settle_all(rows: DataFrame, single: bool = False) -> DataFrame:
     """Rows of ``ROW`` dealt by bucket; what is left of them as described above."""
-    return rows.repartition("bucket").sortWithinPartitions("kind", "bucket", "same", "id", "start") \
-        .mapInArrow(_equal_runs, ROW)
+    return rows.repartition("bucket").sortWithinPartitions("kind", "bucket", "same", "id", "place") \
+        .mapInArrow(lambda batches: _equal_runs(batches, single), ROW)
 
 
 # 3. Suffix sort -----------------------------------------------------------------------------
@@ -352,12 +367,12 @@ def _repeated_rows(ident, mark, place, counts, flags) -> pa.RecordBatch:
     nth = np.arange(len(run)) - np.repeat(np.cumsum(counts) - counts, counts)
     hit = np.flatnonzero(flags)
     if not len(hit):
-        return _batch(ROW_SCHEMA, *[[]] * 7)
+        return _batch(ROW_SCHEMA, *[[]] * 5)
     begins = np.flatnonzero(np.concatenate([[True], (np.diff(hit) != 1) | (run[hit][1:] != run[hit][:-1])]))
     n = np.diff(np.concatenate([begins, [len(hit)]]))
     r, k = run[hit[begins]], nth[hit[begins]]
-    zero = np.zeros(len(n), np.int64)
-    return _batch(ROW_SCHEMA, np.full(len(n), REPEATED, np.int8), zero, zero, ident[r], mark[r], place[r] + k, n)
+    return _batch(ROW_SCHEMA, np.full(len(n), REPEATED, np.int8), np.zeros(len(n), np.int64), n, ident[r],
+                  (place[r].astype(np.int64) + k) << 32 | mark[r])
 
 
 def _sort_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -399,7 +414,7 @@ def _single_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         if rows:
             high, low, ident, mark, start = zip(*rows)
             yield _settle(np.array(high, np.uint64).view(np.int64), np.array(low, np.uint64).view(np.int64),
-                          np.array(ident, np.int64), np.array(mark, np.int32), np.array(start, np.int64),
+                          np.array(ident, np.int64), np.array(start, np.int64) << 32 | np.array(mark, np.int64),
                           np.ones(len(rows), np.int64))
 
 
@@ -423,8 +438,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = _texts(docs, id_col, text_col)
     small_batches(spark)
     runs = texts.mapInArrow(lambda batches: map(text_runs, batches), ROW)
+    mark, start = F.col("place").bitwiseAND(MARK).cast("int").alias("mark"), F.shiftright("place", 32).cast("int").alias("start")
     rows = stable(_settle_all(runs))
-    unclear = rows.where(F.col("kind") == RUN)
+    unclear = rows.where(F.col("kind") == RUN).select(
+        "bucket", "id", mark, start, F.col("same").bitwiseAND((1 << N_BITS) - 1).cast("int").alias("n"))
     large = unclear.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > many).select("bucket", F.lit(True).alias("large"))
     wanted = unclear.join(large, "bucket", "left") \
         .groupBy("id", "mark").agg(F.collect_list(F.struct("start", "n", "bucket", F.coalesce("large", F.lit(False)).alias("large"))).alias("runs"))
@@ -432,8 +449,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     .mapInArrow(_slice_runs, TEXT_ROW + ", large boolean"))
     sorted_ = pieces.where("not large").drop("large").repartition("bucket") \
         .sortWithinPartitions("bucket", "id", "start").mapInArrow(_sort_blocks, ROW)
-    single = _settle_all(pieces.where("large").drop("large").mapInArrow(_single_strings, ROW))
-    found = rows.unionByName(sorted_).unionByName(single).where(F.col("kind") == REPEATED)
+    single = _settle_all(pieces.where("large").drop("large").mapInArrow(_single_strings, ROW), single=True)
+    found = rows.unionByName(sorted_).unionByName(single).where(F.col("kind") == REPEATED) \
+        .select("id", mark, start, F.col("same").alias("n"))
     return found.groupBy("id", "mark").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
 
 
