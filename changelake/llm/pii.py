@@ -4,7 +4,9 @@ Seeds are the matches of fixed patterns (e-mail, IP address, card, phone). A run
 that hold a digit or @ is an instance; the words around it are its lexical patterns. Seeds
 that overlap an instance label it. Then, in rounds over the pattern-instance graph:
 
-* a pattern's confidence in a kind is the labelled share of its instances, and
+* a pattern's confidence in a kind is the labelled share of its instances, where unlabelled
+  instances that have the kind's form (a card number that fails the check digit, say) are
+  what is looked for and do not count; unlabelled instances of other forms count against it;
 * an unlabelled instance's score is one minus the product of its confident patterns'
   doubts; a high score labels it for the next round.
 
@@ -40,6 +42,14 @@ PATTERNS = {
 }
 #: Tokens with a digit or @, one space apart.
 INSTANCE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?: [^\s0-9@]*+[0-9@]\S*+)*+"
+#: What an unlabelled instance must hold to have the form of a kind: the fixed patterns without
+#: their checks, and with the lengths that cards (13 to 19 digits) and phones (7 to 15) have.
+FORMS = {
+    "email": "@",
+    "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
+    "card": r"(?<![0-9])[0-9](?:[ -]?+[0-9]){12,18}(?![0-9])",
+    "phone": r"(?<![0-9])[0-9](?:[ ().-]{0,3}+[0-9]){6,14}(?![0-9])",
+}
 #: Characters beside an instance in which its context words are looked for.
 CONTEXT = 64
 ROUNDS = 3
@@ -132,12 +142,20 @@ def _discover(occurrences: DataFrame, rounds: int, confidence: float, support: f
     edges = stable(occurrences.select("value", F.explode("patterns").alias("pattern")).distinct())
     seeds = stable(occurrences.where("seed is not null").groupBy("value").agg(F.min("seed").alias("kind"))
                    .withColumn("score", F.lit(1.0)))
-    sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances"))
     known = seeds
     for _ in range(rounds):
-        marked = edges.join(known, "value").groupBy("pattern", "kind").agg(F.sum("score").alias("weight"))
-        sure = stable(marked.where(F.col("weight") >= support).join(sizes, "pattern")
-                      .withColumn("confidence", F.col("weight") / (F.col("instances") + 1.0))
+        marked = edges.join(known, "value", "left").groupBy("pattern").agg(
+            F.count(F.lit(1)).alias("instances"), *(agg for k in KINDS for agg in (
+                F.sum(F.when(F.col("kind") == k, F.col("score")).otherwise(0.0)).alias(f"weight_{k}"),
+                F.count_if((F.col("kind") == k) | (F.col("kind").isNull() & F.col("value").rlike(FORMS[k])))
+                .alias(f"own_{k}"))))
+        # An instance of the kind counts by its score, an open one not at all, any other as one.
+        each = marked.select("pattern", F.explode(F.array(*(
+            F.struct(F.lit(k).alias("kind"), F.col(f"weight_{k}").alias("weight"),
+                     (F.col("instances") - F.col(f"own_{k}")).alias("others")) for k in KINDS))).alias("k")) \
+            .select("pattern", "k.*")
+        sure = stable(each.where(F.col("weight") >= support)
+                      .withColumn("confidence", F.col("weight") / (F.col("weight") + F.col("others") + 1.0))
                       .where(F.col("confidence") >= confidence).select("pattern", "kind", "confidence"))
         doubts = edges.join(sure, "pattern").join(seeds.select("value"), "value", "left_anti") \
             .groupBy("value", "kind").agg(F.sum(F.log(1 - F.col("confidence"))).alias("doubt"))

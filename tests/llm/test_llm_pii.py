@@ -72,6 +72,26 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert unseen <= found
 
 
+def test_contexts_discover_unseen_identifiers_at_defaults(spark):
+    rows, unseen = planted()
+    # One constant neighbour word only, and half of the cards unseen.
+    rng = random.Random(3)
+    for i in range(200, 240):
+        number = "".join(rng.choices("0123456789", k=15))
+        number += next(d for d in "0123456789" if luhn(number + d) == (i % 2 == 0))
+        if i % 2:
+            unseen.add((i, number))
+        rows.append((i, f"{chr(97 + i % 26)}{chr(97 + i // 26)}q holder {number} {chr(97 + i // 26)}{chr(97 + i % 26)}z"))
+    # Numbers of other forms beside as many e-mail addresses are no addresses.
+    rows += [(300 + i, f"meet at a{i}@b.org" if i % 2 else f"meet at {i}:30") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    added = set()
+    texts = dict(rows)
+    for r in pii.find(df).collect():
+        added |= {(r.id, texts[r.id][a:b], kind) for kind, a, b in set(spans(r, "spans")) - set(spans(r, "base"))}
+    assert added == {(i, number, "card") for i, number in unseen}
+
+
 def test_no_discovery_without_confident_patterns(spark):
     rows = [(i, f"word{'abcdefghij'[i % 10]} {1000 + i} x a{i}@b.org") for i in range(40)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
