@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changelake.llm.common import fresh, small_batches, stable, utf8
+from changelake.llm.common import fresh, small_batches, stable, text_or_empty, utf8
 
 SHINGLE_WORDS = 3
 MAX_DISTANCE = 2
@@ -175,17 +175,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """``docs`` with one row of each group: the one with the smallest id. Columns stay.
-    Rows of one id are one document; if an id repeats, one of its rows stays."""
-    found = near_duplicates(docs, id_col, text_col, **settings)
-    keep = found.where(F.col(id_col).eqNullSafe(F.col("component"))) \
-        .groupBy(F.col(id_col).alias(fresh(docs, "kept_id"))).agg(F.count(F.lit(1)).alias(fresh(docs, "kept_rows")))
-    keep = stable(keep)
-    kept_id, kept_rows = keep.columns
-    out = docs.join(keep, docs[id_col].eqNullSafe(keep[kept_id]), "left_semi")
-    if not keep.where(F.col(kept_rows) > 1).isEmpty():
-        out = out.dropDuplicates([id_col])
-    return out
+    """``docs`` with one row of each group, that with the smallest id (null ids last) and, among
+    its texts, the smallest text hash. Columns stay. Rows are told apart by id and text, so
+    other texts under a null or repeated id stay unless they are near duplicates themselves."""
+    text_hash, rows = fresh(docs, "kept_hash"), fresh(docs, "kept_rows")
+    kept = _survivors(docs, id_col, text_col, **settings).select(
+        F.col("id").alias(fresh(docs, "kept_id")), F.col("text_hash").alias(text_hash), F.col("n").alias(rows))
+    kept = stable(kept)
+    marked = docs.withColumn(text_hash, F.xxhash64(text_or_empty(docs[text_col])))
+    out = marked.join(kept, marked[id_col].eqNullSafe(kept[kept.columns[0]]) & (marked[text_hash] == kept[text_hash]),
+                      "left_semi")
+    if not kept.where(F.col(rows) > 1).isEmpty():
+        out = out.dropDuplicates([id_col, text_hash])
+    return out.drop(text_hash)
+
+
+def _survivors(docs: DataFrame, id_col: str, text_col: str, words: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE,
+               blocks: int = BLOCKS, pairwise: int = PAIRWISE_MEMBERS) -> DataFrame:
+    """One row per component: id and text hash of the row that stays, and how many rows share both."""
+    small_batches(docs.sparkSession)
+    prints = stable(docs.select(F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text_col)).alias("text_hash"),
+                                fingerprint(words)(F.col(text_col)).alias("fp")))
+    texts = prints.groupBy("fp", "id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "n")).alias("first")
+    owners = stable(texts.groupBy("fp").agg(first))
+    roots = components(links(owners.select("fp"), distance, blocks, pairwise))
+    return owners.join(roots, owners.fp == roots.node, "left").groupBy(F.coalesce("root", "fp").alias("root")) \
+        .agg(F.min("first").alias("first")).select("first.*")
 
 
 def hex64(col: str):

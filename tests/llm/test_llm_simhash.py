@@ -117,6 +117,27 @@ def test_empty_table_and_kept_columns(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 5]
 
 
+def test_only_near_duplicates_go_under_null_and_repeated_ids(spark):
+    rng = random.Random(9)
+    text = [" ".join(rng.choices(WORDS, k=80)) for _ in range(60)]
+    rows = [(None, t, "n") for t in text[:20]] + [(7, t, "r") for t in text[20:40]]     # distinct texts
+    rows += [(5, text[40], "own"), (5, text[41], "copy"), (3, text[41], "low")]         # id 5: own group, group of id 3
+    rows += [(None, text[42], "m"), (None, text[42].upper(), "m"), (None, text[42], "m")]   # a group without ids
+    rows += [(None, text[43], "x"), (8, text[43], "y"), (9, None, "z"), (9, "", "z"), (None, None, "w")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept_hash string").repartition(4)
+    kept = simhash.drop_near_duplicates(df)
+    assert kept.columns == df.columns
+    got = [tuple(r) for r in kept.collect()]
+    want = rows[:40] + [(5, text[40], "own"), (3, text[41], "low"), (8, text[43], "y")]
+    ends = [r for r in got if r not in want]
+    assert sorted((r for r in got if r in want), key=str) == sorted(want, key=str)
+    assert sorted((r[0], (r[1] or "").lower(), r[2]) for r in ends if r[0]) == [(9, "", "z")]
+    assert [(r[0], r[1].lower(), r[2]) for r in ends if not r[0]] == [(None, text[42], "m")]
+    # The same groups as near_duplicates finds, one row of each.
+    groups = simhash.near_duplicates(df.where("doc_id is not null")).select("component", "fp").distinct().count()
+    assert simhash.drop_near_duplicates(df.where("doc_id is not null")).count() == groups
+
+
 def test_fingerprint_counts_only_a_to_z_as_upper_case():
     assert simhash.fingerprint_text("ÀB c".encode()) == simhash.fingerprint_text("Àb C".encode())
     assert simhash.fingerprint_text("Àb".encode()) != simhash.fingerprint_text("àb".encode())
