@@ -23,27 +23,30 @@ def read_changelog(spark: SparkSession, path_or_servers: str, pattern: str = ".*
     """Every topic matching ``pattern`` as one log (stream or bounded).
 
     ``fmt="kafka"`` subscribes by pattern (needs the Kafka package); other
-    formats read change-log files and keep the matching topics.
+    formats read change-log files and keep the matching topics. ``tables`` and
+    ``offset_range`` (bounded reads only) hold for both.
     """
     if fmt == "kafka":
+        if max_files_per_trigger:
+            raise ValueError("max_files_per_trigger counts files; a Kafka source has none")
         r = (spark.readStream if stream else spark.read).format("kafka") \
             .option("kafka.bootstrap.servers", path_or_servers).option("subscribePattern", pattern)
         if starting_offsets:
             r = r.option("startingOffsets", starting_offsets)
         if ending_offsets and not stream:
             r = r.option("endingOffsets", ending_offsets)
-        df = r.load()
-        return df.select("topic", "partition", "offset", "timestamp",
-                         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
-    r = (spark.readStream if stream else spark.read).schema(CHANGELOG_SCHEMA).format(fmt)
-    if stream and max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))   # T5: bounded batch size
-    df = r.load(path_or_servers)
+        df = r.load().select("topic", "partition", "offset", "timestamp",
+                             F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+    else:
+        r = (spark.readStream if stream else spark.read).schema(CHANGELOG_SCHEMA).format(fmt)
+        if stream and max_files_per_trigger:
+            r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))   # T5: bounded batch size
+        df = r.load(path_or_servers)
     if tables is not None:
         # a log published per table (``write_changelog``) is pruned by directory
         col = F.col("table") if "table" in df.columns else table_of("topic")
         df = df.filter(col.isin(*tables))
-    if pattern not in (".*", ".+"):
+    if fmt != "kafka" and pattern not in (".*", ".+"):
         df = df.filter(F.col("topic").rlike(f"^(?:{pattern})$"))
     if offset_range is not None and not stream:   # S2: a bounded slice [start, end) per partition
         df = df.filter((F.col("offset") >= offset_range[0]) & (F.col("offset") < offset_range[1]))

@@ -3,7 +3,9 @@
 import os
 import tempfile
 
+import pytest
 from conftest import envelope, key, log_df
+from pyspark.sql import functions as F
 
 from changelake.sources.state_store import StateStore
 from changelake.streaming import apply as A
@@ -63,3 +65,32 @@ def test_stream_apply_set_mode_merges_partial_images(spark):
     q.awaitTermination()
     (doc,) = [dict(r["doc"]) for r in store.current().collect()]
     assert doc == {"id": "1", "a": "x", "b": "z", "c": None}
+
+
+class _Kafka:
+    """Stands in for the Kafka reader, whose package is not installed: loads the given rows."""
+
+    def __init__(self, rows):
+        self.read, self.rows, self.options = self, rows, {}
+
+    def format(self, name):
+        assert name == "kafka"
+        return self
+
+    def option(self, name, value):
+        self.options[name] = value
+        return self
+
+    def load(self):
+        return self.rows
+
+
+def test_kafka_reads_honour_tables_and_offset_range(spark):
+    from changelake.sources.changelog import read_changelog
+    rows = spark.createDataFrame([(t, 0, i, "k", f"{t}{i}") for t in ("cdc.users", "cdc.orders") for i in range(6)],
+                                 "topic string, partition int, offset long, key string, value string") \
+        .withColumn("timestamp", F.current_timestamp())
+    got = read_changelog(_Kafka(rows), "host:1", fmt="kafka", tables=["users"], offset_range=(2, 4)).collect()
+    assert sorted(r.value for r in got) == ["cdc.users2", "cdc.users3"]
+    with pytest.raises(ValueError, match="max_files_per_trigger"):
+        read_changelog(_Kafka(rows), "host:1", fmt="kafka", max_files_per_trigger=5)
