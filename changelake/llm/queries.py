@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.llm import bpe, cws, langid, mixing, neighbours, pii, quality, simhash, substrings, warc
+from changelake.llm import bpe, cws, langid, lattice, mixing, neighbours, pii, quality, ranked, simhash, substrings, turns, warc
 from changelake.llm.common import crc_fold
 from changelake.session import read_table, scratch_dir
 
@@ -108,3 +108,24 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations")
+    repaired = turns.repair(turns.damage(rows))
+    return turns.report(rows.select(F.col("conv_id").alias("conv")), repaired).withColumnRenamed("conv", "conv_id")
+
+
+@query
+def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                         read_table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+ORACLES["op12_ranked"] = ranked.oracle()
