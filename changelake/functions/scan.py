@@ -11,23 +11,15 @@ back on (key, block). Results equal the plain window's.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BLOCK = 1 << 16
-
+from changelake.session import written
 
-def width_for_rows(df: DataFrame, pos: str, rows: int) -> Column:
-    """Width of position blocks that hold about ``rows`` rows each when positions are spread
-    evenly: for positions that are not consecutive numbers, such as byte positions in a log.
-    A scalar subquery over the same rows; their shuffle is reused."""
-    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(rows)), F.lit(1))
-    return df.agg(F.ceil((F.max(pos) - F.min(pos) + 1) / blocks).alias("w")).scalar()
+DEFAULT_BLOCK = 1 << 16
 
 
-def _blocks(df: DataFrame, pos: str, block_size: int | Column) -> DataFrame:
-    if isinstance(block_size, Column):
-        return df.withColumn("_blk", F.floor(F.col(pos) / block_size))
+def _blocks(df: DataFrame, pos: str, block_size: int) -> DataFrame:
     return df.withColumn("_blk", F.floor(F.col(pos) / F.lit(block_size)))
 
 
@@ -84,6 +76,40 @@ def lead_by_key(df: DataFrame, keys: list[str], pos: str, cols: list[str], prefi
     return out.drop("_negpos")
 
 
+def in_ranges(df: DataFrame, order: list[str], purpose: str) -> DataFrame:
+    """``df`` with ``_rng``: rows dealt by range of ``order`` into parts of about equal numbers of rows,
+    numbered in order. Written once, so that all readers see the same ranges."""
+    return written(df.repartitionByRange(*order).withColumn("_rng", F.spark_partition_id()), purpose)
+
+
+def lead_by_rank(df: DataFrame, keys: list[str], pos: str, cols: list[str], prefix: str = "next_",
+                 block_rows: int = DEFAULT_BLOCK) -> DataFrame:
+    """Next row's ``cols`` within the key ordered by ``pos``, whatever the gaps between positions.
+
+    Keys of at most ``block_rows`` rows take a plain window. The rows of longer keys are dealt by
+    ranges of (key, position) that hold equal numbers of rows, looked up within their range, and
+    the last row of a range takes the first of the next (one row a range). ``df`` is read several
+    times: pass a written one."""
+    numbers = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows)
+    long = written(numbers.select(*keys, F.lit(True).alias("_long")), "long-keys")
+    window = Window.partitionBy(*keys).orderBy(pos)
+    if long.isEmpty():
+        return df.select("*", *[F.lead(c).over(window).alias(prefix + c) for c in cols])
+    marked = df.join(long, keys, "left")
+    short = marked.where("_long IS NULL").drop("_long").select("*", *[F.lead(c).over(window).alias(prefix + c) for c in cols])
+    ranged = in_ranges(marked.where("_long").drop("_long"), [*keys, pos], "lead")
+    head = F.struct(*keys, pos, *[c for c in cols if c != pos])
+    after = F.lead(head).over(Window.partitionBy("_rng").orderBy(*keys, pos))
+    firsts = ranged.groupBy("_rng").agg(F.min(head).alias("_first"))
+    firsts = firsts.select("_rng", F.lead("_first").over(Window.orderBy("_rng")).alias("_border"))   # one row a range
+    joined = ranged.withColumn("_after", after).join(firsts, "_rng", "left").withColumn("_after", F.coalesce("_after", "_border"))
+    same = None
+    for k in keys:
+        one = F.col(f"_after.{k}").eqNullSafe(F.col(k))
+        same = one if same is None else same & one
+    return short.unionByName(joined.select(*df.columns, *[F.when(same, F.col(f"_after.{c}")).alias(prefix + c) for c in cols]))
+
+
 def running(df: DataFrame, keys: list[str], pos: str, specs: dict[str, tuple[str, str]],
             block_size: int) -> DataFrame:
     """Inclusive running aggregates ordered by ``pos`` within ``keys`` (``specs``: output ->

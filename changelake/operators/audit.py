@@ -10,10 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changelake.functions.scan import DEFAULT_BLOCK, lag_by_key
-
-
-def enum_violations(df: DataFrame, col: str, allowed) -> DataFrame:
-    return df.filter(~F.coalesce(F.col(col).isin(*allowed), F.lit(False)))
+from changelake.operators.mapping import SPARK_TYPES, cast_value
+from changelake.rules import Rule
 
 
 def constraint_counts(df: DataFrame, table: str, checks: dict[str, Column]) -> DataFrame:
@@ -25,6 +23,26 @@ def constraint_counts(df: DataFrame, table: str, checks: dict[str, Column]) -> D
                .select(F.lit(table).alias("table_name"), "check_name", F.col("violations").cast("bigint"))
 
 
+def rule_checks(rule: Rule, image, required=(), at_least: dict | None = None) -> dict[str, Column]:
+    """F8: the checks that a rule and a table's constraints imply for a map image, by name:
+    ``<field>_type`` (its text converts), ``<field>_enum``, ``<field>_not_null`` for ``required``
+    fields and ``<field>_min`` for bounds of ``at_least``. Only a required field may not be null."""
+    img = F.col(image) if isinstance(image, str) else image
+    get = lambda n: F.try_element_at(img, F.lit(n))
+    checks = {}
+    for n, f in rule.fields.items():
+        value = F.try_parse_json(get(n)) if f.embed else cast_value(get(n), f.type)
+        if f.embed or SPARK_TYPES.get(f.type, "string") != "string":
+            checks[f"{n}_type"] = get(n).isNull() | value.isNotNull()
+        if f.enum:
+            checks[f"{n}_enum"] = get(n).isNull() | get(n).isin(*f.enum)
+        if n in required:
+            checks[f"{n}_not_null"] = get(n).isNotNull()
+        if n in (at_least or {}):
+            checks[f"{n}_min"] = value.isNull() | (value >= at_least[n])
+    return checks
+
+
 def unique_violations(df: DataFrame, cols: list[str]) -> DataFrame:
     """F8: values of ``cols`` that occur more than once, with their count."""
     return df.groupBy(*cols).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
@@ -71,10 +89,14 @@ def image_digest(img) -> Column:
 
 
 def chain_violations(events: DataFrame, keys=("table", "pk"), pos: str = "offset",
-                     block_size: int | None = DEFAULT_BLOCK) -> DataFrame:
-    """updates/deletes whose before image differs from the previous after image of the key."""
+                     block_size: int | None = DEFAULT_BLOCK, full_images: bool = False) -> DataFrame:
+    """updates/deletes whose before image differs from the previous after image of the key;
+    with ``full_images`` (the source promises before images) also those without one although
+    the key has a previous after image."""
     d = events.withColumn("_after_d", image_digest("after"))
     d = lag_by_key(d, list(keys), pos, ["_after_d"], "prev", block_size)
-    return d.filter(F.col("op").isin("u", "d") & F.col("before").isNotNull()
-                    & ~image_digest("before").eqNullSafe(F.col("prev_after_d"))) \
+    broken = F.col("before").isNotNull() & ~image_digest("before").eqNullSafe(F.col("prev_after_d"))
+    if full_images:
+        broken = broken | (F.col("before").isNull() & F.col("prev_after_d").isNotNull())
+    return d.filter(F.col("op").isin("u", "d") & broken) \
             .drop("_after_d", "prev_after_d")

@@ -3,9 +3,13 @@ deletes, insert-if-absent, natural-key upsert, deletion audit (J1-J9)."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from changelake.session import written
+
 
 def embed(parent: DataFrame, child: DataFrame, child_fk: str, parent_key: str, target: str,
           fields: list[str], sort_by: list[str] | None = None) -> DataFrame:
@@ -72,6 +76,56 @@ def cascade_deletes(parent_deletes: DataFrame, child: DataFrame, child_fk: str,
                 .withColumn("op", F.lit("d"))
 
 
+@dataclass(frozen=True)
+class ForeignKey:
+    """``child.column`` holds a primary key of ``parent``; ``key`` is the child's own primary key."""
+    child: str
+    column: str
+    parent: str
+    key: str = "id"
+
+
+def cascade(deletes: DataFrame, tables: dict[str, DataFrame], foreign_keys: list[ForeignKey]) -> DataFrame:
+    """All deletes that a set of deletes (table, pk, lsn) implies over the foreign keys, as change
+    events: table, pk, lsn, op ``d``, before (the row's image) and depth (1: child of a given delete).
+
+    The rows found last are joined with the child tables of theirs until a round finds none, so
+    chains of any length and cycles of keys end. A row that several parents take along goes
+    once, at the first round and the lowest LSN of it. Each round is written to shared storage."""
+    found = deletes.select("table", "pk", "lsn", F.lit(0).alias("depth"))
+    frontier, reached, events, depth = found, {fk.parent for fk in foreign_keys}, [], 0
+    while True:
+        depth += 1
+        parts = []
+        for fk in foreign_keys:
+            if fk.parent not in reached:
+                continue
+            gone = frontier.where(F.col("table") == fk.parent).select(F.col("pk").alias("_pk"), F.col("lsn").alias("_lsn"))
+            rows = tables[fk.child]
+            image = F.create_map(*[x for c in rows.columns for x in (F.lit(c), F.col(c).cast("string"))])
+            parts.append(rows.join(gone, rows[fk.column].cast("string") == gone["_pk"]).select(
+                F.lit(fk.child).alias("table"), F.col(fk.key).cast("string").alias("pk"), F.col("_lsn").alias("lsn"), image.alias("before")))
+        if not parts:
+            break
+        every = parts[0]
+        for part in parts[1:]:
+            every = every.unionByName(part)
+        # Maps do not compare, so the image is that of the lowest LSN.
+        once = every.groupBy("table", "pk").agg(F.min("lsn").alias("lsn"), F.min_by("before", "lsn").alias("before"))
+        new = written(once.join(found.select("table", "pk"), ["table", "pk"], "left_anti").withColumn("depth", F.lit(depth)), "cascade")
+        if new.isEmpty():
+            break
+        events.append(new)
+        found = found.unionByName(new.select("table", "pk", "lsn", "depth"))
+        frontier, reached = new, {fk.child for fk in foreign_keys if fk.parent in reached}
+    if not events:
+        events = [found.where("false").withColumn("before", F.lit(None).cast("map<string,string>"))]
+    out = events[0]
+    for part in events[1:]:
+        out = out.unionByName(part)
+    return out.select("table", "pk", "lsn", F.lit("d").alias("op"), "before", "depth")
+
+
 def insert_absent(target: DataFrame, new: DataFrame, key: str, order_col: str | None = None) -> DataFrame:
     """``INSERT .. ON CONFLICT DO NOTHING``: new rows whose key is absent are added.
 

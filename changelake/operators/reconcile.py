@@ -7,10 +7,12 @@ numbers per hash bucket, computed with partial aggregation.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changelake.functions.scalar import md5_number, row_text
+from changelake.functions.scan import in_ranges
+from changelake.session import written
 
 def count_parity(src_counts: DataFrame, tgt_counts: DataFrame) -> DataFrame:
     """``(table_name, n)`` on both sides -> counts side by side and equality."""
@@ -32,6 +34,63 @@ def table_md5(df: DataFrame, key: str, cols: list[str], range_rows: int = 10_000
                       F.coalesce(F.sum("_n"), F.lit(0)).alias("n"))
 
 
+def merkle_nodes(df: DataFrame, keys: list[str], cols: list[str], fan: int = 4096, levels: int = 3) -> DataFrame:
+    """A7 for keys of any type: a Merkle tree over ranges of the key order.
+
+    Rows: level, first (text of the range's first key; null for the range before all cut keys),
+    parent (``first`` of the node above), node (md5) and n (rows below). A key begins a range where
+    the md5 of its text falls into one of ``fan`` parts, another part of the md5 for each level: so
+    ranges hold about ``fan`` rows whatever the keys' values and gaps, a row's range does not
+    depend on rows far away, and two tables cut alike. A leaf is the md5 of its rows' md5s in key
+    order, a node above that of its nodes; level ``levels`` + 1 is the root, over a table
+    ``fan ** levels`` times smaller. Up to 4 levels."""
+    if not 1 <= levels <= 4:
+        raise ValueError("levels must be 1 to 4")
+    now = df.select(F.struct(*keys).alias("k"), row_text(*keys).alias("kt"), F.md5(row_text(*cols)).alias("t"), F.lit(1).cast("bigint").alias("n"))
+    out = []
+    for level in range(1, levels + 1):
+        part = F.conv(F.substring(F.md5(F.coalesce("kt", F.lit(""))), 8 * level - 7, 8), 16, 10).cast("bigint")
+        begins = F.when(part % fan == 0, F.struct("k", "kt"))
+        ranged = in_ranges(now.withColumn("b", begins), ["k"], "merkle")
+        within = F.max("b").over(Window.partitionBy("_rng").orderBy("k"))
+        # One row a range: the last cut key before it.
+        carry = ranged.groupBy("_rng").agg(F.max("b").alias("b")).select("_rng", F.max("b").over(
+            Window.orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)).alias("c"))
+        owned = ranged.withColumn("w", within).join(carry, "_rng").withColumn("o", F.coalesce("w", "c"))
+        if level > 1:
+            out.append(owned.select(F.lit(level - 1).alias("level"), F.col("kt").alias("first"), F.col("o.kt").alias("parent"),
+                                    F.col("t").alias("node"), "n"))
+        now = owned.groupBy("o").agg(F.expr("md5(listagg(t, ',') WITHIN GROUP (ORDER BY k, t))").alias("t"), F.sum("n").alias("n")) \
+            .select(F.col("o.k").alias("k"), F.col("o.kt").alias("kt"), "t", "n")
+    now = written(now, "merkle")
+    out.append(now.select(F.lit(levels).alias("level"), F.col("kt").alias("first"), F.lit(None).cast("string").alias("parent"),
+                          F.col("t").alias("node"), "n"))
+    out.append(now.agg(F.expr("md5(coalesce(listagg(t, ',') WITHIN GROUP (ORDER BY k, t), ''))").alias("node"),
+                       F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(
+        F.lit(levels + 1).alias("level"), F.lit(None).cast("string").alias("first"), F.lit(None).cast("string").alias("parent"), "node", "n"))
+    nodes = out[0]
+    for part in out[1:]:
+        nodes = nodes.unionByName(part)
+    return nodes
+
+
+def merkle_diff(src: DataFrame, tgt: DataFrame, levels: int = 3) -> DataFrame:
+    """(first, in_src, in_tgt): the leaves of two trees that differ, found from the top: a level is
+    compared only below nodes that differ, so equal parts of the tables are passed over."""
+    below = None
+    for level in range(levels, 0, -1):
+        def side(nodes, name):
+            rows = nodes.where(F.col("level") == level)
+            if below is not None:
+                rows = rows.join(below, rows["parent"].eqNullSafe(below["up"]), "left_semi")
+            return rows.select(F.col("first").alias(f"f_{name}"), F.col("node").alias(f"node_{name}"), F.lit(True).alias(f"in_{name}"))
+        s, t = side(src, "s"), side(tgt, "t")
+        both = s.join(t, s["f_s"].eqNullSafe(t["f_t"]), "full_outer").where(~F.col("node_s").eqNullSafe(F.col("node_t")))
+        first = F.when(F.col("in_s"), F.col("f_s")).otherwise(F.col("f_t"))
+        below = both.select(first.alias("up"), F.coalesce("in_s", F.lit(False)).alias("in_src"), F.coalesce("in_t", F.lit(False)).alias("in_tgt"))
+    return below.withColumnRenamed("up", "first")
+
+
 def digest_terms(df: DataFrame, key: str, cols: list[str], buckets: int) -> DataFrame:
     t = row_text(*cols)
     return df.select(F.pmod(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("bigint"),

@@ -17,8 +17,8 @@ def minute_index(ts: Column) -> Column:
 
 def availability(df: DataFrame, ts: Column, start: str | None = None, end: str | None = None) -> DataFrame:
     """Per day of [``start``, ``end``) the minutes with at least one event, the minutes
-    without, and the share of the former. Days without any event are there with 0. Without
-    bounds the range is that of the events, in whole days."""
+    without, and the share of the former. Minutes that the range cuts count whole. Days without
+    any event are there with 0. Without bounds the range is that of the events, in whole days."""
     minutes = df.select(minute_index(ts).alias("m")).filter("m is not null").distinct()
     lo = F.unix_seconds(F.lit(start).cast("timestamp")) if start else \
         F.unix_seconds(F.date_trunc("day", F.timestamp_seconds(F.min("m") * 60)))
@@ -27,15 +27,15 @@ def availability(df: DataFrame, ts: Column, start: str | None = None, end: str |
     bounds = minutes.agg(lo.alias("lo"), hi.alias("hi"))
     day_of = lambda s: F.floor(s / 86400)
     spine = bounds.filter("lo < hi").select("lo", "hi", F.explode(F.sequence(day_of(F.col("lo")), day_of(F.col("hi") - 1))).alias("d"))
-    spine = spine.select("lo", "hi", "d", (F.least(F.col("hi"), (F.col("d") + 1) * 86400)
-                                           - F.greatest(F.col("lo"), F.col("d") * 86400)).alias("seconds"))
+    first = F.greatest(F.floor(F.col("lo") / 60), F.col("d") * 1440)
+    last = F.least(F.ceil(F.col("hi") / 60), (F.col("d") + 1) * 1440)
+    spine = spine.select("d", first.alias("first"), last.alias("last"), (last - first).alias("minutes"))
     up = minutes.select("m", F.floor(F.col("m") / 1440).alias("d"))
-    joined = spine.join(up, "d", "left").withColumn(
-        "inside", (F.col("m") * 60 >= F.col("lo")) & (F.col("m") * 60 < F.col("hi")))
-    return joined.groupBy("d", "seconds").agg(F.count_if("inside").alias("up_minutes")).select(
+    joined = spine.join(up, "d", "left").withColumn("inside", (F.col("m") >= F.col("first")) & (F.col("m") < F.col("last")))
+    return joined.groupBy("d", "minutes").agg(F.count_if("inside").alias("up_minutes")).select(
         F.to_date(F.timestamp_seconds(F.col("d") * 86400)).alias("day"), "up_minutes",
-        (F.ceil(F.col("seconds") / 60) - F.col("up_minutes")).cast("bigint").alias("down_minutes"),
-        (F.col("up_minutes") * 60.0 / F.col("seconds")).alias("availability"))
+        (F.col("minutes") - F.col("up_minutes")).cast("bigint").alias("down_minutes"),
+        (F.col("up_minutes").cast("double") / F.col("minutes")).alias("availability"))
 
 
 def success_share(counts: DataFrame) -> DataFrame:

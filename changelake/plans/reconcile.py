@@ -61,6 +61,66 @@ def table_md5(spark, sf_dir):
     return a.unionByName(b).select("table_name", "md5", "n")
 
 
+FAN = 32
+
+
+def _cut_sql(text, level):
+    return f"CAST(('0x' || substr(md5(coalesce({text}, '')), {8 * level - 7}, 8)) AS BIGINT) % {FAN} = 0"
+
+
+def _merkle_sql(name, rows):
+    """CTEs <name>_1, <name>_2: the nodes of two levels over ``rows`` (k, kt, t); struct order is k's."""
+    return f"""
+{name}_o AS (SELECT k, t, max(CASE WHEN {_cut_sql('kt', 1)} THEN k END) OVER (ORDER BY k) AS o FROM ({rows})),
+{name}_1 AS (SELECT o AS k, md5(string_agg(t, ',' ORDER BY k, t)) AS t, count(*) AS n FROM {name}_o GROUP BY o),
+{name}_p AS (SELECT *, max(CASE WHEN {_cut_sql(row_text_sql(['k']), 2)} AND k IS NOT NULL THEN k END) OVER (ORDER BY k NULLS FIRST) AS o
+             FROM {name}_1),
+{name}_2 AS (SELECT o AS k, md5(string_agg(t, ',' ORDER BY k NULLS FIRST, t)) AS t, CAST(sum(n) AS BIGINT) AS n FROM {name}_p GROUP BY o)"""
+
+
+def _root_sql(label, name):
+    return f"SELECT '{label}' AS table_name, md5(string_agg(t, ',' ORDER BY k NULLS FIRST, t)) AS root, CAST(sum(n) AS BIGINT) AS n FROM {name}_2"
+
+
+CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+MERKLE_SQL = [NEXT_ORDERS_CTE,
+              _merkle_sql("c", f"SELECT c_name AS k, {row_text_sql(['c_name'])} AS kt, md5({row_text_sql(CUSTOMER_COLS)}) AS t FROM customer"),
+              _merkle_sql("o", f"SELECT o_orderkey * 1000003 AS k, {row_text_sql(['o_orderkey * 1000003'])} AS kt, "
+                               f"md5({row_text_sql(ORDER_COLS)}) AS t FROM orders"),
+              _merkle_sql("x", f"SELECT o_orderkey * 1000003 AS k, {row_text_sql(['o_orderkey * 1000003'])} AS kt, "
+                               f"md5({row_text_sql(ORDER_COLS)}) AS t FROM nxt")]
+
+
+def _sparse(orders):
+    return orders.withColumn("k", F.col("o_orderkey") * 1000003)
+
+
+@query("table_merkle", with_ctes(*MERKLE_SQL, body=_root_sql("customer", "c") + " UNION ALL " + _root_sql("orders", "o")
+                                 + " UNION ALL " + _root_sql("orders_next", "x")))
+def table_merkle(spark, sf_dir):
+    """Roots of Merkle trees over ranges of a text key and of an integer key with wide gaps."""
+    tables = [("customer", fx.table(spark, sf_dir, "customer"), "c_name", CUSTOMER_COLS),
+              ("orders", _sparse(fx.table(spark, sf_dir, "orders")), "k", ORDER_COLS),
+              ("orders_next", _sparse(fx.orders_next(spark, sf_dir)), "k", ORDER_COLS)]
+    out = None
+    for name, df, key, cols in tables:
+        root = R.merkle_nodes(df, [key], cols, FAN, 2).where("level = 3").select(F.lit(name).alias("table_name"), F.col("node").alias("root"), "n")
+        out = root if out is None else out.unionByName(root)
+    return out
+
+
+@query("merkle_drift", with_ctes(*MERKLE_SQL, body="""
+SELECT CASE WHEN o.t IS NOT NULL THEN o.k ELSE x.k END AS first_key, o.t IS NOT NULL AS in_src, x.t IS NOT NULL AS in_tgt
+FROM o_1 o FULL OUTER JOIN x_1 x ON o.k IS NOT DISTINCT FROM x.k WHERE o.t IS DISTINCT FROM x.t
+"""))
+def merkle_drift(spark, sf_dir):
+    """The ranges of keys in which two tables differ, by descending their Merkle trees."""
+    src = R.merkle_nodes(_sparse(fx.table(spark, sf_dir, "orders")), ["k"], ORDER_COLS, FAN, 2)
+    tgt = R.merkle_nodes(_sparse(fx.orders_next(spark, sf_dir)), ["k"], ORDER_COLS, FAN, 2)
+    d = R.merkle_diff(src, tgt, 2)
+    return d.select(F.substring_index("first", ":", -1).cast("bigint").alias("first_key"), "in_src", "in_tgt")
+
+
 @query("table_digest", f"""
 SELECT {BUCKET_SQL.format(k='o_orderkey', n=BUCKETS)} AS bucket, count(*) AS n,
        CAST(sum({TERM_SQL.format(t=row_text_sql(ORDER_COLS))}) AS VARCHAR) AS digest,

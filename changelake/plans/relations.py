@@ -8,6 +8,7 @@ from changelake.operators import audit, joins
 from changelake.operators.decode import decode, good_events
 from changelake.operators.history import history
 from changelake.plans import fixtures as fx
+from changelake.plans.embedding import ITEMS_CTE, item_rows, order_rows
 from changelake.plans.registry import query
 from changelake.plans.sql_fixtures import NEXT_ORDERS_CTE, with_ctes, with_log
 from changelake.sources.changelog import snapshot_to_changelog
@@ -132,6 +133,29 @@ def cascade_q(spark, sf_dir):
     return c.select("l_orderkey", "l_linenumber", "l_partkey", "op")
 
 
+@query("cascade_levels", with_ctes(ITEMS_CTE, """
+d AS (SELECT c_custkey, c_custkey + 1000 AS lsn FROM customer WHERE c_custkey % 10 = 3),
+o AS (SELECT o_orderkey, o_custkey, o_orderstatus, lsn FROM orders JOIN d ON o_custkey = c_custkey),
+i AS (SELECT items.*, lsn FROM items JOIN o ON order_id = o_orderkey)
+""", body="""
+SELECT 'orders' AS table_name, CAST(o_orderkey AS VARCHAR) AS pk, lsn, 'd' AS op, 1 AS depth,
+       CAST(o_custkey AS VARCHAR) AS parent_pk, o_orderstatus AS detail FROM o
+UNION ALL SELECT 'order_items', CAST(id AS VARCHAR), lsn, 'd', 2, CAST(order_id AS VARCHAR), sku FROM i
+"""))
+def cascade_levels(spark, sf_dir):
+    """Deleted users take their orders along, and these their items, as delete events with key,
+    LSN and before image."""
+    users = fx.table(spark, sf_dir, "customer").where("c_custkey % 10 = 3")
+    deletes = users.select(F.lit("users").alias("table"), F.col("c_custkey").cast("string").alias("pk"),
+                           (F.col("c_custkey") + 1000).alias("lsn"))
+    c = joins.cascade(deletes, {"orders": order_rows(fx.table(spark, sf_dir, "orders")),
+                                "order_items": item_rows(fx.table(spark, sf_dir, "lineitem"))},
+                      [joins.ForeignKey("orders", "user_id", "users"), joins.ForeignKey("order_items", "order_id", "orders")])
+    b = F.col("before")
+    return c.select(F.col("table").alias("table_name"), "pk", "lsn", "op", "depth",
+                    F.coalesce(b["user_id"], b["order_id"]).alias("parent_pk"), F.coalesce(b["status"], b["sku"]).alias("detail"))
+
+
 @query("insert_absent", """
 WITH t AS (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 2 = 0),
 n AS (SELECT c_custkey, 'New ' || c_name AS c_name, c_acctbal FROM customer
@@ -245,6 +269,17 @@ def chain_violations_q(spark, sf_dir):
     return v.select(F.col("offset").alias("off"), "pk")
 
 
+@query("chain_missing_before", with_log("""
+d AS (SELECT *, lag(CASE WHEN op <> 'd' THEN event_id END) OVER (PARTITION BY user_id ORDER BY off) AS prev_after_eid FROM good)
+SELECT off, CAST(user_id AS VARCHAR) AS pk, op FROM d WHERE op IN ('u', 'd') AND prev_after_eid IS NOT NULL
+"""))
+def chain_missing_before(spark, sf_dir):
+    """W11, full images promised: updates and deletes without a before image whose key has a live
+    image before (a log captured without before images)."""
+    v = audit.chain_violations(fx.good(spark, sf_dir, before_images=False), full_images=True)
+    return v.select(F.col("offset").alias("off"), "pk", "op")
+
+
 @query("order_violations", with_log("""
 d AS (SELECT *, lag(lsn) OVER (PARTITION BY user_id ORDER BY off) AS prev_lsn FROM good)
 SELECT CAST(user_id AS VARCHAR) AS pk, off, lsn, prev_lsn FROM d WHERE prev_lsn > lsn

@@ -59,6 +59,14 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to shared scratch storage and read back: computed once, whatever reads it
+    later and whichever executors are lost meanwhile; readers get only the columns they use."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def recommended_conf(input_bytes: int, state_bytes: int, cores: int) -> dict[str, str]:
     """Settings for a cluster run, sized from the data instead of defaults.
 

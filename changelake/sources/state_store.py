@@ -2,7 +2,8 @@
 
 Layout under ``base``::
 
-    data/<attempt>/bucket=<k>/part-*.parquet    documents of bucket k, written by one attempt
+    data/<attempt>/bucket=<k>/part-*.parquet    documents of bucket k, written by one attempt, in up to
+                                                ``files`` parts by a hash of the document id
     commits/<n>.json                            {bucket: attempt}, and the last batch of each writer
     _dlq/writer=<w>/batch=<b>/                  dead letters of a batch
     _checkpoints/writer=<w>/batch=<b>/          max offset / LSN applied per table, partition
@@ -37,15 +38,23 @@ def bucket_of(id_col="_id", buckets: int = 64):
 
 
 class StateStore:
-    def __init__(self, spark: SparkSession, base: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, base: str, buckets: int = 64, files: int = 1, group_of=None):
+        """``files``: parts that a bucket is written in, a task each. ``group_of``: from the id
+        column the column whose hash picks the bucket (so that documents of one group are read
+        together); the id itself if not given."""
         self.spark = spark
         self.base = base.rstrip("/")
-        self.buckets = buckets
+        self.buckets, self.files = buckets, files
+        self._group_of = group_of or (lambda c: c)
         jvm = spark._jvm
         self._conf = spark._jsc.hadoopConfiguration()
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.base).getFileSystem(self._conf)
 
+    def bucket_of(self, id_col="_id"):
+        """The bucket of a document id."""
+        return bucket_of(self._group_of(F.col(id_col) if isinstance(id_col, str) else id_col), self.buckets)
+
     # -- commits ----------------------------------------------------------
     def versions(self) -> list[int]:
         d = self._Path(self.base + "/commits")
@@ -106,7 +115,7 @@ class StateStore:
         if not paths:
             return self._empty()
         df = self.spark.read.schema(self._empty().drop("bucket").schema).parquet(*paths)
-        return df.withColumn("bucket", bucket_of("_id", self.buckets))
+        return df.withColumn("bucket", self.bucket_of())
 
     def current(self, version: int | None = None) -> DataFrame:
         """Live documents only (delete markers dropped)."""
@@ -118,7 +127,7 @@ class StateStore:
         A bucket that is left without rows leaves the commit."""
         attempt = uuid.uuid4().hex
         out = f"{self.base}/data/{attempt}"
-        rows.write.partitionBy("bucket").parquet(out)
+        rows.drop("_part").write.partitionBy("bucket").parquet(out)
         buckets = {b: d for b, d in prior["buckets"].items() if b not in set(touched)}
         buckets.update({b: attempt for b in self._written_buckets(out)})
         self._commit(prior, buckets, writer, batch_id)
@@ -132,7 +141,7 @@ class StateStore:
         """
         if self.committed(writer, batch_id):
             return 0
-        docs = docs.select(*STATE_COLS).withColumn("bucket", bucket_of("_id", self.buckets))
+        docs = docs.select(*STATE_COLS).withColumn("bucket", self.bucket_of())
         cached = touched is None
         if cached:
             docs = docs.persist()
@@ -143,9 +152,9 @@ class StateStore:
             prior = self._commit_at()
             stored = [b for b in touched if b in prior["buckets"]]
             if stored:
-                merged = merge_by_bucket(self._rows(prior["buckets"], stored), docs, len(touched))
+                merged = merge_parts(self._dealt(self._rows(prior["buckets"], stored).unionByName(docs), touched))
             else:   # first write of these buckets: batch rows are already one per document
-                merged = docs.repartition(len(touched), "bucket")
+                merged = self._dealt(docs, touched)
             self._replace(prior, touched, merged, writer, batch_id)
             return len(touched)
         finally:
@@ -162,10 +171,20 @@ class StateStore:
             return 0
         prior = self._commit_at()
         old = self._rows(prior["buckets"], touched).drop("bucket")
-        new = build(old).select(*STATE_COLS).withColumn("bucket", bucket_of("_id", self.buckets))
-        self._replace(prior, touched, new.repartition(len(touched), "bucket"), writer, batch_id)
+        new = build(old).select(*STATE_COLS).withColumn("bucket", self.bucket_of())
+        self._replace(prior, touched, self._dealt(new, touched), writer, batch_id)
         return len(touched)
 
+    def _dealt(self, rows: DataFrame, touched) -> DataFrame:
+        """Rows (with ``bucket``) dealt to one task per part of each touched bucket: ``_part`` is the
+        task, so no two buckets meet in one while another idles. Rows of one id share a part."""
+        touched = sorted(int(b) for b in touched)
+        place = self.spark.range(len(touched)).select(
+            F.element_at(F.lit(touched), (F.col("id") + 1).cast("int")).alias("bucket"), F.col("id").cast("int").alias("_at"))
+        part = F.col("_at") * self.files + F.pmod(F.xxhash64("_id", F.lit("part")), F.lit(self.files)).cast("int")
+        return rows.join(place, "bucket").withColumn("_part", part).drop("_at") \
+            .repartitionById(len(touched) * self.files, "_part")
+
     def write_side(self, kind: str, df: DataFrame, batch_id: int, writer: str | None = None) -> None:
         """Per-batch side output (dead letters, checkpoints), overwritten when the same writer
         runs the batch again."""
@@ -182,7 +201,7 @@ class StateStore:
         prior = self._commit_at()
         if prior["buckets"]:
             kept = vacuum_state(self._rows(prior["buckets"]), horizon_lsn)
-            self._replace(prior, prior["buckets"], kept.repartition(len(prior["buckets"]), "bucket"))
+            self._replace(prior, prior["buckets"], self._dealt(kept, prior["buckets"]))
 
     def _written_buckets(self, path: str) -> list[int]:
         p = self._Path(path)
@@ -192,19 +211,15 @@ class StateStore:
                 if st.isDirectory() and st.getPath().getName().startswith("bucket=")]
 
 
-def merge_by_bucket(old: DataFrame, docs: DataFrame, partitions: int) -> DataFrame:
-    """Gate merge of stored rows and batch rows as one aggregation per document.
-
-    Both sides are hash-partitioned by bucket once; the per-``_id`` winner (higher
-    LSN, on a tie the earlier delivery) is picked inside those partitions, so the
-    output is already laid out one bucket per task for the write. Equivalent to
-    ``gate_merge``'s full outer join, with one shuffle instead of two.
-    """
+def merge_parts(rows: DataFrame) -> DataFrame:
+    """Gate merge of stored rows and batch rows, both dealt by ``_part``, as one aggregation per
+    document: the winner (higher LSN, on a tie the earlier delivery) is picked inside its part,
+    so the output is laid out for the write. Equivalent to ``gate_merge``'s full outer join,
+    with one shuffle instead of two."""
     rest = [c for c in STATE_COLS if c != "_id"]
     order = F.struct(F.col("sourceLsn"), (-F.col("_srcPartition")).alias("np"), (-F.col("_srcOffset")).alias("no"))
-    return (old.unionByName(docs).repartition(partitions, "bucket")
-            .groupBy("bucket", "_id").agg(F.max_by(F.struct(*rest), order).alias("_w"))
-            .select("_id", "_w.*", "bucket"))
+    return (rows.groupBy("_part", "bucket", "_id").agg(F.max_by(F.struct(*rest), order).alias("_w"))
+            .select("_part", "_id", "_w.*", "bucket"))
 
 
 def vacuum_state(state: DataFrame, horizon_lsn) -> DataFrame:

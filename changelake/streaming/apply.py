@@ -15,16 +15,19 @@ from pyspark.sql import functions as F
 
 from changelake.operators.decode import dead_letters, decode, good_events
 from changelake.operators.gate import DOC_INPUT, compact, merge_set, to_documents
-from changelake.operators.mapping import apply_rule, emit_filter, rule_versions, validate_types
+from changelake.operators.mapping import apply_rule, emit_filter, rule_versions, shape_events, validate_enums, validate_types
 from changelake.functions.scalar import doc_id
 from changelake.sources.state_store import StateStore, bucket_of, checkpoint_rows
 
 
 def apply_batch(store: StateStore, log: DataFrame, batch_id: int, rules=None,
                 max_value_bytes: int | None = None, fail_after_state: bool = False, mode: str = "full",
-                transform=None, writer: str | None = None) -> None:
+                transform=None, writer: str | None = None, shape: bool = False) -> None:
     """One batch: decode, (map), gate, write state, then side outputs.
 
+    ``shape``: rules also type, format and embed the stored fields, fill in defaults, and reject
+    values outside a field's ``enum``; without it they rename, cast-check and stamp.
+
     ``mode="full"``: every image is a full row (compaction, the fast path);
     ``mode="set"``: partial images merged field by field into the stored document.
     ``transform`` is applied to the good events before the gate (e.g. a projection).
@@ -34,6 +37,8 @@ def apply_batch(store: StateStore, log: DataFrame, batch_id: int, rules=None,
     decoded = decode(log, max_value_bytes)
     if rules:
         decoded = validate_types(decoded, rules)
+        if shape:
+            decoded = validate_enums(decoded, rules)
     bad = F.col("error_reason").isNotNull()
     # cache a slim decode: raw key/value are kept only on rejected rows (for the DLQ)
     slim = decoded.select(*[c for c in decoded.columns if c not in ("key", "value")],
@@ -48,7 +53,8 @@ def apply_batch(store: StateStore, log: DataFrame, batch_id: int, rules=None,
         if rules:
             # mapping stage in the same job: lookup-only tables stay out of the written state,
             # images are renamed by their table's rule, documents carry the rule's version
-            good = apply_rule(emit_filter(good, rules), rules, images=("after",))
+            good = emit_filter(good, rules)
+            good = shape_events(good, rules, mode == "set") if shape else apply_rule(good, rules, images=("after",))
             kept = emit_filter(kept, rules)
             versions = rule_versions(rules)
         touched = [r[0] for r in kept.select("_bucket").distinct().collect()]   # <= N small ints
@@ -66,13 +72,13 @@ def apply_batch(store: StateStore, log: DataFrame, batch_id: int, rules=None,
 
 def stream_apply(spark: SparkSession, source_dir: str, store: StateStore, checkpoint: str,
                  fmt: str = "parquet", max_files_per_trigger: int | None = None,
-                 available_now: bool = True, rules=None, pattern: str = ".*", mode: str = "full"):
+                 available_now: bool = True, rules=None, pattern: str = ".*", mode: str = "full", shape: bool = False):
     """Start the apply stream over every topic matching ``pattern``; returns the query."""
     from changelake.sources.changelog import read_changelog
     log = read_changelog(spark, source_dir, pattern=pattern, stream=True, fmt=fmt,
                          max_files_per_trigger=max_files_per_trigger)
     writer = (log.writeStream.option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda df, bid: apply_batch(store, df, bid, rules, mode=mode, writer=stream_id(df))))
+              .foreachBatch(lambda df, bid: apply_batch(store, df, bid, rules, mode=mode, writer=stream_id(df), shape=shape)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")
     return writer.start()
 

@@ -244,9 +244,31 @@ def test_history_of_byte_positions_uses_few_blocks(spark):
     rows = history(ev, block_rows=100).orderBy("valid_from").collect()
     assert len(rows) == 2000 and all(r.valid_to == r.valid_from + 70_000 for r in rows[:-1])
     assert rows[-1].is_current and rows[5].after == {"a": "5"}
-    from changelake.functions.scan import width_for_rows
-    blocks = ev.select(F.floor(F.col("lsn") / width_for_rows(ev, "lsn", 100)).alias("b")).distinct().count()
-    assert 19 <= blocks <= 21
+
+
+def test_history_cuts_long_keys_by_rank_whatever_the_gaps(spark):
+    """One far outlier: with blocks by position nearly all rows of the key would share one."""
+    from pyspark.sql import Window
+
+    from changelake.functions.scan import in_ranges
+    from changelake.operators.history import history
+    pos = F.when(F.col("id") == 2999, F.lit(1 << 60)).otherwise(F.col("id") * 3)
+    ev = spark.range(3000).select(F.lit("t").alias("table"), F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(99).cast("string").alias("pk"),
+                                  pos.alias("lsn"), F.lit("u").alias("op"), F.create_map(F.lit("a"), F.col("id").cast("string")).alias("after"),
+                                  F.lit(0).alias("partition"), F.col("id").alias("offset"))
+    w = Window.partitionBy("table", "pk").orderBy("lsn")
+    want = sorted(ev.select("pk", "lsn", F.lead("lsn").over(w).alias("n"), F.col("after")["a"].alias("a")).collect(), key=str)
+    got = history(ev, block_rows=100).select("pk", F.col("valid_from").alias("lsn"), F.col("valid_to").alias("n"), F.col("after")["a"].alias("a"))
+    assert sorted(got.collect(), key=str) == want
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        again = history(ev, block_rows=100).select("pk", F.col("valid_from").alias("lsn"), F.col("valid_to").alias("n"), F.col("after")["a"].alias("a"))
+        assert sorted(again.collect(), key=str) == want
+        hot = in_ranges(ev.where("pk = '99'"), ["table", "pk", "lsn"], "t")
+        parts = [r.n for r in hot.groupBy("_rng").agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(parts) == 8 and max(parts) < 3 * min(parts)
 
 
 def test_fold_keeps_lsns_exact(spark):

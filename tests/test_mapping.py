@@ -142,3 +142,20 @@ def test_rule_files_are_never_skipped(tmp_path):
             load_rules(str(tmp_path))
     else:
         assert len(load_rules(str(tmp_path))) == 3
+
+
+def test_shaped_images_and_upgraded_documents(spark):
+    from changelake.operators.mapping import enum_errors, shape_image, typed_documents, upgrade_documents
+    from changelake.plans.typed import V1, V2
+    image = {"id": "007", "status": "P", "total_cents": "00012", "created_at": "1700000000123", "meta": '{"b": 1, "a": [1.50]}', "extra": "x"}
+    df = spark.createDataFrame([(image,), (None,), ({"id": "1", "is_open": None, "status": None},)], "after map<string,string>")
+    shaped = [r[0] for r in df.select(shape_image("after", V1)).collect()]
+    assert shaped == [{"_pkId": "7", "status": "P", "totalCents": "12", "createdAt": "2023-11-14T22:13:20.123Z",
+                       "meta": '{"a":[1.5],"b":1}', "extra": "x", "isOpen": "true"}, None, {"_pkId": "1", "isOpen": None, "status": None}]
+    partial = [r[0] for r in df.select(shape_image("after", V1, F.lit(False))).collect()]
+    assert "isOpen" not in partial[0]
+    assert [r[0] for r in df.select(enum_errors("after", V1)).collect()] == [["status"], [], []]
+    docs = spark.createDataFrame([("orders:7", "orders", "7", 1, 1, shaped[0]), ("orders:8", "orders", "8", 1, 2, {"_pkId": "8", "total": "5", "channel": "app"})],
+                                 "_id string, table string, pk string, sourceLsn long, schemaVersion int, doc map<string,string>")
+    up = typed_documents(upgrade_documents(docs, {"orders": [V1, V2]}), V2).orderBy("pk").collect()
+    assert [(r["_pkId"], r.total, r.channel, r.isOpen, r.schemaVersion) for r in up] == [(7, 12, "web", True, 1), (8, 5, "app", True, 2)]

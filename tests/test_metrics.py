@@ -48,3 +48,25 @@ def test_recommended_conf_scales_with_data():
     big = recommended_conf(100 << 40, 20 << 40, 8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 24 and int(small["state_buckets"]) == 16
     assert 24_000 <= int(big["spark.sql.shuffle.partitions"]) <= 40_000 and int(big["state_buckets"]) > 40_000
+
+
+def test_exact_quantiles_equal_percentile(spark):
+    rows = spark.range(5000).select((F.col("id") % 3).cast("string").alias("g"), F.when(F.col("id") % 11 == 0, F.lit(None))
+                                    .when(F.col("id") % 3 == 1, F.lit(7.0)).otherwise(F.rand(3) * 100).alias("v"))
+    rows = rows.unionByName(spark.createDataFrame([("one", 4.5), ("none", None), (None, 1.0), (None, 2.0)], "g string, v double"))
+    qs = (0.0, 0.25, 0.5, 0.99, 1.0)
+    want = rows.groupBy("g").agg(*[F.percentile("v", q).alias(f"q{int(q * 1000)}") for q in qs])
+    got = M.quantiles(rows, F.col("v"), qs, "g")
+    key = lambda r: str(r.g)
+    near = lambda a, b: a is b is None or abs(a - b) < 1e-9
+    for a, b in zip(sorted(got.collect(), key=key), sorted(want.collect(), key=key)):
+        assert a.g == b.g and all(near(a[f"q{int(q * 1000)}"], b[f"q{int(q * 1000)}"]) for q in qs)
+    assert M.quantiles(rows.where("false"), F.col("v"), qs, "g").count() == 0
+
+
+def test_availability_of_a_range_that_cuts_minutes(spark):
+    df = spark.sql("SELECT timestamp '2024-01-02 00:00:10' AS ts UNION ALL SELECT timestamp '2024-01-01 23:59:59'")
+    rows = slo.availability(df, F.col("ts"), "2024-01-01 00:00:00", "2024-01-02 00:00:30").orderBy("day").collect()
+    assert [(r.up_minutes, r.down_minutes, r.availability) for r in rows] == [(1, 1439, 1 / 1440), (1, 0, 1.0)]
+    rows = slo.availability(df, F.col("ts"), "2024-01-01 23:58:30", "2024-01-02 00:00:00").collect()
+    assert [(r.up_minutes, r.down_minutes, r.availability) for r in rows] == [(1, 1, 0.5)]

@@ -6,7 +6,7 @@ from conftest import SF_SMALL, envelope, key, log_df
 
 from changelake.operators.decode import decode, good_events
 from changelake.operators.gate import DOC_INPUT, compact
-from changelake.sources.state_store import StateStore, bucket_of, merge_by_bucket
+from changelake.sources.state_store import StateStore, bucket_of, merge_parts
 
 
 def _plan(df):
@@ -41,6 +41,6 @@ def test_state_merge_is_one_bucket_shuffle(spark):
     docs = to_documents(compact(good_events(decode(_log(spark))), cols=DOC_INPUT)) \
         .withColumn("bucket", bucket_of("_id", 4))
     store = StateStore(spark, tempfile.mkdtemp(dir="/tmp"), buckets=4)
-    p = _plan(merge_by_bucket(store._empty(), docs, 4))
-    assert p.count("Exchange hashpartitioning(bucket") == 1
+    p = _plan(merge_parts(store._dealt(store._empty().unionByName(docs), range(4))))
+    assert p.count("Exchange shufflepartitionidpassthrough") == 1 and "hashpartitioning(bucket" not in p and "hashpartitioning(_part" not in p
     assert "SortMergeJoin" not in p

@@ -78,3 +78,38 @@ def test_row_diff_multiset(spark):
     b = spark.createDataFrame([(1,), (3,)], "x long")
     got = sorted(tuple(r) for r in R.row_diff(a, b).collect())
     assert got == [(1, "only_src"), (2, "only_src"), (3, "only_tgt")]
+
+
+def test_merkle_trees_cut_alike_and_lead_to_the_difference(spark):
+    rows = [(f"key {i * i % 9973}-{i}", i, f"v{i}") for i in range(2000)]
+    make = lambda r: spark.createDataFrame(r, "k string, n long, v string")
+    a = R.merkle_nodes(make(rows), ["k"], ["k", "n", "v"], fan=16, levels=2)
+    b = R.merkle_nodes(make(list(reversed(rows))).repartition(13), ["k"], ["k", "n", "v"], fan=16, levels=2)
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+    leaves = a.where("level = 1").collect()
+    assert sum(r.n for r in leaves) == 2000 and 60 < len(leaves) < 250 and max(r.n for r in leaves) < 16 * 12
+    changed = [r if r[1] != 777 else (r[0], r[1], "other") for r in rows] + [("new key", 1, "x")]
+    c = R.merkle_nodes(make(changed), ["k"], ["k", "n", "v"], fan=16, levels=2)
+    roots = [x.where("level = 3").first() for x in (a, c)]
+    assert roots[0].node != roots[1].node and (roots[0].n, roots[1].n) == (2000, 2001)
+    ranges = R.merkle_diff(a, c, 2).collect()
+    assert 1 <= len(ranges) <= 4 and R.merkle_diff(a, b, 2).count() == 0
+    # Composite keys, repeated keys and an empty table.
+    pair = R.merkle_nodes(make(rows[:50] + rows[:1]), ["n", "k"], ["v"], fan=4, levels=1).where("level = 2").first()
+    assert pair.n == 51
+    assert R.merkle_nodes(make([]), ["k"], ["v"], levels=1).where("level = 2").first().n == 0
+
+
+def test_cascade_follows_chains_and_cycles(spark):
+    fk = joins.ForeignKey
+    tables = {"a": spark.createDataFrame([(1, 5), (2, 1), (3, 2), (4, None)], "id long, up long"),
+              "b": spark.createDataFrame([(10, 3), (11, 4), (12, 1)], "id long, a_id long"),
+              "c": spark.createDataFrame([(100, 10, 1), (101, 11, 2)], "id long, b_id long, a_id long")}
+    keys = [fk("a", "up", "a"), fk("b", "a_id", "a"), fk("c", "b_id", "b"), fk("c", "a_id", "a")]
+    given = spark.createDataFrame([("a", "1", 70), ("a", "5", 90)], "table string, pk string, lsn long")
+    got = {(r["table"], r.pk): (r.lsn, r.depth, r.before) for r in joins.cascade(given, tables, keys).collect()}
+    # 5 -> 1 was given itself; 1 -> 2 -> 3 -> b10 -> c100 (already gone with 1); 101 went with a2
+    assert got == {("a", "2"): (70, 1, {"id": "2", "up": "1"}), ("b", "12"): (70, 1, {"id": "12", "a_id": "1"}),
+                   ("c", "100"): (70, 1, {"id": "100", "b_id": "10", "a_id": "1"}), ("a", "3"): (70, 2, {"id": "3", "up": "2"}),
+                   ("c", "101"): (70, 2, {"id": "101", "b_id": "11", "a_id": "2"}), ("b", "10"): (70, 3, {"id": "10", "a_id": "3"})}
+    assert joins.cascade(given.where("false"), tables, keys).count() == 0
