@@ -8,12 +8,13 @@ the pair (term, t) of the smallest a. Two texts agree in a lane with a probabili
 the generalised Jaccard similarity of their weighted terms, so the share of equal lanes
 estimates it. Lanes are kept as 16-bit codes, which agree by chance once in 65,536.
 
-Within a batch every distinct (term, count) is sampled once for all texts that hold it.
+Within a batch every distinct (term, count) is sampled once for all texts that hold it. Long
+texts are cut into terms in pieces between words, whose counts are added up.
 
 Edge cases: null and empty texts and texts of white space only have no terms; their
 fingerprint is all zeros, their likeness 1 to each other and 0 to any other text. Terms are
-told apart by 34 bits of a hash and their length (equal texts always agree). Repeated rows
-agree; other columns are never read.
+told apart by 64 bits of a hash of all their bytes; their length is counted in characters and
+without limit. Repeated rows agree; other columns are never read.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 from changelake.llm.common import slices, small_batches, text_or_empty, utf8
 
 LANES = 64
-HASH_BITS, LENGTH_BITS = 34, 6
-TERM_BITS = HASH_BITS + LENGTH_BITS
+#: Bytes that are cut into terms at once (more only where no word ends).
+PIECE = 4 << 20
 #: (text, term) pairs, and distinct (term, count), handled at once.
 PAIRS = 1 << 14
 CELLS = 1 << 11
@@ -45,20 +46,32 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> np.ndarray:
-    out, x = np.empty(n, np.uint64), 1
-    for i in range(n):
+def _powers(step: int) -> np.ndarray:
+    """256 powers of the hash's base, ``step`` apart."""
+    out, x = np.empty(256, np.uint64), 1
+    for i in range(256):
         out[i] = x
-        x = x * 0x9E3779B97F4A7C15 % (1 << 64)
+        x = x * pow(0x9E3779B97F4A7C15, step, 1 << 64) % (1 << 64)
     return out
 
 
-POWERS = _powers(256)
+#: Powers by each byte of an exponent below 2^32.
+POWERS = [_powers(256 ** k) for k in range(4)]
 
 
-def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, term, count) of each distinct word of each text. Words are runs of bytes above
-    the space, so characters are never cut."""
+def _power(place: np.ndarray) -> np.ndarray:
+    out, left = POWERS[0][place & 255], place >> 8
+    for table in POWERS[1:]:
+        far = np.flatnonzero(left)                      # few words reach 256 bytes
+        if not len(far):
+            break
+        out[far] *= table[left[far] & 255]
+        left = left >> 8
+    return out
+
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, length, count) of each distinct word of each text, in one pass."""
     solid = data > 32
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
@@ -66,19 +79,45 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     begins[1:] &= ~solid[:-1] | first[1:-1]
     starts = np.flatnonzero(begins)
     if not len(starts):
-        none = np.empty(0, np.uint64)
-        return np.empty(0, np.int64), none, none
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     place = np.arange(len(data)) - starts[np.maximum(np.cumsum(begins) - 1, 0)]
-    parts = np.where(solid, (data.astype(np.uint64) + np.uint64(1)) * POWERS[np.where(solid, place, 0) & 255], np.uint64(0))
+    parts = np.where(solid, (data.astype(np.uint64) + np.uint64(1)) * _power(np.where(solid, place, 0)), np.uint64(0))
     hashes = _mix(np.add.reduceat(parts, starts, dtype=np.uint64))
-    lengths = np.minimum(np.add.reduceat(solid, starts, dtype=np.int64), (1 << LENGTH_BITS) - 1).astype(np.uint64)
-    owner = (np.searchsorted(offsets, starts, "right") - 1).astype(np.uint64)
-    keys = owner << np.uint64(TERM_BITS) | hashes >> np.uint64(64 - HASH_BITS) << np.uint64(LENGTH_BITS) | lengths
+    lengths = np.add.reduceat(solid & (data & 0xC0 != 0x80), starts, dtype=np.int64)    # bytes that begin a character
+    owner = np.searchsorted(offsets, starts, "right") - 1
+    distinct, at, number = np.unique(hashes, return_index=True, return_inverse=True)
+    keys = owner << 32 | number
     keys.sort()
     new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    counts = np.diff(np.concatenate([new, [len(keys)]])).astype(np.uint64)
-    keys = keys[new]
-    return (keys >> np.uint64(TERM_BITS)).astype(np.int64), keys & np.uint64((1 << TERM_BITS) - 1), counts
+    counts = np.diff(np.concatenate([new, [len(keys)]]))
+    number = keys[new] & 0xFFFFFFFF
+    return keys[new] >> 32, distinct[number], lengths[at[number]], counts
+
+
+def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, length, count) of each distinct word of each text. Words are runs of bytes
+    above the space, so characters are never cut."""
+    if len(data) <= 2 * PIECE:
+        return _words(data, offsets)
+    found, a = [], 0
+    while a < len(data):
+        b = min(a + PIECE, len(data))
+        while b < len(data):                            # to the end of the word at the border
+            space = np.flatnonzero(data[b:b + PIECE] <= 32)
+            b = b + int(space[0]) if len(space) else min(b + PIECE, len(data))
+            if len(space):
+                break
+        inside = offsets[(offsets > a) & (offsets < b)]
+        owner, *rest = _words(data[a:b], np.concatenate([[0], inside - a, [b - a]]))
+        found.append((owner + np.searchsorted(offsets, a, "right") - 1, *rest))
+        a = b
+    owner, term, length, count = (np.concatenate(x) for x in zip(*found))
+    if not len(owner):
+        return owner, term, length, count
+    by = np.lexsort((term, owner))
+    owner, term, length, count = owner[by], term[by], length[by], count[by]
+    new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (term[1:] != term[:-1])]))
+    return owner[new], term[new], length[new], np.add.reduceat(count, new)
 
 
 def _gamma_quantiles(n: int = 1 << 16) -> np.ndarray:
@@ -93,14 +132,13 @@ def _gamma_quantiles(n: int = 1 << 16) -> np.ndarray:
 QUANTILES = _gamma_quantiles()
 
 
-def samples(term: np.ndarray, count: np.ndarray, lanes: int = LANES) -> np.ndarray:
-    """For each (term, count) and lane: ln a as an ordered 32-bit number in the high half,
+def samples(term: np.ndarray, weight: np.ndarray, lanes: int = LANES) -> np.ndarray:
+    """For each (term, weight) and lane: ln a as an ordered 32-bit number in the high half,
     the code of (term, t) in the low half. One 64-bit hash a cell: 32 bits make c (minus the
     logarithm of two uniform numbers' product), 16 pick r's quantile, 16 are b."""
     out = np.empty((len(term), lanes), np.int64)
     lane = _mix(np.arange(1, lanes + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    weight = count.astype(np.float32) * np.maximum(term & np.uint64((1 << LENGTH_BITS) - 1), 1).astype(np.float32)
-    logs = np.log(weight)[:, None]
+    logs = np.log(weight.astype(np.float64)).astype(np.float32)[:, None]
     seeds = _mix(term * np.uint64(0xD1342543DE82EF95) + np.uint64(1))[:, None]
     half = np.float32(0.5)
     for k in range(0, len(term), CELLS):
@@ -120,12 +158,13 @@ def samples(term: np.ndarray, count: np.ndarray, lanes: int = LANES) -> np.ndarr
 def signatures(data: np.ndarray, offsets: np.ndarray, lanes: int = LANES) -> np.ndarray:
     """16-bit codes, one row per text of a byte buffer."""
     out = np.zeros((len(offsets) - 1, lanes), np.uint16)
-    text, term, count = terms(data, offsets)
+    text, term, length, count = terms(data, offsets)
     if not len(text):
         return out
-    weighted = term << np.uint64(24) | np.minimum(count, np.uint64((1 << 24) - 1))
-    distinct, where = np.unique(weighted, return_inverse=True)
-    table = samples(distinct >> np.uint64(24), distinct & np.uint64((1 << 24) - 1), lanes)
+    # A term has one length, so a distinct (term, count) has one weight.
+    _, number = np.unique(term, return_inverse=True)
+    _, at, where = np.unique(number << 32 | count, return_index=True, return_inverse=True)
+    table = samples(term[at], np.maximum(length[at], 1) * count[at], lanes)
     best = np.full((len(offsets) - 1, lanes), np.iinfo(np.int64).max)
     for k in range(0, len(text), PAIRS):
         part = text[k:k + PAIRS]
