@@ -2,8 +2,8 @@
 
 Each source gets a mean repetition rate: its share of the target mixture times the target
 size, over the size it has. Each document draws its number of copies by inverting the
-Poisson distribution of that rate at a uniform number hashed from the seed and its id, is
-exploded into that many copies, and the copies are shuffled globally by a hash. A rerun or
+Poisson distribution of that rate at a uniform number hashed from the seed, its id and its
+text (so rows without an id, or of one id, draw apart), is exploded into that many copies, and the copies are shuffled globally by a hash. A rerun or
 a retried task draws the same.
 
 A document's size is its characters, at least 1. Only one row per source leaves the
@@ -12,8 +12,9 @@ a hot source is then split by adaptive execution).
 
 Edge cases: a null source is a source of its own; a source without a weight has weight 0
 and gives no rows; weights of sources that do not occur are ignored, and if no weight is
-left the result is empty; null ids draw like the empty id; repeated rows draw alike; null
-and empty texts count as size 1; an empty table gives an empty result.
+left the result is empty; rows equal in id and text draw alike; null and empty texts count
+as size 1 and draw alike; where the documents have a column of the name of an added one, the
+added one ends in an underscore; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -77,7 +78,10 @@ def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", so
         text_col: str = "text", total: float | None = None, seed: int = 42,
         copy_col: str = "copy", key_col: str = "shuffle_key") -> DataFrame:
     """The mixture: ``docs`` with ``copy_col`` (0, 1, ... within a document) and ``key_col``,
-    the random place in [0, 1); partitions are dealt by it and sorted by it."""
+    the random place in [0, 1); partitions are dealt by it and sorted by it. Both come last,
+    under a fresh name if ``docs`` has theirs."""
+    copy_col = fresh(docs, copy_col)
+    key_col = fresh(docs.withColumn(copy_col, F.lit(0)), key_col)
     rates = repetition_rates(docs, weights, source_col, text_col, total)
     rates = stable(rates.select(F.col("source").alias(fresh(docs, "mix_source")), _first_count(F.col("rate")).alias(
         fresh(docs, "mix_first")), poisson_table(F.col("rate")).alias(fresh(docs, "mix_cdf"))))
@@ -85,12 +89,13 @@ def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", so
     numbers = rates.agg(F.sum(F.size(cdf) + 4)).first()[0] or 0
     table = F.broadcast(rates) if numbers <= BROADCAST_NUMBERS else rates
     joined = docs.join(table, docs[source_col].eqNullSafe(table[source]))
-    draw = uniform(F.col(id_col), seed=seed)
+    text = F.md5(F.coalesce(docs[text_col], F.lit("")).cast("binary"))
+    draw = uniform(docs[id_col], text, seed=seed)
     count = F.col(first) + F.aggregate(cdf, F.lit(0), lambda n, p: n + (p <= draw).cast("int"))
-    times = fresh(docs, "mix_times")
-    copies = joined.withColumn(times, count).where(F.col(times) > 0) \
-        .select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(0), F.col(times) - 1)).alias(copy_col))
-    keyed = copies.withColumn(key_col, uniform(F.col(id_col), F.col(copy_col), seed=seed + 1))
+    times, mark = fresh(docs, "mix_times"), fresh(docs, "mix_text")
+    copies = joined.withColumns({times: count, mark: text}).where(F.col(times) > 0) \
+        .select(*(docs[c] for c in docs.columns), mark, F.explode(F.sequence(F.lit(0), F.col(times) - 1)).alias(copy_col))
+    keyed = copies.withColumn(key_col, uniform(F.col(id_col), F.col(mark), F.col(copy_col), seed=seed + 1)).drop(mark)
     return keyed.repartition(key_col).sortWithinPartitions(key_col)
 
 
@@ -98,14 +103,15 @@ def oracle(table: str, columns: str, seed: int = 42) -> str:
     """The same mixture, equal weights, as DuckDB SQL."""
     def draw(seed, parts):
         return f"(('0x' || substr(md5('{seed}:' || {parts}), 1, 13))::BIGINT / 4503599627370496.0)"
+    key = "coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))"
     return f"""
     WITH sizes AS (SELECT source, sum(greatest(coalesce(length(text), 0), 1)) AS size FROM {table} GROUP BY source),
     rates AS (SELECT source, (SELECT sum(size) FROM sizes)::DOUBLE / (SELECT count(*) FROM sizes) / size AS rate FROM sizes),
     cdf AS (SELECT source, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1)))
                               OVER (PARTITION BY source ORDER BY k) AS p
-            FROM rates, range(0, 400) AS r(k)),
-    drawn AS (SELECT d.*, {draw(seed, "coalesce(doc_id::VARCHAR, '')")} AS u FROM {table} d),
+            FROM rates, unnest(range(0, (rate + {SPREAD} * sqrt(rate) + 25)::BIGINT)) AS r(k)),
+    drawn AS (SELECT d.*, {draw(seed, key)} AS u FROM {table} d),
     counted AS (SELECT d.*, (SELECT count(*) FROM cdf WHERE cdf.source IS NOT DISTINCT FROM d.source AND cdf.p <= d.u)
                 AS times FROM drawn d)
-    SELECT {columns}, c::INTEGER AS "copy", {draw(seed + 1, "coalesce(doc_id::VARCHAR, '') || ':' || c")} AS shuffle_key
+    SELECT {columns}, c::INTEGER AS "copy", {draw(seed + 1, key + " || ':' || c")} AS shuffle_key
     FROM (SELECT *, unnest(range(0, times)) AS c FROM counted)"""

@@ -3,6 +3,7 @@
 import math
 from collections import Counter
 
+import duckdb
 from pyspark.sql import functions as F
 
 from changelake.llm import mixing
@@ -64,6 +65,35 @@ def test_order_is_global_and_random(spark):
     assert all(min(p) < 600 and max(p) > 1400 for p in rows if len(p) > 100)
 
 
+def test_columns_of_the_added_names_stay(spark):
+    df = corpus(spark, 300)
+    odd = df.selectExpr("*", "doc_id AS copy", "'mine' AS shuffle_key", "1 AS mix_text")
+    out = mixing.mix(odd)
+    assert out.columns == [*odd.columns, "copy_", "shuffle_key_"]
+    rows = out.collect()
+    assert all(r.copy == r.doc_id and r.shuffle_key == "mine" for r in rows)
+    assert Counter((r.doc_id, r.copy_) for r in rows) == Counter((r.doc_id, r.copy) for r in mixing.mix(df).collect())
+
+
+def test_rows_without_an_id_draw_apart(spark):
+    rows = [(None, f"text {i}", "a") for i in range(2000)] + [(1, f"other {i:04}", "b") for i in range(2000)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), {"a": 1.0, "b": 1.0})
+    kept = {r.source: r.n for r in out.groupBy("source").agg(F.sum(F.length("text")).alias("n")).collect()}
+    total = sum(len(t) for _, t, _ in rows)
+    assert all(abs(kept[s] / (total / 2) - 1) < 0.1 for s in "ab")
+
+
+def test_sql_lists_counts_of_a_tiny_source(spark, tmp_path):
+    rows = [(i, "x" * 300, "large") for i in range(900)] + [(1000, "y" * 200, "tiny"), (None, None, "tiny"), (None, "z", None)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = mixing.mix(spark.read.parquet(str(tmp_path / "documents.parquet")))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(mixing.oracle("documents", "doc_id, text, source")).fetchall()
+    assert Counter(tuple(r) for r in got.collect()) == Counter(want)
+    assert max(Counter(r[0] for r in want).values()) > 400
+
+
 def test_edge_cases(spark):
     kind = "doc_id long, text string, source string, n_chars long"
     assert mixing.mix(spark.createDataFrame([], kind)).collect() == []
