@@ -25,8 +25,9 @@ by 128 bits; step 3 compares bytes.
 
 Edge cases: null and empty texts have no bytes, texts shorter than LENGTH no strings; null
 ids come before all others; rows with the same id count as one document, so of two rows that
-repeat an id and text neither loses the other's bytes, and each gets the same result; other
-columns are never read; an empty table gives an empty result.
+repeat an id and text neither loses the other's bytes, and each gets the same result, and
+different texts under one id are numbered exactly (up to 2^31 under one id); other columns are
+never read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -435,9 +436,11 @@ def _slice_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", many: int = MANY) -> DataFrame:
     """(id, mark, spans): per text with repeated strings the array of (start, n), each n
     strings from byte start on. ``mark`` tells apart texts that share an id."""
-    spark = docs.sparkSession
-    texts = _texts(docs, id_col, text_col)
-    small_batches(spark)
+    return _repeats(_texts(docs, id_col, text_col), many)
+
+
+def _repeats(texts: DataFrame, many: int) -> DataFrame:
+    small_batches(texts.sparkSession)
     runs = texts.mapInArrow(lambda batches: map(text_runs, batches), ROW)
     mark, start = F.col("place").bitwiseAND(MARK).cast("int").alias("mark"), F.shiftright("place", 32).cast("int").alias("start")
     rows = stable(_settle_all(runs))
@@ -457,9 +460,31 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = text_or_empty(text_col)
-    return docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))).alias("id"),
-                       F.xxhash64(text).bitwiseAND(0x7FFFFFFF).cast("int").alias("mark"), text.alias("text"))
+    """(id, mark, text). ``mark`` numbers the different texts of one id: 0 for the only one, else
+    the place in the order of their hashes (256 bits), found by a sort over all of them."""
+    rows = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))).alias("id"),
+                       text_or_empty(text_col).alias("text"))
+    again = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
+    kinds = rows.select("id", F.sha2(F.col("text").cast("binary"), 256).alias("hash")).join(again, "id", "left_semi").distinct()
+    kinds = stable(kinds.repartitionByRange("id", "hash").sortWithinPartitions("id", "hash")
+                   .select("id", "hash", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")))
+    if kinds.isEmpty():
+        return rows.select("id", F.lit(0).alias("mark"), "text")
+    # One row a partition: how many come before it.
+    parts = sorted(kinds.groupBy("part").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).collect())
+    offsets, before = [], 0
+    for part, first, n in parts:
+        offsets.append((part, before - first))
+        before += n
+    moved = kinds.join(docs.sparkSession.createDataFrame(offsets, "part int, offset bigint"), "part") \
+        .select("id", "hash", (F.col("place") + F.col("offset")).alias("at"))
+    number = moved.join(moved.groupBy("id").agg(F.min("at").alias("first")), "id") \
+        .select("id", "hash", (F.col("at") - F.col("first")).alias("number"))
+    number = stable(number)
+    if number.agg(F.max("number")).first()[0] >= 1 << 31:
+        raise ValueError("more than 2^31 different texts share an id")
+    return rows.withColumn("hash", F.sha2(F.col("text").cast("binary"), 256)).join(number, ["id", "hash"], "left") \
+        .select("id", F.coalesce(F.col("number").cast("int"), F.lit(0)).alias("mark"), "text")
 
 
 def _packed(texts: DataFrame) -> DataFrame:
@@ -476,8 +501,8 @@ def _packed(texts: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", many: int = MANY) -> DataFrame:
     """Per document: ``id_col``, n_bytes, n_removed, n_spans, kept (the remaining bytes)."""
-    spans = repeated_spans(docs, id_col, text_col, many)
-    both = _packed(_texts(docs, id_col, text_col)).join(spans, ["id", "mark"], "left").select("id", "packed", "spans")
+    texts = _texts(docs, id_col, text_col)
+    both = _packed(texts).join(_repeats(texts, many), ["id", "mark"], "left").select("id", "packed", "spans")
     kind = "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 
 from changelake.llm import substrings
 
@@ -79,6 +80,19 @@ def test_text_longer_than_a_span(spark):
     assert found(spark, docs) == brute(docs)
 
 
+def test_texts_of_one_id_are_never_mixed_up(spark):
+    rng = random.Random(11)
+    seen, pair = {}, None
+    while not pair:                       # two texts that agree in 31 bits of a hash
+        text = "".join(rng.choices("abcdefghij", k=130))
+        mark = xxhash.xxh64_intdigest(text, 42) & 0x7FFFFFFF
+        pair = (seen[mark], text) if mark in seen else None
+        seen[mark] = text
+    some = list(seen.values())[:400]
+    docs = [(3, pair[0]), (7, pair[0]), (7, pair[1])] + [(None, t) for t in some[:250]] + [(9, t) for t in some[200:400]] + [(9, some[399])]
+    assert found(spark, docs) == brute(docs)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert substrings.remove_repeats(df).collect() == []
