@@ -212,7 +212,9 @@ def _borders(shared, chunk: int, overlap: int):
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out_col: str = "ids",
            chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """``docs`` with the column ``out_col`` (array of int) added."""
+    """``docs`` with the column ``out_col`` (array of int) added, which they must not have yet."""
+    if out_col.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"the documents have a column {out_col} already: name another out_col")
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     ids = _encoder(shared)
