@@ -45,8 +45,8 @@ from changelake.llm.simhash import components
 THRESHOLD = 0.9
 TABLES = 10
 LATTICES = 2
-PROBES = 15
-SCALE = 0.55
+PROBES = 7
+SCALE = 0.5
 #: Rounds of leaders that gather balls.
 ROUNDS = 3
 #: Rows of a cell, and of a block of members, that one task compares at once.
@@ -305,15 +305,17 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     reps = stable(kinds.withColumn("rep", F.monotonically_increasing_id())
                   .withColumn("keys", cell_keys(tables, lattices, probes, scale)("v")))
     home = _balls(reps, width, limit / 2 - 1e-3)
-    members = stable(home.join(reps.select("rep", "v", "weight", "first"), "rep"))
+    members = stable(home.join(reps, "rep"))
     balls = stable(members.groupBy("ball").agg(F.max("turn").alias("radius"), F.sum("weight").alias("mass"),
-                                               F.min("first").alias("first"))
+                                               F.min("first").alias("first"), (F.count(F.lit(1)) > 1).alias("shared"))
                    .join(reps.select(F.col("rep").alias("ball"), "v"), "ball"))
 
     # Where balls live and which cells they visit; members of a ball share its rows.
     sketch = balls.select("ball", "radius", byte_vector("v").alias("bytes"))
-    at = reps.select("rep", F.posexplode("keys").alias("pos", "key")).withColumn("home", F.col("pos") % width == 0)
-    at = at.join(members.select("rep", "ball"), "rep").groupBy("key", "ball").agg(F.max("home").alias("home"))
+    at = members.join(balls.where("shared").select("ball", "shared"), "ball", "left") \
+        .select("ball", "shared", F.posexplode("keys").alias("pos", "key")).withColumn("home", F.col("pos") % width == 0)
+    at = at.where("shared IS NULL").select("key", "ball", "home").unionByName(
+        at.where("shared").groupBy("key", "ball").agg(F.max("home").alias("home")))
     sizes = at.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("lived")).where("n > 1 AND lived")
     met = at.join(sizes.select("key", "n"), "key").join(sketch, "ball")
     blocks = _split(met, F.col("home"), F.lit(True), cell_rows, "ball") \
