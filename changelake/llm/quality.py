@@ -1,14 +1,15 @@
 """Quality classifier: supervised subword embeddings.
 
-A document is the average of learned vectors of its words and its byte n-grams (of
-UTF-8 text, across word borders), all hashed into one table; a softmax layer on the
-average gives the class. A word that repeats its predecessor is replaced by one mark
+A document is the average of learned vectors of its words and its character n-grams
+(across word borders), all hashed into one table; a softmax layer on the average gives the
+class. A word that repeats its predecessor is replaced by one mark
 before hashing, so that runs of a word look alike whatever the word.
 
 Vectors and layer are trained together by numpy stochastic gradient descent on a bounded
 sample of labelled rows (``sample_rows``, ``sample_bytes`` of each from a hash-chosen
 place). For two classes the layer is linear in the average, so prediction folds it into
-the table: one number per bucket, summed over the whole text.
+the table: one number per bucket, summed over the whole text, a long text piece by piece
+(cut between words; n-grams that cross a cut count once).
 
 Edge cases: null and empty texts get the score of the bias alone; rows without a label
 or with a label other than 0 or 1 do not train; no labelled rows (or one class only)
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changelake.llm.common import by_slice, small_batches, uniform
+from changelake.llm.common import SLICE_BYTES, by_slice, small_batches, uniform
 
 BITS = 16
 DIM = 8
@@ -47,12 +48,26 @@ def _mix(codes: np.ndarray, salt: int) -> np.ndarray:
     return (mixed * np.uint32(2246822519)) >> np.uint32(32 - BITS)
 
 
-def _gram_buckets(data: np.ndarray, n: int) -> np.ndarray:
-    """Bucket of the n-gram that starts at each byte (n <= 4)."""
-    codes = data[:len(data) - n + 1].astype(np.uint32)
+def _characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+    """(a number for each character, its UTF-8 bytes; where each begins, or None if each byte is one)."""
+    lead = data & 0xC0 != 0x80
+    if lead.all():
+        return data.astype(np.uint32), None
+    starts = np.flatnonzero(lead)
+    width = np.diff(np.append(starts, len(data)))
+    codes = data[starts].astype(np.uint32)
+    for k in (1, 2, 3):
+        longer = np.flatnonzero(width > k)
+        codes[longer] |= data[starts[longer] + k].astype(np.uint32) << np.uint32(8 * k)
+    return codes, starts
+
+
+def _gram_buckets(codes: np.ndarray, n: int) -> np.ndarray:
+    """Bucket of the n-gram that starts at each character."""
+    mixed = codes[:len(codes) - n + 1].copy()
     for i in range(1, n):
-        codes = (codes << np.uint32(8)) | data[i:len(data) - n + 1 + i]
-    return _mix(codes, n)
+        mixed = mixed * np.uint32(16777619) + codes[i:len(codes) - n + 1 + i]
+    return _mix(mixed, n)
 
 
 def _powers() -> np.ndarray:
@@ -67,9 +82,9 @@ def _powers() -> np.ndarray:
 POWERS = _powers()
 
 
-def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of each word, its start). Words are runs of bytes above the space; the
-    borders of documents also end them."""
+def _words(data: np.ndarray, offsets: np.ndarray, before: int | None = None) -> tuple[np.ndarray, np.ndarray, int | None]:
+    """(bucket of each word, its start, the last one's hash). Words are runs of bytes above the
+    space; the borders of documents also end them. ``before``: hash of the word before the first."""
     solid = data > 32
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
@@ -77,17 +92,50 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     begins[1:] &= ~solid[:-1] | first[1:-1]
     starts = np.flatnonzero(begins)
     if not len(starts):
-        return np.empty(0, np.uint32), starts
+        return np.empty(0, np.uint32), starts, before
     place = np.arange(len(data)) - starts[np.maximum(np.cumsum(begins) - 1, 0)]
     parts = np.where(solid, (data.astype(np.uint32) + np.uint32(1)) * POWERS[np.clip(place, 0, 63)], np.uint32(0))
     hashes = np.add.reduceat(parts, starts, dtype=np.uint32)
     again = np.zeros(len(starts), bool)
     again[1:] = (hashes[1:] == hashes[:-1]) & ~first[starts[1:]]
-    return _mix(np.where(again, np.uint32(0), hashes), 77), starts
+    again[0] = before is not None and hashes[0] == before
+    return _mix(np.where(again, np.uint32(0), hashes), 77), starts, int(hashes[-1])
 
 
 def score_logits(data: np.ndarray, offsets: np.ndarray, model: Model) -> np.ndarray:
     """Log-odds of class 1 for each text in a byte buffer."""
+    if len(offsets) == 2 and len(data) > 2 * SLICE_BYTES:
+        total, count = _long_sums(data, model)
+        return np.array([total / max(count, 1) + model.bias])
+    total, count = _sums(data, offsets, model)
+    return total / np.maximum(count, 1) + model.bias
+
+
+def _long_sums(data: np.ndarray, model: Model) -> tuple[float, float]:
+    """Sum and number of the features of one text, piece by piece."""
+    total = count = 0.0
+    a, before = 0, None
+    while a < len(data):
+        b = min(a + SLICE_BYTES, len(data))
+        while b < len(data):                            # a piece ends where a word does
+            space = np.flatnonzero(data[b:b + SLICE_BYTES] <= 32)
+            b = b + int(space[0]) if len(space) else min(b + SLICE_BYTES, len(data))
+            if len(space):
+                break
+        buckets, _, before = _words(data[a:b], np.array([0, b - a]), before)
+        total, count = total + float(model.table[buckets].sum(dtype=np.float64)), count + len(buckets)
+        codes, starts = _characters(data[a:b + 4 * (max(GRAMS) - 1)])      # and what n-grams reach beyond
+        own = b - a if starts is None else int(np.searchsorted(starts, b - a))
+        inside = len(codes) if b < len(data) else own
+        for n in GRAMS:
+            grams = _gram_buckets(codes, n)[:own] if inside >= n else codes[:0]
+            total, count = total + float(model.table[grams].sum(dtype=np.float64)), count + len(grams)
+        a = b
+    return total, count
+
+
+def _sums(data: np.ndarray, offsets: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Sum and number of the features of each text."""
     total, features = np.zeros(len(offsets) - 1), np.zeros(len(offsets) - 1)
 
     def add(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> None:
@@ -97,22 +145,24 @@ def score_logits(data: np.ndarray, offsets: np.ndarray, model: Model) -> np.ndar
         total += sums[hi] - sums[lo]
         features += hi - lo
 
+    codes, begins = _characters(data)
+    edges = offsets if begins is None else np.searchsorted(begins, offsets)
     for n in GRAMS:
-        if len(data) >= n:
-            last = len(data) - n + 1
-            add(model.table[_gram_buckets(data, n)], np.minimum(offsets[:-1], last),
-                np.minimum(offsets[1:] - n + 1, last))
+        if len(codes) >= n:
+            last = len(codes) - n + 1
+            add(model.table[_gram_buckets(codes, n)], np.minimum(edges[:-1], last), np.minimum(edges[1:] - n + 1, last))
     if len(data):
-        buckets, starts = _words(data, offsets)
+        buckets, starts, _ = _words(data, offsets)
         edges = np.searchsorted(starts, offsets)
         add(model.table[buckets], edges[:-1], edges[1:])
-    return total / np.maximum(features, 1) + model.bias
+    return total, features
 
 
 def features(text: bytes) -> np.ndarray:
     """All buckets of one text, for training."""
     data = np.frombuffer(text, np.uint8)
-    grams = [_gram_buckets(data, n) for n in GRAMS if len(data) >= n]
+    codes, _ = _characters(data)
+    grams = [_gram_buckets(codes, n) for n in GRAMS if len(codes) >= n]
     words = [_words(data, np.array([0, len(data)]))[0]] if len(data) else []
     return np.concatenate([np.empty(0, np.uint32), *grams, *words])
 

@@ -1,11 +1,12 @@
 """Quality classifier and language identification: held-out accuracy, brute-force scores, edge cases."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
 
-from changelake.llm import langid, quality
+from changelake.llm import langid, quality, queries
 
 SYLLABLES = {"aa": ["the", "ing", "and", "wh", "tion"], "bb": ["ich", "sch", "ung", "der", "ü"], "cc": ["que", "eau", "les", "é", "ment"]}
 
@@ -121,3 +122,57 @@ def test_language_without_or_with_one_language(spark, corpus):
     one = langid.fit(docs.where("lang = 'aa'"))
     rows = langid.predict(docs.where("doc_id < 900"), one, score_out="sure").select("lang_pred", "sure").distinct().collect()
     assert [tuple(r) for r in rows] == [("aa", 1.0)]
+
+
+def test_quality_long_text_in_pieces(monkeypatch):
+    rng = random.Random(4)
+    model = quality.Model(np.random.default_rng(1).normal(size=1 << quality.BITS).astype(np.float32), 0.25)
+    for text in (sentence(rng, "bb", 900), "слово слово 日本語 テスト " * 200 + "конец", "é" * 3000, "a" * 700 + " b b b" * 300):
+        data = np.frombuffer(text.encode(), np.uint8)
+        whole = quality.score_logits(data, np.array([0, len(data)]), model)
+        with monkeypatch.context() as patch:
+            patch.setattr(quality, "SLICE_BYTES", 64)
+            assert np.allclose(quality.score_logits(data, np.array([0, len(data)]), model), whole)
+
+
+def test_quality_grams_are_of_characters():
+    for text, n in (("日本語です", 5), ("слово", 5), ("añb", 3), ("ab", 2)):
+        codes, starts = quality._characters(np.frombuffer(text.encode(), np.uint8))
+        assert len(codes) == n and len(set(codes.tolist())) == len(set(text))
+    one, two = quality.features("кот пёс".encode()), quality.features("пёс кот".encode())
+    assert len(one) == (7 - 2) + (7 - 3) + 2 and len(two) == len(one)
+
+
+@pytest.mark.parametrize("letters", ["абвгдежзиклмнопрст", "日本語中文字典漢数学校生先今"])
+def test_quality_held_out_in_other_scripts(spark, letters):
+    rng = random.Random(12)
+    parts = ["".join(rng.choices(letters, k=3)) for _ in range(12)]
+    good = lambda: " ".join("".join(rng.choices(parts, k=2)) for _ in range(40))
+    bad = lambda: " ".join("".join(rng.choices(letters, k=6)) for _ in range(40))
+    rows = [(i, good() if i % 2 else bad(), i % 2) for i in range(600)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    model = quality.fit(docs, labels, where=docs.doc_id < 400)
+    scores = {r.doc_id: r[1] for r in docs.select("doc_id", quality.scorer(model, spark)("text")).collect()}
+    right = [(scores[i] >= 0.5) == bool(y) for i, _, y in rows if i >= 400]
+    assert np.mean(right) > 0.95
+
+
+def test_queries_return_every_document_and_hold_out_by_crc(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    language = queries.QUERIES["op2_language"](spark, sf_dir)
+    assert language.columns == ["doc_id", "held_out", "lang_pred", "score"]
+    rows = {r.doc_id: r for r in language.collect()}
+    assert rows.keys() == texts.keys()
+    known = {r.lang for r in texts.values() if r.lang is not None}
+    for i, r in rows.items():
+        letters = any(c.isalpha() for c in texts[i].text or "")
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) and 0 <= r.score <= 1
+        assert r.lang_pred in known if letters else r.lang_pred == "und"
+    scored = queries.QUERIES["op6_quality"](spark, sf_dir)
+    assert scored.columns == ["doc_id", "held_out", "score", "predicted"]
+    rows = {r.doc_id: r for r in scored.collect()}
+    assert rows.keys() == texts.keys()
+    for i, r in rows.items():
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7)
