@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changelake.functions.scalar import table_of
-from changelake.schemas import JSON_OPTS, KEY_SCHEMA, OPS, VALUE_SCHEMA
+from changelake.schemas import COMPOSITE_KEY_SCHEMA, JSON_OPTS, KEY_SCHEMA, OPS, VALUE_SCHEMA
 from changelake.session import prepare
 
 INT_TOKEN = r"^-?[0-9]+$"
@@ -46,9 +46,21 @@ def valid_after(op, after) -> Column:
     return (o == "d") | a.isNotNull()
 
 
-def decode(log: DataFrame, max_value_bytes: int | None = None) -> DataFrame:
+def composite_pk(payload: Column, columns) -> Column:
+    """a key of several number columns as one text, its parts in the given order between bars
+    (number tokens hold none, so no two keys share a text); null unless all are valid."""
+    parts = [F.try_element_at(payload, F.lit(c)) for c in columns]
+    ok = valid_pk(parts[0])
+    for part in parts[1:]:
+        ok = ok & valid_pk(part)
+    return F.when(ok, F.concat_ws("|", *parts))
+
+
+def decode(log: DataFrame, max_value_bytes: int | None = None, keys: dict[str, list[str]] | None = None) -> DataFrame:
     """Change records -> normalized events with ``error_reason``.
 
+    ``keys``: key columns of the tables whose key is not the one column ``id``.
+
     Output: topic, partition, offset, timestamp, table, pk, lsn, op, before,
     after, source_ts_ms, ts_ms, error_reason, key, value. Reasons, first match
     wins: tombstone, oversize, bad_json, bad_key, bad_lsn, bad_pk,
@@ -57,7 +69,7 @@ def decode(log: DataFrame, max_value_bytes: int | None = None) -> DataFrame:
     # duplicate keys inside an image keep the last value (JSON object semantics), times are UTC
     prepare(log.sparkSession)
     v = F.from_json(F.col("value"), VALUE_SCHEMA, JSON_OPTS)
-    k = F.from_json(F.col("key"), KEY_SCHEMA, JSON_OPTS)
+    k = F.from_json(F.col("key"), COMPOSITE_KEY_SCHEMA if keys else KEY_SCHEMA, JSON_OPTS)
     # The parsed structs come out of a one-row generator: a filter on the decode result
     # (e.g. ``error_reason IS NULL``) cannot be pushed below it, so Catalyst never
     # inlines ``from_json`` into each branch of the reason CASE — one parse per record.
@@ -67,6 +79,12 @@ def decode(log: DataFrame, max_value_bytes: int | None = None) -> DataFrame:
     lsn_txt = p["source"]["lsn"]
     op = p["op"]
     after = p["after"]
+    table = F.coalesce(p["source"]["table"], table_of("topic"))
+    pk = F.col("_k.payload.id")
+    if keys:
+        pk = F.when(valid_pk(F.try_element_at("_k.payload", F.lit("id"))), F.try_element_at("_k.payload", F.lit("id")))
+        for name, columns in keys.items():
+            pk = F.when(table == name, composite_pk(F.col("_k.payload"), columns)).otherwise(pk)
     reason = F.when(is_tombstone("value"), F.lit("tombstone"))
     if max_value_bytes is not None:
         reason = reason.when(F.octet_length("value") > max_value_bytes, F.lit("oversize"))
@@ -74,13 +92,13 @@ def decode(log: DataFrame, max_value_bytes: int | None = None) -> DataFrame:
               .when(F.col("_v._corrupt").isNotNull() | F.col("_v").isNull(), F.lit("bad_json"))
               .when(F.col("_k._corrupt").isNotNull(), F.lit("bad_key"))
               .when(~valid_lsn(lsn_txt), F.lit("bad_lsn"))
-              .when(~valid_pk(F.col("_k.payload.id")), F.lit("bad_pk"))
+              .when(pk.isNull() if keys else ~valid_pk(pk), F.lit("bad_pk"))
               .when(~F.coalesce(valid_after(op, after), F.lit(False)), F.lit("after_missing"))
               .when(~F.coalesce(op.isin(*OPS), F.lit(False)), F.lit("bad_op")))
     return d.select(
         "topic", "partition", "offset", "timestamp",
-        F.coalesce(p["source"]["table"], table_of("topic")).alias("table"),
-        F.col("_k.payload.id").alias("pk"),
+        table.alias("table"),
+        pk.alias("pk"),
         lsn_txt.try_cast("bigint").alias("lsn"),
         op.alias("op"),
         p["before"].alias("before"),

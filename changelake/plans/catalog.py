@@ -1,6 +1,6 @@
 """Imports every query module so the registry is complete."""
 
-from changelake.plans import (alerts, core, embedding, mapping, measures, operations, ordering, reconcile,  # noqa: F401
+from changelake.plans import (alerts, core, embedding, mapping, measures, operations, ordering, reconcile, replay,  # noqa: F401
                               relations, streams, typed)
 from changelake.plans.registry import ORACLES, QUERIES
 

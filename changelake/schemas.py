@@ -23,4 +23,6 @@ VALUE_SCHEMA = (
     "source: struct<lsn: string, `table`: string, ts_ms: bigint>, op: string, ts_ms: bigint>, "
     "_corrupt string")
 KEY_SCHEMA = "payload struct<id: string>, _corrupt string"
+#: Keys of several columns, each number by its exact text.
+COMPOSITE_KEY_SCHEMA = "payload map<string,string>, _corrupt string"
 JSON_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}

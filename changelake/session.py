@@ -34,6 +34,8 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     # transform_keys (rename rules) may map two keys onto one; keep the last.
     spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+    # A JSON object that repeats a key keeps the last value, in variants as in maps.
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
