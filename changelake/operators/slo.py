@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changelake.operators.metrics import LAG_BUCKETS
+
 
 def minute_index(ts: Column) -> Column:
     return F.floor(F.unix_seconds(ts) / F.lit(60)).cast("bigint")
@@ -82,6 +84,37 @@ def burn_rate(per_minute: DataFrame, slo: float, by: str = "table", windows=((60
     return out
 
 
+def histogram_rate_quantile(samples: DataFrame, lag: Column, minute: Column, q: float, by: list[str], minutes: int = 5,
+                            bounds=LAG_BUCKETS) -> DataFrame:
+    """The ``q`` quantile of a lag histogram over the trailing ``minutes``, per series ``by`` and
+    minute: (by, m, n, quantile). Cumulative bucket counts are kept per minute (one ``count_if`` a
+    bound, map-side), added up over the window, and the quantile interpolates inside its bucket
+    from the bound below (0 for the first); beyond the last bound that bound is returned."""
+    per = samples.select(*by, minute.alias("m"), lag.alias("_lag")).groupBy(*by, "m").agg(
+        *[F.count_if(F.col("_lag") <= float(b)).alias(f"_b{i}") for i, b in enumerate(bounds)], F.count("_lag").alias("n"))
+    names = [f"_b{i}" for i in range(len(bounds))] + ["n"]
+    # Each minute feeds its own window and those of the next minutes.
+    spread = per.select(*by, F.explode(F.sequence(F.col("m"), F.col("m") + minutes - 1)).alias("m"), *names)
+    total = spread.groupBy(*by, "m").agg(*[F.sum(c).alias(c) for c in names])
+    rank, out, below, lower = F.lit(q) * F.col("n"), None, F.lit(0), 0.0
+    for name, bound in zip(names, bounds):
+        inside = F.lit(lower) + F.lit(float(bound) - lower) * F.try_divide(rank - below, F.col(name) - below)
+        out = F.when(F.col(name) >= rank, inside) if out is None else out.when(F.col(name) >= rank, inside)
+        below, lower = F.col(name), float(bound)
+    return total.where("n > 0").select(*by, "m", "n", out.otherwise(F.lit(lower)).alias("quantile"))
+
+
+def group_lag(per_minute: DataFrame, behind: dict[str, int]) -> DataFrame:
+    """(group, m, lag): records that a consumer group ``behind`` minutes late has still to read at
+    each minute of a series (m, n): a trailing sum, by day with halo rows."""
+    from changelake.functions.scan import trailing
+    out = None
+    for group, minutes in behind.items():
+        one = trailing(per_minute.select("m", "n"), [], "m", {"lag": ("sum", "n")}, minutes, 1440).select(F.lit(group).alias("group"), "m", "lag")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def alert_episodes(series: DataFrame, cond: Column, hold_minutes: int, by: list[str] | None = None,
                    block_minutes: int = 1440) -> DataFrame:
     """Firing episodes of an alert with a ``for`` hold time.

@@ -11,12 +11,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from changelake.functions.scan import running
-from changelake.operators.metrics import lag_seconds
-from changelake.operators.slo import alert_episodes, minute_index
+from changelake.operators.metrics import LAG_BUCKETS, lag_seconds
+from changelake.operators.slo import alert_episodes, group_lag, histogram_rate_quantile, minute_index
 from changelake.plans import fixtures as fx
 from changelake.plans.registry import query
 from changelake.plans.sql_fixtures import with_log
-from changelake.session import scratch_dir
+from changelake.session import scratch_dir, written
 
 APPLY_MS = "((epoch_us(ts) // 1000) + floor(value * 100))"
 SERIES_SQL = f"""
@@ -119,3 +119,58 @@ def _alert_query(name, cond, hold):
 
 for _key, (_name, _cond, _hold) in (ALERTS | LOWER).items():
     query(_key, _alert_sql(_name, _cond, _hold))(_alert_query(_name, _cond, _hold))
+
+
+def _bucket_sql():
+    return ", ".join(f"count(*) FILTER (WHERE floor(value * 100) / 1000.0 <= {float(b)}) AS b{i}" for i, b in enumerate(LAG_BUCKETS))
+
+
+def _quantile_sql(q):
+    out, below, lower = "CASE", "0", 0.0
+    for i, b in enumerate(LAG_BUCKETS):
+        out += f" WHEN b{i} >= {q} * n THEN {lower} + ({float(b)} - {lower}) * ({q} * n - {below}) / nullif(b{i} - {below}, 0)"
+        below, lower = f"b{i}", float(b)
+    return out + f" ELSE {lower} END"
+
+
+_SUMS = ", ".join(f"CAST(sum(b{i}) AS BIGINT) AS b{i}" for i in range(len(LAG_BUCKETS)))
+
+
+@query("alerts_lag_histogram", with_log(f"""
+h AS (SELECT user_id % 2 AS shard, CAST(floor({APPLY_MS} / 60000) AS BIGINT) AS m, {_bucket_sql()}, count(*) AS n FROM good GROUP BY 1, 2),
+t AS (SELECT shard, m + d AS m, {_SUMS}, CAST(sum(n) AS BIGINT) AS n FROM h, range(0, 5) AS r(d) GROUP BY 1, 2),
+c AS (SELECT shard, m FROM t WHERE n > 0 AND {_quantile_sql(0.99)} > 4.5),
+i AS (SELECT shard, m, m - row_number() OVER (PARTITION BY shard ORDER BY m) AS isl FROM c),
+e AS (SELECT shard, min(m) AS s, max(m) AS e FROM i GROUP BY shard, isl)
+SELECT CASE shard WHEN 0 THEN 'even' ELSE 'odd' END AS series, make_timestamp(s * 60000000) AS pending_since,
+       make_timestamp((s + 2) * 60000000) AS fired_at, e - s + 1 AS held_minutes FROM e WHERE e - s + 1 > 2
+"""))
+def alerts_lag_histogram(spark, sf_dir):
+    """Replication lag per series, p99 by interpolation in the buckets of the last five minutes."""
+    g = fx.good(spark, sf_dir)
+    g = g.withColumn("series", F.when(F.col("pk").cast("bigint") % 2 == 0, "even").otherwise("odd"))
+    p99 = histogram_rate_quantile(g, lag_seconds(g), F.floor(F.col("ts_ms") / 60000).cast("bigint"), 0.99, ["series"])
+    return alert_episodes(p99, F.col("quantile") > 4.5, 2, ["series"]).select("series", "pending_since", "fired_at", "held_minutes")
+
+
+@query("alerts_lag_by_group", with_log("""
+r AS (SELECT CAST(floor(epoch(ts) / 60) AS BIGINT) AS m, count(*) AS n FROM log GROUP BY 1),
+sp AS (SELECT range AS m FROM range((SELECT min(m) FROM r), (SELECT max(m) FROM r) + 1)),
+p AS (SELECT sp.m, coalesce(n, 0) AS n FROM sp LEFT JOIN r ON r.m = sp.m),
+l AS (SELECT 'sink' AS grp, m, sum(n) OVER (ORDER BY m RANGE BETWEEN 1439 PRECEDING AND CURRENT ROW) AS lag FROM p
+      UNION ALL SELECT 'transformer', m, sum(n) OVER (ORDER BY m RANGE BETWEEN 119 PRECEDING AND CURRENT ROW) FROM p),
+c AS (SELECT grp, m FROM l WHERE lag > (SELECT sum(n) / 80 FROM r)),
+i AS (SELECT grp, m, m - row_number() OVER (PARTITION BY grp ORDER BY m) AS isl FROM c),
+e AS (SELECT grp, min(m) AS s, max(m) AS e FROM i GROUP BY grp, isl)
+SELECT grp AS "group", make_timestamp(s * 60000000) AS pending_since, make_timestamp((s + 2) * 60000000) AS fired_at,
+       e - s + 1 AS held_minutes FROM e WHERE e - s + 1 > 2
+"""))
+def alerts_lag_by_group(spark, sf_dir):
+    """Consumer lag as one series per group (one is a day behind, one two hours); the limit is an
+    eightieth of all records, which only one of them exceeds."""
+    per = fx.events_log(spark, sf_dir).groupBy(minute_index(F.col("timestamp")).alias("m")).agg(F.count(F.lit(1)).alias("n"))
+    per = written(per, "group-lag")
+    m0, m1, total = per.agg(F.min("m"), F.max("m"), F.sum("n")).first()
+    series = spark.range(m0, m1 + 1).withColumnRenamed("id", "m").join(per, "m", "left").fillna(0, subset=["n"])
+    lag = group_lag(series, {"sink": 1440, "transformer": 120})
+    return alert_episodes(lag, F.col("lag") > F.lit(total / 80), 2, ["group"]).select("group", "pending_since", "fired_at", "held_minutes")
