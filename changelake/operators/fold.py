@@ -8,10 +8,12 @@ first applied one, and from there on the run no longer depends on ``x``. So
 a block is summarised by the record LSNs of its prefix maxima, each with the
 outcome of the run that starts there, plus identity above its largest LSN.
 
-Blocks (``block_size`` consecutive offsets of one key) are summarised in
-parallel with ``applyInPandas``; only the summaries — a block's worth smaller
-than the history — are then chained per key. No task holds more than one block
-of raw events, however hot the key.
+Keys of at most ``block_size`` events, nearly all in practice, are folded by one
+built-in aggregate over their events in order. Of longer keys, blocks
+(``block_size`` consecutive offsets) are summarised in parallel with
+``applyInPandas``; step functions compose, so the summaries of ``FAN`` neighbouring
+blocks become one, round after round, until a key has few enough to be run in order. No task
+holds more than one block of raw events or ``FAN`` summaries, however hot the key.
 """
 
 from __future__ import annotations
@@ -20,11 +22,15 @@ import sys
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from changelake.functions.scalar import doc_id
 from changelake.functions.scan import DEFAULT_BLOCK
+from changelake.session import written
+
+#: Neighbouring blocks whose summaries become one in a round.
+FAN = 64
 
 # The two task functions below travel with the job (pickled by value), so Python
 # workers need pandas only, not this package on their path.
@@ -80,6 +86,55 @@ def _summarise(pdf: pd.DataFrame) -> pd.DataFrame:
                                        "out_lsn", "out_doc"])
 
 
+def _at(pieces: list[tuple], state: int | None) -> tuple:
+    """The piece of a step function (lo, hi, identity, lsn, doc) that holds ``state``."""
+    for piece in pieces:
+        lo, hi, identity = piece[:3]
+        if (lo is None if state is None else (lo is None or lo <= state) and (identity or state < hi)):
+            return piece
+    raise ValueError("a step function covers every state")
+
+
+def _then(f: list[tuple], g: list[tuple]) -> list[tuple]:
+    """The step function of ``f`` and then ``g``."""
+    out: list[tuple] = []
+
+    def add(piece):
+        if out and not piece[2] and not out[-1][2] and out[-1][3:] == piece[3:]:
+            out[-1] = (out[-1][0], *piece[1:])           # same outcome as the piece before: widen it
+        else:
+            out.append(piece)
+    for lo, hi, identity, lsn, doc in f:
+        if not identity:
+            then = _at(g, lsn)
+            add((lo, hi, False, lsn, doc) if then[2] else (lo, hi, False, *then[3:]))
+            continue
+        for piece in g:                                  # states from lo on reach g as they are
+            if piece[2] or lo is None or piece[1] > lo:
+                first = piece[0] if lo is None or (piece[0] is not None and piece[0] > lo) else lo
+                add((first, *piece[1:]))
+    return out
+
+
+def _pieces(pdf: pd.DataFrame) -> list[tuple]:
+    number = lambda x: None if pd.isna(x) else int(x)
+    return [(number(r.lo), number(r.hi), bool(r.identity), number(r.out_lsn), None if pd.isna(r.out_lsn) else r.out_doc)
+            for r in pdf.sort_values("piece", kind="stable").itertuples(index=False)]
+
+
+def _compose(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Summaries of neighbouring blocks (``_blk`` in order) -> one."""
+    whole = None
+    for _, block in pdf.groupby("_blk", sort=True):
+        pieces = _pieces(block)
+        whole = pieces if whole is None else _then(whole, pieces)
+    head = pdf.iloc[0]
+    text = lambda x: None if x is None else str(x)
+    rows = [(head["table"], head["pk"], 0, int(head["_up"]), i, text(lo), text(hi), identity, text(lsn), doc)
+            for i, (lo, hi, identity, lsn, doc) in enumerate(whole)]
+    return pd.DataFrame(rows, columns=["table", "pk", "partition", "_blk", "piece", "lo", "hi", "identity", "out_lsn", "out_doc"])
+
+
 def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values(["partition", "_blk", "piece"], kind="stable")
     state, doc = None, None
@@ -102,13 +157,44 @@ def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
                         columns=["table", "pk", "sourceLsn", "doc_json"])
 
 
+def _fold_short(ev: DataFrame) -> DataFrame:
+    """Keys with few events: one aggregate over the events in order."""
+    def step(acc, x):
+        newer = acc["lsn"].isNull() | (acc["lsn"] < x["lsn"])
+        gone = F.struct(F.lit(None).cast("bigint").alias("lsn"), F.lit(None).cast("string").alias("doc"))
+        put = F.struct(x["lsn"].alias("lsn"), x["aj"].alias("doc"))
+        return F.when(x["op"] != "d", F.when(newer, put).otherwise(acc)).otherwise(F.when(acc["lsn"] < x["lsn"], gone).otherwise(acc))
+    start = F.struct(F.lit(None).cast("bigint").alias("lsn"), F.lit(None).cast("string").alias("doc"))
+    events = F.array_sort(F.collect_list(F.struct("partition", "offset", "lsn", "op", "aj")))
+    folded = ev.groupBy("table", "pk").agg(events.alias("e")).select("table", "pk", F.aggregate("e", start, step).alias("s"))
+    return folded.where("s.lsn IS NOT NULL").select("table", "pk", F.col("s.lsn").cast("string").alias("sourceLsn"), F.col("s.doc").alias("doc_json"))
+
+
+def _fold_long(ev: DataFrame, block_size: int) -> DataFrame:
+    """Keys with many events: summaries of blocks, composed in rounds."""
+    blocked = ev.withColumn("_blk", F.floor(F.col("offset") / F.lit(block_size)))
+    summaries = written(blocked.groupBy("table", "pk", "partition", "_blk").applyInPandas(_summarise, SUMMARY_SCHEMA), "fold-blocks")
+    # Blocks numbered from 0 within their key: a narrow row a block.
+    number = F.row_number().over(Window.partitionBy("table", "pk").orderBy("partition", "_blk")) - 1
+    numbers = summaries.select("table", "pk", "partition", "_blk").distinct().withColumn("_nr", number.cast("bigint"))
+    now = summaries.join(numbers, ["table", "pk", "partition", "_blk"]).withColumn("_blk", F.col("_nr")).drop("_nr").withColumn("partition", F.lit(0))
+    most = (numbers.agg(F.max("_nr")).first()[0] or 0) + 1
+    while most > FAN:
+        now = written(now.withColumn("_up", F.floor(F.col("_blk") / F.lit(FAN))).groupBy("table", "pk", "_up")
+                      .applyInPandas(_compose, SUMMARY_SCHEMA), "fold-round")
+        most = -(-most // FAN)
+    return now.groupBy("table", "pk").applyInPandas(_chain, FINAL_SCHEMA)
+
+
 def fold_reference(events: DataFrame, block_size: int = DEFAULT_BLOCK) -> DataFrame:
     """Rows left by the sequential apply: ``_id, table, pk, sourceLsn, doc`` (the image of
     the applied upsert that set the LSN — the full-image contract)."""
-    ev = events.select("table", "pk", "partition", "offset", "lsn", "op",
-                       F.to_json("after").alias("aj"),
-                       F.floor(F.col("offset") / F.lit(block_size)).alias("_blk"))
-    summaries = ev.groupBy("table", "pk", "partition", "_blk").applyInPandas(_summarise, SUMMARY_SCHEMA)
-    final = summaries.groupBy("table", "pk").applyInPandas(_chain, FINAL_SCHEMA)
+    ev = written(events.select("table", "pk", "partition", "offset", "lsn", "op", F.to_json("after").alias("aj")), "fold")
+    long = written(ev.groupBy("table", "pk").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_size).select("table", "pk"), "fold-long")
+    if long.isEmpty():
+        final = _fold_short(ev)
+    else:
+        final = _fold_short(ev.join(long, ["table", "pk"], "left_anti")).unionByName(
+            _fold_long(ev.join(long, ["table", "pk"], "left_semi"), block_size))
     return final.select(doc_id("table", "pk").alias("_id"), "table", "pk", F.col("sourceLsn").cast("bigint").alias("sourceLsn"),
                         F.from_json("doc_json", "map<string,string>").alias("doc"))

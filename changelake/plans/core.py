@@ -242,6 +242,17 @@ def fold_reference_q(spark, sf_dir):
     return f.select("_id", "sourceLsn")
 
 
+@query("fold_documents", FOLD_SQL.replace("user_id, lsn, op, row_number()", "user_id, lsn, op, event_id, row_number()")
+       .replace("f(user_id, rn, s) AS", "f(user_id, rn, s, e) AS").replace("CAST(NULL AS BIGINT) FROM ord", "CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM ord")
+       .replace("THEN NULL ELSE f.s END END\n", "THEN NULL ELSE f.s END END,\n         CASE WHEN o.op <> 'd' AND (f.s IS NULL OR f.s < o.lsn) THEN o.event_id ELSE f.e END\n")
+       .replace("f.s AS sourceLsn\nFROM f JOIN", "f.s AS sourceLsn, v.event_type, v.value AS amount\nFROM f JOIN events v ON v.event_id = f.e JOIN"))
+def fold_documents(spark, sf_dir):
+    """G9 with documents: short keys by one aggregate, long ones (here above 16 events) by blocks whose
+    summaries are composed in rounds."""
+    f = gate.fold_reference(fx.good(spark, sf_dir), block_size=16)
+    return f.select("_id", "sourceLsn", F.col("doc")["event_type"].alias("event_type"), F.col("doc")["value"].cast("double").alias("amount"))
+
+
 def _store(spark, purpose):
     return StateStore(spark, scratch_dir(spark, purpose), buckets=16)
 

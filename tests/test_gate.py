@@ -278,3 +278,27 @@ def test_fold_keeps_lsns_exact(spark):
                                "table string, pk string, partition int, offset long, lsn long, op string, after map<string,string>")
     (row,) = fold_reference(ev, block_size=1).collect()
     assert row["sourceLsn"] == big and row["doc"] == {"a": "y"}
+
+
+def test_fold_composes_blocks_in_rounds(spark, monkeypatch):
+    from changelake.operators import fold
+    import random
+    rnd = random.Random(21)
+    events = [(rnd.choice([1, 1, 1, 2]), rnd.randint(1, 400), rnd.choice("cud"), 0, i) for i in range(700)]
+    monkeypatch.setattr(fold, "FAN", 3)
+    for bs in (5, 40):
+        got = {int(r["pk"]): r["sourceLsn"] for r in gate.fold_reference(_df(spark, events), bs).collect()}
+        assert got == model_fold(events)
+
+
+def test_step_functions_compose():
+    from changelake.operators import fold
+    f = [(None, 5, False, 9, "a"), (5, 9, False, None, None), (9, None, True, None, None)]
+    g = [(None, 7, False, 7, "b"), (7, 12, False, 12, "c"), (12, None, True, None, None)]
+    whole = fold._then(f, g)
+    for state in (None, 0, 4, 5, 6, 8, 9, 11, 12, 30):
+        p = fold._at(f, state)
+        middle, doc = (state, "own") if p[2] else p[3:]
+        q = fold._at(g, middle)
+        w = fold._at(whole, state)
+        assert ((state, "own") if w[2] else w[3:]) == ((middle, doc) if q[2] else q[3:])
