@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from changelake.functions import scalar as S
+from changelake.operators.decode import decode
 from changelake.operators.mapping import apply_rule, cast_errors, embed_json, emit_filter, typed_fields
 from changelake.plans import fixtures as fx
 from changelake.plans.registry import query
@@ -179,3 +180,26 @@ def emit_filter_q(spark, sf_dir):
     log = fx.multi_table_log(spark, sf_dir).withColumn("table", S.table_of("topic"))
     rules = dict(DEFAULT_RULES)
     return emit_filter(log, rules).groupBy(F.col("table").alias("table_name")).agg(F.count("*").alias("n"))
+
+
+@query("scalar_texts", """
+SELECT o_orderkey, 'orders' AS table_name, CAST(floor(epoch(o_orderdate)) AS BIGINT) AS epoch_s,
+       '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus || '"}' AS row_text
+FROM orders
+""")
+def scalar_texts(spark, sf_dir):
+    """The table of a qualified name, a row as JSON text, seconds since the epoch."""
+    o = fx.table(spark, sf_dir, "orders").withColumn("src", F.lit("public.orders"))
+    return o.select("o_orderkey", S.table_of_source("src").alias("table_name"), S.epoch_seconds(F.col("o_orderdate").cast("timestamp")).alias("epoch_s"),
+                    S.row_json("o_orderkey", "o_custkey", "o_orderstatus").alias("row_text"))
+
+
+@query("oversize_rejects", with_log("""
+r AS (SELECT CASE WHEN reason = 'tombstone' THEN reason WHEN off % 61 = 0 THEN 'oversize' ELSE coalesce(reason, 'good') END AS reason FROM log)
+SELECT reason, count(*) AS n FROM r GROUP BY reason
+"""))
+def oversize_rejects(spark, sf_dir):
+    """values above a size limit go to the dead letters, all others are decoded as before."""
+    log = fx.events_log(spark, sf_dir)
+    log = log.withColumn("value", F.when(F.col("offset") % 61 == 0, F.concat("value", F.lit(" " * 4000))).otherwise(F.col("value")))
+    return decode(log, max_value_bytes=4000).groupBy(F.coalesce("error_reason", F.lit("good")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
