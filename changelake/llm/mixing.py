@@ -89,11 +89,15 @@ def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", so
     numbers = rates.agg(F.sum(F.size(cdf) + 4)).first()[0] or 0
     table = F.broadcast(rates) if numbers <= BROADCAST_NUMBERS else rates
     joined = docs.join(table, docs[source_col].eqNullSafe(table[source]))
-    text = F.md5(F.coalesce(docs[text_col], F.lit("")).cast("binary"))
-    draw = uniform(docs[id_col], text, seed=seed)
-    count = F.col(first) + F.aggregate(cdf, F.lit(0), lambda n, p: n + (p <= draw).cast("int"))
     times, mark = fresh(docs, "mix_times"), fresh(docs, "mix_text")
-    copies = joined.withColumns({times: count, mark: text}).where(F.col(times) > 0) \
+    draw = uniform(docs[id_col], F.col(mark), seed=seed)
+
+    def above(acc, p):
+        return F.struct((acc["n"] + (p <= acc["u"]).cast("int")).alias("n"), acc["u"].alias("u"))
+    # The draw is the walk's starting value: inside the step it would be hashed once a probability.
+    count = F.col(first) + F.aggregate(cdf, F.struct(F.lit(0).alias("n"), draw.alias("u")), above, lambda acc: acc["n"])
+    text = F.md5(F.coalesce(docs[text_col], F.lit("")).cast("binary"))
+    copies = joined.withColumn(mark, text).withColumn(times, count).where(F.col(times) > 0) \
         .select(*(docs[c] for c in docs.columns), mark, F.explode(F.sequence(F.lit(0), F.col(times) - 1)).alias(copy_col))
     keyed = copies.withColumn(key_col, uniform(F.col(id_col), F.col(mark), F.col(copy_col), seed=seed + 1)).drop(mark)
     return keyed.repartition(key_col).sortWithinPartitions(key_col)
