@@ -9,18 +9,19 @@ a block is summarised by the record LSNs of its prefix maxima, each with the
 outcome of the run that starts there, plus identity above its largest LSN.
 
 Keys of at most ``block_size`` events, nearly all in practice, are folded by one
-built-in aggregate over their events in order. Of longer keys, blocks
-(``block_size`` consecutive offsets) are summarised in parallel with
-``applyInPandas``; step functions compose, so the summaries of ``FAN`` neighbouring
-blocks become one, round after round, until a key has few enough to be run in order. No task
-holds more than one block of raw events or ``FAN`` summaries, however hot the key.
+built-in aggregate over their events in order. The events of longer keys are sorted by
+ranges of (key, position); each task cuts its range into blocks of ``block_size``
+events of one key and summarises them. Step functions compose, so the summaries of ``FAN``
+neighbouring blocks become one, round after round, until a key has few enough to be run in
+order. No group is larger than one block of raw events or ``FAN`` summaries, however hot the
+key, and a task goes through its groups in one call.
 """
 
 from __future__ import annotations
 
 import sys
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,21 +32,23 @@ from changelake.session import written
 
 #: Neighbouring blocks whose summaries become one in a round.
 FAN = 64
+#: Rows of a batch that a task hands back.
+OUT_ROWS = 1000
 
-# The two task functions below travel with the job (pickled by value), so Python
-# workers need pandas only, not this package on their path.
+# The task functions below travel with the job (pickled by value), so Python
+# workers need pyarrow only, not this package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SUMMARY_SCHEMA = ("table string, pk string, partition int, _blk long, piece int, lo string, hi string, "
-                  "identity boolean, out_lsn string, out_doc string")
-FINAL_SCHEMA = "table string, pk string, sourceLsn string, doc_json string"
+SUMMARY_SCHEMA = "table string, pk string, _blk long, piece int, lo long, hi long, identity boolean, out_lsn long, out_doc string"
+FINAL_SCHEMA = "table string, pk string, sourceLsn long, doc_json string"
+_ARROW = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
 
 
-def _summarise(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("offset", kind="stable")
-    L = pdf["lsn"].tolist()
-    ops = pdf["op"].tolist()
-    docs = pdf["aj"].tolist()
+def _summarise(events: list[tuple]) -> list[tuple]:
+    """The step function of a block: (lsn, op, doc) in order -> pieces (lo, hi, identity, lsn, doc)."""
+    L = [e[0] for e in events]
+    ops = [e[1] for e in events]
+    docs = [e[2] for e in events]
     n = len(L)
     nge = [-1] * n          # next strictly greater LSN
     nxt_up = [-1] * n       # next upsert
@@ -66,24 +69,16 @@ def _summarise(pdf: pd.DataFrame) -> pd.DataFrame:
             out[j] = out[k]
         else:
             out[j] = (L[j], docs[j]) if ops[j] != "d" else (None, None)
-    rows = []
-    t0 = pdf.iloc[0]
-    head = (t0["table"], t0["pk"], int(t0["partition"]), int(t0["_blk"]))
+    pieces: list[tuple] = []
     prev = None
     for j in range(n):
         if prev is None or L[j] > prev:          # a new prefix maximum starts a piece [prev, L[j])
-            if rows and rows[-1][7:9] == (out[j][0], out[j][1]):
-                lo = rows[-1][4]                  # same outcome as the piece before: widen it
-                rows[-1] = (*head, lo, L[j], False, out[j][0], out[j][1])
+            if pieces and pieces[-1][3:] == out[j]:
+                pieces[-1] = (pieces[-1][0], L[j], False, *out[j])   # same outcome as the piece before: widen it
             else:
-                rows.append((*head, prev, L[j], False, out[j][0], out[j][1]))
+                pieces.append((prev, L[j], False, *out[j]))
             prev = L[j]
-    rows.append((*head, prev, None, True, None, None))
-    # LSNs travel as text: pandas would turn nullable longs into floats.
-    text = lambda x: None if x is None else str(x)
-    rows = [(*r[:4], i, text(r[4]), text(r[5]), r[6], text(r[7]), r[8]) for i, r in enumerate(rows)]
-    return pd.DataFrame(rows, columns=["table", "pk", "partition", "_blk", "piece", "lo", "hi", "identity",
-                                       "out_lsn", "out_doc"])
+    return [*pieces, (prev, None, True, None, None)]
 
 
 def _at(pieces: list[tuple], state: int | None) -> tuple:
@@ -116,45 +111,88 @@ def _then(f: list[tuple], g: list[tuple]) -> list[tuple]:
     return out
 
 
-def _pieces(pdf: pd.DataFrame) -> list[tuple]:
-    number = lambda x: None if pd.isna(x) else int(x)
-    return [(number(r.lo), number(r.hi), bool(r.identity), number(r.out_lsn), None if pd.isna(r.out_lsn) else r.out_doc)
-            for r in pdf.sort_values("piece", kind="stable").itertuples(index=False)]
-
-
-def _compose(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Summaries of neighbouring blocks (``_blk`` in order) -> one."""
-    whole = None
-    for _, block in pdf.groupby("_blk", sort=True):
-        pieces = _pieces(block)
-        whole = pieces if whole is None else _then(whole, pieces)
-    head = pdf.iloc[0]
-    text = lambda x: None if x is None else str(x)
-    rows = [(head["table"], head["pk"], 0, int(head["_up"]), i, text(lo), text(hi), identity, text(lsn), doc)
-            for i, (lo, hi, identity, lsn, doc) in enumerate(whole)]
-    return pd.DataFrame(rows, columns=["table", "pk", "partition", "_blk", "piece", "lo", "hi", "identity", "out_lsn", "out_doc"])
-
-
-def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["partition", "_blk", "piece"], kind="stable")
-    state, doc = None, None
-    for _, blk in pdf.groupby(["partition", "_blk"], sort=True):
-        for r in blk.itertuples(index=False):
-            lo = None if pd.isna(r.lo) else int(r.lo)
-            if state is None:
-                hit = lo is None
-            else:
-                hit = (lo is None or lo <= state) and (r.identity or state < int(r.hi))
-            if hit:
-                if not r.identity:
-                    state = None if pd.isna(r.out_lsn) else int(r.out_lsn)
-                    doc = None if state is None else r.out_doc
-                break
-    first = pdf.iloc[0]
-    if state is None:
-        return pd.DataFrame([], columns=["table", "pk", "sourceLsn", "doc_json"])
-    return pd.DataFrame([(first["table"], first["pk"], str(state), doc)],
-                        columns=["table", "pk", "sourceLsn", "doc_json"])
+def _runs(batches, n: int):
+    """Of sorted rows: (their first ``n`` values, the rest of each) for rows that agree in these."""
+    key, rows = None, []
+    for batch in batches:
+        for r in zip(*(c.to_pylist() for c in batch.columns)):
+            if rows and r[:n] != key:
+                yield key, rows
+                rows = []
+            key = r[:n]
+            rows.append(r[n:])
+    if rows:
+        yield key, rows
+
+
+def _out(rows, schema: str):
+    """Rows as Arrow batches of a schema."""
+    fields = pa.schema([(name, _ARROW[kind]) for name, kind in (f.split() for f in schema.split(", "))])
+
+    def batch(part):
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part), fields)], schema=fields)
+    part = []
+    for r in rows:
+        part.append(r)
+        if len(part) == OUT_ROWS:
+            yield batch(part)
+            part = []
+    if part:
+        yield batch(part)
+
+
+def _numbered(head: tuple, pieces: list[tuple]) -> list[tuple]:
+    return [(*head, i, *piece) for i, piece in enumerate(pieces)]
+
+
+def _cut(block_size: int):
+    """Task function: events sorted by key and position -> summaries of blocks, numbered in order."""
+    def rows(batches):
+        key, block, nr = None, [], 0
+        for batch in batches:
+            for table, pk, rng, *event in zip(*(c.to_pylist() for c in batch.columns)):
+                if block and (len(block) == block_size or (table, pk) != key[:2]):
+                    yield from _numbered((*key[:2], (key[2] << 40) + nr), _summarise(block))
+                    block, nr = [], nr + 1
+                key = (table, pk, rng)
+                block.append(tuple(event))
+        if block:
+            yield from _numbered((*key[:2], (key[2] << 40) + nr), _summarise(block))
+    return lambda batches: _out(rows(batches), SUMMARY_SCHEMA)
+
+
+def _compose(batches):
+    """Task function: summaries sorted by (key, ``_up``, ``_blk``, piece) -> one for each ``_up``."""
+    def rows():
+        head, whole = None, None
+        for (*up, _), block in _runs(batches, 4):
+            pieces = [r[1:] for r in block]
+            if up == head:
+                whole = _then(whole, pieces)
+                continue
+            if head:
+                yield from _numbered(tuple(head), whole)
+            head, whole = up, pieces
+        if head:
+            yield from _numbered(tuple(head), whole)
+    return _out(rows(), SUMMARY_SCHEMA)
+
+
+def _chain(batches):
+    """Task function: summaries sorted by (key, ``_blk``, piece), run in order -> the row a key is left with."""
+    def rows():
+        key, state, doc = None, None, None
+        for (*now, _), block in _runs(batches, 3):
+            if now != key:
+                if state is not None:
+                    yield (*key, state, doc)
+                key, state, doc = now, None, None
+            piece = _at([r[1:] for r in block], state)
+            if not piece[2]:
+                state, doc = piece[3:]
+        if state is not None:
+            yield (*key, state, doc)
+    return _out(rows(), FINAL_SCHEMA)
 
 
 def _fold_short(ev: DataFrame) -> DataFrame:
@@ -167,23 +205,27 @@ def _fold_short(ev: DataFrame) -> DataFrame:
     start = F.struct(F.lit(None).cast("bigint").alias("lsn"), F.lit(None).cast("string").alias("doc"))
     events = F.array_sort(F.collect_list(F.struct("partition", "offset", "lsn", "op", "aj")))
     folded = ev.groupBy("table", "pk").agg(events.alias("e")).select("table", "pk", F.aggregate("e", start, step).alias("s"))
-    return folded.where("s.lsn IS NOT NULL").select("table", "pk", F.col("s.lsn").cast("string").alias("sourceLsn"), F.col("s.doc").alias("doc_json"))
+    return folded.where("s.lsn IS NOT NULL").select("table", "pk", F.col("s.lsn").alias("sourceLsn"), F.col("s.doc").alias("doc_json"))
 
 
 def _fold_long(ev: DataFrame, block_size: int) -> DataFrame:
     """Keys with many events: summaries of blocks, composed in rounds."""
-    blocked = ev.withColumn("_blk", F.floor(F.col("offset") / F.lit(block_size)))
-    summaries = written(blocked.groupBy("table", "pk", "partition", "_blk").applyInPandas(_summarise, SUMMARY_SCHEMA), "fold-blocks")
+    place = ["table", "pk", "partition", "offset"]
+    events = ev.repartitionByRange(*place).withColumn("_rng", F.spark_partition_id().cast("bigint")) \
+        .sortWithinPartitions(*place, "lsn", "op", "aj").select("table", "pk", "_rng", "lsn", "op", "aj")
+    summaries = written(events.mapInArrow(_cut(block_size), SUMMARY_SCHEMA), "fold-blocks")
     # Blocks numbered from 0 within their key: a narrow row a block.
-    number = F.row_number().over(Window.partitionBy("table", "pk").orderBy("partition", "_blk")) - 1
-    numbers = summaries.select("table", "pk", "partition", "_blk").distinct().withColumn("_nr", number.cast("bigint"))
-    now = summaries.join(numbers, ["table", "pk", "partition", "_blk"]).withColumn("_blk", F.col("_nr")).drop("_nr").withColumn("partition", F.lit(0))
+    number = F.row_number().over(Window.partitionBy("table", "pk").orderBy("_blk")) - 1
+    numbers = summaries.where("piece = 0").select("table", "pk", "_blk").withColumn("_nr", number.cast("bigint"))
+    pieces = ["piece", "lo", "hi", "identity", "out_lsn", "out_doc"]
+    now = summaries.join(numbers, ["table", "pk", "_blk"]).select("table", "pk", F.col("_nr").alias("_blk"), *pieces)
     most = (numbers.agg(F.max("_nr")).first()[0] or 0) + 1
     while most > FAN:
-        now = written(now.withColumn("_up", F.floor(F.col("_blk") / F.lit(FAN))).groupBy("table", "pk", "_up")
-                      .applyInPandas(_compose, SUMMARY_SCHEMA), "fold-round")
+        up = F.floor(F.col("_blk") / F.lit(FAN)).alias("_up")
+        now = written(now.select("table", "pk", up, "_blk", *pieces).repartition("table", "pk", "_up")
+                      .sortWithinPartitions("table", "pk", "_up", "_blk", "piece").mapInArrow(_compose, SUMMARY_SCHEMA), "fold-round")
         most = -(-most // FAN)
-    return now.groupBy("table", "pk").applyInPandas(_chain, FINAL_SCHEMA)
+    return now.repartition("table", "pk").sortWithinPartitions("table", "pk", "_blk", "piece").mapInArrow(_chain, FINAL_SCHEMA)
 
 
 def fold_reference(events: DataFrame, block_size: int = DEFAULT_BLOCK) -> DataFrame:
@@ -196,5 +238,5 @@ def fold_reference(events: DataFrame, block_size: int = DEFAULT_BLOCK) -> DataFr
     else:
         final = _fold_short(ev.join(long, ["table", "pk"], "left_anti")).unionByName(
             _fold_long(ev.join(long, ["table", "pk"], "left_semi"), block_size))
-    return final.select(doc_id("table", "pk").alias("_id"), "table", "pk", F.col("sourceLsn").cast("bigint").alias("sourceLsn"),
+    return final.select(doc_id("table", "pk").alias("_id"), "table", "pk", "sourceLsn",
                         F.from_json("doc_json", "map<string,string>").alias("doc"))

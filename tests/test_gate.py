@@ -302,3 +302,20 @@ def test_step_functions_compose():
         q = fold._at(g, middle)
         w = fold._at(whole, state)
         assert ((state, "own") if w[2] else w[3:]) == ((middle, doc) if q[2] else q[3:])
+
+
+def test_fold_blocks_hold_events_not_offsets(spark, monkeypatch):
+    """Keys whose events lie far apart in the log are cut into full blocks all the same."""
+    from changelake.operators import fold
+    blocks, real = [], fold.written
+
+    def counted(df, purpose):
+        out = real(df, purpose)
+        if purpose == "fold-blocks":
+            blocks.append(out.select("table", "pk", "_blk").distinct().count())
+        return out
+    monkeypatch.setattr(fold, "written", counted)
+    events = [(pk, 10 * i + pk, "d" if i % 7 == 3 else "u", 0, 1000 * i + pk) for i in range(40) for pk in range(1, 6)]
+    got = {int(r["pk"]): r["sourceLsn"] for r in gate.fold_reference(_df(spark, events), 16).collect()}
+    assert got == model_fold(events)
+    assert blocks[0] < 60     # 200 events of 5 keys in blocks of 16, a few more where ranges end
