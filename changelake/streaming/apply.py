@@ -1,7 +1,7 @@
 """Streaming apply: change log -> decode -> gate -> state, one batch at a time.
 
 Each micro-batch runs ``apply_batch`` inside ``foreachBatch``: decode once
-(persisted, it feeds state, dead letters and checkpoint rows), compact to one
+(written once, it feeds state, dead letters and checkpoint rows), compact to one
 change per key, merge the touched buckets, then write the side outputs.
 Structured Streaming writes the offset log before and the commit log after
 the function, so a batch that fails is re-run with the same id and rows;
@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from changelake.operators.decode import dead_letters, decode, good_events
 from changelake.operators.gate import DOC_INPUT, compact, merge_set, to_documents
-from changelake.operators.mapping import apply_rule, emit_filter, rule_versions, shape_events, validate_enums, validate_types
+from changelake.operators.mapping import apply_rule, emit_filter, emitted, rule_versions, shape_events, validate_enums, validate_types
 from changelake.functions.scalar import doc_id
+from changelake.session import scratch
 from changelake.sources.state_store import StateStore, bucket_of, checkpoint_rows
 
 
@@ -40,11 +41,14 @@ def apply_batch(store: StateStore, log: DataFrame, batch_id: int, rules=None,
         if shape:
             decoded = validate_enums(decoded, rules)
     bad = F.col("error_reason").isNotNull()
-    # cache a slim decode: raw key/value are kept only on rejected rows (for the DLQ)
+    if rules and transform is None:   # good rows of lookup-only tables end here; their rejected rows are dead letters
+        decoded = decoded.filter(bad | F.coalesce(emitted(rules), F.lit(False)))
+    # a slim decode, written once: raw key/value are kept only on rejected rows (for the DLQ)
     slim = decoded.select(*[c for c in decoded.columns if c not in ("key", "value")],
                           F.when(bad, F.col("key")).alias("key"), F.when(bad, F.col("value")).alias("value"),
-                          bucket_of(doc_id("table", "pk"), store.buckets).alias("_bucket")).persist()
-    try:
+                          bucket_of(doc_id("table", "pk"), store.buckets).alias("_bucket"))
+    with scratch(store.spark) as keep:
+        slim = keep(slim, "decoded")
         good = good_events(slim)
         if transform is not None:
             good = transform(good)
@@ -66,8 +70,6 @@ def apply_batch(store: StateStore, log: DataFrame, batch_id: int, rules=None,
             raise RuntimeError("injected failure after state write")
         store.write_side("dlq", dead_letters(slim), batch_id, writer)
         store.write_side("checkpoints", checkpoint_rows(good), batch_id, writer)
-    finally:
-        slim.unpersist()
 
 
 def stream_apply(spark: SparkSession, source_dir: str, store: StateStore, checkpoint: str,
