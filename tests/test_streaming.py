@@ -94,3 +94,46 @@ def test_kafka_reads_honour_tables_and_offset_range(spark):
     assert sorted(r.value for r in got) == ["cdc.users2", "cdc.users3"]
     with pytest.raises(ValueError, match="max_files_per_trigger"):
         read_changelog(_Kafka(rows), "host:1", fmt="kafka", max_files_per_trigger=5)
+
+
+def test_apply_caches_nothing_and_keeps_no_lookup_rows(spark, monkeypatch):
+    from changelake.rules import DEFAULT_RULES
+    cached, rows = [], []
+    real, side = StateStore.apply, StateStore.write_side
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+
+    def spy(self, *args, **kw):
+        cached.append(spark.sparkContext._jsc.getPersistentRDDs().size())
+        return real(self, *args, **kw)
+
+    def side_spy(self, kind, df, *args, **kw):
+        rows.append((kind, df.count()))
+        return side(self, kind, df, *args, **kw)
+    monkeypatch.setattr(StateStore, "apply", spy)
+    monkeypatch.setattr(StateStore, "write_side", side_spy)
+    store = StateStore(spark, tempfile.mkdtemp(dir="/tmp"), buckets=4)
+    good = [("cdc.order_items", 0, i, key(i), envelope("c", 5, table="order_items", after={"id": i})) for i in range(5)]
+    A.apply_batch(store, log_df(spark, [*good, ("cdc.order_items", 0, 9, key(9), "{not json"),
+                                        ("cdc.users", 0, 1, key(1), envelope("c", 5, after={"id": 1}))]), 0, rules=DEFAULT_RULES)
+    assert [r["_id"] for r in store.current().collect()] == ["users:1"]
+    assert rows == [("dlq", 1), ("checkpoints", 1)]
+    assert max(cached) <= before
+
+
+def _tasks_of_batches(spark, log):
+    seen = []
+    q = log.writeStream.option("checkpointLocation", os.path.join(tempfile.mkdtemp(dir="/tmp"), "ck")) \
+        .foreachBatch(lambda df, _: seen.append(df.select(F.spark_partition_id()).distinct().count())).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return seen
+
+
+def _one_file(spark):
+    src = tempfile.mkdtemp(dir="/tmp")
+    log_df(spark, [("cdc.users", 0, i, key(i), envelope("c", i, after={"id": i})) for i in range(200)]).coalesce(1).write.mode("append").parquet(src)
+    return src
+
+
+def test_stream_source_spreads_a_file_over_tasks(spark):
+    from changelake.streaming.gate_stream import stream_source
+    assert min(_tasks_of_batches(spark, stream_source(spark, _one_file(spark)))) > 1
