@@ -137,3 +137,8 @@ def _one_file(spark):
 def test_stream_source_spreads_a_file_over_tasks(spark):
     from changelake.streaming.gate_stream import stream_source
     assert min(_tasks_of_batches(spark, stream_source(spark, _one_file(spark)))) > 1
+
+
+def test_streamed_changelog_spreads_a_file_over_tasks(spark):
+    from changelake.sources.changelog import read_changelog
+    assert min(_tasks_of_batches(spark, read_changelog(spark, _one_file(spark), stream=True, max_files_per_trigger=1))) > 1
