@@ -142,3 +142,21 @@ def test_stream_source_spreads_a_file_over_tasks(spark):
 def test_streamed_changelog_spreads_a_file_over_tasks(spark):
     from changelake.sources.changelog import read_changelog
     assert min(_tasks_of_batches(spark, read_changelog(spark, _one_file(spark), stream=True, max_files_per_trigger=1))) > 1
+
+
+def test_log_files_do_not_multiply_with_tasks(spark, monkeypatch):
+    """The log is derived once, and a small slice is a few files however many tasks derive it."""
+    from changelake.plans import streams
+    sf = tempfile.mkdtemp(dir="/tmp")
+    spark.range(400).select(F.col("id").alias("event_id"), F.timestamp_micros(F.col("id") * 1000000).alias("ts"),
+                            (F.col("id") % 9).alias("user_id"), F.lit("click").alias("event_type"), F.lit(1.5).alias("value"),
+                            F.lit('{"k":1}').alias("props")).write.parquet(f"{sf}/events.parquet")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        path = streams.log_files(spark, sf)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) <= streams.CHUNKS * 4
+    assert spark.read.parquet(path).count() == 440
