@@ -158,5 +158,5 @@ def test_log_files_do_not_multiply_with_tasks(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "8")
-    assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) <= streams.CHUNKS * 4
+    assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) <= streams.CHUNKS
     assert spark.read.parquet(path).count() == 440
