@@ -1,8 +1,8 @@
 """Byte-level BPE: encoding by a rank file and decoding to raw bytes.
 
 A text is cut into pre-tokens by the vocabulary's pattern; each pre-token's UTF-8 bytes
-are merged pair by pair, lowest rank first. Pre-tokens repeat, so a bounded cache in each
-worker keeps their ids.
+are merged pair by pair, lowest rank first. Pre-tokens repeat: the different ones of a slice of
+texts are encoded once, all together, a pair of each at a time.
 
 Long texts. A text above ``chunk + overlap`` characters is cut into chunks that overlap by
 ``overlap`` characters, spread over the cluster and pre-tokenised in parallel. The pattern
@@ -24,26 +24,29 @@ from __future__ import annotations
 import base64
 import heapq
 import re
-from array import array
 from bisect import bisect_left
+from collections.abc import Iterable
 from dataclasses import dataclass
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from changelake.llm.common import fresh, small_batches, stable
+from changelake.llm.common import fresh, small_batches, stable, utf8
 
 CHUNK = 32_768
 OVERLAP = 1_024
 #: The longest look-ahead of a pre-token decision: a contraction such as 're.
 MARGIN = 3
-#: Pre-tokens in each of the two generations that a worker keeps.
-CACHE = 300_000
+#: Pre-tokens of neighbouring texts that are encoded together.
+SLICE = 500_000
+#: Different pre-tokens of up to so many bytes are merged together, so many of them at most.
+WIDTHS, ROWS = (8, 16, 32, 48), 16_384
 #: Stands for a pair that has no rank.
 NEVER = 1 << 31
 
@@ -116,73 +119,141 @@ def ascii_pattern(pattern: str) -> re.Pattern | None:
     return None if r"\p" in plain.lower() else re.compile(plain, re.ASCII)
 
 
-class _Cache(dict):
-    """Pre-token -> its ids as 32-bit bytes. When it is full its entries become the old
-    generation, from which those that occur again come back."""
+class _Cache:
+    """What a worker keeps of a vocabulary: its tokens, numbered in the order of their ranks, and
+    the pairs of tokens that make another one."""
 
     def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
         self.vocabulary = vocabulary
         self.pattern = regex.compile(vocabulary.pattern)
         self.ascii = ascii_pattern(vocabulary.pattern) or self.pattern
-        self.old: dict[str, bytes] = {}
-
-    def __missing__(self, token: str) -> bytes:
-        ids = self.old.get(token)
-        if ids is None:
-            ids = array("i", merge(token.encode(), self.vocabulary.ranks)).tobytes()
-        if len(token) <= 64:
-            if len(self) >= CACHE:
-                self.old = dict(self)
-                self.clear()
-            self[token] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.tokens(text)))
+        ranks = vocabulary.ranks
+        tokens = sorted(ranks, key=ranks.__getitem__)
+        if len(set(ranks.values())) < len(tokens):
+            raise ValueError("two tokens have the same rank")
+        self.whole = pa.array(tokens, pa.binary())
+        single = [bytes([b]) for b in range(256)]
+        tokens += [b for b in single if b not in ranks]
+        number = {t: n for n, t in enumerate(tokens)}
+        self.none = len(tokens)         # no part, and a pair that makes no token
+        self.ids = np.array([ranks.get(t, -1) for t in tokens], np.int32)
+        self.single = np.array([number[b] for b in single], np.int32)
+        pairs = {left * (self.none + 1) + right: n for t, n in number.items() for i in range(1, len(t))
+                 if (left := number.get(t[:i])) is not None and (right := number.get(t[i:])) is not None}
+        keys = np.array([*pairs, np.iinfo(np.int64).max], np.int64)
+        order = keys.argsort()
+        self.keys, self.made = keys[order], np.array([*pairs.values(), self.none], np.int32)[order]
+        self.first = self.joined(np.repeat(self.single, 256), np.tile(self.single, 256))
+
+    def joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The number of the token that each pair of parts makes, or ``none``."""
+        key = left.astype(np.int64) * (self.none + 1) + right
+        at = self.keys.searchsorted(key)
+        return np.where(self.keys[at] == key, self.made[at], np.int32(self.none))
 
     def tokens(self, text: str, start: int = 0) -> list[str]:
         return (self.ascii if text.isascii() else self.pattern).findall(text, start)
 
-    def encode_piece(self, text: str, start: int, stop: int) -> bytes:
-        """Ids between two boundaries; the text beyond ``stop`` stays in sight of the pattern."""
+    def piece(self, text: str, start: int, stop: int) -> list[str]:
+        """Pre-tokens between two boundaries; the text beyond ``stop`` stays in sight of the pattern."""
         tokens = self.tokens(text, start)
         ends = list(accumulate(map(len, tokens), initial=start))
-        return b"".join(map(self.__getitem__, tokens[:bisect_left(ends, stop)]))
-
-
-_CACHES: dict[int, _Cache] = {}
+        return tokens[:bisect_left(ends, stop)]
 
-
-def _cache(shared) -> _Cache:
-    """This worker's cache for a broadcast vocabulary."""
-    key = id(shared.value)
-    if key not in _CACHES:
-        _CACHES.clear()
-        _CACHES[key] = _Cache(shared.value)
-    return _CACHES[key]
-
-
-def _as_lists(encoded: list[bytes]) -> pa.Array:
-    sizes = np.array([len(e) // 4 for e in encoded], np.int64)
-    values = np.frombuffer(b"".join(encoded), np.int32)
-    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+    def encode(self, text: str) -> bytes:
+        """Ids of a text as 32-bit bytes."""
+        return self.encode_all([self.tokens(text)]).values.to_numpy().tobytes()
+
+    def encode_all(self, rows: Iterable[list[str]]) -> pa.ListArray:
+        """Ids of each row of pre-tokens, about ``SLICE`` pre-tokens at a time."""
+        out, tokens, ends = [], [], [0]
+        for row in rows:
+            tokens += row
+            ends.append(len(tokens))
+            if len(tokens) >= SLICE:
+                out.append(self._slice(tokens, ends))
+                tokens, ends = [], [0]
+        return pa.concat_arrays([*out, self._slice(tokens, ends)])
+
+    def _slice(self, tokens: list[str], ends: list[int]) -> pa.ListArray:
+        """Each different pre-token is encoded once; its ids are then copied to where it occurs."""
+        words = pa.array(tokens, pa.string()).dictionary_encode()
+        lists, place = self._different(words.dictionary)
+        ids = lists.take(pa.array(place[words.indices.to_numpy()]))
+        return pa.ListArray.from_arrays(ids.offsets.take(pa.array(ends, pa.int32())), ids.values)
+
+    def _different(self, words: pa.Array) -> tuple[pa.ListArray, np.ndarray]:
+        """(ids of the pre-tokens in an order of their own, the place of each in it)."""
+        data, offsets = utf8(words)
+        sizes = np.diff(offsets)
+        known = pc.index_in(words.cast(pa.binary()), value_set=self.whole).fill_null(-1).to_numpy()
+        rows = np.flatnonzero(known >= 0)
+        order, ids, counts = [rows], [self.ids[known[rows]]], [np.ones(len(rows), np.int64)]
+        rest = np.flatnonzero(known < 0)
+        rest = rest[sizes[rest].argsort(kind="stable")]
+        a = 0
+        for width in WIDTHS:
+            stop = int(sizes[rest].searchsorted(width, "right"))
+            for start in range(a, stop, ROWS):
+                rows = rest[start:min(start + ROWS, stop)]
+                merged, n = self._merge(data, offsets[rows], sizes[rows], width)
+                order, ids, counts = [*order, rows], [*ids, merged], [*counts, n]
+            a = stop
+        for i in rest[a:].tolist():
+            merged = merge(data[offsets[i]:offsets[i + 1]].tobytes(), self.vocabulary.ranks)
+            order.append(np.array([i])), ids.append(np.array(merged, np.int32)), counts.append(np.array([len(merged)]))
+        place = np.empty(len(words), np.int64)
+        place[np.concatenate(order)] = np.arange(len(words))
+        ends = np.concatenate([[0], *counts]).cumsum().astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids))), place
+
+    def _merge(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of many pre-tokens, how many each has). Each round merges the lowest, leftmost pair
+        of every pre-token that still has one. The parts stand where they start, from place 1;
+        place 0 and those behind the end are no part."""
+        n, step = len(sizes), width + 2
+        places = np.arange(step)
+        used = (places >= 1) & (places <= sizes[:, None])
+        raw = np.zeros((n, step), np.int64)
+        raw[used] = data[(starts[:, None] + places - 1)[used]]
+        parts = np.where(used, self.single[raw], np.int32(self.none)).ravel()
+        pairs = np.full((n, step), self.none, np.int32)
+        pairs[:, :-1] = np.where(used[:, :-1] & used[:, 1:], self.first[raw[:, :-1] * 256 + raw[:, 1:]], np.int32(self.none))
+        after, before = np.tile(places + 1, n), np.tile(places - 1, n)
+        row = np.arange(n) * step
+        while len(row):
+            at = pairs.argmin(axis=1)
+            best = pairs[np.arange(len(row)), at]
+            live = best < self.none
+            if not live.all():
+                pairs, row, at, best = pairs[live], row[live], at[live], best[live]
+            i, gone, ahead = np.arange(len(row)), after[row + at], before[row + at]
+            behind = after[row + gone]
+            parts[row + at], parts[row + gone] = best, self.none
+            after[row + at], before[row + behind] = behind, at
+            pairs[i, gone] = self.none
+            pairs[i, at] = self.joined(best, parts[row + behind])
+            pairs[i, ahead] = self.joined(parts[row + ahead], best)
+        left = parts.reshape(n, step) != self.none
+        ids = self.ids[parts[left.ravel()]]
+        if (ids < 0).any():
+            raise KeyError("a byte is not in the vocabulary")
+        return ids, left.sum(axis=1)
 
 
 def _encoder(shared):
     @F.arrow_udf("array<int>")
     def bpe_ids(texts: pa.Array) -> pa.Array:
-        cache = _cache(shared)
-        return _as_lists([cache.encode(t.as_py() or "") for t in texts])
+        cache = shared.value
+        return cache.encode_all(cache.tokens(t.as_py() or "") for t in texts)
     return bpe_ids
 
 
 def _piece_encoder(shared):
     @F.arrow_udf("array<int>")
     def piece_ids(chunks: pa.Array, starts: pa.Array, stops: pa.Array) -> pa.Array:
-        cache = _cache(shared)
-        return _as_lists([cache.encode_piece(*row) for row in zip(chunks.to_pylist(), starts.to_pylist(), stops.to_pylist())])
+        cache = shared.value
+        return cache.encode_all(cache.piece(c.as_py(), *row) for c, *row in zip(chunks, starts.to_pylist(), stops.to_pylist()))
     return piece_ids
 
 
@@ -200,7 +271,7 @@ def _borders(shared, chunk: int, overlap: int):
 
     @F.arrow_udf("head array<int>, tail array<int>")
     def borders(chunks: pa.Array) -> pa.Array:
-        pattern, out = _cache(shared).pattern, []
+        pattern, out = shared.value.pattern, []
         for c in chunks:
             text = c.as_py()
             ends = [m.end() for m in pattern.finditer(text)]
@@ -216,7 +287,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out_
     if out_col.lower() in (c.lower() for c in docs.columns):
         raise ValueError(f"the documents have a column {out_col} already: name another out_col")
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast(_Cache(vocabulary))
     ids = _encoder(shared)
     length = F.coalesce(F.length(text_col), F.lit(0))
     short = docs.where(length <= chunk + overlap).withColumn(out_col, ids(F.col(text_col)))

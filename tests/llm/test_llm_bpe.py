@@ -59,3 +59,40 @@ def test_unknown_ids_are_an_error(spark):
     df = spark.createDataFrame([([1, 999_999],)], "ids array<int>")
     with pytest.raises(Exception, match="not in the vocabulary"):
         bpe.decode(df, VOCABULARY).collect()
+
+
+def test_short_pre_tokens_are_merged_together(monkeypatch):
+    def alone(piece, ranks):
+        raise AssertionError("a short pre-token was merged by itself")
+    rng = random.Random(5)
+    rows = [" ".join("".join(rng.choices("abdeéorßt日😀ñ", k=rng.randint(1, 12))) for _ in range(rng.randint(0, 60))) for _ in range(200)]
+    expected = [REFERENCE.encode_ordinary(r) for r in rows]
+    monkeypatch.setattr(bpe, "merge", alone)
+    cache = bpe._Cache(VOCABULARY)
+    for limit, block in ((bpe.SLICE, bpe.ROWS), (70, 3), (1, 1)):
+        monkeypatch.setattr(bpe, "SLICE", limit)
+        monkeypatch.setattr(bpe, "ROWS", block)
+        assert cache.encode_all(map(cache.tokens, rows)).to_pylist() == expected
+    assert cache.encode_all([]).to_pylist() == []
+    assert cache.encode_all([[], []]).to_pylist() == [[], []]
+
+
+def test_merges_of_every_length_and_repeated_bytes():
+    rng = random.Random(6)
+    pieces = [a * n for a in ("a", "ab", "é", "日", "x1") for n in range(1, 70)]
+    pieces += ["".join(rng.choices("abcé", k=n)) for n in range(1, 70) for _ in range(5)]
+    got = bpe._Cache(VOCABULARY).encode_all([p] for p in pieces)
+    assert got.to_pylist() == [bpe.merge(p.encode(), VOCABULARY.ranks) for p in pieces]
+
+
+def test_ranks_that_are_not_in_the_order_of_the_merges():
+    # "bc" outranks "ab" only after a merge; a token that no merge reaches counts when it is whole.
+    ranks = {bytes([b]): 1000 + b for b in range(256) if b != ord("z")} | {b"ab": 70, b"cd": 60, b"bcd": 3, b"abcd": 90, b"xyx": 5, b"dab": 2}
+    cache = bpe._Cache(bpe.Vocabulary(ranks, VOCABULARY.pattern))
+    rng = random.Random(7)
+    pieces = ["xyx", "xyxx", "abcd", "dabcd", "abab"] + ["".join(rng.choices("abcdxy", k=rng.randint(1, 40))) for _ in range(500)]
+    assert cache.encode_all([p] for p in pieces).to_pylist() == [bpe.merge(p.encode(), ranks) for p in pieces]
+    with pytest.raises(KeyError):
+        cache.encode("abz")
+    with pytest.raises(ValueError, match="same rank"):
+        bpe._Cache(bpe.Vocabulary(ranks | {b"ba": 70}, VOCABULARY.pattern))
